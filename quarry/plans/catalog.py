@@ -153,3 +153,147 @@ def q_missing_results(spark, sf):
 def q_retrieval_eval_e2e(spark, sf):
     _, summary = evaluate(_run(spark, sf).responses, _truth(spark, sf), K)
     return round_doubles(summary)
+
+
+# ------------------------------------------------------------------ vector index (X, Q)
+
+from ..operators.ivf import (DEFAULT_N_TRAIN, DEFAULT_NLIST, DEFAULT_NPROBE,  # noqa: E402
+                             adaptive_nlist_col, assign_lists, build_index)
+from ..operators.knn import knn_search  # noqa: E402
+from ..operators.search import ivf_search, probe_lists  # noqa: E402
+from ..sources.tables import read_embeddings  # noqa: E402
+
+EMB_DIM = 64
+PQ_M = 8            # must divide the vector width (the default 96 does not divide 64)
+PQ_BITS = 8
+NPROBE = DEFAULT_NPROBE
+
+_EMB = _with(O.emb_ctes(DEFAULT_NLIST, DEFAULT_N_TRAIN))
+_PROBE = _EMB + O.probe_ctes(NPROBE)
+
+
+def _emb_queries(spark, sf):
+    return read_embeddings(spark, sf).select(F.col("id").cast("string").alias("qid"),
+                                             "embedding")
+
+
+def _given_index(spark, sf, pq_m=None):
+    return build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, pq_m, PQ_BITS,
+                       DEFAULT_N_TRAIN, train_iters=0)
+
+
+@register("ivf_meta", _EMB + f"""
+ SELECT 'cosine' AS metric, {EMB_DIM} AS dim, (SELECT nlist FROM nl) AS nlist,
+        {PQ_M} AS pq_m, {PQ_BITS} AS pq_bits, CAST(count(*) AS BIGINT) AS ntotal,
+        CAST(least(count(*), {DEFAULT_N_TRAIN}) AS BIGINT) AS n_train,
+        least(count(*), {DEFAULT_N_TRAIN}) >= 39 * (SELECT nlist FROM nl) AS train_ok
+ FROM u""")
+def q_ivf_meta(spark, sf):
+    """Index parameters and cardinality."""
+    return _given_index(spark, sf, PQ_M).meta
+
+
+@register("adaptive_nlist", f"""SELECT CAST(count(*) AS BIGINT) AS ntotal,
+ CASE WHEN count(*) < {DEFAULT_NLIST} THEN greatest(1, CAST(floor(count(*) / 8) AS INTEGER))
+      ELSE {DEFAULT_NLIST} END AS nlist FROM embeddings""")
+def q_adaptive_nlist(spark, sf):
+    """X2 as a column expression over the manifest row."""
+    n = read_embeddings(spark, sf).agg(F.count(F.lit(1)).cast("bigint").alias("ntotal"))
+    return n.select("ntotal", adaptive_nlist_col("ntotal", DEFAULT_NLIST).alias("nlist"))
+
+
+@register("ivf_assign", _EMB + " SELECT id, list_id FROM asg")
+def q_ivf_assign(spark, sf):
+    index = _given_index(spark, sf)
+    return assign_lists(read_embeddings(spark, sf), index.centroids, "cosine",
+                        keep_vector=False)
+
+
+@register("ivf_probe", _PROBE +
+          " SELECT qid, list_id, round(coarse, 6) AS coarse, CAST(probe_rank AS INTEGER) AS probe_rank"
+          " FROM probes")
+def q_ivf_probe(spark, sf):
+    index = _given_index(spark, sf)
+    return round_doubles(probe_lists(_emb_queries(spark, sf), index.centroids, NPROBE))
+
+
+@register("ivf_search", _PROBE + f""",
+fs AS (SELECT p.qid, a.id, list_dot_product(q.v, x.v) / (q.n * x.n) AS score
+       FROM probes p JOIN asg a ON a.list_id = p.list_id
+       JOIN u q ON q.id = p.qn JOIN u x ON x.id = a.id)
+SELECT qid, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank
+  FROM fs) WHERE rank <= {K}""")
+def q_ivf_search(spark, sf):
+    """Q2-Q4 over flat postings: every embedding queries the index."""
+    index = _given_index(spark, sf)
+    return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
+
+
+_EXACT_COS = _EMB + O.exact_emb_ctes("cosine", K) + \
+    " SELECT qid, id, round(score, 6) AS score, CAST(row_number() OVER" \
+    " (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank FROM exr"
+
+
+@register("ivf_full_probe", _EXACT_COS)
+def q_ivf_full_probe(spark, sf):
+    """nprobe = nlist on flat postings equals exact search."""
+    index = _given_index(spark, sf)
+    return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, 1 << 30))
+
+
+@register("knn_cosine", _EXACT_COS)
+def q_knn_cosine(spark, sf):
+    """Q1 on the embeddings table (self-queries)."""
+    return round_doubles(knn_search(read_embeddings(spark, sf), _emb_queries(spark, sf), K,
+                                    "cosine"))
+
+
+@register("knn_l2", _EMB + O.exact_emb_ctes("l2", K) +
+          " SELECT qid, id, round(score, 6) AS score, CAST(row_number() OVER"
+          " (PARTITION BY qid ORDER BY score, id) AS INTEGER) AS rank FROM exr")
+def q_knn_l2(spark, sf):
+    return round_doubles(knn_search(read_embeddings(spark, sf), _emb_queries(spark, sf), K,
+                                    "l2"))
+
+
+_PQ = _PROBE + O.pq_ctes(EMB_DIM, PQ_M, PQ_BITS)
+
+
+@register("pq_encode", _PQ + """
+ SELECT a.id, a.list_id, string_agg(printf('%02X', c.code), '' ORDER BY c.m) AS codes
+ FROM asg a JOIN codes c ON c.id = a.id GROUP BY a.id, a.list_id""")
+def q_pq_encode(spark, sf):
+    index = _given_index(spark, sf, PQ_M)
+    return index.postings.select("id", "list_id", F.hex("codes").alias("codes"))
+
+
+@register("ivfpq_search", _PQ + f""",
+adc AS (SELECT p.qid, a.id, p.coarse + sum(lut.l) AS score
+        FROM probes p JOIN asg a ON a.list_id = p.list_id
+        JOIN codes cd ON cd.id = a.id
+        JOIN lut ON lut.qn = p.qn AND lut.m = cd.m AND lut.code = cd.code
+        GROUP BY p.qid, a.id, p.coarse)
+SELECT qid, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank
+  FROM adc) WHERE rank <= {K}""")
+def q_ivfpq_search(spark, sf):
+    """Q3 with asymmetric distances on PQ codes."""
+    index = _given_index(spark, sf, PQ_M)
+    return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
+
+
+@register("ivf_trained_search")
+def q_ivf_trained_search(spark, sf):
+    """X5 (Spark ML k-means) + Q2-Q4; trained parameters -> rows check only."""
+    index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, None,
+                        n_train=DEFAULT_N_TRAIN, train_iters=20, seed=42)
+    return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
+
+
+@register("ivfpq_trained_search")
+def q_ivfpq_trained_search(spark, sf):
+    """X5 + X7 (per-sub-space k-means) + X8 + ADC search; rows check only."""
+    index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, PQ_M, PQ_BITS,
+                        n_train=DEFAULT_N_TRAIN, train_iters=20, seed=42)
+    return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))

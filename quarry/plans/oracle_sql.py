@@ -121,3 +121,66 @@ perq AS (
 
 def r6(col: str, alias: str | None = None) -> str:
     return f"round({col}, 6) AS {alias or col}"
+
+
+# ------------------------------------------------------------------ vector index
+
+def emb_ctes(nlist: int, n_train: int) -> str:
+    """Unit-scaled embeddings (u), the adaptive list count (nl), first-k
+    centroids (cent), coarse scores (cs) and the list assignment (asg)."""
+    return f"""
+u AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v,
+             sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+      FROM embeddings),
+train AS (SELECT * FROM u QUALIFY row_number() OVER (ORDER BY id) <= {n_train}),
+nl AS (SELECT CASE WHEN count(*) < {nlist} THEN greatest(1, CAST(floor(count(*) / 8) AS INTEGER))
+              ELSE {nlist} END AS nlist FROM u),
+cent AS (SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS list_id, v AS c, n AS cn
+         FROM train QUALIFY row_number() OVER (ORDER BY id) <= (SELECT nlist FROM nl)),
+cs AS (SELECT u.id, cent.list_id, list_dot_product(u.v, cent.c) / (u.n * cent.cn) AS raw
+       FROM u CROSS JOIN cent),
+asg AS (SELECT id, list_id FROM cs
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(raw, 9) DESC, list_id) = 1)"""
+
+
+def probe_ctes(nprobe: int) -> str:
+    return f""",
+pr AS (SELECT CAST(id AS VARCHAR) AS qid, id AS qn, list_id, raw AS coarse,
+              row_number() OVER (PARTITION BY id ORDER BY round(raw, 9) DESC, list_id) AS probe_rank
+       FROM cs),
+probes AS (SELECT * FROM pr WHERE probe_rank <= {nprobe})"""
+
+
+def pq_ctes(dim: int, pq_m: int, pq_bits: int) -> str:
+    dsub = dim // pq_m
+    ksub = 1 << pq_bits
+    return f""",
+xs AS (SELECT id, unnest(range(0, {dim})) AS j, unnest(v) AS xv, n FROM u),
+cx AS (SELECT list_id, unnest(range(0, {dim})) AS j, unnest(c) AS cv, cn FROM cent),
+res AS (SELECT xs.id, a.list_id, xs.j, xs.xv / xs.n - cx.cv / cx.cn AS r
+        FROM xs JOIN asg a ON a.id = xs.id JOIN cx ON cx.list_id = a.list_id AND cx.j = xs.j),
+seeds AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS code FROM train
+          QUALIFY row_number() OVER (ORDER BY id) <= {ksub}),
+cb AS (SELECT CAST(res.j // {dsub} AS INTEGER) AS m, seeds.code, res.j % {dsub} AS t, res.r AS cbv
+       FROM res JOIN seeds ON seeds.id = res.id),
+dist AS (SELECT res.id, CAST(res.j // {dsub} AS INTEGER) AS m, cb.code,
+                sum((res.r - cb.cbv) * (res.r - cb.cbv)) AS d
+         FROM res JOIN cb ON cb.m = res.j // {dsub} AND cb.t = res.j % {dsub} GROUP BY ALL),
+codes AS (SELECT id, m, code FROM dist
+          QUALIFY row_number() OVER (PARTITION BY id, m ORDER BY round(d, 9), code) = 1),
+lut AS (SELECT xs.id AS qn, cb.m, cb.code, sum(xs.xv / xs.n * cb.cbv) AS l
+        FROM xs JOIN cb ON cb.m = xs.j // {dsub} AND cb.t = xs.j % {dsub} GROUP BY ALL)"""
+
+
+def exact_emb_ctes(metric: str, k: int) -> str:
+    if metric == "cosine":
+        score = "list_dot_product(q.v, x.v) / (q.n * x.n)"
+        order = "score DESC, id"
+    else:
+        score = ("greatest(list_dot_product(q.v, q.v) + list_dot_product(x.v, x.v)"
+                 " - 2 * list_dot_product(q.v, x.v), 0)")
+        order = "score, id"
+    return f""",
+ex AS (SELECT CAST(q.id AS VARCHAR) AS qid, x.id, {score} AS score FROM u q CROSS JOIN u x),
+exr AS (SELECT qid, id, score FROM ex
+        QUALIFY row_number() OVER (PARTITION BY qid ORDER BY {order}) <= {k})"""
