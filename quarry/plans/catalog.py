@@ -297,3 +297,48 @@ def q_ivfpq_trained_search(spark, sf):
     index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, PQ_M, PQ_BITS,
                         n_train=DEFAULT_N_TRAIN, train_iters=20, seed=42)
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
+
+
+# ------------------------------------------------------------------ rerank
+
+from ..operators.rerank import reranker  # noqa: E402
+
+_RERANK = _with(_CHUNKS, O.queries_cte(), O.knn_ctes(FLAGSHIP_DIM, CANDS)) + O.rerank_ctes(K)
+
+
+def _rerank_run(spark, sf):
+    chunks = preprocess(read_documents(spark, sf))
+    queries = read_benchmark_queries(spark, sf)
+    return run_queries(chunks, queries, FLAGSHIP_DIM, K, CANDS,
+                       reranker=reranker(None, candidates=CANDS))
+
+
+@register("rerank_lexical", _RERANK +
+          " SELECT qid, id, CAST(retrieval_rank AS INTEGER) AS retrieval_rank, score,"
+          " CAST(rank AS INTEGER) AS rank FROM rr")
+def q_rerank_lexical(spark, sf):
+    return _rerank_run(spark, sf).hits
+
+
+_RERANK_EVAL = _RERANK + """,
+cands_rr AS (SELECT qid, id, rank FROM rr),
+named AS (SELECT h.qid, h.rank, c.source_name FROM cands_rr h JOIN chunks c ON c.chunk_id = h.id),
+best AS (SELECT qid, source_name, min(rank) AS best FROM named GROUP BY ALL),
+docs AS (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY best) AS INTEGER) AS rank,
+         source_name FROM best),
+resp AS (
+  SELECT qs.qid, qs.query,
+         coalesce((SELECT list(d.source_name ORDER BY d.rank) FROM docs d WHERE d.qid = qs.qid),
+                  []::VARCHAR[]) AS response
+  FROM qs)""" + O.truth_cte() + O.metrics_ctes(K)
+
+
+@register("rerank_eval_e2e", _RERANK_EVAL + """
+ SELECT CAST(count(*) AS BIGINT) AS n_queries, round(avg(precision), 6) AS precision,
+        round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg,
+        round(avg(precision) * 0.2 + avg(recall) * 0.5 + avg(ndcg) * 0.3, 6) AS score
+ FROM perq""")
+def q_rerank_eval_e2e(spark, sf):
+    """`query --rerank` followed by `eval`."""
+    _, summary = evaluate(_rerank_run(spark, sf).responses, _truth(spark, sf), K)
+    return round_doubles(summary)

@@ -184,3 +184,17 @@ def exact_emb_ctes(metric: str, k: int) -> str:
 ex AS (SELECT CAST(q.id AS VARCHAR) AS qid, x.id, {score} AS score FROM u q CROSS JOIN u x),
 exr AS (SELECT qid, id, score FROM ex
         QUALIFY row_number() OVER (PARTITION BY qid ORDER BY {order}) <= {k})"""
+
+
+def rerank_ctes(k: int) -> str:
+    """From cands: lexical overlap score and the reranked top-k (rr)."""
+    return f""",
+rpairs AS (SELECT k.qid, k.id, k.rank, qs.query, coalesce(c.text, '') AS text
+          FROM cands k LEFT JOIN chunks c ON c.chunk_id = k.id JOIN qs ON qs.qid = k.qid),
+rs AS (SELECT qid, id, rank AS retrieval_rank,
+              CAST(len(list_intersect(list_distinct({tokens_sql('query')}),
+                                      list_distinct({tokens_sql('text')}))) AS DOUBLE) AS score
+       FROM rpairs),
+rr AS (SELECT qid, id, retrieval_rank, score,
+              row_number() OVER (PARTITION BY qid ORDER BY score DESC, retrieval_rank) AS rank
+       FROM rs QUALIFY rank <= {k})"""
