@@ -342,3 +342,26 @@ def q_rerank_eval_e2e(spark, sf):
     """`query --rerank` followed by `eval`."""
     _, summary = evaluate(_rerank_run(spark, sf).responses, _truth(spark, sf), K)
     return round_doubles(summary)
+
+
+# ------------------------------------------------------------------ streaming add
+
+from ..operators.ivf import load_index  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..streaming.append import empty_index_like, start_append_stream  # noqa: E402
+
+
+@register("index_append_stream", ORACLE["pq_encode"])
+def q_index_append_stream(spark, sf):
+    """Trained parameters frozen; every vector arrives through a streaming
+    query (availableNow) and is encoded by the idempotent foreachBatch sink.
+    Result must equal the bulk encoding."""
+    trained = _given_index(spark, sf, PQ_M)
+    path = scratch_path(spark, "stream-index")
+    empty_index_like(trained, path)
+    schema = read_table(spark, sf, "embeddings").schema
+    q = start_append_stream(
+        spark, sf, schema, path, glob="embeddings.parquet",
+        prepare=lambda df: df.select(F.col("vec_id").alias("id"), "embedding"))
+    q.awaitTermination()
+    return load_index(spark, path).postings.select("id", "list_id", F.hex("codes").alias("codes"))
