@@ -25,6 +25,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import file_name, file_stem, file_suffix
 
@@ -34,8 +35,11 @@ TEXT_SUFFIXES = (".txt", ".md")
 JSON_SUFFIX = ".json"
 JSON_TEXT_KEYS = ("text", "content", "body")
 
+_TEXT_ERROR = T.StructType([T.StructField("text", T.StringType()),
+                            T.StructField("error", T.StringType())])
 
-@F.pandas_udf("string")
+
+@F.pandas_udf(T.StringType())
 def _decode_ignore(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
@@ -68,7 +72,7 @@ def json_file_text(raw: str | None) -> tuple[str, str | None]:
     return json.dumps(data), None
 
 
-@F.pandas_udf("struct<text string, error string>")
+@F.pandas_udf(_TEXT_ERROR)
 def _json_text(raw: pd.Series) -> pd.DataFrame:
     out = [json_file_text(r) for r in raw]
     return pd.DataFrame({"text": [t for t, _ in out], "error": [e for _, e in out]})
@@ -121,7 +125,7 @@ def read_folder(spark: SparkSession, folder: str, max_bytes: int = MAX_FILE_BYTE
 
 
 def _extract_udf(fn: Callable[[bytes], str]):
-    @F.pandas_udf("struct<text string, error string>")
+    @F.pandas_udf(_TEXT_ERROR)
     def run(content: pd.Series) -> pd.DataFrame:
         texts, errors = [], []
         for b in content:

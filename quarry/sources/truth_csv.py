@@ -38,6 +38,6 @@ def parse_truth(rows: DataFrame, strict_json: bool = False) -> tuple[DataFrame,
 
 def read_truth_csv(spark: SparkSession, path: str,
                    strict_json: bool = False) -> tuple[DataFrame, DataFrame]:
-    rows = spark.read.option("header", True).schema(
+    rows = spark.read.option("header", True).option("escape", "\"").schema(
         "query_id string, relevant_document_ids string").csv(path)
     return parse_truth(rows, strict_json)
