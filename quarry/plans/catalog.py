@@ -365,3 +365,49 @@ def q_index_append_stream(spark, sf):
         prepare=lambda df: df.select(F.col("vec_id").alias("id"), "embedding"))
     q.awaitTermination()
     return load_index(spark, path).postings.select("id", "list_id", F.hex("codes").alias("codes"))
+
+
+# ------------------------------------------------------------------ sources on tables
+
+from ..sources.files import json_text  # noqa: E402
+from ..sources.queries import ID_FIELDS, TEXT_FIELDS, resolve_queries  # noqa: E402
+from ..sources.tables import read_pages  # noqa: E402
+
+
+@register("html_as_text", _with(O.chunks_ctes("pages", "page_id", "html")) +
+          " SELECT chunk_id, doc_id, chunk_idx, text FROM chunks")
+def q_html_as_text(spark, sf):
+    """Pages are files of unknown type -- markup is kept as text, then
+    cleaned, chunked and numbered like any document."""
+    return preprocess(read_pages(spark, sf)).select("chunk_id", "doc_id", "chunk_idx", "text")
+
+
+@register("json_text_field",
+          "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS error FROM documents")
+def q_json_text_field(spark, sf):
+    """S4, string branch: each document as ``{"text": ...}`` JSON, extracted back."""
+    docs = read_table(spark, sf, "documents")
+    r = docs.select("doc_id", json_text(F.to_json(F.struct("text"))).alias("r"))
+    return r.select("doc_id", "r.text", "r.error")
+
+
+@register("json_redump", "SELECT event_id, props AS text, CAST(NULL AS VARCHAR) AS error "
+                         "FROM events")
+def q_json_redump(spark, sf):
+    """S4, re-dump branch: ``events.props`` objects have none of the text keys,
+    so the whole value is re-serialised Python-style."""
+    r = read_table(spark, sf, "events").select("event_id", json_text("props").alias("r"))
+    return r.select("event_id", "r.text", "r.error")
+
+
+@register("query_aliases", "SELECT CAST(item_id AS VARCHAR) AS qid, text AS query FROM benchmark"
+                           " WHERE item_id <> 0 AND text IS NOT NULL AND text <> ''")
+def q_query_aliases(spark, sf):
+    """Benchmark rows as query-file items ``{"query_num": id, "query": text}``;
+    id 0 is falsy and, with no other alias present, the item is skipped."""
+    items = read_table(spark, sf, "benchmark").select(
+        F.parse_json(F.to_json(F.struct(F.col("item_id").alias("query_num"),
+                                        F.col("text").alias("query")))).alias("v"))
+    cols = [F.try_variant_get("v", f"$.{c}", "variant").alias(c) for c in (*ID_FIELDS, *TEXT_FIELDS)]
+    good, _ = resolve_queries(items.select(*cols))
+    return good
