@@ -18,6 +18,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import tokens
 from .ids import bounded_broadcast, lookup_text
@@ -49,7 +50,7 @@ def score_pairs(pairs: DataFrame, scorer_loader: Callable | None = None,
     """Adds ``rerank_score double``."""
     if scorer_loader is None:
         return pairs.withColumn("rerank_score", lexical_overlap())
-    schema = pairs.schema.add("rerank_score", "double")
+    schema = T.StructType([*pairs.schema.fields, T.StructField("rerank_score", T.DoubleType())])
 
     def run(batches):
         fn = scorer_loader()

@@ -3,7 +3,11 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Python workers must import functions defined in test modules
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [ROOT, os.path.join(ROOT, "tests")] + [p for p in [os.environ.get("PYTHONPATH")] if p])
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
