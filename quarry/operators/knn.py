@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..session import DEFAULT_BROADCAST_BYTES, materialize
+from ..session import DEFAULT_BROADCAST_BYTES, KERNEL_BYTES, materialize
 
 METRICS = ("cosine", "l2")
 TWO_LEVEL_MIN_PARTITIONS = 64
@@ -80,11 +80,15 @@ def _block_topk(corpus: DataFrame, bc, k: int, metric: str, id_col: str,
             if X.shape[0] == 0:
                 continue
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid].astype(np.int64)
-            if metric == "cosine":
-                s = V.cosine_scores(Q, qn, X)
-            else:
-                s = -V.sq_l2_distances(Q, qn, X)
-            best_s, best_i = V.topk_merge(best_s, best_i, s, ids, k)
+            # keep the (queries x rows) score matrix near KERNEL_BYTES
+            step = max(64, KERNEL_BYTES // (8 * max(nq, 1)))
+            for lo in range(0, len(X), step):
+                x, xi = X[lo:lo + step], ids[lo:lo + step]
+                if metric == "cosine":
+                    s = V.cosine_scores(Q, qn, x)
+                else:
+                    s = -V.sq_l2_distances(Q, qn, x)
+                best_s, best_i = V.topk_merge(best_s, best_i, s, xi, k)
         if best_s.shape[1] == 0:
             return
         m = best_s.shape[1]

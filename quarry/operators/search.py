@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..session import DEFAULT_BROADCAST_BYTES
+from ..session import DEFAULT_BROADCAST_BYTES, KERNEL_BYTES, materialize
 from .ids import bounded_broadcast
 from .ivf import (DEFAULT_NPROBE, TIE_DIGITS, IvfIndex, _coarse_scores, _prep,
                   centroid_matrix, codebook_tensor)
-from .knn import check_metric, top_k_per_query
+from .knn import TWO_LEVEL_GROUPS, TWO_LEVEL_MIN_PARTITIONS, check_metric, top_k_per_query
 
 
 def _meta(index: IvfIndex) -> dict:
@@ -66,51 +66,8 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int = DEFAULT_
         probe, "qid string, list_id int, coarse double, probe_rank int")
 
 
-def _query_table(queries: DataFrame, qid_col: str, vec_col: str, limit: int):
-    rows = queries.select(F.col(qid_col).cast("string"), vec_col) \
-        .where(F.col(vec_col).isNotNull()).collect()
-    qids = [r[0] for r in rows]
-    Q = np.asarray([r[1] for r in rows], dtype=np.float64)
-    if Q.nbytes > limit:
-        raise ValueError("query block above the broadcast limit; search in smaller batches")
-    return qids, Q
-
-
-def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAULT_NPROBE,
-               qid_col: str = "qid", vec_col: str = "embedding",
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Q3 + Q4: ``(qid, id, score, rank)``; cosine scores are higher-better,
-    L2 scores are squared distances (lower-better).  PQ scores are the
-    asymmetric estimates ``q.c + sum_m q_m . cb_m[code_m]`` (cosine) or
-    ``sum_m |(q-c)_m - cb_m[code_m]|^2`` (L2)."""
-    meta = _meta(index)
-    metric = meta["metric"]
-    if k < 1:
-        raise ValueError("k must be >= 1")
-    spark = queries.sparkSession
-    sc = spark.sparkContext
-    qids, Q = _query_table(queries, qid_col, vec_col, max_broadcast_bytes)
-    if not qids:
-        return spark.createDataFrame([], "qid string, id bigint, score double, rank int")
-    C = centroid_matrix(index.centroids, metric)
-    qpos = {q: i for i, q in enumerate(qids)}
-    Qp = _prep(Q, metric)
-    probes = probe_lists(queries, index.centroids, nprobe, metric, qid_col, vec_col)
-    n_probe_rows = len(qids) * min(nprobe, C.shape[0])
-    probes = bounded_broadcast(probes.select("qid", "list_id"), n_probe_rows, 48,
-                               max_broadcast_bytes)
-    postings = index.postings
-    if nprobe < C.shape[0]:
-        probed = sorted({r[0] for r in probe_lists(queries, index.centroids, nprobe, metric,
-                                                   qid_col, vec_col)
-                         .select("list_id").distinct().collect()})
-        if len(probed) < C.shape[0]:
-            postings = postings.where(F.col("list_id").isin(probed))
-    cb = codebook_tensor(index.codebooks) if index.is_pq else None
-    bc = sc.broadcast((qpos, Qp, C, cb))
-    payload = "codes" if index.is_pq else "embedding"
-    joined = postings.select("list_id", "id", payload).join(probes, "list_id")
-
+def _score_kernel(bc, metric: str):
+    """Arrow kernel: joined ``(list_id, id, payload, qid)`` rows -> scores."""
     def score(batches):
         pos, Qm, Cm, cbk = bc.value
         for rb in batches:
@@ -122,32 +79,105 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
             if cbk is None:
                 X, _ = V.list_column_matrix(rb.column("embedding"))
                 if metric == "cosine":
-                    Xu = _prep(X, metric)
-                    s = np.einsum("ij,ij->i", Qm[qi], Xu)
+                    s = np.einsum("ij,ij->i", Qm[qi], _prep(X, metric))
                 else:
                     d = Qm[qi] - X
                     s = np.einsum("ij,ij->i", d, d)
             else:
                 m, ksub, dsub = cbk.shape
                 codes = np.frombuffer(b"".join(rb.column("codes").to_pylist()),
-                                      dtype=np.uint8).reshape(-1, m)
+                                      dtype=np.uint8).reshape(-1, m).astype(np.int64)
                 if metric == "cosine":
-                    # per-query look-up tables for the queries in this batch:
-                    # L[u, m, c] = q_m . codebook_m[c]
+                    # per-query look-up tables L[u, m, c] = q_m . codebook_m[c], built
+                    # for a bounded number of distinct queries at a time
                     uq, inv = np.unique(qi, return_inverse=True)
-                    L = np.einsum("mkd,qmd->qmk", cbk, Qm[uq].reshape(len(uq), m, dsub))
-                    adc = L[inv[:, None], np.arange(m)[None, :], codes.astype(np.int64)]
-                    s = np.einsum("ij,ij->i", Qm[qi], Cm[lists]) + adc.sum(1)
+                    adc = np.empty(len(qi))
+                    cap = max(1, KERNEL_BYTES // (8 * m * ksub))
+                    for lo in range(0, len(uq), cap):
+                        sel = (inv >= lo) & (inv < lo + cap)
+                        L = np.einsum("mkd,qmd->qmk", cbk,
+                                      Qm[uq[lo:lo + cap]].reshape(-1, m, dsub))
+                        adc[sel] = L[(inv[sel] - lo)[:, None], np.arange(m)[None, :],
+                                     codes[sel]].sum(1)
+                    s = np.einsum("ij,ij->i", Qm[qi], Cm[lists]) + adc
                 else:
-                    r = (Qm[qi] - Cm[lists]).reshape(-1, m, 1, dsub)
-                    sub = cbk[np.arange(m)[None, :], codes.astype(np.int64)]  # (n, m, dsub)
-                    s = ((r[:, :, 0, :] - sub) ** 2).sum(axis=(1, 2))
+                    r = (Qm[qi] - Cm[lists]).reshape(-1, m, dsub)
+                    sub = cbk[np.arange(m)[None, :], codes]             # (n, m, dsub)
+                    s = ((r - sub) ** 2).sum(axis=(1, 2))
             yield pa.RecordBatch.from_arrays(
                 [rb.column("qid"), pa.array(ids), pa.array(s.astype(np.float64))],
                 names=["qid", "id", "score"])
+    return score
+
 
-    scored = joined.mapInArrow(score, "qid string, id bigint, score double")
-    return top_k_per_query(scored, k, metric)
+def _query_blocks(queries: DataFrame, qid_col: str, vec_col: str, rows_per_block: int):
+    q = queries.select(F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("v"))
+    qids, rows = [], []
+    for r in q.where(F.col("v").isNotNull()).toLocalIterator():
+        qids.append(r["qid"])
+        rows.append(r["v"])
+        if len(qids) >= rows_per_block:
+            yield qids, np.asarray(rows, dtype=np.float64)
+            qids, rows = [], []
+    if qids:
+        yield qids, np.asarray(rows, dtype=np.float64)
+
+
+def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAULT_NPROBE,
+               qid_col: str = "qid", vec_col: str = "embedding",
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Q3 + Q4: ``(qid, id, score, rank)``; cosine scores are higher-better,
+    L2 scores are squared distances (lower-better).  PQ scores are the
+    asymmetric estimates ``q.c + sum_m q_m . cb_m[code_m]`` (cosine) or
+    ``sum_m |(q-c)_m - cb_m[code_m]|^2`` (L2).
+
+    Queries are shipped in blocks of at most ``max_broadcast_bytes``; with more
+    than one block each block's top-k is written before the next is sent."""
+    meta = _meta(index)
+    metric = meta["metric"]
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    spark = queries.sparkSession
+    sc = spark.sparkContext
+    C = centroid_matrix(index.centroids, metric)
+    cb = codebook_tensor(index.codebooks) if index.is_pq else None
+    present = queries.where(F.col(vec_col).isNotNull()).select(
+        F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("embedding"))
+    n_q, dim = present.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    if not n_q:
+        return spark.createDataFrame([], "qid string, id bigint, score double, rank int")
+    rows_per_block = max(1, max_broadcast_bytes // (dim * 8 + 64))
+    n_blocks = -(-n_q // rows_per_block)
+    p = min(nprobe, C.shape[0])
+    payload = "codes" if index.is_pq else "embedding"
+    nparts = index.postings.rdd.getNumPartitions()
+    groups = TWO_LEVEL_GROUPS if nparts > TWO_LEVEL_MIN_PARTITIONS else 1
+    parts = []
+    for qids, Q in _query_blocks(present, "qid", "embedding", rows_per_block):
+        block = spark.createDataFrame([(q, [float(v) for v in row]) for q, row in zip(qids, Q)],
+                                      "qid string, embedding array<double>") \
+            if n_blocks > 1 else present
+        probes = probe_lists(block, index.centroids, p, metric).select("qid", "list_id")
+        probes = materialize(probes, "ivf-probes") if n_blocks > 1 else probes
+        postings = index.postings
+        if p < C.shape[0]:
+            probed = [r[0] for r in probes.select("list_id").distinct().collect()]  # <= nlist
+            if len(probed) < C.shape[0]:
+                postings = postings.where(F.col("list_id").isin(sorted(probed)))
+        probes = bounded_broadcast(probes, len(qids) * p, 48, max_broadcast_bytes)
+        bc = sc.broadcast(({q: i for i, q in enumerate(qids)}, _prep(Q, metric), C, cb))
+        joined = postings.select("list_id", "id", payload).join(probes, "list_id")
+        scored = joined.mapInArrow(_score_kernel(bc, metric),
+                                   "qid string, id bigint, score double")
+        top = top_k_per_query(scored, k, metric, groups=groups)
+        if n_blocks > 1:
+            top = materialize(top, "ivf-block")
+            bc.unpersist()
+        parts.append(top)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def retrieve(index: IvfIndex, queries: DataFrame, k: int = 100,

@@ -73,8 +73,10 @@ def derive_truth(docs: DataFrame, queries: DataFrame,
     for every document containing the query passage (both whitespace-normalised)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
-    cleaned = docs.select("source_name", clean_text("text").alias("text")) \
-        .where(F.col("text").isNotNull())
+    # filter on the raw column: a predicate on the cleaned text would be pushed
+    # below any repartition and evaluate the regex twice
+    cleaned = docs.where(F.col("text").isNotNull()) \
+        .select("source_name", clean_text("text").alias("text"))
     parts = []
     for block in _pattern_blocks(queries, max_broadcast_bytes):
         bc = sc.broadcast(block)

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Upper bound for anything we ship to executors as a broadcast (query matrices,
 # centroids, codebooks, pattern sets).  Callers split work into blocks above it.
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Working-memory target for one numpy score matrix inside a Python task.
+KERNEL_BYTES = 64 * 1024 * 1024
 
 
 def build_session(master: str | None = None, app: str = "quarry",

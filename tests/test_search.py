@@ -128,3 +128,12 @@ def test_incremental_add_equals_bulk(spark, emb):
     want = bulk.postings.select("id", "list_id", "codes")
     assert back.count() == want.count()
     assert back.exceptAll(want).count() == 0
+
+
+def test_ivf_multi_block_equals_single(spark, emb):
+    df, _, _ = emb
+    index = build_index(df, "cosine", 1024, pq_m=8, train_iters=0)
+    q = _queries(df).where(F.col("id") < 60)
+    one = _lists(ivf_search(index, q, 5, nprobe=4))
+    many = _lists(ivf_search(index, q, 5, nprobe=4, max_broadcast_bytes=64 * 1024 // 8))
+    assert one == many and len(one) == 60
