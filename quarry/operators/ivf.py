@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..session import DEFAULT_BROADCAST_BYTES, materialize, shuffle_partitions
+from ..session import DEFAULT_BROADCAST_BYTES, materialize, scratch_path, shuffle_partitions
 from .knn import check_metric
 
 # The reference's index defaults.
@@ -127,13 +127,32 @@ def _collect_matrix(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.n
     return keys, mat
 
 
+# Small driver-side memo of the bounded parameter collects, keyed by the
+# DataFrame object (kept alive in the entry, so ids are not reused).
+_PARAM_MEMO: dict[tuple, tuple] = {}
+
+
+def _memo(df: DataFrame, tag: str, build):
+    key = (id(df), tag)
+    hit = _PARAM_MEMO.get(key)
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    if len(_PARAM_MEMO) > 64:
+        _PARAM_MEMO.clear()
+    val = build()
+    _PARAM_MEMO[key] = (df, val)
+    return val
+
+
 def centroid_matrix(centroids: DataFrame, metric: str) -> np.ndarray:
     """Bounded collect (``nlist x dim``); list ids must be 0..nlist-1."""
-    keys, mat = _collect_matrix(centroids, "list_id", "centroid")
-    if len(keys) and not np.array_equal(keys, np.arange(len(keys))):
-        raise ValueError("list ids must be dense from 0")
-    _check_bytes(mat.nbytes, "centroids")
-    return _prep(mat, metric)
+    def build():
+        keys, mat = _collect_matrix(centroids, "list_id", "centroid")
+        if len(keys) and not np.array_equal(keys, np.arange(len(keys))):
+            raise ValueError("list ids must be dense from 0")
+        _check_bytes(mat.nbytes, "centroids")
+        return mat
+    return _prep(_memo(centroids, "centroids", build), metric)
 
 
 def _coarse_scores(x: np.ndarray, C: np.ndarray, metric: str,
@@ -215,16 +234,18 @@ def _kmeans_np(x: np.ndarray, k: int, iters: int) -> np.ndarray:
 
 
 def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
-                    train_iters: int = 20, id_col: str = "id") -> DataFrame:
+                    train_iters: int = 20, id_col: str = "id",
+                    dim: int | None = None) -> DataFrame:
     """One k-means of ``2^bits`` codes per sub-space, trained in parallel
     (``groupBy(m).applyInPandas``).  Each group holds the training sample's
     sub-vectors for one m -- bounded by the sample size, a parameter.  The first
     ``2^bits`` rows by id seed each k-means (``train_iters=0`` stops there)."""
     ksub = 1 << pq_bits
-    first = resid.select(F.size("residual")).first()
-    if first is None:
-        raise ValueError("no training data for the product quantiser")
-    dim = first[0]
+    if dim is None:
+        first = resid.select(F.size("residual")).first()
+        if first is None:
+            raise ValueError("no training data for the product quantiser")
+        dim = first[0]
     if dim % pq_m:
         raise ValueError(f"dim {dim} is not divisible by pq_m {pq_m}")
     dsub = dim // pq_m
@@ -248,12 +269,14 @@ def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
 
 def codebook_tensor(codebooks: DataFrame) -> np.ndarray:
     """Bounded collect: ``(m, 2^bits, dsub)``."""
-    rows = codebooks.orderBy("m", "code").collect()
-    m = max(r["m"] for r in rows) + 1
-    k = max(r["code"] for r in rows) + 1
-    t = np.asarray([r["subvector"] for r in rows], dtype=np.float64).reshape(m, k, -1)
-    _check_bytes(t.nbytes, "codebooks")
-    return t
+    def build():
+        rows = codebooks.orderBy("m", "code").collect()
+        m = max(r["m"] for r in rows) + 1
+        k = max(r["code"] for r in rows) + 1
+        t = np.asarray([r["subvector"] for r in rows], dtype=np.float64).reshape(m, k, -1)
+        _check_bytes(t.nbytes, "codebooks")
+        return t
+    return _memo(codebooks, "codebooks", build)
 
 
 def _encode(R: np.ndarray, cb: np.ndarray) -> np.ndarray:
@@ -305,52 +328,59 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
                 n_train: int = DEFAULT_N_TRAIN, train_iters: int = 20, seed: int = 42,
                 path: str | None = None, id_col: str = "id",
                 vec_col: str = "embedding", sampling: str = "first") -> IvfIndex:
-    """X1-X9 + X11: train on the sample, assign (and encode) every vector,
-    write the tables (to ``path`` or the checkpoint folder)."""
+    """X1-X9 + X11: train on the sample, assign (and encode) every vector and
+    write the index tables under ``path`` (default: a folder in the checkpoint
+    directory).  Parameters are written once, straight into the index folder."""
     check_metric(metric)
     spark = vectors.sparkSession
+    path = path or scratch_path(spark, "ivf-index")
     vectors = vectors.select(F.col(id_col).cast("bigint").alias("id"),
                              F.col(vec_col).alias("embedding"))
     stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"),
-                        F.countDistinct("id").alias("u")).first()
+                        F.countDistinct("id").alias("u"),
+                        F.sum(F.when(F.col("id") < n_train, 1).otherwise(0)).alias("first")
+                        ).first()
     total, dim = int(stats["n"]), int(stats["dim"] or 0)
     if total == 0:
         raise ValueError("no vectors to index")
     if stats["u"] != total:
         raise ValueError("vector ids must be unique")
+    if pq_m and dim % pq_m:
+        raise ValueError(f"dim {dim} is not divisible by pq_m {pq_m}")
     nlist = adaptive_nlist(total, nlist)
     sample = materialize(training_sample(vectors, min(total, n_train), sampling, seed),
                          "ivf-sample")
-    n_sample = sample.count()
+    n_sample = int(stats["first"]) if sampling == "first" else sample.count()
     if n_sample == 0:
         raise ValueError("empty training sample")
-    centroids = train_centroids(sample, nlist, metric, train_iters, seed)
-    centroids = materialize(centroids, "ivf-centroids")
-    nlist_actual = centroids.count()
+    train_centroids(sample, nlist, metric, train_iters, seed) \
+        .write.mode("overwrite").parquet(f"{path}/centroids")
+    centroids = spark.read.parquet(f"{path}/centroids")
+    nlist_actual = int(centroid_matrix(centroids, metric).shape[0])
     assigned = assign_lists(vectors, centroids, metric)
     codebooks = None
     if pq_m:
         s_assigned = assign_lists(sample, centroids, metric)
-        codebooks = materialize(
-            train_codebooks(residuals(s_assigned, centroids, metric), pq_m, pq_bits,
-                            train_iters), "ivf-codebooks")
+        train_codebooks(residuals(s_assigned, centroids, metric), pq_m, pq_bits,
+                        train_iters, dim=dim).write.mode("overwrite").parquet(f"{path}/codebooks")
+        codebooks = spark.read.parquet(f"{path}/codebooks")
         postings = pq_encode(assigned, centroids, codebooks, metric)
     else:
         postings = assigned.select("list_id", "id", "embedding")
-    meta = spark.createDataFrame(
+    spark.createDataFrame(
         [(metric, dim, nlist_actual, pq_m or 0, pq_bits if pq_m else 0, total, n_sample,
           n_sample >= MIN_TRAIN_PER_LIST * nlist)],
         "metric string, dim int, nlist int, pq_m int, pq_bits int, ntotal bigint, "
-        "n_train bigint, train_ok boolean")
-    index = IvfIndex(centroids, layout_postings(postings), meta, codebooks)
-    return save_index(index, path)
+        "n_train bigint, train_ok boolean").write.mode("overwrite").parquet(f"{path}/meta")
+    layout_postings(postings).write.mode("overwrite").parquet(f"{path}/postings/batch_id=-1")
+    return IvfIndex(centroids, spark.read.parquet(f"{path}/postings"),
+                    spark.read.parquet(f"{path}/meta"), codebooks)
 
 
 def save_index(index: IvfIndex, path: str | None) -> IvfIndex:
     """X11: write the tables under one folder and return the re-read index."""
     spark = index.postings.sparkSession
     if path is None:
-        from ..session import scratch_path
         path = scratch_path(spark, "ivf-index")
     index.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
     index.meta.write.mode("overwrite").parquet(f"{path}/meta")
@@ -362,10 +392,14 @@ def save_index(index: IvfIndex, path: str | None) -> IvfIndex:
 
 def load_index(spark: SparkSession, path: str) -> IvfIndex:
     """X11: read an index folder (all ``postings/batch_id=*`` parts)."""
+    import os
     centroids = spark.read.parquet(f"{path}/centroids")
     meta = spark.read.parquet(f"{path}/meta")
     postings = spark.read.parquet(f"{path}/postings")
-    codebooks = spark.read.parquet(f"{path}/codebooks") if meta.first()["pq_m"] else None
+    local = path.startswith("/") or path.startswith("file:")
+    has_cb = os.path.isdir(path.replace("file:", "") + "/codebooks") if local \
+        else bool(meta.first()["pq_m"])
+    codebooks = spark.read.parquet(f"{path}/codebooks") if has_cb else None
     return IvfIndex(centroids, postings, meta, codebooks)
 
 

@@ -50,12 +50,15 @@ def top_k_per_query(scored: DataFrame, k: int, metric: str = "cosine",
             .where(F.col(rank_col) <= k))
 
 
-def _query_blocks(queries: DataFrame, qid_col: str, vec_col: str, rows_per_block: int):
-    """Yield (qids, matrix) blocks of at most ``rows_per_block`` queries, streaming
-    the query table partition by partition."""
+def _query_blocks(queries: DataFrame, qid_col: str, vec_col: str, rows_per_block: int,
+                  single: bool = False):
+    """Yield (qids, matrix) blocks of at most ``rows_per_block`` queries; one
+    collect when a single block is known to fit, else streamed partition by
+    partition."""
     q = queries.select(F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("v"))
+    q = q.where(F.col("v").isNotNull())
     qids, rows = [], []
-    for r in q.where(F.col("v").isNotNull()).toLocalIterator():
+    for r in (q.collect() if single else q.toLocalIterator()):
         qids.append(r["qid"])
         rows.append(r["v"])
         if len(qids) >= rows_per_block:
@@ -128,7 +131,7 @@ def knn_search(corpus: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     rows_per_block = max(1, max_broadcast_bytes // per_row)
     n_blocks = -(-n_q // rows_per_block)
     parts = []
-    for qids, Q in _query_blocks(present, qid_col, qvec_col, rows_per_block):
+    for qids, Q in _query_blocks(present, qid_col, qvec_col, rows_per_block, n_blocks == 1):
         bc = sc.broadcast((qids, Q))
         part = _block_topk(corpus, bc, k, metric, id_col, vec_col)
         if n_blocks > 1:

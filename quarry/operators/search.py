@@ -110,10 +110,14 @@ def _score_kernel(bc, metric: str):
     return score
 
 
-def _query_blocks(queries: DataFrame, qid_col: str, vec_col: str, rows_per_block: int):
+def _query_blocks(queries: DataFrame, qid_col: str, vec_col: str, rows_per_block: int,
+                  single: bool = False):
     q = queries.select(F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("v"))
+    q = q.where(F.col("v").isNotNull())
     qids, rows = [], []
-    for r in q.where(F.col("v").isNotNull()).toLocalIterator():
+    # one block (size already checked): a single collect; otherwise stream the
+    # query table partition by partition
+    for r in (q.collect() if single else q.toLocalIterator()):
         qids.append(r["qid"])
         rows.append(r["v"])
         if len(qids) >= rows_per_block:
@@ -153,7 +157,7 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     nparts = index.postings.rdd.getNumPartitions()
     groups = TWO_LEVEL_GROUPS if nparts > TWO_LEVEL_MIN_PARTITIONS else 1
     parts = []
-    for qids, Q in _query_blocks(present, "qid", "embedding", rows_per_block):
+    for qids, Q in _query_blocks(present, "qid", "embedding", rows_per_block, n_blocks == 1):
         block = spark.createDataFrame([(q, [float(v) for v in row]) for q, row in zip(qids, Q)],
                                       "qid string, embedding array<double>") \
             if n_blocks > 1 else present
