@@ -61,8 +61,26 @@ def hash_embed(df: DataFrame, text_col: str = "text", id_col: str = "chunk_id",
 
 
 def normalize(df: DataFrame, col: str = "embedding") -> DataFrame:
-    """P6 as a column rewrite (built-in higher-order functions)."""
-    return df.withColumn(col, V.l2_normalize(col))
+    """Unit-scale a vector column (zero vectors stay zero).  One vectorised
+    numpy pass per Arrow batch; Spark's higher-order functions are interpreted
+    per element, which is slow for wide vectors."""
+    schema = T.StructType([f if f.name != col else
+                           T.StructField(col, T.ArrayType(T.FloatType(), False))
+                           for f in df.schema.fields])
+    names = df.columns
+
+    def unit(batches):
+        for rb in batches:
+            X, valid = V.list_column_matrix(rb.column(col))
+            n = V.row_norms(X)
+            U = np.where(n[:, None] > 0, X / np.where(n > 0, n, 1.0)[:, None], 0.0)
+            keep = pa.array(valid)
+            cols = [rb.column(c).filter(keep) if not valid.all() else rb.column(c)
+                    for c in names]
+            cols[names.index(col)] = V.matrix_to_list_array(U)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return df.where(F.col(col).isNotNull()).mapInArrow(unit, schema)
 
 
 def model_embed(df: DataFrame, model_loader: Callable, dim: int,

@@ -108,7 +108,8 @@ def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
     else:
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
-        usable = sample.where(V.l2_norm(vec_col) > 0) if metric == "cosine" else sample
+        usable = sample.where(F.exists(vec_col, lambda x: x != 0)) if metric == "cosine" \
+            else sample
         data = usable.select(array_to_vector(vec_col).alias("features"))
         km = KMeans(k=nlist, seed=seed, maxIter=train_iters,
                     distanceMeasure="cosine" if metric == "cosine" else "euclidean")

@@ -411,3 +411,24 @@ def q_query_aliases(spark, sf):
     cols = [F.try_variant_get("v", f"$.{c}", "variant").alias(c) for c in (*ID_FIELDS, *TEXT_FIELDS)]
     good, _ = resolve_queries(items.select(*cols))
     return good
+
+
+# ------------------------------------------------------------------ default pipeline through the index
+
+from .pipeline import index_chunks  # noqa: E402
+
+CHUNK_PQ_M = 64     # divides the 1024-wide hashing embedding (16 values per sub-vector)
+
+
+@register("ivfpq_retrieval_e2e")
+def q_ivfpq_retrieval_e2e(spark, sf):
+    """The reference's default path: preprocess -> index (embed, normalise,
+    k-means lists, PQ codes) -> query (nprobe 32, 100 candidates, cut to 10,
+    roll-up) -> eval.  Trained parameters -> rows check only."""
+    chunks = preprocess(read_documents(spark, sf))
+    index = index_chunks(chunks, FLAGSHIP_DIM, "cosine", DEFAULT_NLIST, CHUNK_PQ_M, PQ_BITS,
+                         DEFAULT_N_TRAIN, train_iters=10)
+    run = run_queries(chunks, read_benchmark_queries(spark, sf), FLAGSHIP_DIM, K, CANDS,
+                      index=index, nprobe=NPROBE)
+    _, summary = evaluate(run.responses, _truth(spark, sf), K)
+    return round_doubles(summary)

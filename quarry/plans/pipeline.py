@@ -6,7 +6,7 @@
   responses, all queries in one job;
 * :func:`evaluate` -- responses x truth -> per-query metrics and summary.
 
-The IVF/PQ index lives in :mod:`quarry.operators.ivf`.
+* :func:`index_chunks` -- chunk table -> IVF / IVF-PQ index (the ``index`` command).
 """
 
 from __future__ import annotations
@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_CHUNK_OVERLAP, DEFAULT_CHUNK_WORDS
 from ..operators.chunking import chunk_corpus
-from ..operators.embed import DEFAULT_HASH_DIM, hash_embed
+from ..operators.embed import DEFAULT_HASH_DIM, hash_embed, normalize
 from ..operators.evaluate import metrics_per_query, metrics_summary
+from ..operators.ivf import (DEFAULT_N_TRAIN, DEFAULT_NLIST, DEFAULT_NPROBE, DEFAULT_PQ_BITS,
+                             IvfIndex, build_index)
 from ..operators.knn import knn_search
+from ..operators.search import ivf_search
 from ..operators.results import cut_candidates, query_responses, rollup_documents
 from ..session import materialize
 
@@ -57,20 +60,45 @@ def embed_queries(queries: DataFrame, dim: int = DEFAULT_HASH_DIM) -> DataFrame:
     return hash_embed(queries, "query", "qid", dim)
 
 
+def index_chunks(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM, metric: str = "cosine",
+                 nlist: int = DEFAULT_NLIST, pq_m: int | None = None,
+                 pq_bits: int = DEFAULT_PQ_BITS, n_train: int = DEFAULT_N_TRAIN,
+                 train_iters: int = 20, seed: int = 42, path: str | None = None) -> IvfIndex:
+    """The reference's ``index`` command: embed every chunk, L2-normalise (P6),
+    train on the first ``n_train`` chunk ids and add all chunks."""
+    vectors = build_flat_corpus(chunks, dim)
+    if metric == "cosine":
+        vectors = normalize(vectors)
+    return build_index(vectors, metric, nlist, pq_m, pq_bits, n_train, train_iters, seed, path)
+
+
 def run_queries(chunks: DataFrame, queries: DataFrame, dim: int = DEFAULT_HASH_DIM,
                 k: int = DEFAULT_TOP_K, candidates: int = DEFAULT_CANDIDATES,
-                embedded: DataFrame | None = None, reranker=None) -> RetrievalRun:
-    """Exact retrieval of ``candidates`` chunks per query, then either the
-    ``reranker(queries, candidates_with_text, k)`` or the plain cut to ``k``,
-    then the document roll-up and the response lists."""
-    embedded = embedded if embedded is not None else build_flat_corpus(chunks, dim)
+                embedded: DataFrame | None = None, reranker=None,
+                index: IvfIndex | None = None, nprobe: int = DEFAULT_NPROBE,
+                k_documents: bool = False) -> RetrievalRun:
+    """Retrieval of ``candidates`` chunks per query -- exact, or through an
+    IVF / IVF-PQ ``index`` with ``nprobe`` -- then either the
+    ``reranker(queries, candidates, chunks, k)`` or the plain cut to ``k``,
+    then the document roll-up and the response lists.
+
+    ``k_documents=True`` rolls all candidates up first and keeps ``k``
+    documents (the reference cuts ``k`` chunks first, so it may return fewer)."""
     n_queries = queries.count()
-    cands = knn_search(embedded, embed_queries(queries, dim), candidates, "cosine")
+    q_emb = embed_queries(queries, dim)
+    if index is not None:
+        cands = ivf_search(index, q_emb, candidates, nprobe)
+    else:
+        embedded = embedded if embedded is not None else build_flat_corpus(chunks, dim)
+        cands = knn_search(embedded, q_emb, candidates, "cosine")
     if reranker is not None:
-        hits = reranker(queries, cands, chunks, k)
+        hits = reranker(queries, cands, chunks, candidates if k_documents else k)
     else:
-        hits = cut_candidates(cands, k)
-    docs = rollup_documents(hits, chunks, hit_bound=n_queries * k)
+        hits = cands if k_documents else cut_candidates(cands, k)
+    bound = n_queries * (candidates if k_documents else k)
+    docs = rollup_documents(hits, chunks, hit_bound=bound)
+    if k_documents:
+        docs = docs.where(F.col("rank") <= k)
     responses = query_responses(queries, docs, query_bound=n_queries)
     return RetrievalRun(chunks, embedded, queries, cands, hits, docs, responses)
 

@@ -53,3 +53,11 @@ def test_lexical_score_column(spark):
     df = spark.createDataFrame([("A b c", "c, C; a x")], "query string, text string")
     assert df.select(lexical_overlap().alias("s")).first().s == 2.0
     assert F is not None
+
+
+def test_normalize_wide_vectors(spark):
+    from quarry.operators.embed import normalize
+    rows = [(i, [float(i)] * 1024) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>")
+    got = {r.id: np.array(r.embedding) for r in normalize(df).collect()}
+    assert np.allclose(np.linalg.norm(got[2]), 1.0) and got[0].sum() == 0
