@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ids import dense_offsets
+from .ids import bounded_broadcast, dense_offsets_sized
 
 
 def documents_from_table(docs: DataFrame, id_col: str = "doc_id",
@@ -66,8 +66,11 @@ def chunk_corpus(docs: DataFrame, chunk_words: int = T.DEFAULT_CHUNK_WORDS,
     per document; the document text is joined to its base *before* exploding,
     so the join moves documents, not the (larger, overlapping) chunks."""
     counts = document_chunk_counts(docs, chunk_words, overlap, key)
-    base = dense_offsets(counts, key, "n")
-    with_base = docs.select(key, "source_name", "text").join(base, key, "inner")
+    base, base_bytes = dense_offsets_sized(counts, key, "n")
+    # broadcast (key, base) when its exact size fits, so the document text is
+    # not shuffled; otherwise a shuffle join
+    with_base = docs.select(key, "source_name", "text").join(
+        bounded_broadcast(base, 1, base_bytes), key, "inner")
     chunks = chunk_documents(with_base, chunk_words, overlap, key, carry=("base",))
     return chunks.select(
         (F.col("base") + F.col("chunk_idx")).alias("chunk_id"),

@@ -25,6 +25,14 @@ def dense_offsets(counts: DataFrame, key: str, count_col: str = "n",
     """``(key, count)`` rows with unique keys -> ``(key, base)`` where ``base`` is
     the sum of the counts of all smaller keys (so ids ``base .. base+count-1``
     belong to ``key``)."""
+    return dense_offsets_sized(counts, key, count_col, num_partitions)[0]
+
+
+def dense_offsets_sized(counts: DataFrame, key: str, count_col: str = "n",
+                        num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """:func:`dense_offsets` plus the exact byte size of the ``(key, base)``
+    result (key bytes + 16 per key), taken from the per-partition totals at no
+    extra pass -- a proven bound for broadcasting it."""
     spark = counts.sparkSession
     nparts = num_partitions or max(1, shuffle_partitions(spark))
     frozen = materialize(counts.select(key, F.col(count_col).cast("bigint").alias("_n")),
@@ -32,17 +40,21 @@ def dense_offsets(counts: DataFrame, key: str, count_col: str = "n",
     ranged = materialize(
         frozen.repartitionByRange(nparts, key).withColumn("_pid", F.spark_partition_id()),
         "dense-ranged")
-    totals = (ranged.groupBy("_pid").agg(F.sum("_n").alias("_t"))
+    totals = (ranged.groupBy("_pid")
+              .agg(F.sum("_n").alias("_t"),
+                   F.sum(F.octet_length(F.col(key).cast("string")) + 16).alias("_b"))
               .orderBy("_pid").collect())          # one row per partition
-    rows, acc = [], 0
+    rows, acc, n_bytes = [], 0, 0
     for r in totals:
         rows.append((int(r["_pid"]), acc))
         acc += int(r["_t"] or 0)
+        n_bytes += int(r["_b"] or 0)
     offsets = spark.createDataFrame(rows, "_pid int, _off bigint")
     w = (Window.partitionBy("_pid").orderBy(key)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (ranged.join(F.broadcast(offsets), "_pid")
-            .select(key, (F.col("_off") + F.sum("_n").over(w) - F.col("_n")).alias("base")))
+            .select(key, (F.col("_off") + F.sum("_n").over(w) - F.col("_n")).alias("base")),
+            n_bytes)
 
 
 def dense_row_ids(df: DataFrame, key: str, id_col: str = "row_id") -> DataFrame:
