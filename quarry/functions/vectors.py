@@ -80,16 +80,15 @@ def bucket_counts_matrix(arr: pa.Array, dim: int) -> np.ndarray:
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
     n = len(arr)
-    out = np.zeros((n, dim), dtype=np.float32)
     if n == 0:
-        return out
+        return np.zeros((0, dim), dtype=np.float32)
     arr = arr.fill_null(pa.scalar([], type=arr.type)) if arr.null_count else arr
     offsets = arr.offsets.to_numpy()
     offsets = offsets - offsets[0]
     values = arr.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    rows = np.repeat(np.arange(n), np.diff(offsets))
-    np.add.at(out, (rows, values), 1.0)
-    return out
+    rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
+    flat = np.bincount(rows * dim + values, minlength=n * dim)
+    return flat.reshape(n, dim).astype(np.float32)
 
 
 def row_norms(m: np.ndarray) -> np.ndarray:
@@ -140,3 +139,14 @@ def topk_merge(best_s: np.ndarray, best_i: np.ndarray, s: np.ndarray, ids: np.nd
         ps[r], pi[r] = cs[r, sel], ci[r, sel]
     order = np.lexsort((pi, -ps), axis=1)
     return np.take_along_axis(ps, order, 1), np.take_along_axis(pi, order, 1)
+
+
+def group_sums(x: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per-label row sums and counts (sort + ``reduceat``; no scatter-add)."""
+    sums = np.zeros((k, x.shape[1]), dtype=np.float64)
+    cnt = np.bincount(labels, minlength=k)
+    if len(x):
+        order = np.argsort(labels, kind="stable")
+        uniq, starts = np.unique(labels[order], return_index=True)
+        sums[uniq] = np.add.reduceat(x[order], starts, axis=0)
+    return sums, cnt

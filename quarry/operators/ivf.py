@@ -93,18 +93,70 @@ def _prep(x: np.ndarray, metric: str) -> np.ndarray:
 
 # ------------------------------------------------------------------ coarse quantiser
 
+def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
+           vec_col: str) -> np.ndarray:
+    """Lloyd iterations as Spark jobs.  Each iteration broadcasts the centres
+    (bounded ``nlist x dim``); every task assigns its rows with one matmul and
+    emits per-list partial sums and counts; the driver adds the partials (at
+    most ``partitions x nlist`` rows -- the sample is bounded and coalesced).
+    Spherical (unit centres) for cosine.  Empty lists keep their centre."""
+    sc = sample.sparkSession.sparkContext
+    C = _prep(init.astype(np.float64), metric)
+    data = sample.select(vec_col).coalesce(max(1, sc.defaultParallelism))
+    k, dim = C.shape
+    for _ in range(iters):
+        bc = sc.broadcast(C)
+
+        def partial(batches, bc=bc):
+            Cm = bc.value
+            sums = np.zeros_like(Cm)
+            cnt = np.zeros(len(Cm), dtype=np.int64)
+            for rb in batches:
+                X, _ = V.list_column_matrix(rb.column(vec_col))
+                if len(X) == 0:
+                    continue
+                Xp = _prep(X, metric)
+                a = np.argmax(_coarse_scores(Xp, Cm, metric), axis=1)
+                s_, c_ = V.group_sums(Xp, a, len(Cm))
+                sums += s_
+                cnt += c_
+            nz = np.nonzero(cnt)[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nz.astype(np.int32)), V.matrix_to_list_array(sums[nz], pa.float64()),
+                 pa.array(cnt[nz])], names=["list_id", "s", "n"])
+
+        tbl = data.mapInArrow(partial, "list_id int, s array<double>, n bigint").toArrow()
+        bc.unpersist()
+        sums = np.zeros((k, dim))
+        cnt = np.zeros(k)
+        if tbl.num_rows:
+            lid = tbl.column("list_id").to_numpy()
+            S, _ = V.list_column_matrix(tbl.column("s"))
+            part_s, _ = V.group_sums(S, lid, k)
+            sums += part_s
+            cnt += np.bincount(lid, weights=tbl.column("n").to_numpy(), minlength=k)
+        nz = cnt > 0
+        C = C.copy()
+        C[nz] = sums[nz] / cnt[nz, None]
+        C = _prep(C, metric)
+    return C
+
+
 def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
                     train_iters: int = 20, seed: int = 42, id_col: str = "id",
-                    vec_col: str = "embedding") -> DataFrame:
-    """``(list_id, centroid)``.  ``train_iters=0``: the first ``nlist``
-    sample rows by id (a bounded top-k, not a sort).  Otherwise Spark ML
-    k-means (cosine distance for the cosine metric, which rejects zero
-    vectors); Spark can return fewer than ``nlist`` centres on small data, so
-    list ids are numbered densely from what comes back."""
+                    vec_col: str = "embedding", engine: str = "lloyd") -> DataFrame:
+    """``(list_id, centroid)``.  Start: the first ``nlist`` sample rows by
+    id (a bounded top-k, not a sort); ``train_iters=0`` stops there.  Default
+    engine: distributed Lloyd iterations (:func:`_lloyd`).  ``engine="ml"``:
+    Spark ML k-means (cosine distance for the cosine metric, which rejects zero
+    vectors; it can return fewer than ``nlist`` centres on small data, so list
+    ids are numbered densely from what comes back)."""
     spark = sample.sparkSession
-    if train_iters == 0:
-        rows = sample.select(id_col, vec_col).orderBy(id_col).limit(nlist).collect()
-        centers = np.asarray([r[1] for r in rows], dtype=np.float64)
+    if train_iters == 0 or engine == "lloyd":
+        first = sample.select(id_col, vec_col).orderBy(id_col).limit(nlist).toArrow()
+        centers, _ = V.list_column_matrix(first.column(vec_col))
+        if train_iters > 0:
+            centers = _lloyd(sample, centers, metric, train_iters, vec_col)
     else:
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
@@ -122,9 +174,10 @@ def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
 
 
 def _collect_matrix(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = df.select(key, vec).orderBy(key).collect()
-    keys = np.asarray([r[0] for r in rows], dtype=np.int64)
-    mat = np.asarray([r[1] for r in rows], dtype=np.float64)
+    """Bounded collect through Arrow (no per-value Python objects)."""
+    tbl = df.select(key, vec).orderBy(key).toArrow()
+    keys = tbl.column(key).to_numpy().astype(np.int64)
+    mat, _ = V.list_column_matrix(tbl.column(vec))
     return keys, mat
 
 
@@ -226,9 +279,7 @@ def _kmeans_np(x: np.ndarray, k: int, iters: int) -> np.ndarray:
     for _ in range(iters):
         d = V.sq_l2_distances(x, np.einsum("ij,ij->i", x, x), c)
         a = np.argmin(np.round(d, TIE_DIGITS), axis=1)
-        sums = np.zeros_like(c)
-        np.add.at(sums, a, x)
-        cnt = np.bincount(a, minlength=k)
+        sums, cnt = V.group_sums(x, a, k)
         nz = cnt > 0
         c[nz] = sums[nz] / cnt[nz, None]
     return c
