@@ -69,6 +69,9 @@ def index_chunks(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM, metric: str = "
     vectors = build_flat_corpus(chunks, dim)
     if metric == "cosine":
         vectors = normalize(vectors)
+    # embed once: the build reads the vectors for statistics, the training
+    # sample and the assignment pass
+    vectors = materialize(vectors, "embedded")
     return build_index(vectors, metric, nlist, pq_m, pq_bits, n_train, train_iters, seed, path)
 
 
