@@ -61,3 +61,23 @@ def test_normalize_wide_vectors(spark):
     df = spark.createDataFrame(rows, "id long, embedding array<float>")
     got = {r.id: np.array(r.embedding) for r in normalize(df).collect()}
     assert np.allclose(np.linalg.norm(got[2]), 1.0) and got[0].sum() == 0
+
+
+def test_index_backed_run_and_k_documents(spark):
+    """run_queries through an IVF-PQ index; k_documents rolls up before the cut."""
+    from conftest import SF001
+    from quarry.plans.pipeline import index_chunks, preprocess, run_queries
+    from quarry.sources.tables import read_benchmark_queries, read_documents
+    chunks = preprocess(read_documents(spark, SF001))
+    queries = read_benchmark_queries(spark, SF001)
+    index = index_chunks(chunks, 256, "cosine", 1024, pq_m=None, train_iters=2)
+    run = run_queries(chunks, queries, 256, 5, 50, index=index, nprobe=8)
+    resp = {r.qid: r.response for r in run.responses.collect()}
+    assert len(resp) == queries.count() and all(len(v) <= 5 for v in resp.values())
+    full = run_queries(chunks, queries, 256, 5, 50, k_documents=True)
+    resp2 = {r.qid: r.response for r in full.responses.collect()}
+    cut = run_queries(chunks, queries, 256, 5, 50)
+    resp3 = {r.qid: r.response for r in cut.responses.collect()}
+    for q, docs in resp3.items():
+        assert len(resp2[q]) >= len(docs)
+        assert resp2[q][:len(docs)] == docs      # same order, more documents
