@@ -102,7 +102,9 @@ def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
     Spherical (unit centres) for cosine.  Empty lists keep their centre."""
     sc = sample.sparkSession.sparkContext
     C = _prep(init.astype(np.float64), metric)
-    data = sample.select(vec_col).coalesce(max(1, sc.defaultParallelism))
+    # the sample is bounded (n_train x dim) and already written, so caching it
+    # for the iterations is safe: a lost block is re-read from the written table
+    data = sample.select(vec_col).coalesce(max(1, sc.defaultParallelism)).persist()
     k, dim = C.shape
     for _ in range(iters):
         bc = sc.broadcast(C)
@@ -139,6 +141,7 @@ def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
         C = C.copy()
         C[nz] = sums[nz] / cnt[nz, None]
         C = _prep(C, metric)
+    data.unpersist()
     return C
 
 
