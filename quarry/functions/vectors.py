@@ -29,25 +29,6 @@ def hash_buckets(text, dim: int) -> Column:
     return F.transform(tokens(text), lambda t: hash_bucket(t, dim))
 
 
-def l2_norm(vec) -> Column:
-    return F.sqrt(F.aggregate(_col(vec), F.lit(0.0).cast("double"),
-                              lambda a, x: a + x.cast("double") * x.cast("double")))
-
-
-def l2_normalize(vec) -> Column:
-    """Unit scaling; a zero vector stays zero."""
-    n = l2_norm(vec)
-    return F.transform(_col(vec), lambda x: F.when(n > 0, (x / n)).otherwise(F.lit(0.0))
-                       .cast("float"))
-
-
-def dot(a, b) -> Column:
-    """Inner product of two equal-length arrays, in double."""
-    return F.aggregate(F.zip_with(_col(a), _col(b),
-                                  lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-
-
 # ---------------------------------------------------------------- arrow / numpy
 
 def list_column_matrix(arr: pa.Array, dtype=np.float64) -> tuple[np.ndarray, np.ndarray]:
