@@ -21,3 +21,15 @@ def read_results(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
     if fmt == "json":
         reader = reader.schema(RESULT_SCHEMA)
     return reader.load(path)
+
+
+def export_chunks_jsonl(chunks: DataFrame, path: str) -> None:
+    """S8 export in the reference's line format: ``{"id": <int>, "text": ...}``
+    (one JSON object per line; Spark writes one file per partition)."""
+    chunks.select(chunks["chunk_id"].alias("id"), "text").write.mode("overwrite").json(path)
+
+
+def export_id_mapping(chunks: DataFrame, path: str) -> None:
+    """Id -> ``<file>::chunk<n>`` mapping as JSON lines ``{"id", "ref"}``."""
+    chunks.select(chunks["chunk_id"].alias("id"), chunks["chunk_ref"].alias("ref")) \
+        .write.mode("overwrite").json(path)

@@ -123,3 +123,32 @@ def test_results_round_trip(spark):
     write_results(resp.limit(1), path)       # overwrite: no stale results survive
     back = read_results(spark, path).collect()
     assert len(back) == 1 and back[0].qid in ("q1", "q2")
+
+
+def test_chunk_exports_and_refs(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.text import source_from_ref
+    from quarry.sources.sinks import export_chunks_jsonl, export_id_mapping
+    chunks = spark.createDataFrame([(0, "a.txt", "a.txt::chunk0", "x y"),
+                                    (1, "b::c.md", "b::c.md::chunk0", "z")],
+                                   "chunk_id long, source_name string, chunk_ref string, text string")
+    out = tempfile.mkdtemp(prefix="quarry-exp-", dir="/tmp")
+    export_chunks_jsonl(chunks, out + "/chunks")
+    export_id_mapping(chunks, out + "/ids")
+    lines = sorted(spark.read.text(out + "/chunks").collect(), key=lambda r: r.value)
+    assert json.loads(lines[0].value) == {"id": 0, "text": "x y"}
+    refs = {r.id: r.ref for r in spark.read.json(out + "/ids").collect()}
+    assert refs == {0: "a.txt::chunk0", 1: "b::c.md::chunk0"}
+    # P5: the name is cut at the first '::', as in the reference
+    got = [r.s for r in chunks.orderBy("chunk_id").select(
+        source_from_ref(F.col("chunk_ref")).alias("s")).collect()]
+    assert got == ["a.txt", "b"]
+
+
+def test_search_without_index_raises():
+    import pytest
+
+    from quarry.operators.search import ivf_search
+    with pytest.raises(ValueError):
+        ivf_search(None, None, 10)
