@@ -75,13 +75,23 @@ def bounded_broadcast(df: DataFrame, row_bound: int, row_bytes: int,
     return F.broadcast(df) if row_bound * row_bytes <= limit else df
 
 
+def _cut_by_ids(hits: DataFrame, chunks: DataFrame, cols: list[str], hit_bound: int | None,
+                id_col: str) -> DataFrame:
+    """The rows of the big chunk table whose id is among the hits: an inner join
+    against the distinct hit ids, broadcast when their count is bounded (an id
+    is 8 bytes, so the size is proven; the rest of a hit row is not shipped)."""
+    ids = hits.select(id_col).distinct()
+    ids = ids if hit_bound is None else bounded_broadcast(ids, hit_bound, 16)
+    return chunks.select(F.col("chunk_id").alias(id_col), *cols).join(ids, id_col, "inner")
+
+
 def lookup_source(hits: DataFrame, chunks: DataFrame, hit_bound: int | None = None,
                   id_col: str = "id") -> DataFrame:
     """Attach ``source_name`` to each hit; hits with an unknown id are dropped
-    (inner join).  Hits are the small side when their bound is known."""
-    small = hits if hit_bound is None else bounded_broadcast(hits, hit_bound, 64)
-    src = chunks.select(F.col("chunk_id").alias(id_col), "source_name")
-    return small.join(src, id_col, "inner")
+    (inner join).  The chunk table is first cut to the hit ids; joining that
+    small result back to the hits is left to the planner (AQE measures it)."""
+    found = _cut_by_ids(hits, chunks, ["source_name"], hit_bound, id_col)
+    return hits.join(found, id_col, "inner")
 
 
 def lookup_text(hits: DataFrame, chunks: DataFrame, hit_bound: int | None = None,
@@ -90,12 +100,9 @@ def lookup_text(hits: DataFrame, chunks: DataFrame, hit_bound: int | None = None
 
     The preserved side of an outer join cannot be broadcast, so the big chunk
     table is first cut down by an inner join against the (broadcast) distinct hit
-    ids; the left join then runs between two small tables."""
-    ids = hits.select(id_col).distinct()
-    ids = ids if hit_bound is None else bounded_broadcast(ids, hit_bound, 16)
-    found = (chunks.select(F.col("chunk_id").alias(id_col), F.col("text").alias("_text"))
-             .join(ids, id_col, "inner"))
-    found = found if hit_bound is None else bounded_broadcast(found, hit_bound, 4096)
+    ids; the left join then runs between two small tables, planned by AQE from
+    their measured sizes (chunk texts have no proven width)."""
+    found = _cut_by_ids(hits, chunks, [F.col("text").alias("_text")], hit_bound, id_col)
     return (hits.join(found, id_col, "left")
             .withColumn("text", F.coalesce(F.col("_text"), F.lit("")))
             .drop("_text"))

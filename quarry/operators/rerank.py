@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokens
-from .ids import bounded_broadcast, lookup_text
+from .ids import lookup_text
 
 # The reference's rerank batch size and final k.
 DEFAULT_RERANK_BATCH = 16
@@ -40,9 +40,8 @@ def candidate_pairs(queries: DataFrame, candidates: DataFrame, chunks: DataFrame
     size bound and the lookups broadcast it."""
     bound = n_queries * per_query if n_queries is not None and per_query else None
     with_text = lookup_text(candidates.select("qid", "id", "rank"), chunks, hit_bound=bound)
-    q = queries.select("qid", "query")
-    q = q if n_queries is None else bounded_broadcast(q, n_queries, 1024)
-    return with_text.join(q, "qid")
+    # query texts have no proven width: the planner sizes this join at runtime
+    return with_text.join(queries.select("qid", "query"), "qid")
 
 
 def score_pairs(pairs: DataFrame, scorer_loader: Callable | None = None,

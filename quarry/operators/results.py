@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ids import bounded_broadcast, lookup_source
+from .ids import lookup_source
 
 
 def cut_candidates(candidates: DataFrame, k: int, rank_col: str = "rank") -> DataFrame:
@@ -28,8 +28,7 @@ def rollup_documents(hits: DataFrame, chunks: DataFrame, hit_bound: int | None =
     return best.select("qid", F.row_number().over(w).alias("rank"), "source_name")
 
 
-def query_responses(queries: DataFrame, docs: DataFrame,
-                    query_bound: int | None = None) -> DataFrame:
+def query_responses(queries: DataFrame, docs: DataFrame) -> DataFrame:
     """``(qid, query, response array<string>)`` in rank order (at most k
     names per query, so the collected list is bounded); a query with no hits
     gets an empty list.  A query id seen twice yields one response; as a table
@@ -38,8 +37,8 @@ def query_responses(queries: DataFrame, docs: DataFrame,
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "source_name"))),
                     lambda x: x["source_name"]).alias("_resp"))
     q = queries.groupBy("qid").agg(F.max("query").alias("query"))
-    if query_bound is not None:
-        lists = bounded_broadcast(lists, query_bound, 1024)
+    # one short list per query; names have no proven width, so the join
+    # strategy is left to AQE's measured sizes
     return (q.join(lists, "qid", "left")
             .select("qid", "query",
                     F.coalesce("_resp", F.array().cast("array<string>")).alias("response")))

@@ -102,7 +102,7 @@ def run_queries(chunks: DataFrame, queries: DataFrame, dim: int = DEFAULT_HASH_D
     docs = rollup_documents(hits, chunks, hit_bound=bound)
     if k_documents:
         docs = docs.where(F.col("rank") <= k)
-    responses = query_responses(queries, docs, query_bound=n_queries)
+    responses = query_responses(queries, docs)
     return RetrievalRun(chunks, embedded, queries, cands, hits, docs, responses)
 
 
