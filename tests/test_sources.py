@@ -152,3 +152,17 @@ def test_search_without_index_raises():
     from quarry.operators.search import ivf_search
     with pytest.raises(ValueError):
         ivf_search(None, None, 10)
+
+
+def test_folder_corpus_ids_follow_name_order(spark):
+    from quarry.plans.pipeline import preprocess
+    from quarry.sources.files import split_rejects
+    words = " ".join(f"w{i}" for i in range(30))
+    d = _folder({"b.txt": words, "a.md": "alpha beta", "c.json": '{"body": "gamma"}',
+                 "é.txt": "delta", "bad.json": "{"})
+    docs, _ = split_rejects(read_folder(spark, d))
+    chunks = preprocess(docs, chunk_words=20, overlap=5).orderBy("chunk_id").collect()
+    assert [c.chunk_ref for c in chunks] == [
+        "a.md::chunk0", "b.txt::chunk0", "b.txt::chunk1", "c.json::chunk0", "é.txt::chunk0"]
+    assert [c.chunk_id for c in chunks] == list(range(5))
+    assert chunks[2].text == " ".join(f"w{i}" for i in range(15, 30))
