@@ -137,3 +137,12 @@ def test_ivf_multi_block_equals_single(spark, emb):
     one = _lists(ivf_search(index, q, 5, nprobe=4))
     many = _lists(ivf_search(index, q, 5, nprobe=4, max_broadcast_bytes=64 * 1024 // 8))
     assert one == many and len(one) == 60
+
+
+def test_index_invariant_under_repartitioning(spark, emb):
+    df, _, _ = emb
+    a = build_index(df.repartition(3), "cosine", 1024, pq_m=8, train_iters=2)
+    b = build_index(df.repartition(7, "id"), "cosine", 1024, pq_m=8, train_iters=2)
+    pa_ = a.postings.select("id", "list_id", "codes")
+    pb_ = b.postings.select("id", "list_id", "codes")
+    assert pa_.count() == pb_.count() and pa_.exceptAll(pb_).count() == 0
