@@ -146,3 +146,15 @@ def test_index_invariant_under_repartitioning(spark, emb):
     pa_ = a.postings.select("id", "list_id", "codes")
     pb_ = b.postings.select("id", "list_id", "codes")
     assert pa_.count() == pb_.count() and pa_.exceptAll(pb_).count() == 0
+
+
+def test_spark_ml_engine_and_random_sample(spark, emb):
+    from quarry.operators.ivf import train_centroids, training_sample
+    df, ids, _ = emb
+    sample = training_sample(df, 300, mode="random", seed=7)
+    n = sample.count()
+    assert 150 < n < 450 and n < len(ids)
+    cents = train_centroids(sample, 16, "cosine", train_iters=5, engine="ml").collect()
+    assert 1 <= len(cents) <= 16
+    assert sorted(c.list_id for c in cents) == list(range(len(cents)))
+    assert all(abs(np.linalg.norm(c.centroid) - 1) < 1e-5 for c in cents)
