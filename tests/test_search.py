@@ -158,3 +158,10 @@ def test_spark_ml_engine_and_random_sample(spark, emb):
     assert 1 <= len(cents) <= 16
     assert sorted(c.list_id for c in cents) == list(range(len(cents)))
     assert all(abs(np.linalg.norm(c.centroid) - 1) < 1e-5 for c in cents)
+
+
+def test_ivf_flat_l2_full_probe_is_exact(spark, emb):
+    df, ids, X = emb
+    index = build_index(df, "l2", 1024, None, train_iters=3)
+    got = _lists(ivf_search(index, _queries(df), 10, nprobe=10_000))
+    assert got == _brute(ids, X, 10, "l2")
