@@ -36,3 +36,19 @@ def test_chunk_ids_dense_and_ordered(spark):
     assert [c.chunk_id for c in order] == ids
     n = chunk_manifest(spark.createDataFrame(chunks)).first().n_chunks
     assert n == len(chunks)
+
+
+def test_truth_pattern_blocks_equal_single(spark):
+    """Passages above the broadcast cap are scanned in several blocks; the
+    result equals one block and a plain-Python containment check."""
+    from quarry.operators.truth import derive_truth
+    from quarry.sources.tables import read_benchmark_queries
+    docs = read_documents(spark, SF001)
+    queries = read_benchmark_queries(spark, SF001)
+    one = sorted(tuple(r) for r in derive_truth(docs, queries).collect())
+    many = sorted(tuple(r) for r in derive_truth(docs, queries, max_broadcast_bytes=2048).collect())
+    assert one == many
+    d = {r.source_name: " ".join(r.text.split()) for r in docs.collect()}
+    q = {r.qid: " ".join(r.query.split()) for r in queries.collect()}
+    want = sorted((qi, name) for qi, p in q.items() for name, t in d.items() if p in t)
+    assert one == want
