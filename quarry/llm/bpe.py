@@ -21,6 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

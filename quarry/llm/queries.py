@@ -8,11 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op10_chunk_bpe
+from .maxscore import ORACLE_OP2, op2_maxscore
 from .packing import op5_best_fit_packing
+from .sharding import op4_external_shuffle
+from .simhash import op7_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_maxscore": op2_maxscore,
+    "op4_external_shuffle": op4_external_shuffle,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_simhash_pivots": op7_simhash_pivots,
     "op10_chunk_bpe": op10_chunk_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_maxscore": ORACLE_OP2,
+}
