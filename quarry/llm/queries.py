@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op10_chunk_bpe
+from .divergence import op9_divergence
 from .maxscore import ORACLE_OP2, op2_maxscore
 from .packing import op5_best_fit_packing
 from .sharding import op4_external_shuffle
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_external_shuffle": op4_external_shuffle,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_simhash_pivots": op7_simhash_pivots,
+    "op9_divergence": op9_divergence,
     "op10_chunk_bpe": op10_chunk_bpe,
 }
 
