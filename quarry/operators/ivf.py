@@ -4,8 +4,8 @@ plain Parquet tables:
 * ``centroids(list_id int, centroid array<float>)``
 * ``codebooks(m int, code int, subvector array<double>)`` (PQ only)
 * ``postings(list_id int, id bigint, codes binary | embedding array<float>)``,
-  range-partitioned and sorted on ``(list_id, id)`` so row-group statistics
-  prune unprobed lists and a hot list spreads over several files
+  range-partitioned and sorted on ``(list_id, id)``, in folders by batch and
+  bucket of lists: unprobed buckets are pruned, a hot list spreads over files
 * ``meta(metric, dim, nlist, pq_m, pq_bits, ntotal, n_train, train_ok)``
 
 Training is the only driver barrier: centroids (``nlist x dim``) and codebooks
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,12 @@ DEFAULT_NPROBE = 32
 DEFAULT_PQ_BITS = 8
 DEFAULT_N_TRAIN = 40000
 MIN_TRAIN_PER_LIST = 39
+LISTS_PER_BUCKET = 16       # lists that share a folder of postings
 TIE_DIGITS = 9
+# Centroids and codebooks are set by parameters (nlist x dim, 2^bits x dim), not by
+# the data; this bound only catches parameters that no executor could hold.
+PARAMETER_BYTES = 1 << 30
+ASSIGN_BYTES = 64 << 20     # of the (rows x nlist) score matrix at a time
 
 
 @dataclass
@@ -64,12 +70,14 @@ def adaptive_nlist_col(total, nlist: int = DEFAULT_NLIST):
         .otherwise(F.lit(nlist))
 
 
-def training_sample(vectors: DataFrame, n_train: int, mode: str = "first",
+def training_sample(vectors: DataFrame, n_train: int | None = None, mode: str = "first",
                     seed: int = 42, id_col: str = "id") -> DataFrame:
-    """The first ``n_train`` vectors in id order (ids are dense, so this is a
-    filter, not a sort), or a seeded random sample of about that size."""
+    """All vectors, or if ``n_train`` is given the first ``n_train`` by rank of
+    id (whatever the ids' values), or a seeded random sample of about that size."""
+    if n_train is None:
+        return vectors
     if mode == "first":
-        return vectors.where(F.col(id_col) < n_train)
+        return vectors.orderBy(id_col).limit(n_train)
     if mode == "random":
         total = vectors.count()
         frac = min(1.0, n_train / max(total, 1))
@@ -77,7 +85,7 @@ def training_sample(vectors: DataFrame, n_train: int, mode: str = "first",
     raise ValueError("mode must be 'first' or 'random'")
 
 
-def _check_bytes(nbytes: int, what: str, limit: int = DEFAULT_BROADCAST_BYTES):
+def _check_bytes(nbytes: int, what: str, limit: int = PARAMETER_BYTES):
     if nbytes > limit:
         raise ValueError(f"{what} needs {nbytes} bytes, above the broadcast limit {limit}")
 
@@ -97,14 +105,14 @@ def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
            vec_col: str) -> np.ndarray:
     """Lloyd iterations as Spark jobs.  Each iteration broadcasts the centres
     (bounded ``nlist x dim``); every task assigns its rows with one matmul and
-    emits per-list partial sums and counts; the driver adds the partials (at
-    most ``partitions x nlist`` rows -- the sample is bounded and coalesced).
+    emits per-list partial sums and counts, which are added per list by a shuffle;
+    the driver gets one row per list.
     Spherical (unit centres) for cosine.  Empty lists keep their centre."""
     sc = sample.sparkSession.sparkContext
     C = _prep(init.astype(np.float64), metric)
-    # the sample is bounded (n_train x dim) and already written, so caching it
-    # for the iterations is safe: a lost block is re-read from the written table
-    data = sample.select(vec_col).coalesce(max(1, sc.defaultParallelism)).persist()
+    # the training vectors are already written; what the cache cannot hold, or
+    # loses, is read from there again
+    data = sample.select(vec_col).persist()
     k, dim = C.shape
     for _ in range(iters):
         bc = sc.broadcast(C)
@@ -118,7 +126,9 @@ def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
                 if len(X) == 0:
                     continue
                 Xp = _prep(X, metric)
-                a = np.argmax(_coarse_scores(Xp, Cm, metric), axis=1)
+                step = max(1, ASSIGN_BYTES // (8 * len(Cm)))
+                a = np.concatenate([np.argmax(_coarse_scores(Xp[at:at + step], Cm, metric), axis=1)
+                                    for at in range(0, len(Xp), step)])
                 s_, c_ = V.group_sums(Xp, a, len(Cm))
                 sums += s_
                 cnt += c_
@@ -127,16 +137,24 @@ def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
                 [pa.array(nz.astype(np.int32)), V.matrix_to_list_array(sums[nz], pa.float64()),
                  pa.array(cnt[nz])], names=["list_id", "s", "n"])
 
-        tbl = data.mapInArrow(partial, "list_id int, s array<double>, n bigint").toArrow()
+        def combine(key, group):
+            S, _ = V.list_column_matrix(group.column("s"))
+            return pa.table({"list_id": pa.array([key[0].as_py()], pa.int32()),
+                             "s": V.matrix_to_list_array(S.sum(axis=0, keepdims=True), pa.float64()),
+                             "n": pa.array([pa.compute.sum(group.column("n")).as_py()], pa.int64())})
+
+        # the tasks' partial sums are added per list in Spark; the driver gets one
+        # row per list
+        schema = "list_id int, s array<double>, n bigint"
+        tbl = data.mapInArrow(partial, schema).groupBy("list_id").applyInArrow(combine, schema).toArrow()
         bc.unpersist()
         sums = np.zeros((k, dim))
         cnt = np.zeros(k)
         if tbl.num_rows:
             lid = tbl.column("list_id").to_numpy()
             S, _ = V.list_column_matrix(tbl.column("s"))
-            part_s, _ = V.group_sums(S, lid, k)
-            sums += part_s
-            cnt += np.bincount(lid, weights=tbl.column("n").to_numpy(), minlength=k)
+            sums[lid] = S
+            cnt[lid] = tbl.column("n").to_numpy()
         nz = cnt > 0
         C = C.copy()
         C[nz] = sums[nz] / cnt[nz, None]
@@ -238,8 +256,10 @@ def assign_lists(vectors: DataFrame, centroids: DataFrame, metric: str = "cosine
         for rb in batches:
             X, valid = V.list_column_matrix(rb.column(vec_col))
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid]
-            lists = np.argmax(_coarse_scores(X, C, metric), axis=1).astype(np.int32) \
-                if len(X) else np.zeros(0, np.int32)
+            step = max(1, ASSIGN_BYTES // (8 * len(C)))
+            lists = np.concatenate([np.zeros(0, np.int32), *[
+                np.argmax(_coarse_scores(X[at:at + step], C, metric), axis=1).astype(np.int32)
+                for at in range(0, len(X), step)]])
             cols = [pa.array(ids.astype(np.int64)), pa.array(lists)]
             names = [id_col, "list_id"]
             if keep_vector:
@@ -380,21 +400,27 @@ def layout_postings(postings: DataFrame, num_partitions: int | None = None) -> D
 
 def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT_NLIST,
                 pq_m: int | None = None, pq_bits: int = DEFAULT_PQ_BITS,
-                n_train: int = DEFAULT_N_TRAIN, train_iters: int = 20, seed: int = 42,
+                n_train: int | None = None, train_iters: int = 20, seed: int = 42,
                 path: str | None = None, id_col: str = "id",
-                vec_col: str = "embedding", sampling: str = "first") -> IvfIndex:
+                vec_col: str = "embedding", sampling: str = "first",
+                adaptive: bool = False, engine: str = "lloyd") -> IvfIndex:
     """X1-X9 + X11: train on the sample, assign (and encode) every vector and
     write the index tables under ``path`` (default: a folder in the checkpoint
-    directory).  Parameters are written once, straight into the index folder."""
+    directory).  Parameters are written once, straight into the index folder.
+
+    All vectors train unless ``n_train`` bounds them; ``adaptive=True`` lowers
+    ``nlist`` for small inputs (X2), otherwise a larger ``nlist`` than there are
+    vectors is an error.  Null vectors are left out.  A rebuild in the same folder
+    replaces all postings, added ones included."""
     check_metric(metric)
+    if pq_m and not 1 <= pq_bits <= 8:
+        raise ValueError(f"pq_bits must be 1 to 8 (a code is one byte), got {pq_bits}")
     spark = vectors.sparkSession
     path = path or scratch_path(spark, "ivf-index")
     vectors = vectors.select(F.col(id_col).cast("bigint").alias("id"),
-                             F.col(vec_col).alias("embedding"))
+                             F.col(vec_col).alias("embedding")).where("embedding IS NOT NULL")
     stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"),
-                        F.countDistinct("id").alias("u"),
-                        F.sum(F.when(F.col("id") < n_train, 1).otherwise(0)).alias("first")
-                        ).first()
+                        F.countDistinct("id").alias("u")).first()
     total, dim = int(stats["n"]), int(stats["dim"] or 0)
     if total == 0:
         raise ValueError("no vectors to index")
@@ -402,13 +428,13 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
         raise ValueError("vector ids must be unique")
     if pq_m and dim % pq_m:
         raise ValueError(f"dim {dim} is not divisible by pq_m {pq_m}")
-    nlist = adaptive_nlist(total, nlist)
-    sample = materialize(training_sample(vectors, min(total, n_train), sampling, seed),
-                         "ivf-sample")
-    n_sample = int(stats["first"]) if sampling == "first" else sample.count()
-    if n_sample == 0:
-        raise ValueError("empty training sample")
-    train_centroids(sample, nlist, metric, train_iters, seed) \
+    if adaptive:
+        nlist = adaptive_nlist(total, nlist)
+    sample = materialize(training_sample(vectors, n_train, sampling, seed), "ivf-sample")
+    n_sample = sample.count()
+    if n_sample < nlist:
+        raise ValueError(f"{n_sample} training vectors for {nlist} lists; lower nlist or set adaptive")
+    train_centroids(sample, nlist, metric, train_iters, seed, engine=engine) \
         .write.mode("overwrite").parquet(f"{path}/centroids")
     centroids = spark.read.parquet(f"{path}/centroids")
     nlist_actual = int(centroid_matrix(centroids, metric).shape[0])
@@ -427,11 +453,28 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
           n_sample >= MIN_TRAIN_PER_LIST * nlist)],
         "metric string, dim int, nlist int, pq_m int, pq_bits int, ntotal bigint, "
         "n_train bigint, train_ok boolean").write.mode("overwrite").parquet(f"{path}/meta")
-    layout_postings(postings).write.mode("overwrite").parquet(f"{path}/postings/batch_id=-1")
-    return IvfIndex(centroids, spark.read.parquet(f"{path}/postings"),
+    write_bulk(layout_postings(postings), path)
+    return IvfIndex(centroids, read_postings(spark, path, bool(pq_m)),
                     spark.read.parquet(f"{path}/meta"), codebooks)
 
 
+def write_bulk(postings: DataFrame, path: str) -> None:
+    """Replace all postings under ``path``, added batches too, by one bulk batch."""
+    with_bucket(postings).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("batch_id", "list_bucket").parquet(f"{path}/postings")
+
+
+def read_postings(spark: SparkSession, path: str, is_pq: bool) -> DataFrame:
+    """All batches; the schema is given, so an index without postings can be read."""
+    payload = "codes binary" if is_pq else "embedding array<float>"
+    return spark.read.schema(f"list_id int, id bigint, {payload}, batch_id string, list_bucket int").parquet(
+        f"{path}/postings")
+
+
+def with_bucket(postings: DataFrame) -> DataFrame:
+    return postings.withColumn("list_bucket", F.floor(F.col("list_id") / LISTS_PER_BUCKET).cast("int"))
+
+
 def save_index(index: IvfIndex, path: str | None) -> IvfIndex:
     """X11: write the tables under one folder and return the re-read index."""
     spark = index.postings.sparkSession
@@ -441,20 +484,20 @@ def save_index(index: IvfIndex, path: str | None) -> IvfIndex:
     index.meta.write.mode("overwrite").parquet(f"{path}/meta")
     if index.codebooks is not None:
         index.codebooks.write.mode("overwrite").parquet(f"{path}/codebooks")
-    index.postings.write.mode("overwrite").parquet(f"{path}/postings/batch_id=-1")
+    write_bulk(index.postings.drop("batch_id", "list_bucket"), path)
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> IvfIndex:
-    """X11: read an index folder (all ``postings/batch_id=*`` parts)."""
-    import os
+    """X11: read an index folder (all ``postings/batch_id=*`` parts); what it holds
+    is told by its own metadata, never by the driver's disk."""
     centroids = spark.read.parquet(f"{path}/centroids")
-    meta = spark.read.parquet(f"{path}/meta")
-    postings = spark.read.parquet(f"{path}/postings")
-    local = path.startswith("/") or path.startswith("file:")
-    has_cb = os.path.isdir(path.replace("file:", "") + "/codebooks") if local \
-        else bool(meta.first()["pq_m"])
-    codebooks = spark.read.parquet(f"{path}/codebooks") if has_cb else None
+    is_pq = bool(spark.read.parquet(f"{path}/meta").first()["pq_m"])
+    postings = read_postings(spark, path, is_pq)
+    # the number of postings is counted on load (Parquet footers), so it holds
+    # after any number of additions
+    meta = spark.read.parquet(f"{path}/meta").withColumn("ntotal", F.lit(postings.count()).cast("bigint"))
+    codebooks = spark.read.parquet(f"{path}/codebooks") if is_pq else None
     return IvfIndex(centroids, postings, meta, codebooks)
 
 

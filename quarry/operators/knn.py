@@ -124,12 +124,17 @@ def knn_search(corpus: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     nparts = corpus.rdd.getNumPartitions()
     groups = TWO_LEVEL_GROUPS if nparts > TWO_LEVEL_MIN_PARTITIONS else 1
     present = queries.where(F.col(qvec_col).isNotNull())
-    n_q, dim = present.agg(F.count(F.lit(1)), F.max(F.size(qvec_col))).first()
+    n_q, n_ids, dim = present.agg(F.count(F.lit(1)), F.count_distinct(qid_col),
+                                  F.max(F.size(qvec_col))).first()
+    if n_ids != n_q:
+        raise ValueError("query ids must be unique and not null")
     if not n_q:
         return spark.createDataFrame([], "qid string, id bigint, score double, rank int")
     per_row = dim * 8 + 64
     rows_per_block = max(1, max_broadcast_bytes // per_row)
     n_blocks = -(-n_q // rows_per_block)
+    if n_blocks > 1:        # read once per block: not computed anew each time
+        corpus = materialize(corpus, "knn-corpus")
     parts = []
     for qids, Q in _query_blocks(present, qid_col, qvec_col, rows_per_block, n_blocks == 1):
         bc = sc.broadcast((qids, Q))

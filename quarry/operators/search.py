@@ -2,12 +2,11 @@
 
 * Q2 probe: each query's ``nprobe`` nearest lists, scored in an Arrow task over
   the (small) query table against the broadcast centroid matrix.
-* Q3 scan: the probe rows ``(qid, list_id)`` -- at most ``n_queries x nprobe``,
-  a proven bound -- are broadcast and equi-joined to ``postings`` on
-  ``list_id``; the probed list ids are also pushed into the Parquet scan as an
-  ``IN`` filter so unprobed row groups are skipped.  Scores come from an Arrow
-  kernel: exact cosine / squared L2 for flat postings, asymmetric distance
-  (per-query look-up tables) for PQ codes.
+* Q3 scan: no join.  Each block of queries is sent to the tasks with the lists it
+  probes; a task walks its postings list by list, scores each list against the
+  queries that probe it (exact cosine / squared L2 for flat postings, look-up
+  tables built once per task for PQ codes) and emits its ``k`` best per query.
+  Postings lie in folders by bucket of lists, so unprobed buckets aren't read.
 * Q4: window top-k per query (partial ``WindowGroupLimit`` before the shuffle).
 """
 
@@ -20,18 +19,27 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..session import DEFAULT_BROADCAST_BYTES, KERNEL_BYTES, materialize
-from .ids import bounded_broadcast
-from .ivf import (DEFAULT_NPROBE, TIE_DIGITS, IvfIndex, _coarse_scores, _prep,
+from .ivf import (DEFAULT_NPROBE, LISTS_PER_BUCKET, TIE_DIGITS, IvfIndex, _coarse_scores, _prep,
                   centroid_matrix, codebook_tensor)
 from .knn import TWO_LEVEL_GROUPS, TWO_LEVEL_MIN_PARTITIONS, check_metric, top_k_per_query
 
 
 def _meta(index: IvfIndex) -> dict:
     if index is None or index.postings is None:
-        raise ValueError("index not built or loaded")  # Q7
+        raise ValueError("there is no index to search; build or load one first")  # Q7
     return index.meta.first().asDict()
 
 
+def probe_rows(X: np.ndarray, C: np.ndarray, p: int, metric: str) -> np.ndarray:
+    """The ``p`` best lists of each vector, best first, ties to the lower list."""
+    out = np.empty((len(X), p), dtype=np.int64)
+    step = max(1, KERNEL_BYTES // (8 * len(C)))
+    for at in range(0, len(X), step):
+        s = np.round(_coarse_scores(X[at:at + step], C, metric, rounded=False), TIE_DIGITS)
+        out[at:at + step] = np.lexsort((np.broadcast_to(np.arange(len(C)), s.shape), -s), axis=1)[:, :p]
+    return out
+
+
 def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int = DEFAULT_NPROBE,
                 metric: str = "cosine", qid_col: str = "qid",
                 vec_col: str = "embedding") -> DataFrame:
@@ -66,65 +74,82 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int = DEFAULT_
         probe, "qid string, list_id int, coarse double, probe_rank int")
 
 
-def _score_kernel(bc, metric: str):
-    """Arrow kernel: joined ``(list_id, id, payload, qid)`` rows -> scores."""
-    def score(batches):
-        pos, Qm, Cm, cbk = bc.value
+def _adc_tables(q: np.ndarray, cb: np.ndarray) -> np.ndarray:
+    """Inner products of each sub-vector of ``q`` with every code: ``(m, codes)``."""
+    m, _, dsub = cb.shape
+    return np.einsum("mkd,md->mk", cb, q.reshape(m, dsub))
+
+
+def _scan_kernel(bc, metric: str, k: int):
+    """Arrow kernel over postings sorted by list: every list is scored against the
+    queries that probe it, and only the ``k`` best per query leave the task."""
+    def scan(batches):
+        qids, Q, C, cb, by_list = bc.value
+        tables: dict[int, np.ndarray] = {}      # per query, once per task
+        held: dict[int, list] = {}
+        sign = -1.0 if metric == "cosine" else 1.0
+
+        def table(i: int) -> np.ndarray:
+            if i not in tables:
+                if len(tables) * cb[..., 0].nbytes > KERNEL_BYTES:
+                    tables.clear()
+                tables[i] = _adc_tables(Q[i], cb)
+            return tables[i]
+
+        def scores(i: int, lid: int, x: np.ndarray) -> np.ndarray:
+            if cb is None:
+                if metric == "cosine":
+                    return x @ Q[i]
+                d = x - Q[i]
+                return np.einsum("ij,ij->i", d, d)
+            m = np.arange(cb.shape[0])
+            if metric == "cosine":
+                return table(i)[m, x].sum(axis=1) + Q[i] @ C[lid]
+            r = (Q[i] - C[lid]).reshape(cb.shape[0], 1, -1)
+            return ((r - cb) ** 2).sum(axis=2)[m, x].sum(axis=1)
+
+        def trim(i: int) -> tuple[np.ndarray, np.ndarray]:
+            s, ids = (np.concatenate(x) for x in zip(*held[i]))
+            best = np.lexsort((ids, sign * s))[:k]
+            held[i] = [(s[best], ids[best])]
+            return held[i][0]
+
         for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            qi = np.asarray([pos[q] for q in rb.column("qid").to_pylist()], dtype=np.int64)
+            lists = rb.column("list_id").to_numpy(zero_copy_only=False)
             ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            lists = rb.column("list_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            if cbk is None:
-                X, _ = V.list_column_matrix(rb.column("embedding"))
-                if metric == "cosine":
-                    s = np.einsum("ij,ij->i", Qm[qi], _prep(X, metric))
-                else:
-                    d = Qm[qi] - X
-                    s = np.einsum("ij,ij->i", d, d)
+            if not len(lists):
+                continue
+            if cb is None:
+                x = _prep(V.list_column_matrix(rb.column("embedding"))[0], metric)
             else:
-                m, ksub, dsub = cbk.shape
-                codes = np.frombuffer(b"".join(rb.column("codes").to_pylist()),
-                                      dtype=np.uint8).reshape(-1, m).astype(np.int64)
-                if metric == "cosine":
-                    # per-query look-up tables L[u, m, c] = q_m . codebook_m[c], built
-                    # for a bounded number of distinct queries at a time
-                    uq, inv = np.unique(qi, return_inverse=True)
-                    adc = np.empty(len(qi))
-                    cap = max(1, KERNEL_BYTES // (8 * m * ksub))
-                    for lo in range(0, len(uq), cap):
-                        sel = (inv >= lo) & (inv < lo + cap)
-                        L = np.einsum("mkd,qmd->qmk", cbk,
-                                      Qm[uq[lo:lo + cap]].reshape(-1, m, dsub))
-                        adc[sel] = L[(inv[sel] - lo)[:, None], np.arange(m)[None, :],
-                                     codes[sel]].sum(1)
-                    s = np.einsum("ij,ij->i", Qm[qi], Cm[lists]) + adc
-                else:
-                    r = (Qm[qi] - Cm[lists]).reshape(-1, m, dsub)
-                    sub = cbk[np.arange(m)[None, :], codes]             # (n, m, dsub)
-                    s = ((r - sub) ** 2).sum(axis=(1, 2))
+                codes = pa.concat_arrays([rb.column("codes")])       # offsets from 0
+                data = np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0])
+                x = data.reshape(-1, cb.shape[0])
+            edge = np.flatnonzero(np.diff(lists)) + 1
+            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(lists)]):
+                for i in by_list.get(int(lists[lo]), ()):
+                    # rounded, so that equal vectors tie wherever they are stored
+                    got = np.round(scores(i, int(lists[lo]), x[lo:hi]), 12)
+                    held.setdefault(i, []).append((got, ids[lo:hi]))
+                    if sum(len(h[0]) for h in held[i]) > 8 * k + 1024:
+                        trim(i)
+        for i in held:
+            s, found = trim(i)
             yield pa.RecordBatch.from_arrays(
-                [rb.column("qid"), pa.array(ids), pa.array(s.astype(np.float64))],
+                [pa.array([qids[i]] * len(s), pa.string()), pa.array(found), pa.array(s)],
                 names=["qid", "id", "score"])
-    return score
-
-
-def _query_blocks(queries: DataFrame, qid_col: str, vec_col: str, rows_per_block: int,
-                  single: bool = False):
-    q = queries.select(F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("v"))
-    q = q.where(F.col("v").isNotNull())
-    qids, rows = [], []
-    # one block (size already checked): a single collect; otherwise stream the
-    # query table partition by partition
-    for r in (q.collect() if single else q.toLocalIterator()):
-        qids.append(r["qid"])
-        rows.append(r["v"])
-        if len(qids) >= rows_per_block:
-            yield qids, np.asarray(rows, dtype=np.float64)
-            qids, rows = [], []
-    if qids:
-        yield qids, np.asarray(rows, dtype=np.float64)
+    return scan
+
+
+def _query_blocks(queries: DataFrame, rows_per_block: int, single: bool = False):
+    """Blocks of the query table: cut by a hash of the id, each collected on its own."""
+    q = queries.select("qid", "embedding")
+    n = 1 if single else -(-2 * queries.count() // rows_per_block)
+    for b in range(n):
+        part = q if n == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == b)
+        rows = part.collect()
+        if rows:
+            yield [r["qid"] for r in rows], np.asarray([r["embedding"] for r in rows], dtype=np.float64)
 
 
 def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAULT_NPROBE,
@@ -135,8 +160,10 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     asymmetric estimates ``q.c + sum_m q_m . cb_m[code_m]`` (cosine) or
     ``sum_m |(q-c)_m - cb_m[code_m]|^2`` (L2).
 
-    Queries are shipped in blocks of at most ``max_broadcast_bytes``; with more
-    than one block each block's top-k is written before the next is sent."""
+    Queries (unique ids; null vectors give no rows) go to the tasks with the lists
+    they probe, in blocks of about ``max_broadcast_bytes``; there is no join.  The
+    postings are read by list bucket, a partition of their folder, so buckets that
+    no query of the block probes aren't opened."""
     meta = _meta(index)
     metric = meta["metric"]
     if k < 1:
@@ -145,43 +172,41 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     sc = spark.sparkContext
     C = centroid_matrix(index.centroids, metric)
     cb = codebook_tensor(index.codebooks) if index.is_pq else None
-    present = queries.where(F.col(vec_col).isNotNull()).select(
-        F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("embedding"))
-    n_q, dim = present.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    present = materialize(queries.where(F.col(vec_col).isNotNull()).select(
+        F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("embedding")), "ivf-queries")
+    n_q, n_ids, dim = present.agg(F.count(F.lit(1)), F.count_distinct("qid"),
+                                  F.max(F.size("embedding"))).first()
+    if n_ids != n_q:
+        raise ValueError("query ids must be unique and not null")
     if not n_q:
         return spark.createDataFrame([], "qid string, id bigint, score double, rank int")
-    rows_per_block = max(1, max_broadcast_bytes // (dim * 8 + 64))
-    n_blocks = -(-n_q // rows_per_block)
     p = min(nprobe, C.shape[0])
+    rows_per_block = max(1, max_broadcast_bytes // (dim * 8 + p * 16 + 64))
+    n_blocks = 1 if n_q <= rows_per_block else 2
     payload = "codes" if index.is_pq else "embedding"
     nparts = index.postings.rdd.getNumPartitions()
     groups = TWO_LEVEL_GROUPS if nparts > TWO_LEVEL_MIN_PARTITIONS else 1
     parts = []
-    for qids, Q in _query_blocks(present, "qid", "embedding", rows_per_block, n_blocks == 1):
-        block = spark.createDataFrame([(q, [float(v) for v in row]) for q, row in zip(qids, Q)],
-                                      "qid string, embedding array<double>") \
-            if n_blocks > 1 else present
-        probes = probe_lists(block, index.centroids, p, metric).select("qid", "list_id")
-        probes = materialize(probes, "ivf-probes") if n_blocks > 1 else probes
+    for qids, Q in _query_blocks(present, rows_per_block, n_blocks == 1):
+        probed = probe_rows(Q, C, p, metric)
+        by_list: dict[int, list[int]] = {}
+        for i, row in enumerate(probed):
+            for lid in row.tolist():
+                by_list.setdefault(lid, []).append(i)
         postings = index.postings
-        if p < C.shape[0]:
-            probed = [r[0] for r in probes.select("list_id").distinct().collect()]  # <= nlist
-            if len(probed) < C.shape[0]:
-                postings = postings.where(F.col("list_id").isin(sorted(probed)))
-        probes = bounded_broadcast(probes, len(qids) * p, 48, max_broadcast_bytes)
-        bc = sc.broadcast(({q: i for i, q in enumerate(qids)}, _prep(Q, metric), C, cb))
-        joined = postings.select("list_id", "id", payload).join(probes, "list_id")
-        scored = joined.mapInArrow(_score_kernel(bc, metric),
-                                   "qid string, id bigint, score double")
-        top = top_k_per_query(scored, k, metric, groups=groups)
+        if "list_bucket" in postings.columns and p < C.shape[0]:
+            postings = postings.where(F.col("list_bucket").isin(sorted({x // LISTS_PER_BUCKET for x in by_list})))
+        bc = sc.broadcast((qids, _prep(Q, metric), C, cb, by_list))
+        scored = postings.select("list_id", "id", payload).mapInArrow(
+            _scan_kernel(bc, metric, k), "qid string, id bigint, score double")
         if n_blocks > 1:
-            top = materialize(top, "ivf-block")
+            scored = materialize(scored, "ivf-block")
             bc.unpersist()
-        parts.append(top)
+        parts.append(scored)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return top_k_per_query(out, k, metric, groups=groups)
 
 
 def retrieve(index: IvfIndex, queries: DataFrame, k: int = 100,

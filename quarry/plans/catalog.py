@@ -179,7 +179,7 @@ def _emb_queries(spark, sf):
 
 def _given_index(spark, sf, pq_m=None):
     return build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, pq_m, PQ_BITS,
-                       DEFAULT_N_TRAIN, train_iters=0)
+                       DEFAULT_N_TRAIN, train_iters=0, adaptive=True)
 
 
 @register("ivf_meta", _EMB + f"""
@@ -287,7 +287,7 @@ def q_ivfpq_search(spark, sf):
 def q_ivf_trained_search(spark, sf):
     """X5 (Spark ML k-means) + Q2-Q4; trained parameters -> rows check only."""
     index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, None,
-                        n_train=DEFAULT_N_TRAIN, train_iters=20, seed=42)
+                        train_iters=20, seed=42, adaptive=True)
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
@@ -295,7 +295,7 @@ def q_ivf_trained_search(spark, sf):
 def q_ivfpq_trained_search(spark, sf):
     """X5 + X7 (per-sub-space k-means) + X8 + ADC search; rows check only."""
     index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, PQ_M, PQ_BITS,
-                        n_train=DEFAULT_N_TRAIN, train_iters=20, seed=42)
+                        train_iters=20, seed=42, adaptive=True)
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
@@ -427,7 +427,7 @@ def q_ivfpq_retrieval_e2e(spark, sf):
     roll-up) -> eval.  Trained parameters -> rows check only."""
     chunks = preprocess(read_documents(spark, sf))
     index = index_chunks(chunks, FLAGSHIP_DIM, "cosine", DEFAULT_NLIST, CHUNK_PQ_M, PQ_BITS,
-                         DEFAULT_N_TRAIN, train_iters=10)
+                         train_iters=10)
     run = run_queries(chunks, read_benchmark_queries(spark, sf), FLAGSHIP_DIM, K, CANDS,
                       index=index, nprobe=NPROBE)
     _, summary = evaluate(run.responses, _truth(spark, sf), K)

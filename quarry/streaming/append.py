@@ -3,7 +3,7 @@
 New vectors (or new chunks to embed) arrive as files in a folder.  A streaming
 query reads them, assigns lists and encodes them with the index's **frozen**
 centroids / codebooks, and ``foreachBatch`` writes each micro-batch to its own
-``postings/batch_id=<epoch>`` folder with mode ``overwrite``.  A micro-batch
+``postings/batch_id=<stream>.<epoch>`` folder with mode ``overwrite``.  A micro-batch
 replayed after a failure rewrites the same folder, so the sink is idempotent
 without a join; the bulk build lives in ``batch_id=-1``.  ``availableNow``
 drains the backlog in bounded micro-batches and stops.
@@ -11,14 +11,15 @@ drains the backlog in bounded micro-batches and stops.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.ivf import IvfIndex, assign_lists, layout_postings, load_index, pq_encode
-from ..session import scratch_path
+from ..operators.ivf import IvfIndex, assign_lists, layout_postings, load_index, pq_encode, read_postings, with_bucket, write_bulk
 
 
 def encode_batch(index: IvfIndex, vectors: DataFrame, metric: str) -> DataFrame:
@@ -29,26 +30,46 @@ def encode_batch(index: IvfIndex, vectors: DataFrame, metric: str) -> DataFrame:
     return assigned.select("list_id", "id", "embedding")
 
 
-def append_batch(index_path: str, vectors: DataFrame, batch_id: int,
+def append_batch(index_path: str, vectors: DataFrame, batch_id: int | str,
                  index: IvfIndex | None = None) -> None:
-    """Batch form of X10: write one batch of postings under ``batch_id``."""
+    """Batch form of X10: write one batch of postings under ``batch_id``; the same
+    name again replaces that batch (a replay), another one adds to the index."""
+    if not re.fullmatch(r"[A-Za-z0-9_.]+", str(batch_id)):
+        raise ValueError("a batch is named by letters, digits, dots and underscores (-1 is the bulk build)")
     spark = vectors.sparkSession
     index = index or load_index(spark, index_path)
     metric = index.meta.first()["metric"]
+    vectors = vectors.where("embedding IS NOT NULL")
+    # ids that another batch already holds would give two postings for one id
+    stored = read_postings(spark, index_path, index.is_pq).where(
+        F.col("batch_id").cast("string") != str(batch_id)).select("id")
+    twice = vectors.select("id").join(stored, "id", "left_semi").unionByName(
+        vectors.groupBy("id").count().where("count > 1").select("id"))
+    some = [r[0] for r in twice.limit(5).collect()]
+    if some:
+        raise ValueError(f"ids already in the index or repeated in the batch: {some} ...")
     postings = layout_postings(encode_batch(index, vectors, metric))
-    postings.write.mode("overwrite").parquet(f"{index_path}/postings/batch_id={batch_id}")
+    with_bucket(postings).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "list_bucket").parquet(f"{index_path}/postings/batch_id={batch_id}")
 
 
 def start_append_stream(spark: SparkSession, source_dir: str, schema: StructType,
                         index_path: str, checkpoint: str | None = None,
                         glob: str | None = None, max_files_per_trigger: int | None = None,
                         prepare: Callable[[DataFrame], DataFrame] | None = None,
-                        available_now: bool = True):
+                        available_now: bool = True,
+                        stream: str | None = None):
     """Start the streaming add; returns the ``StreamingQuery``.
 
     ``prepare`` turns source rows into ``(id, embedding)`` (e.g. chunk ->
-    embed); by default the source already has those columns."""
+    embed); by default the source already has those columns.
+    ``stream`` names the stream (default: from source folder and glob); its
+    checkpoint lies under the index unless ``checkpoint`` is given."""
     index = load_index(spark, index_path)
+    # A stream is known by its source: run again, it goes on where it stopped; its
+    # batches have their own names beside those of other streams.
+    name = re.sub(r"[^A-Za-z0-9]", "", stream or hashlib.sha1(
+        f"{source_dir.rstrip('/')}|{glob or ''}".encode()).hexdigest()[:16])
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -60,10 +81,10 @@ def start_append_stream(spark: SparkSession, source_dir: str, schema: StructType
     stream = stream.select(F.col("id").cast("bigint").alias("id"), "embedding")
 
     def sink(batch: DataFrame, batch_id: int):
-        append_batch(index_path, batch, batch_id, index)
+        append_batch(index_path, batch, f"{name}.{batch_id}", index)
 
     writer = (stream.writeStream.foreachBatch(sink)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "append-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{index_path}/streams/{name}"))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
@@ -76,6 +97,5 @@ def empty_index_like(index: IvfIndex, path: str) -> IvfIndex:
     meta.write.mode("overwrite").parquet(f"{path}/meta")
     if index.codebooks is not None:
         index.codebooks.write.mode("overwrite").parquet(f"{path}/codebooks")
-    empty = index.postings.limit(0)
-    empty.write.mode("overwrite").parquet(f"{path}/postings/batch_id=-1")
+    write_bulk(index.postings.drop("batch_id", "list_bucket").limit(0), path)
     return load_index(index.postings.sparkSession, path)
