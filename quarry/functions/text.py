@@ -117,6 +117,11 @@ def file_stem(name) -> Column:
         F.regexp_extract(_col(name), r"^(.+)\.[^./]+$", 1))
 
 
+def white_space_words(text) -> Column:
+    """Words between white space as they stand, as array<string>."""
+    return F.filter(F.split(clean_text(text), " "), lambda t: t != "")
+
+
 def tokens(text) -> Column:
     """Lower-cased letter/digit runs, as array<string>, empties removed."""
     spaced = F.trim(F.regexp_replace(F.lower(_col(text)), NON_TOKEN_RUN, " "))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import tokens
+from .text import white_space_words
 
 
 def _col(c) -> Column:
@@ -25,8 +25,8 @@ def hash_bucket(token, dim: int) -> Column:
 
 
 def hash_buckets(text, dim: int) -> Column:
-    """array<bigint> of token buckets of a text."""
-    return F.transform(tokens(text), lambda t: hash_bucket(t, dim))
+    """array<bigint> of the buckets of a text's words (split at white space)."""
+    return F.transform(white_space_words(text), lambda t: hash_bucket(t, dim))
 
 
 # ---------------------------------------------------------------- arrow / numpy

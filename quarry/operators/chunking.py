@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize, shuffle_partitions
 from .ids import bounded_broadcast, dense_offsets_sized
 
 
@@ -64,7 +65,22 @@ def chunk_corpus(docs: DataFrame, chunk_words: int = T.DEFAULT_CHUNK_WORDS,
 
     The per-document base offset comes from :func:`dense_offsets` over one row
     per document; the document text is joined to its base *before* exploding,
-    so the join moves documents, not the (larger, overlapping) chunks."""
+    so the join moves documents, not the (larger, overlapping) chunks.
+
+    Keys may repeat or be null: such documents are numbered in (key, name, text)
+    order first, nulls last, and keep their own chunks and ids."""
+    n, keys = docs.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    if n != keys:
+        order = [F.col(key).asc_nulls_last(), F.col("source_name").asc_nulls_last(), F.xxhash64("text")]
+        row = "_row"
+        numbered = materialize(
+            docs.select(key, "source_name", "text")
+            .repartitionByRange(shuffle_partitions(docs.sparkSession), *order)
+            .sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()), "numbered")
+        keyed = numbered.select(F.col(row), "source_name", "text")
+        chunks = chunk_corpus(keyed, chunk_words, overlap, row)
+        return chunks.join(numbered.select(row, F.col(key)), row).select(
+            "chunk_id", key, "source_name", "chunk_idx", "chunk_ref", "text")
     counts = document_chunk_counts(docs, chunk_words, overlap, key)
     base, base_bytes = dense_offsets_sized(counts, key, "n")
     # broadcast (key, base) when its exact size fits, so the document text is

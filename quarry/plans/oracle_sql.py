@@ -21,6 +21,10 @@ def tokens_sql(expr: str) -> str:
             f"'{NON_TOKEN_RUN}', ' ', 'g')), ' '), lambda t: t <> '')")
 
 
+def words_sql(expr: str) -> str:
+    return f"list_filter(string_split({clean_sql(expr)}, ' '), lambda t: t <> '')"
+
+
 def bucket_sql(tok: str, dim: int) -> str:
     return f"((('0x' || substr(md5({tok}), 1, 8))::BIGINT) % {dim})"
 
@@ -49,10 +53,10 @@ def queries_cte() -> str:
 def sparse_ctes(dim: int) -> str:
     """Sparse term counts of chunks (cb) and queries (qb) and their squared norms."""
     return f"""
-ctok AS (SELECT chunk_id, unnest({tokens_sql('text')}) AS tok FROM chunks),
+ctok AS (SELECT chunk_id, unnest({words_sql('text')}) AS tok FROM chunks),
 cb AS (SELECT chunk_id, {bucket_sql('tok', dim)} AS bucket, count(*) AS n FROM ctok GROUP BY ALL),
 cn AS (SELECT chunk_id, sum(n * n) AS ss FROM cb GROUP BY chunk_id),
-qtok AS (SELECT qid, unnest({tokens_sql('query')}) AS tok FROM qs),
+qtok AS (SELECT qid, unnest({words_sql('query')}) AS tok FROM qs),
 qb AS (SELECT qid, {bucket_sql('tok', dim)} AS bucket, count(*) AS n FROM qtok GROUP BY ALL),
 qn AS (SELECT qid, sum(n * n) AS ss FROM qb GROUP BY qid)"""
 

@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,10 +19,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_CHUNK_OVERLAP, DEFAULT_CHUNK_WORDS
 from ..operators.chunking import chunk_corpus
-from ..operators.embed import DEFAULT_HASH_DIM, hash_embed, normalize
+from ..operators.embed import DEFAULT_HASH_DIM, hash_embed, model_embed, normalize
 from ..operators.evaluate import metrics_per_query, metrics_summary
-from ..operators.ivf import (DEFAULT_N_TRAIN, DEFAULT_NLIST, DEFAULT_NPROBE, DEFAULT_PQ_BITS,
-                             IvfIndex, build_index)
+from ..operators.ivf import (DEFAULT_NLIST, DEFAULT_NPROBE, DEFAULT_PQ_BITS, IvfIndex,
+                             build_index)
 from ..operators.knn import knn_search
 from ..operators.search import ivf_search
 from ..operators.results import cut_candidates, query_responses, rollup_documents
@@ -30,6 +31,21 @@ from ..session import materialize
 # The reference's retrieval defaults.
 DEFAULT_TOP_K = 10
 DEFAULT_CANDIDATES = 100
+# Sub-spaces of the default index; divides the default embedding width.
+DEFAULT_PQ_M = 64
+
+# ``embedder(df, text_col, id_col) -> (id_col, embedding array<float>)``, used for
+# chunks and queries alike.  ``model_embedder`` wraps a user model.
+Embedder = Callable[[DataFrame, str, str], DataFrame]
+
+
+def hash_embedder(dim: int = DEFAULT_HASH_DIM) -> Embedder:
+    return lambda df, text_col, id_col: hash_embed(df, text_col, id_col, dim)
+
+
+def model_embedder(model_loader: Callable, dim: int, **options) -> Embedder:
+    """An embedder from ``model_loader() -> fn(list[str]) -> (n, dim) array``."""
+    return lambda df, text_col, id_col: model_embed(df, model_loader, dim, text_col, id_col, **options)
 
 
 @dataclass
@@ -51,35 +67,42 @@ def preprocess(docs: DataFrame, chunk_words: int = DEFAULT_CHUNK_WORDS,
     return materialize(chunks, "chunks") if persist else chunks
 
 
-def build_flat_corpus(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM) -> DataFrame:
-    """Chunk table -> ``(id, embedding)`` with the hashing embedder."""
-    return hash_embed(chunks, "text", "chunk_id", dim).withColumnRenamed("chunk_id", "id")
+def build_flat_corpus(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM,
+                      embedder: Embedder | None = None) -> DataFrame:
+    """Chunk table -> ``(id, embedding)``, by default with the hashing embedder."""
+    embedder = embedder or hash_embedder(dim)
+    return embedder(chunks, "text", "chunk_id").withColumnRenamed("chunk_id", "id")
 
 
-def embed_queries(queries: DataFrame, dim: int = DEFAULT_HASH_DIM) -> DataFrame:
-    return hash_embed(queries, "query", "qid", dim)
+def embed_queries(queries: DataFrame, dim: int = DEFAULT_HASH_DIM,
+                  embedder: Embedder | None = None) -> DataFrame:
+    return (embedder or hash_embedder(dim))(queries, "query", "qid")
 
 
 def index_chunks(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM, metric: str = "cosine",
-                 nlist: int = DEFAULT_NLIST, pq_m: int | None = None,
-                 pq_bits: int = DEFAULT_PQ_BITS, n_train: int = DEFAULT_N_TRAIN,
-                 train_iters: int = 20, seed: int = 42, path: str | None = None) -> IvfIndex:
-    """The reference's ``index`` command: embed every chunk, L2-normalise (P6),
-    train on the first ``n_train`` chunk ids and add all chunks."""
-    vectors = build_flat_corpus(chunks, dim)
+                 nlist: int = DEFAULT_NLIST, pq_m: int | None = DEFAULT_PQ_M,
+                 pq_bits: int = DEFAULT_PQ_BITS, n_train: int | None = None,
+                 train_iters: int = 20, seed: int = 42, path: str | None = None,
+                 embedder: Embedder | None = None, adaptive: bool = True,
+                 engine: str = "lloyd") -> IvfIndex:
+    """The ``index`` command: embed every chunk (hashing, or the given
+    ``embedder``), L2-normalise (P6), train -- on all vectors, or the first
+    ``n_train`` -- and add all chunks; product codes unless ``pq_m`` is None."""
+    vectors = build_flat_corpus(chunks, dim, embedder)
     if metric == "cosine":
         vectors = normalize(vectors)
     # embed once: the build reads the vectors for statistics, the training
     # sample and the assignment pass
     vectors = materialize(vectors, "embedded")
-    return build_index(vectors, metric, nlist, pq_m, pq_bits, n_train, train_iters, seed, path)
+    return build_index(vectors, metric, nlist, pq_m, pq_bits, n_train, train_iters, seed, path,
+                       adaptive=adaptive, engine=engine)
 
 
 def run_queries(chunks: DataFrame, queries: DataFrame, dim: int = DEFAULT_HASH_DIM,
                 k: int = DEFAULT_TOP_K, candidates: int = DEFAULT_CANDIDATES,
                 embedded: DataFrame | None = None, reranker=None,
                 index: IvfIndex | None = None, nprobe: int = DEFAULT_NPROBE,
-                k_documents: bool = False) -> RetrievalRun:
+                k_documents: bool = False, embedder: Embedder | None = None) -> RetrievalRun:
     """Retrieval of ``candidates`` chunks per query -- exact, or through an
     IVF / IVF-PQ ``index`` with ``nprobe`` -- then either the
     ``reranker(queries, candidates, chunks, k)`` or the plain cut to ``k``,
@@ -87,13 +110,19 @@ def run_queries(chunks: DataFrame, queries: DataFrame, dim: int = DEFAULT_HASH_D
 
     ``k_documents=True`` rolls all candidates up first and keeps ``k``
     documents (the reference cuts ``k`` chunks first, so it may return fewer)."""
+    # one row per query id before anything is searched (the larger text of a
+    # repeated id), so that no result mixes two queries
+    queries = materialize(queries.groupBy(F.col("qid").cast("string").alias("qid"))
+                          .agg(F.max("query").alias("query")), "queries")
     n_queries = queries.count()
-    q_emb = embed_queries(queries, dim)
+    q_emb = embed_queries(queries, dim, embedder)
     if index is not None:
         cands = ivf_search(index, q_emb, candidates, nprobe)
     else:
-        embedded = embedded if embedded is not None else build_flat_corpus(chunks, dim)
+        embedded = embedded if embedded is not None else build_flat_corpus(chunks, dim, embedder)
         cands = knn_search(embedded, q_emb, candidates, "cosine")
+    # every later step reads the candidates; they are searched once
+    cands = materialize(cands, "candidates")
     if reranker is not None:
         hits = reranker(queries, cands, chunks, candidates if k_documents else k)
     else:
@@ -107,6 +136,8 @@ def run_queries(chunks: DataFrame, queries: DataFrame, dim: int = DEFAULT_HASH_D
 
 
 def evaluate(responses: DataFrame, truth: DataFrame, k: int = DEFAULT_TOP_K):
+    # both sides are used more than once
+    responses, truth = materialize(responses, "responses"), materialize(truth, "truth")
     per_query = metrics_per_query(responses, truth, k)
     return per_query, metrics_summary(per_query)
 
