@@ -239,7 +239,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", count_
     new = F.when(F.size(F.col(m)) > 0, let(gaps, lambda g: weave(g, F.col(m)))).otherwise(text)
     out = step.withColumn(text_col, new)
     if count_col:
-        out = out.withColumn(count_col, F.greatest(F.coalesce(F.size(F.col(m)), F.lit(0)), F.lit(0)))
+        valid = F.filter(F.col(m), lambda v: kind_of(v) != "none")
+        out = out.withColumn(count_col, F.when(F.col(m).isNull(), 0).otherwise(F.size(valid)))
     return out.drop(m)
 
 

@@ -45,6 +45,7 @@ def units(text: str) -> list[tuple[int, int, str]]:
             if len(line) >= MIN_LINE_WORDS:
                 out.append((marks[first][0], s[1], " ".join(line).lower()))
             first = k + 1
+    whole = {(start, content) for start, _, content in out}
     for k, s in enumerate(marks):
         words, j = s[2], k
         if not words:
@@ -52,8 +53,10 @@ def units(text: str) -> list[tuple[int, int, str]]:
         while len(words) < MIN_RUN_WORDS and j + 1 < len(marks):
             j += 1
             words = words + marks[j][2]
-        if len(words) >= MIN_RUN_WORDS:
-            out.append((s[0], marks[j][1], " ".join(words).lower()))
+        content = " ".join(words).lower()
+        # a line of one run is one unit, not a repetition of itself
+        if len(words) >= MIN_RUN_WORDS and (s[0], content) not in whole:
+            out.append((s[0], marks[j][1], content))
     return out
 
 
