@@ -45,14 +45,15 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*parts)
 
 
-def number_hot_copies(df: DataFrame, column: str, limit: int = HOT_ROWS) -> DataFrame:
-    """Add ``column``: 0, or for rows that occur over ``limit`` times in equal
+def number_hot_copies(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
+    """Add ``column``: 0, or for rows that occur over ``limit`` (``HOT_ROWS``) times in equal
     form a running number of the copy, so that a hash over (row, column) spreads
     them.  The number is a function of the data alone, so it survives a retry.
 
     Equal rows are counted by their hash first (eight bytes a row); only if some
     count is above the limit are those rows collapsed to (row, count) -- with a
     partial aggregate before the shuffle -- and expanded again."""
+    limit = HOT_ROWS if limit is None else limit
     h = free_name(df, "_rowhash")
     hashed = df.withColumn(h, row_hash(df))
     hot = materialize(hashed.groupBy(h).count().where(F.col("count") > limit).select(h), "hot-rows")

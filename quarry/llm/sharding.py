@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import free_name, number_hot_copies, scratch_path, table
+from .common import free_name, number_hot_copies, row_hash, scratch_path, table
 
 SHARDS = 24
 SEED = 20240229
@@ -68,7 +68,7 @@ def shuffle_shards(records: DataFrame, path: str, shards: int = SHARDS, key_col:
 
     rows = number_hot_copies(records, free_name(records, "_copy"))
     copy = rows.columns[-1]
-    draw = F.xxhash64(*[F.col(f"`{c}`") for c in (key_col, text_col, copy)], F.lit(seed + 1))
+    draw = F.xxhash64(row_hash(rows), F.lit(seed + 1))      # over all columns and the copy's number
     rows = (rows.withColumn("_shard", shard).withColumn("_o", draw)
             .withColumn("_bucket", F.pmod(F.xxhash64("_o", F.lit(seed + 2)), F.array(
                 *[F.lit(b).cast("bigint") for b in buckets])[F.col("_shard")]).cast("int"))
