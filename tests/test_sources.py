@@ -4,7 +4,7 @@ import json
 import os
 import tempfile
 
-from quarry.sources.files import (integer_stem_documents, json_file_text, read_folder,
+from quarry.sources.files import (integer_stem_documents, json_text, preprocess_folder, read_folder,
                                   split_rejects)
 from quarry.sources.queries import read_query_file
 from quarry.sources.sinks import read_results, write_results
@@ -21,13 +21,44 @@ def _folder(files: dict) -> str:
     return d
 
 
-def test_json_rule_in_python():
-    assert json_file_text('{"text": ""}') == ("", None)
-    assert json_file_text('{"content": 1, "body": "b"}') == ("1", None)
-    assert json_file_text('{"body": null}') == ("None", None)
-    assert json_file_text('[1, "é"]') == ('[1, "\\u00e9"]', None)
-    assert json_file_text("  ") == ("", None)
-    assert json_file_text("{bad")[1].startswith("invalid JSON")
+def test_json_rule(spark):
+    cases = [('{"text": ""}', ""), ('{"content": 1, "body": "b"}', "1"), ('{"body": null}', "None"),
+             ('[1, "é"]', '[1, "\\u00e9"]'), ("  ", ""), ('{"body": "b", "text": "t é\\n"}', "t é\n"),
+             ('{"text": true}', "True"), ('{"a": 1.50}', '{"a": 1.5}'), ('"only a string"', '"only a string"'),
+             (' {"content": "x"} ', "x"), ('{"a": NaN}', '{"a": NaN}')]
+    bad = ["{bad", "1" * 5000, "[" * 100_000]      # no input ends the job
+    df = spark.createDataFrame([(i, c) for i, c in enumerate([c for c, _ in cases] + bad + ['{"text": "\\ud800"}', None])],
+                               "i int, raw string")
+    got = {r.i: r.r for r in df.select("i", json_text("raw").alias("r")).collect()}
+    for i, (_, want) in enumerate(cases):
+        assert (got[i].text, got[i].error) == (want, None), cases[i]
+    for i in range(len(cases), len(cases) + len(bad)):
+        assert got[i].text == "" and got[i].error.startswith("invalid JSON")
+    assert got[len(cases) + 3].error is None and got[len(cases) + 4].text == ""
+
+
+def test_folder_uris_and_limits(spark):
+    d = _folder({"a.txt": "one", "big.txt": "x" * 2000, "sub/in.txt": "no", "n.json": '{"text": "j"}'})
+    for uri in (d, "file://" + d, "file:" + d, d + "/"):
+        assert {r.source_name for r in read_folder(spark, uri).collect()} == {"a.txt", "big.txt", "n.json"}
+    rows = {r.source_name: r for r in read_folder(spark, d, max_bytes=1000).collect()}
+    assert rows["big.txt"].error.startswith("2000 bytes") and rows["a.txt"].error is None
+    chunks, rejects = preprocess_folder(spark, d, max_bytes=1000)
+    assert sorted(r.text for r in chunks.collect()) == ["j", "one"]
+    assert [r.source_name for r in rejects.collect()] == ["big.txt"]
+
+
+def test_folder_is_read_once(spark):
+    calls = _folder({"x": "x"})
+    d = _folder({"ok.pdf": b"PAGE1", "t.txt": "t"})
+
+    def extract(b: bytes) -> str:
+        with open(os.path.join(calls, str(os.getpid()) + "-" + os.urandom(4).hex()), "w"):
+            pass
+        return b.decode().lower()
+
+    chunks, _ = preprocess_folder(spark, d, extractors={".pdf": extract})
+    assert chunks.count() == 2 and len(os.listdir(calls)) == 2
 
 
 def test_folder_edge_cases(spark):
@@ -47,7 +78,7 @@ def test_folder_edge_cases(spark):
     })
     docs = read_folder(spark, d, max_bytes=1000).collect()
     by = {r.source_name: r for r in docs}
-    assert "big.txt" not in by and "inner.txt" not in by
+    assert by["big.txt"].error and by["big.txt"].text == "" and "inner.txt" not in by
     assert by["a.txt"].text == "hello  world"
     assert by["b.MD"].text == "Upper case suffix"
     assert by["c.json"].text == "from json"
@@ -61,8 +92,8 @@ def test_folder_edge_cases(spark):
     assert by["i.html"].text == "<p>kept raw</p>"
     assert by["j.pdf"].text.startswith("%PDF")          # no extractor: read as text
     good, bad = split_rejects(read_folder(spark, d, max_bytes=1000))
-    assert [r.source_name for r in bad.collect()] == ["h.json"]
-    assert good.count() == len(docs) - 1
+    assert sorted(r.source_name for r in bad.collect()) == ["big.txt", "h.json"]
+    assert good.count() == len(docs) - 2
 
 
 def test_extractor_plugin_and_failures(spark):
@@ -79,9 +110,9 @@ def test_extractor_plugin_and_failures(spark):
 
 
 def test_integer_stem_scan(spark):
-    d = _folder({"12.txt": "twelve", "x.txt": "no", "007.md": "seven", "noext": "skip"})
+    d = _folder({"12.txt": "twelve", "x.txt": "no", "007.md": "se\r\nven", "noext": "skip"})
     got = sorted((r.doc_id, r.text) for r in integer_stem_documents(spark, d).collect())
-    assert got == [(7, "seven"), (12, "twelve")]
+    assert got == [(7, "se\nven"), (12, "twelve")]
 
 
 def test_query_aliases(spark):
