@@ -432,3 +432,129 @@ def q_ivfpq_retrieval_e2e(spark, sf):
                       index=index, nprobe=NPROBE)
     _, summary = evaluate(run.responses, _truth(spark, sf), K)
     return round_doubles(summary)
+
+
+# ------------------------------------------------------------------ operators on table columns and exports
+
+from ..functions.text import file_suffix, source_from_ref  # noqa: E402
+from ..operators.search import drop_padding, retrieve  # noqa: E402
+from ..session import materialize  # noqa: E402
+from ..sources.files import utf8_text  # noqa: E402
+from ..sources.sinks import (export_chunks_jsonl, export_id_mapping, read_chunks_jsonl,  # noqa: E402
+                             read_id_mapping, read_results, write_results)
+from ..sources.truth_csv import NON_STRING_TAG, parse_truth  # noqa: E402
+
+
+@register("file_suffix", r"SELECT page_id, lower(regexp_extract(url, '^.+(\.[^./]+)$', 1)) AS suffix FROM pages")
+def q_file_suffix(spark, sf):
+    """P8 on page urls."""
+    return read_table(spark, sf, "pages").select("page_id", file_suffix("url").alias("suffix"))
+
+
+@register("utf8_decode_ignore", "SELECT page_id, html AS text FROM pages")
+def q_utf8_decode_ignore(spark, sf):
+    """S3: every other page gets bytes that are no UTF-8; they are dropped."""
+    content = F.encode("html", "UTF-8")
+    broken = F.when(F.col("page_id") % 2 == 1, F.concat(F.unhex(F.lit("FFC0")), content, F.unhex(F.lit("E282")))
+                    ).otherwise(content)
+    return read_table(spark, sf, "pages").select("page_id", utf8_text(broken).alias("text"))
+
+
+@register("json_error_rows", "SELECT event_id, event_id % 2 = 0 AS failed, CASE WHEN event_id % 2 = 0 THEN ''"
+                             " ELSE props END AS text FROM events")
+def q_json_error_rows(spark, sf):
+    """Every other value is cut short; it gives an error row, not a failed job."""
+    raw = F.when(F.col("event_id") % 2 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    r = read_table(spark, sf, "events").select("event_id", json_text(raw).alias("r"))
+    return r.select("event_id", F.col("r.error").isNotNull().alias("failed"), "r.text")
+
+
+@register("source_from_ref", _with(_CHUNKS) + " SELECT chunk_id, split_part(chunk_ref, '::', 1) AS source FROM chunks")
+def q_source_from_ref(spark, sf):
+    """P5 on all chunk references."""
+    return preprocess(read_documents(spark, sf)).select("chunk_id", source_from_ref("chunk_ref").alias("source"))
+
+
+@register("chunk_exports", _with(_CHUNKS) + " SELECT chunk_id, chunk_ref, text FROM chunks")
+def q_chunk_exports(spark, sf):
+    """Chunk lines and id mapping, written and read back."""
+    chunks = preprocess(read_documents(spark, sf))
+    path = scratch_path(spark, "exports")
+    export_chunks_jsonl(chunks, f"{path}/chunks")
+    export_id_mapping(chunks, f"{path}/ids")
+    return read_chunks_jsonl(spark, f"{path}/chunks").join(read_id_mapping(spark, f"{path}/ids"), "chunk_id")
+
+
+@register("drop_padding", "SELECT CAST(vec_id AS VARCHAR) AS qid, vec_id AS id FROM embeddings WHERE vec_id % 3 <> 0")
+def q_drop_padding(spark, sf):
+    """A candidate list in which every third place is padding."""
+    cands = read_embeddings(spark, sf).select(F.col("id").cast("string").alias("qid"), F.when(
+        F.col("id") % 3 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    return drop_padding(cands)
+
+
+@register("retrieve", ORACLE["ivf_search"].replace(f"WHERE rank <= {K}", f"WHERE rank <= {CANDS}"))
+def q_retrieve(spark, sf):
+    """Q5: the facade with its default of 100 candidates."""
+    return round_doubles(retrieve(_given_index(spark, sf), _emb_queries(spark, sf), CANDS, NPROBE))
+
+
+@register("ivf_sparse_ids", _EMB + " SELECT id * 3 + 1000000 AS id, list_id FROM asg")
+def q_ivf_sparse_ids(spark, sf):
+    """Ids that are neither dense nor near zero train and are assigned alike."""
+    sparse = read_embeddings(spark, sf).select((F.col("id") * 3 + 1_000_000).alias("id"), "embedding")
+    index = build_index(sparse, "cosine", DEFAULT_NLIST, None, n_train=DEFAULT_N_TRAIN, train_iters=0, adaptive=True)
+    return index.postings.select("id", "list_id")
+
+
+@register("index_append_two_streams", ORACLE["pq_encode"])
+def q_index_append_two_streams(spark, sf):
+    """Two streams of several files each, one after the other, with default
+    arguments; together they must equal the bulk encoding."""
+    path = scratch_path(spark, "stream-index")
+    empty_index_like(_given_index(spark, sf, PQ_M), path)
+    vectors = read_embeddings(spark, sf)
+    for part in (0, 1):
+        arrivals = materialize(vectors.where(F.pmod("id", F.lit(2)) == part).repartition(3), f"arrivals-{part}")
+        source = arrivals.inputFiles()[0].rsplit("/", 1)[0]
+        start_append_stream(spark, source, arrivals.schema, path, max_files_per_trigger=2).awaitTermination()
+    return load_index(spark, path).postings.select("id", "list_id", F.hex("codes").alias("codes"))
+
+
+@register("truth_parse", """
+ SELECT CAST(doc_id AS VARCHAR) AS qid, source AS relevant FROM documents
+ UNION SELECT CAST(doc_id AS VARCHAR), lang FROM documents
+ UNION SELECT CAST(doc_id AS VARCHAR), '#' || CAST(doc_id AS VARCHAR) FROM documents""")
+def q_truth_parse(spark, sf):
+    """Lists rendered from the documents in both quote styles, with a
+    number in each, parsed back."""
+    docs = read_table(spark, sf, "documents")
+    quote = F.when(F.col("doc_id") % 2 == 0, F.lit("'")).otherwise(F.lit('"'))
+    text = F.concat(F.lit("["), quote, "source", quote, F.lit(", "), quote, "lang", quote, F.lit(", "),
+                    F.col("doc_id").cast("string"), F.lit("]"))
+    truth, _ = parse_truth(docs.select(F.col("doc_id").cast("string").alias("query_id"),
+                                       text.alias("relevant_document_ids")))
+    return truth.select("qid", F.replace("relevant", F.lit(NON_STRING_TAG), F.lit("#")).alias("relevant"))
+
+
+@register("results_round_trip", ORACLE["query_response"])
+def q_results_round_trip(spark, sf):
+    """Responses written and read back."""
+    path = scratch_path(spark, "results")
+    write_results(_run(spark, sf).responses, path)
+    return read_results(spark, path).select("qid", "query", F.array_join("response", "|").alias("response"))
+
+
+@register("metrics_at_5", _RUN + O.truth_cte() + O.metrics_ctes(5) + " SELECT qid, n_relevant, hits, " + ", ".join(
+    O.r6(c) for c in ("precision", "recall", "ndcg")) + " FROM perq")
+def q_metrics_at_5(spark, sf):
+    """V9: another k over the same responses."""
+    per_q, _ = evaluate(_run(spark, sf).responses, _truth(spark, sf), 5)
+    return round_doubles(per_q)
+
+
+@register("missing_results_partial", _EVAL + " SELECT DISTINCT qid FROM truth WHERE CAST(qid AS BIGINT) % 2 = 1")
+def q_missing_results_partial(spark, sf):
+    """V2: queries with an odd id got no response file."""
+    run = _run(spark, sf)
+    return missing_results(run.responses.where(F.col("qid").cast("bigint") % 2 == 0), _truth(spark, sf))

@@ -33,3 +33,14 @@ def export_id_mapping(chunks: DataFrame, path: str) -> None:
     """Id -> ``<file>::chunk<n>`` mapping as JSON lines ``{"id", "ref"}``."""
     chunks.select(chunks["chunk_id"].alias("id"), chunks["chunk_ref"].alias("ref")) \
         .write.mode("overwrite").json(path)
+
+
+def read_chunks_jsonl(spark: SparkSession, path: str) -> DataFrame:
+    """The exported chunk lines: ``chunk_id, text``."""
+    return spark.read.schema("id bigint, text string").json(path).withColumnRenamed("id", "chunk_id")
+
+
+def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """The exported id mapping: ``chunk_id, chunk_ref``."""
+    return spark.read.schema("id bigint, ref string").json(path).withColumnsRenamed(
+        {"id": "chunk_id", "ref": "chunk_ref"})

@@ -38,6 +38,11 @@ def parse_truth(rows: DataFrame, strict_json: bool = False) -> tuple[DataFrame,
 
 def read_truth_csv(spark: SparkSession, path: str,
                    strict_json: bool = False) -> tuple[DataFrame, DataFrame]:
-    rows = spark.read.option("header", True).option("escape", "\"").schema(
+    """Quoted fields may hold line breaks.  If every query id is a whole number the
+    ids are numbers (``007`` is ``7``), otherwise they stay as written."""
+    rows = spark.read.option("header", True).option("escape", "\"").option("multiLine", True).schema(
         "query_id string, relevant_document_ids string").csv(path)
+    number = F.trim("query_id").try_cast("bigint")
+    if rows.where(F.col("query_id").isNotNull() & number.isNull()).isEmpty():
+        rows = rows.withColumn("query_id", number.cast("string"))
     return parse_truth(rows, strict_json)
