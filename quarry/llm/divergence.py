@@ -223,3 +223,55 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     p = free_name(counted, "_p")
     counted = counted.withColumn(p, F.spark_partition_id())
     return counted.where(verdict(F.col(m), refs)[1] & (F.col(p) >= 0)).drop(m, p)
+
+
+def _oracle() -> str:
+    """The same rules in DuckDB SQL."""
+    def quoted(values) -> str:
+        return ", ".join(f"'{v}'" for v in values)
+
+    space = r"[\x20\x09-\x0D]"
+
+    def letters(kind: str) -> str:
+        return rf"length(regexp_replace(t, '[^\p{{{kind}}}]', '', 'g'))"
+
+    def distance(table: str, out: str) -> str:
+        x, m = "(h.n / h.total)", "((h.n / h.total + r.f) / 2)"
+        return f"""
+{out}_all AS (SELECT doc_id, k, n, sum(n) OVER (PARTITION BY doc_id) AS total FROM {table}),
+{out}_ref AS (SELECT lang, k, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS f FROM {table} JOIN m USING (doc_id)
+  WHERE lang IN ({quoted(FUNCTION_WORDS)}) GROUP BY lang, k),
+{out}_one AS (SELECT h.doc_id, r.lang, sqrt(greatest(sum(
+    (CASE WHEN h.n > 0 THEN {x} * log2({x} / {m}) ELSE 0 END + CASE WHEN r.f > 0 THEN r.f * log2(r.f / {m}) ELSE 0 END) / 2), 0)) AS d
+  FROM {out}_all h JOIN {out}_ref r ON r.k = h.k WHERE h.total > 0 GROUP BY h.doc_id, r.lang),
+{out} AS (SELECT doc_id, min(d) AS d FROM {out}_one GROUP BY doc_id)"""
+
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '{space}+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
+tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM win),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM tri WHERE c > 1) GROUP BY doc_id),
+m AS (SELECT w.doc_id, lang, t, ws, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(regexp_replace(t, '[^{SYMBOLS}]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+             coalesce(cov.n, 0) AS n_repeat_words FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id),
+c0 AS (SELECT doc_id, {letters("Lu")} AS a, {letters("Ll")} AS b, {letters("Nd")} AS c, length(t) - word_chars AS s, n_symbols AS y, length(t) AS n FROM m),
+ch AS (SELECT doc_id, unnest([1, 2, 3, 4, 5, 6]) AS k, unnest([a, b, c, s, y, n - a - b - c - s - y]) AS n FROM c0),
+kw AS (SELECT doc_id, lower(x) AS k, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS x FROM m) WHERE x IN ({quoted(FORMS)}) GROUP BY ALL),
+wh AS (SELECT m.doc_id, v.k, coalesce(kw.n, 0) AS n FROM m CROSS JOIN (SELECT unnest([{quoted(WORDS)}]) AS k) v
+         LEFT JOIN kw ON kw.doc_id = m.doc_id AND kw.k = v.k
+       UNION ALL SELECT m.doc_id, '', n_words - coalesce(kn.n, 0) FROM m LEFT JOIN
+         (SELECT doc_id, sum(n) AS n FROM kw GROUP BY doc_id) kn ON kn.doc_id = m.doc_id),
+{distance("ch", "cd").lstrip()},
+{distance("wh", "wd").lstrip()},
+v AS (SELECT m.*, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+             (word_chars >= {MIN_CLASS_CHARS} AND coalesce(cd.d > {MAX_CLASS_DISTANCE}, false))
+             OR (n_words >= {MIN_HIST_WORDS} AND coalesce(wd.d > {MAX_WORD_DISTANCE}, false)) AS far
+      FROM m LEFT JOIN cd ON cd.doc_id = m.doc_id LEFT JOIN wd ON wd.doc_id = m.doc_id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT far AS kept FROM v"""
+
+
+ORACLE_OP9 = _oracle()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op10_chunk_bpe
-from .divergence import op9_divergence
+from .divergence import ORACLE_OP9, op9_divergence
 from .feistel import op3_feistel_pii
 from .html_paths import op1_tag_path_ratios
 from .lines import op8_line_dedup
@@ -33,4 +33,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_maxscore": ORACLE_OP2,
+    "op9_divergence": ORACLE_OP9,
 }
