@@ -24,7 +24,7 @@ def test_model_embed_batches(spark):
 
 
 def test_hash_embed_counts(spark):
-    df = spark.createDataFrame([(1, "Cat cat, dog!"), (2, "")], "chunk_id long, text string")
+    df = spark.createDataFrame([(1, "cat dog\n cat"), (2, "")], "chunk_id long, text string")
     got = {r.chunk_id: np.array(r.embedding) for r in hash_embed(df, dim=64).collect()}
     assert got[1].sum() == 3 and sorted(got[1][got[1] > 0].tolist()) == [1.0, 2.0]
     assert got[2].sum() == 0

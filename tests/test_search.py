@@ -66,7 +66,7 @@ def test_knn_rejects_unknown_metric(spark, emb):
 
 def test_ivf_properties(spark, emb):
     df, ids, X = emb
-    index = build_index(df, "cosine", 1024, None, train_iters=0)
+    index = build_index(df, "cosine", 1024, None, train_iters=0, adaptive=True)
     post = index.postings.select("id", "list_id").collect()
     assert sorted(r.id for r in post) == sorted(ids.tolist())      # each id exactly once
     assert index_size(index) == len(ids)
@@ -86,7 +86,7 @@ def test_ivf_properties(spark, emb):
 def test_trained_ivfpq_recall_and_persistence(spark, emb):
     df, ids, X = emb
     path = scratch_path(spark, "test-index")
-    index = build_index(df, "cosine", 1024, pq_m=16, pq_bits=8, train_iters=10, path=path)
+    index = build_index(df, "cosine", 1024, pq_m=16, pq_bits=8, train_iters=10, path=path, adaptive=True)
     again = load_index(spark, path)
     assert again.is_pq and index_size(again) == len(ids)
     assert again.codebooks.count() == 16 * 256
@@ -99,7 +99,7 @@ def test_trained_ivfpq_recall_and_persistence(spark, emb):
 def test_l2_pq_scores_match_reconstruction(spark, emb):
     """ADC for L2 equals the squared distance to the decoded vector."""
     df, ids, X = emb
-    index = build_index(df, "l2", 1024, pq_m=8, pq_bits=8, train_iters=0)
+    index = build_index(df, "l2", 1024, pq_m=8, pq_bits=8, train_iters=0, adaptive=True)
     C = np.array([r.centroid for r in index.centroids.orderBy("list_id").collect()])
     cb = {}
     for r in index.codebooks.collect():
@@ -118,7 +118,7 @@ def test_l2_pq_scores_match_reconstruction(spark, emb):
 
 def test_incremental_add_equals_bulk(spark, emb):
     df, _, _ = emb
-    bulk = build_index(df, "cosine", 1024, pq_m=8, train_iters=0)
+    bulk = build_index(df, "cosine", 1024, pq_m=8, train_iters=0, adaptive=True)
     path = scratch_path(spark, "test-append")
     inc = empty_index_like(bulk, path)
     append_batch(path, df.where(F.col("id") < 200), 0, inc)
@@ -132,7 +132,7 @@ def test_incremental_add_equals_bulk(spark, emb):
 
 def test_ivf_multi_block_equals_single(spark, emb):
     df, _, _ = emb
-    index = build_index(df, "cosine", 1024, pq_m=8, train_iters=0)
+    index = build_index(df, "cosine", 1024, pq_m=8, train_iters=0, adaptive=True)
     q = _queries(df).where(F.col("id") < 60)
     one = _lists(ivf_search(index, q, 5, nprobe=4))
     many = _lists(ivf_search(index, q, 5, nprobe=4, max_broadcast_bytes=64 * 1024 // 8))
@@ -141,8 +141,8 @@ def test_ivf_multi_block_equals_single(spark, emb):
 
 def test_index_invariant_under_repartitioning(spark, emb):
     df, _, _ = emb
-    a = build_index(df.repartition(3), "cosine", 1024, pq_m=8, train_iters=2)
-    b = build_index(df.repartition(7, "id"), "cosine", 1024, pq_m=8, train_iters=2)
+    a = build_index(df.repartition(3), "cosine", 1024, pq_m=8, train_iters=2, adaptive=True)
+    b = build_index(df.repartition(7, "id"), "cosine", 1024, pq_m=8, train_iters=2, adaptive=True)
     pa_ = a.postings.select("id", "list_id", "codes")
     pb_ = b.postings.select("id", "list_id", "codes")
     assert pa_.count() == pb_.count() and pa_.exceptAll(pb_).count() == 0
@@ -162,6 +162,6 @@ def test_spark_ml_engine_and_random_sample(spark, emb):
 
 def test_ivf_flat_l2_full_probe_is_exact(spark, emb):
     df, ids, X = emb
-    index = build_index(df, "l2", 1024, None, train_iters=3)
+    index = build_index(df, "l2", 1024, None, train_iters=3, adaptive=True)
     got = _lists(ivf_search(index, _queries(df), 10, nprobe=10_000))
     assert got == _brute(ids, X, 10, "l2")

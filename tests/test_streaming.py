@@ -14,7 +14,7 @@ from conftest import SF01
 
 def test_stream_batches_and_replay(spark):
     emb = read_embeddings(spark, SF01)
-    bulk = build_index(emb, "cosine", 1024, pq_m=8, train_iters=0)
+    bulk = build_index(emb, "cosine", 1024, pq_m=8, train_iters=0, adaptive=True)
     src = tempfile.mkdtemp(prefix="quarry-stream-src-", dir="/tmp")
     for i, (lo, hi) in enumerate([(0, 150), (150, 320), (320, 10_000)]):
         emb.where((F.col("id") >= lo) & (F.col("id") < hi)).coalesce(1) \
