@@ -7,8 +7,8 @@ it), so that one more shard takes records only into itself.
 Pass one scatters the records by seeded hashes: to a shard, and uniformly to
 buckets of a size that fits into a task's memory.  Pass two permutes each bucket
 by Fisher-Yates with a generator seeded by shard and bucket, and writes it.  A
-record's slot is the number of records in the shard's earlier buckets plus its
-place in its own.
+record's slot is the number of records in the shard's earlier buckets, known from
+a count of the scatter, plus its place in its own.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import free_name, number_hot_copies, row_hash, scratch_path, table
+from .common import free_name, materialize, number_hot_copies, row_hash, scratch_path, table
 
 SHARDS = 24
 SEED = 20240229
@@ -38,12 +38,13 @@ def rendezvous_shard(key: Column, shards: int, seed: int = SEED) -> Column:
 
 def fisher_yates(group: pa.Table, shard: int, bucket: int, seed: int) -> pa.Table:
     """The rows of a bucket in random order (a function of the rows, the seed and
-    the bucket's name), with their place."""
+    the bucket's name), with their slots from ``_base`` on."""
     group = group.take(pa.compute.sort_indices(group.column("_o")))
     rng = np.random.Generator(np.random.PCG64([seed, shard, bucket]))
     order = np.arange(group.num_rows)
     rng.shuffle(order)                  # Fisher-Yates
-    return group.take(pa.array(order)).append_column("_pos", pa.array(np.arange(len(order)), pa.int64()))
+    slot = pa.array(group.column("_base").to_numpy() + np.arange(len(order)), pa.int64())
+    return group.take(pa.array(order)).append_column("_slot", slot)
 
 
 def shuffle_shards(records: DataFrame, path: str, shards: int = SHARDS, key_col: str = "doc_id",
@@ -58,7 +59,7 @@ def shuffle_shards(records: DataFrame, path: str, shards: int = SHARDS, key_col:
     over buckets.  A null text counts as no bytes.  Empty table: no rows."""
     spark = records.sparkSession
     names = records.columns
-    taken = [n for n in names if n.lower() in ("_shard", "_slot", "_bucket", "_pos", "_o")]
+    taken = [n for n in names if n.lower() in ("_shard", "_slot", "_bucket", "_base", "_o")]
     if taken:
         raise ValueError(f"columns {taken} have names that the output needs")
     size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + RECORD_BYTES
@@ -74,21 +75,25 @@ def shuffle_shards(records: DataFrame, path: str, shards: int = SHARDS, key_col:
                 *[F.lit(b).cast("bigint") for b in buckets])[F.col("_shard")]).cast("int"))
             .drop(copy))
 
-    def permute(key, group):
-        return fisher_yates(group, key[0].as_py(), key[1].as_py(), seed)
-
-    schema = StructType([*rows.schema.fields, StructField("_pos", LongType())])
-    out = rows.groupBy("_shard", "_bucket").applyInArrow(permute, schema)
-    out.drop("_o").write.mode("overwrite").partitionBy("_shard").option("compression", "zstd").parquet(path)
-
-    written = spark.read.parquet(path) if held else spark.createDataFrame(
-        [], out.drop("_o").schema)
-    count = written.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # first slot of each bucket; joined on the buckets' key, which the grouping
+    # needs anyway, so the records are shuffled once
+    count = rows.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    base = count.select("_shard", "_bucket", (F.sum("_n").over(before) - F.col("_n")).alias("_base"))
-    return (written.join(base, ["_shard", "_bucket"])
-            .select(*[F.col(f"`{c}`") for c in names], "_shard", (F.col("_base") + F.col("_pos")).alias("_slot")))
+    base = materialize(count.select("_shard", "_bucket", (F.sum("_n").over(before) - F.col("_n")).alias("_base")),
+                       "bucket-slots")
+    rows = rows.join(base, ["_shard", "_bucket"])
+
+    def permute(key, group):
+        return fisher_yates(group, key[0].as_py(), key[1].as_py(), seed).select(kept)
+
+    fields = {f.name: f for f in rows.schema.fields} | {"_slot": StructField("_slot", LongType())}
+    kept = [*names, "_shard", "_slot"]
+    out = rows.groupBy("_shard", "_bucket").applyInArrow(permute, StructType([fields[c] for c in kept]))
+    out.write.mode("overwrite").partitionBy("_shard").option("compression", "zstd").parquet(path)
+    if not held:
+        return spark.createDataFrame([], out.schema)
+    return spark.read.parquet(path).select(kept)
 
 
 def op4_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
