@@ -21,7 +21,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
@@ -137,16 +136,9 @@ def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
                 [pa.array(nz.astype(np.int32)), V.matrix_to_list_array(sums[nz], pa.float64()),
                  pa.array(cnt[nz])], names=["list_id", "s", "n"])
 
-        def combine(key, group):
-            S, _ = V.list_column_matrix(group.column("s"))
-            return pa.table({"list_id": pa.array([key[0].as_py()], pa.int32()),
-                             "s": V.matrix_to_list_array(S.sum(axis=0, keepdims=True), pa.float64()),
-                             "n": pa.array([pa.compute.sum(group.column("n")).as_py()], pa.int64())})
-
-        # the tasks' partial sums are added per list in Spark; the driver gets one
-        # row per list
-        schema = "list_id int, s array<double>, n bigint"
-        tbl = data.mapInArrow(partial, schema).groupBy("list_id").applyInArrow(combine, schema).toArrow()
+        # the driver gets one row per list
+        tbl = _add_up(data.mapInArrow(partial, "list_id int, s array<double>, n bigint"), "list_id",
+                      "list_id int, s array<double>, n bigint")
         bc.unpersist()
         sums = np.zeros((k, dim))
         cnt = np.zeros(k)
@@ -296,50 +288,74 @@ def residuals(assigned: DataFrame, centroids: DataFrame, metric: str = "cosine",
         resid, f"{id_col} bigint, list_id int, residual array<double>")
 
 
-def _kmeans_np(x: np.ndarray, k: int, iters: int) -> np.ndarray:
-    """Lloyd's k-means in numpy, first-k start; empty clusters keep their centre."""
-    c = x[:k].copy()
-    for _ in range(iters):
-        d = V.sq_l2_distances(x, np.einsum("ij,ij->i", x, x), c)
-        a = np.argmin(np.round(d, TIE_DIGITS), axis=1)
-        sums, cnt = V.group_sums(x, a, k)
-        nz = cnt > 0
-        c[nz] = sums[nz] / cnt[nz, None]
-    return c
-
-
 def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
                     train_iters: int = 20, id_col: str = "id",
                     dim: int | None = None) -> DataFrame:
-    """One k-means of ``2^bits`` codes per sub-space, trained in parallel
-    (``groupBy(m).applyInPandas``).  Each group holds the training sample's
-    sub-vectors for one m -- bounded by the sample size, a parameter.  The first
-    ``2^bits`` rows by id seed each k-means (``train_iters=0`` stops there)."""
+    """A k-means of ``2^bits`` codes in each sub-space, all sub-spaces at once.
+    The first ``2^bits`` rows by id are the start (``train_iters=0`` stops there).
+    In each iteration every task assigns its rows in all sub-spaces and emits
+    partial sums per code; they are added per code by a shuffle, and the driver
+    gets one row per code (``m x 2^bits``).  No task holds a sub-space whole."""
     ksub = 1 << pq_bits
-    if dim is None:
-        first = resid.select(F.size("residual")).first()
-        if first is None:
-            raise ValueError("no training data for the product quantiser")
-        dim = first[0]
+    spark = resid.sparkSession
+    resid = resid.select(id_col, "residual").persist()
+    first = resid.orderBy(id_col).limit(ksub).toArrow()
+    if not first.num_rows:
+        raise ValueError("no training data for the product quantiser")
+    start, _ = V.list_column_matrix(first.column("residual"))
+    dim = dim or start.shape[1]
     if dim % pq_m:
         raise ValueError(f"dim {dim} is not divisible by pq_m {pq_m}")
+    if len(start) < ksub:
+        raise ValueError(f"PQ training needs >= {ksub} rows, got {len(start)}")
     dsub = dim // pq_m
-    sub = resid.select(
-        id_col,
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(pq_m - 1)),
-                                 lambda j: F.slice("residual", j * dsub + 1, dsub)))
-        .alias("m", "sub"))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col, kind="stable")
-        x = np.stack(pdf["sub"].to_numpy()).astype(np.float64)
-        if len(x) < ksub:
-            raise ValueError(f"PQ training needs >= {ksub} rows, got {len(x)}")
-        c = _kmeans_np(x, ksub, train_iters)
-        return pd.DataFrame({"m": int(pdf["m"].iloc[0]), "code": np.arange(ksub, dtype=np.int32),
-                             "subvector": [row for row in c]})
-
-    return sub.groupBy("m").applyInPandas(fit, "m int, code int, subvector array<double>")
+    cb = start.reshape(ksub, pq_m, dsub).transpose(1, 0, 2).copy()
+    schema = "code int, s array<double>, n bigint"
+    for _ in range(train_iters):
+        bc = spark.sparkContext.broadcast(cb)
+
+        def partial(batches, bc=bc):
+            books = bc.value
+            sums = np.zeros((pq_m * ksub, dsub))
+            cnt = np.zeros(pq_m * ksub, dtype=np.int64)
+            for rb in batches:
+                R, _ = V.list_column_matrix(rb.column("residual"))
+                if not len(R):
+                    continue
+                codes = _encode(R, books)
+                for j in range(pq_m):
+                    at = slice(j * ksub, (j + 1) * ksub)
+                    s_, c_ = V.group_sums(R[:, j * dsub:(j + 1) * dsub], codes[:, j].astype(np.int64), ksub)
+                    sums[at] += s_
+                    cnt[at] += c_
+            nz = np.nonzero(cnt)[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nz.astype(np.int32)), V.matrix_to_list_array(sums[nz], pa.float64()), pa.array(cnt[nz])],
+                names=["code", "s", "n"])
+
+        tbl = _add_up(resid.select("residual").mapInArrow(partial, schema), "code", schema)
+        bc.unpersist()
+        at = tbl.column("code").to_numpy()
+        total, _ = V.list_column_matrix(tbl.column("s"))
+        flat = cb.reshape(pq_m * ksub, dsub).copy()
+        flat[at] = total / tbl.column("n").to_numpy()[:, None]
+        cb = flat.reshape(pq_m, ksub, dsub)
+    resid.unpersist()
+    return spark.createDataFrame(
+        [(j, k, [float(x) for x in cb[j, k]]) for j in range(pq_m) for k in range(ksub)],
+        "m int, code int, subvector array<double>")
+
+
+def _add_up(partials: DataFrame, key: str, schema: str) -> pa.Table:
+    """Partial sums ``(key, s array<double>, n)`` of all tasks, added per key in
+    Spark (a key has one row per task); one row per key comes back."""
+    def combine(group_key, group):
+        S, _ = V.list_column_matrix(group.column("s"))
+        return pa.table({key: pa.array([group_key[0].as_py()], pa.int32()),
+                         "s": V.matrix_to_list_array(S.sum(axis=0, keepdims=True), pa.float64()),
+                         "n": pa.array([pa.compute.sum(group.column("n")).as_py()], pa.int64())})
+
+    return partials.groupBy(key).applyInArrow(combine, schema).toArrow()
 
 
 def codebook_tensor(codebooks: DataFrame) -> np.ndarray:
