@@ -28,11 +28,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen = state
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # the minima are written, so that the join below reads both sides through
+        # shuffles of its own and Spark can split a hub's rows
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "cc-low")
         large = (both.join(low, "u").where("v > u")
                  .select(F.col("m").alias("u"), "v").where("u <> v").distinct())
         large = materialize(large, "cc-large")
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        low = materialize(large.groupBy("v").agg(F.min("u").alias("m")), "cc-low")
         small = (large.join(low, "v").where("u <> m").select(F.col("m").alias("u"), F.col("u").alias("v"))
                  .unionByName(low.select(F.col("m").alias("u"), "v")).distinct())
         e = materialize(small, "cc")
