@@ -349,13 +349,17 @@ def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
 def _add_up(partials: DataFrame, key: str, schema: str) -> pa.Table:
     """Partial sums ``(key, s array<double>, n)`` of all tasks, added per key in
     Spark (a key has one row per task); one row per key comes back."""
-    def combine(group_key, group):
-        S, _ = V.list_column_matrix(group.column("s"))
-        return pa.table({key: pa.array([group_key[0].as_py()], pa.int32()),
-                         "s": V.matrix_to_list_array(S.sum(axis=0, keepdims=True), pa.float64()),
-                         "n": pa.array([pa.compute.sum(group.column("n")).as_py()], pa.int64())})
-
-    return partials.groupBy(key).applyInArrow(combine, schema).toArrow()
+    def combine(_, group):
+        keys, at = np.unique(group.column(key).to_numpy(), return_inverse=True)
+        S, _valid = V.list_column_matrix(group.column("s"))
+        sums, _cnt = V.group_sums(S, at, len(keys))
+        n = np.bincount(at, weights=group.column("n").to_numpy(), minlength=len(keys))
+        return pa.table({key: pa.array(keys.astype(np.int32)), "s": V.matrix_to_list_array(sums, pa.float64()),
+                         "n": pa.array(n.astype(np.int64))})
+
+    # a few groups of many keys each: one Python call per key would cost more than the sums
+    parts = partials.groupBy(F.pmod(F.col(key), F.lit(32)).alias("_part"))
+    return parts.applyInArrow(combine, schema).toArrow()
 
 
 def codebook_tensor(codebooks: DataFrame) -> np.ndarray:
