@@ -218,6 +218,21 @@ def linked(fps: DataFrame, max_distance: int = MAX_DISTANCE, n_pivots: int = PIV
     return star.select(F.col("node").alias("fp"), "root")
 
 
+def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
+                  extra: list[Column] = ()) -> DataFrame:
+    """As ``near_duplicates``, with ``_root``, the smallest fingerprint of the
+    component: the component itself, whatever the ids of its documents."""
+    rows = materialize(fingerprints(docs, [F.col(id_col).alias("_id"), *extra], text_col, shingle), "fp")
+    firsts = rows.groupBy("fp").agg(F.min("_id").alias("_first"))
+    roots = linked(firsts.select("fp"), max_distance)
+    known = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    known = materialize(known, "fp-roots")
+    smallest = known.groupBy("root").agg(F.min("_first").alias("component_id"))
+    of_fp = known.join(smallest, "root").select("fp", "component_id", F.col("root").alias("_root"))
+    return rows.join(of_fp, "fp").withColumnRenamed("_id", id_col)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
                     extra: list[Column] = ()) -> DataFrame:
@@ -226,14 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     differ in at most ``max_distance`` bits).  Texts without words (null, empty)
     have fingerprint zero and are linked like any other.  Null ids never are the
     smallest, unless there is no other; repeated rows stay; empty table: no rows."""
-    rows = materialize(fingerprints(docs, [F.col(id_col).alias("_id"), *extra], text_col, shingle), "fp")
-    firsts = rows.groupBy("fp").agg(F.min("_id").alias("_first"))
-    roots = linked(firsts.select("fp"), max_distance)
-    known = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    known = materialize(known, "fp-roots")
-    smallest = known.groupBy("root").agg(F.min("_first").alias("component_id"))
-    of_fp = known.join(smallest, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").withColumnRenamed("_id", id_col)
+    return components_of(docs, id_col, text_col, shingle, max_distance, extra).drop("_root")
 
 
 def op7_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,12 +252,13 @@ def op7_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without near duplicates: of each component one row stays,
     that with the smallest id (then the smallest hash of the row); columns as in
-    ``docs``.  Among rows equal in all columns one stays."""
+    ``docs``.  Among rows equal in all columns one stays.  Components are told
+    apart by their fingerprints, so null and repeated ids join nothing."""
     h = free_name(docs, "_rowhash")
-    found = near_duplicates(docs, id_col, text_col, extra=[row_hash(docs).alias("_h")])
+    found = components_of(docs, id_col, text_col, extra=[row_hash(docs).alias("_h")])
     # rows equal in all columns are counted first, then the least of each component
-    rows = found.groupBy("component_id", F.col(id_col).alias("_i"), "_h").agg(F.count(F.lit(1)).alias("_n"))
-    best = materialize(rows.groupBy("component_id").agg(
+    rows = found.groupBy("_root", F.col(id_col).alias("_i"), "_h").agg(F.count(F.lit(1)).alias("_n"))
+    best = materialize(rows.groupBy("_root").agg(
         F.min(F.struct(F.col("_i").isNull().alias("_null"), "_i", "_h", "_n")).alias("b"))
         .select("b._i", "b._h", "b._n"), "keep-one")
     hashed = docs.withColumn(h, row_hash(docs))

@@ -97,6 +97,16 @@ def test_keep_one(spark):
     assert simhash.keep_one(null).count() == 1
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join("w%d" % rng.randrange(10_000) for _ in range(80))
+    texts = [text() for _ in range(40)]
+    texts += texts[:4]                                      # copies: of null ids and of repeated ones
+    ids = [None if k % 2 else 7 if k % 4 else k for k in range(40)] + [None, None, 7, 7]
+    got = sorted(r.text for r in simhash.keep_one(frame(spark, texts, ids)).collect())
+    assert got == sorted(set(texts))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 199)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
