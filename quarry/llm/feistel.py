@@ -144,6 +144,11 @@ def _core(v: Column, kind: Column) -> Column:
             .otherwise(F.regexp_replace(v, SECRET_HEAD, "")))
 
 
+def _first_digits(x: Column) -> Column:
+    """Start of each digit's range in a phone number of ten digits."""
+    return F.transform(x, lambda a, i: F.when(i.isin(0, 3) & (a >= 2), 2).otherwise(0))
+
+
 def symbols_of(v: Column, kind: Column) -> Column:
     """struct(s: symbols, r: their ranges) of a value."""
     def pair(s: Column, r: Column) -> Column:
@@ -153,7 +158,6 @@ def symbols_of(v: Column, kind: Column) -> Column:
     o = F.transform(F.split(v, r"\."), lambda x: x.cast("int"))
     unicast, zero = o[0].between(1, 223), o[0] == 0
     area, group, serial = (F.substring(v, a, n).cast("int") for a, n in ((1, 3), (5, 2), (8, 4)))
-    low = _ints(*[2 if i in (0, 3) else 0 for i in range(10)])
     date = _date(v, kind)
     day = pair(_ints(), _ints())
     for first, days, r in SPANS:
@@ -161,10 +165,11 @@ def symbols_of(v: Column, kind: Column) -> Column:
         day = F.when(off >= 0, pair(_ints(F.floor(off / r), F.pmod(off, F.lit(r))), _ints(days // r, r))).otherwise(day)
     return (F.when(kind.isin("mail", "access", "secret"), let(_core(v, kind), lambda c: _letters(c, [DIGITS, LOWER, UPPER])))
             .when(kind == "hex", let(_core(v, kind), lambda c: _letters(c, [DIGITS, HEX])))
-            # area code and exchange start with 2 to 9; a country code stays
-            .when(kind == "phone", let(d, lambda x: pair(F.zip_with(
-                F.slice(x, F.size(x) - 9, F.lit(10)), low, lambda a, b: F.greatest(a - b, F.lit(0))),
-                _ints(*[8 if i in (0, 3) else 10 for i in range(10)]))))
+            # a country code stays; the first digits of area code and exchange stay in
+            # their range (2 to 9 by the plan, 0 and 1 outside it)
+            .when(kind == "phone", let(F.slice(d, F.size(d) - 9, F.lit(10)), lambda x: pair(
+                F.zip_with(x, _first_digits(x), lambda a, b: a - b),
+                F.transform(x, lambda a, i: F.when(~i.isin(0, 3), 10).when(a >= 2, 8).otherwise(2)))))
             # the first octet stays in its range (0, 1 to 223, 224 to 255)
             .when(kind == "ip", let(o, lambda x: pair(
                 _ints(x[1], x[2], x[3], F.when(unicast, x[0] - 1).when(zero, 0).otherwise(x[0] - 224)),
@@ -190,7 +195,7 @@ def render(v: Column, kind: Column, p: Column) -> Column:
         return F.concat(F.slice(x, 1, 1), p, F.array(F.pmod(wrong - luhn_sum(body), F.lit(10)).cast("int")))
 
     def phone(x: Column) -> Column:
-        low = _ints(*[2 if i in (0, 3) else 0 for i in range(10)])
+        low = _first_digits(F.slice(x, F.size(x) - 9, F.lit(10)))
         return F.concat(F.slice(x, F.lit(1), F.size(x) - 10), F.zip_with(p, low, lambda a, b: a + b))
 
     first = F.split(v, r"\.")[0].cast("int")

@@ -114,6 +114,20 @@ def test_different_values_stay_different(spark):
     assert len(set(out)) == len(set(vals))
 
 
+def test_phones_of_all_first_digits_stay_different(spark):
+    vals = [f"+1 ({a}12) {b}55-0{c:03d}" for a in range(10) for b in range(10) for c in range(0, 1000, 97)]
+    docs = spark.createDataFrame([(v,) for v in vals], "text string")
+    out = [r.text for r in feistel.pseudonymise(docs).collect()]
+    assert len(set(out)) == len(vals)
+    for v, o in zip(vals, out):
+        assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", o)
+        assert (v[4] < "2") == (o[4] < "2") and (v[9] < "2") == (o[9] < "2")
+    # a number is the same person with and without the country code
+    two = spark.createDataFrame([("+1 (212) 555-0100",), ("(212) 555-0100",)], "text string")
+    a, b = [r.text for r in feistel.pseudonymise(two).collect()]
+    assert a == "+1 " + b
+
+
 # ------------------------------------------------------------------ urls
 
 def test_rules_and_names(spark):
