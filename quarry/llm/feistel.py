@@ -37,7 +37,10 @@ ISO_DATE = r"(?<![\d-])(?:19|20)\d{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(
 DAY_DATE = r"(?<![\d./])(?:0[1-9]|[12]\d|3[01])([./])(?:0[1-9]|1[0-2])\1(?:19|20)\d{2}(?![\d/]|\.\d)"
 CARD = r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?![\d-])"
 ACCESS = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = r"(?i:password|passwd|token|secret|api_?key) ?[=:] ?\"?[A-Za-z0-9_-]{8,128}\"?"
+# A secret ends where its characters end, at any length; mail addresses, IPs and dates are their own kinds.
+SECRET = (r"(?i:password|passwd|token|secret|api_?key) ?[=:] ?\"?(?!" + MAIL + r")"
+          r"(?!(?:(?:\d{1,3}\.){3}\d{1,3}|\d{2}[./]\d{2}[./]\d{4})(?![A-Za-z0-9_/+=-]|\.\d))"
+          r"[A-Za-z0-9_./+=-]{7,}[A-Za-z0-9_-]\"?")
 KINDS = {"mail": MAIL, "phone": PHONE, "ip": IPV4, "ssn": SSN, "iso": ISO_DATE, "day": DAY_DATE,
          "card": CARD, "access": ACCESS, "secret": SECRET}
 ANY = "|".join(KINDS.values()).replace(r"([./])", r"(?<sep>[./])").replace(r"\1", r"\k<sep>")
@@ -92,16 +95,24 @@ def _radix(c: Column, sets: list[str]) -> Column:
     return out
 
 
+def _char(c: Column, x: Column, sets: list[str]) -> Column:
+    """Symbol ``x`` in the alphabet of ``c``; characters outside all stay."""
+    out = c
+    for s in sets:
+        out = F.when(F.instr(F.lit(s), c) > 0, F.substring(F.lit(s), x + 1, F.lit(1))).otherwise(out)
+    return out
+
+
 def _write(v: Column, new: Column, sets: list[str]) -> Column:
-    """``v`` with its k-th character of the alphabets replaced by the k-th symbol."""
-    def char(c: Column, x: Column) -> Column:
-        out = c
-        for s in sets:
-            out = F.when(F.instr(F.lit(s), c) > 0, F.substring(F.lit(s), x + 1, F.lit(1))).otherwise(out)
-        return out
+    """``v`` with its k-th character of the alphabets replaced by the k-th symbol
+    (short values: the work grows with the square of the length)."""
+    return let(_chars(v), lambda cs: F.array_join(F.transform(cs, lambda c, i: _char(c, F.coalesce(F.get(
+        new, F.size(F.filter(F.slice(cs, F.lit(1), i), lambda d: _code(d, sets).isNotNull()))), F.lit(0)), sets)), ""))
+
 
-    return let(_chars(v), lambda cs: F.array_join(F.transform(cs, lambda c, i: char(c, F.coalesce(F.get(
-        new, F.size(F.filter(F.slice(cs, F.lit(1), i), lambda d: _code(d, sets).isNotNull()))), F.lit(0)))), ""))
+def _write_all(v: Column, new: Column, sets: list[str]) -> Column:
+    """``v`` with one symbol for every character."""
+    return F.array_join(F.zip_with(_chars(v), new, lambda c, x: _char(c, x, sets)), "")
 
 
 def _ints(*values) -> Column:
@@ -118,10 +129,9 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _letters(core: Column, sets: list[str]) -> Column:
-    return F.struct(F.transform(F.filter(_chars(core), lambda c: _code(c, sets).isNotNull()),
-                                lambda c: _code(c, sets)).cast("array<int>").alias("s"),
-                    F.transform(F.filter(_chars(core), lambda c: _code(c, sets).isNotNull()),
-                                lambda c: _radix(c, sets)).cast("array<int>").alias("r"))
+    """One symbol for every character; outside the alphabets 0, with range 1."""
+    return F.struct(F.transform(_chars(core), lambda c: F.coalesce(_code(c, sets), F.lit(0))).cast("array<int>").alias("s"),
+                    F.transform(_chars(core), lambda c: F.coalesce(_radix(c, sets), F.lit(1))).cast("array<int>").alias("r"))
 
 
 def _date(v: Column, kind: Column) -> Column:
@@ -133,15 +143,14 @@ def kind_of(v: Column) -> Column:
     out = F.lit("none")
     for k, p in reversed(KINDS.items()):
         out = F.when(F.regexp_like(v, F.lit(f"^(?:{p})$")), F.lit(k)).otherwise(out)
-    body = F.regexp_replace(v, SECRET_HEAD, "")
-    return F.when((out == "secret") & F.regexp_like(body, F.lit(r"^[0-9a-f]+\"?$")), F.lit("hex")).when(
+    return F.when((out == "secret") & F.regexp_like(_core(v, out), F.lit(r"^[0-9a-f]+$")), F.lit("hex")).when(
         out.isin("iso", "day") & _date(v, out).isNull(), F.lit("none")).otherwise(out)
 
 
 def _core(v: Column, kind: Column) -> Column:
     """The part of a mail address or secret that is permuted."""
     return (F.when(kind == "mail", F.substring_index(v, "@", 1)).when(kind == "access", F.substr(v, F.lit(5)))
-            .otherwise(F.regexp_replace(v, SECRET_HEAD, "")))
+            .otherwise(F.regexp_replace(v, SECRET_HEAD + r"|\"$", "")))
 
 
 def _first_digits(x: Column) -> Column:
@@ -211,12 +220,12 @@ def render(v: Column, kind: Column, p: Column) -> Column:
     core = _core(v, kind)
     head = F.when(kind == "access", F.lit("AKIA")).when(kind == "mail", text).otherwise(
         F.regexp_extract(v, SECRET_HEAD, 0))
-    tail = F.when(kind == "mail", F.substr(v, F.instr(v, F.lit("@")))).otherwise(text)
+    tail = F.when(kind == "mail", F.substr(v, F.instr(v, F.lit("@")))).otherwise(F.regexp_extract(v, r"\"?$", 0))
     return (F.when(kind == "phone", _write(v, let(d, phone), [DIGITS])).when(kind == "card", _write(v, let(d, card), [DIGITS]))
             .when(kind == "ip", ip).when(kind == "ssn", ssn).when(kind == "iso", F.date_format(new, "yyyy-MM-dd"))
             .when(kind == "day", day).when(kind == "none", v)
-            .when(kind == "hex", F.concat(head, _write(core, p, [DIGITS, HEX])))
-            .otherwise(F.concat(head, _write(core, p, [DIGITS, LOWER, UPPER]), tail)))
+            .when(kind == "hex", F.concat(head, _write_all(core, p, [DIGITS, HEX]), tail))
+            .otherwise(F.concat(head, _write_all(core, p, [DIGITS, LOWER, UPPER]), tail)))
 
 
 def pseudonym(v: Column, key: str) -> Column:

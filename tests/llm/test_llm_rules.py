@@ -128,6 +128,26 @@ def test_phones_of_all_first_digits_stay_different(spark):
     assert a == "+1 " + b
 
 
+def test_long_and_dotted_secrets_are_replaced_whole(spark):
+    rng = random.Random(6)
+    part = lambda n: "".join(rng.choice("abcXYZ0189_-") for _ in range(n - 1)) + "q"
+    secrets = [part(129), part(300), part(20_000), f"{part(36)}.{part(200)}.{part(43)}", f"{part(50)}/{part(9)}+{part(70)}=="]
+    texts = [f"use token={s} now" for s in secrets] + [f"Set secret: \"{s}\"." for s in secrets] + [
+        "mine is token: john.smith@example.com", "password = 10.20.30.40", "john.smith@example.com 10.20.30.40", "secret: ab.c."]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = [r for r in feistel.pseudonymise(docs, count_col="n").collect()]
+    for k, s in enumerate(secrets):
+        a = re.fullmatch(r"use token=(.*) now", rows[k].text)[1]
+        b = re.fullmatch(r'Set secret: "(.*)"\.', rows[len(secrets) + k].text)[1]
+        assert a == b and len(a) == len(s) and rows[k].n == 1
+        assert re.sub("[A-Za-z0-9]", "", a) == re.sub("[A-Za-z0-9]", "", s)
+        # every stretch is changed, the last characters too
+        assert all(a[i:i + 30] != s[i:i + 30] for i in range(0, len(s) - 30, 30)) and a[-30:] != s[-30:]
+    mail, ip = rows[-2].text.split()
+    assert rows[-4].text == f"mine is token: {mail}" and rows[-3].text == f"password = {ip}"
+    assert rows[-1].text == texts[-1] and rows[-1].n == 0
+
+
 # ------------------------------------------------------------------ urls
 
 def test_rules_and_names(spark):
