@@ -1,10 +1,13 @@
 """Substring deduplication by hashing lines and runs of sentences (operator 8).
 
-Units of a text are its lines, and runs of consecutive sentences that are just
-long enough (``MIN_RUN_WORDS``), one from each sentence on.  Normalised units
-(white space, case) are hashed; of each digest the occurrence in the document
-with the smallest id, and there the first, is kept, and every other one is
-removed.  Passages that recur inside longer lines are found by their sentences.
+Units of a text are its lines, and runs of consecutive pieces that are just long
+enough (``MIN_RUN_WORDS``), one from each piece on and one up to each.  Pieces end
+with a sentence, with a line, and at content-defined word borders (the hash of the
+two words before says so), which lie alike wherever a passage stands.  Normalised
+units (white space, case) are hashed; of each digest the occurrence in the document
+with the smallest id, and there the first, is kept, and every other one is removed.
+Of a passage that recurs inside a sentence, the words before its first border and
+after its last one stay.
 Removed spans are reported as offsets (code points) in the original text.
 
 Digests are grouped with a partial aggregate, so a line that stands in every
@@ -27,36 +30,65 @@ from .common import free_name, materialize, row_hash, table
 
 MIN_LINE_WORDS = 3
 MIN_RUN_WORDS = 8
+BORDER_EVERY = 6            # words from one content-defined border to the next, on average
 LAST = (1 << 63) - 1        # rank of documents without id
 _BREAK = re.compile(r"[.!?]+[ \t]+|\n")
+_WORD = re.compile(r"\S+")
+
+
+def _pieces(text: str) -> tuple[list[int], list[bool], list[int], list[str]]:
+    """A text cut at sentence ends, line ends and content-defined word borders:
+    where each piece ends, whether it ends its line, the number of words up to its
+    end, and all words."""
+    ends, line, upto, words = [], [], [], []
+    at, breaks = 0, [(m.end(), m.group() == "\n") for m in _BREAK.finditer(text)]
+    for end, newline in [*breaks, (len(text), True)]:
+        last = None
+        for m in _WORD.finditer(text, at, end):
+            w = m.group().lower()
+            # a border lies before this word if the two words before it say so
+            if last is not None and not xxhash.xxh32_intdigest(last) % BORDER_EVERY:
+                ends.append(m.start())
+                line.append(False)
+                upto.append(len(words))
+            last = (f"{words[-1]} {w}" if last is not None else w).encode("utf-8", "replace")
+            words.append(w)
+        ends.append(end)
+        line.append(newline)
+        upto.append(len(words))
+        at = end
+    return ends, line, upto, words
 
 
 def units(text: str) -> list[tuple[int, int, str]]:
     """(start, end, normalised content) of the units of a text."""
-    marks, at = [], 0           # sentences: (start, end, words, ends its line)
-    for m in _BREAK.finditer(text):
-        marks.append((at, m.end(), text[at:m.end()].split(), m.group() == "\n"))
-        at = m.end()
-    marks.append((at, len(text), text[at:].split(), True))
+    ends, line, upto, words = _pieces(text)
+    starts, before = [0, *ends[:-1]], [0, *upto[:-1]]
     out, first = [], 0
-    for k, s in enumerate(marks):
-        if s[3]:                # a whole line
-            line = [w for x in marks[first:k + 1] for w in x[2]]
-            if len(line) >= MIN_LINE_WORDS:
-                out.append((marks[first][0], s[1], " ".join(line).lower()))
+    for k in range(len(ends)):
+        if line[k]:             # a whole line
+            if upto[k] - before[first] >= MIN_LINE_WORDS:
+                out.append((starts[first], ends[k], " ".join(words[before[first]:upto[k]])))
             first = k + 1
-    whole = {(start, content) for start, _, content in out}
-    for k, s in enumerate(marks):
-        words, j = s[2], k
-        if not words:
+    # from each piece on, and up to each piece, the pieces that are just long enough
+    runs, j, i = set(), 0, 0
+    for k in range(len(ends)):
+        if before[k] == upto[k]:
             continue
-        while len(words) < MIN_RUN_WORDS and j + 1 < len(marks):
+        while j < len(ends) and upto[j] - before[k] < MIN_RUN_WORDS:
             j += 1
-            words = words + marks[j][2]
-        content = " ".join(words).lower()
-        # a line of one run is one unit, not a repetition of itself
-        if len(words) >= MIN_RUN_WORDS and (s[0], content) not in whole:
-            out.append((s[0], marks[j][1], content))
+        if j < len(ends):
+            runs.add((k, j))
+        if upto[k] >= MIN_RUN_WORDS:
+            while i < k and upto[k] - before[i + 1] >= MIN_RUN_WORDS:
+                i += 1
+            runs.add((i, k))
+    # a line of one run is one unit, not a repetition of itself
+    whole = {(start, content) for start, _, content in out}
+    for k, j in sorted(runs):
+        content = " ".join(words[before[k]:upto[j]])
+        if (starts[k], content) not in whole:
+            out.append((starts[k], ends[j], content))
     return out
 
 
@@ -102,9 +134,10 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     first = rows.where("NOT again").groupBy("d0", "d1").agg(
         F.min("id").alias("_id"), F.count(F.lit(1)).alias("_n"))
     first = materialize(first.where("_n > 1"), "repeated-units")
+    # further occurrences in a document go in any case; the others are joined once
+    hits = materialize(rows.where("NOT again").join(first.drop("_n"), ["d0", "d1"]), "unit-hits")
     # documents with the same smallest id: the one with the smallest row hash
-    hits = rows.join(first, ["d0", "d1"], "left")
-    ties = hits.where("id = _id AND NOT again").groupBy("d0", "d1").agg(
+    ties = hits.where("id = _id").groupBy("d0", "d1").agg(
         F.min("h").alias("_h"), F.count(F.lit(1)).alias("_m")).where("_m > 1")
     ties = materialize(ties.select("d0", "d1", "_h"), "unit-ties")
     if not ties.isEmpty():
@@ -112,8 +145,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         later = F.expr("id > _id OR (id = _id AND h > _h)")
     else:
         later = F.expr("id > _id")
-    return (hits.where(F.col("again") | F.coalesce(later, F.lit(False)))
-            .groupBy("id", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    spans = hits.where(F.coalesce(later, F.lit(False))).select("id", "h", "s", "e").unionByName(
+        rows.where("again").select("id", "h", "s", "e"))
+    return (spans.groupBy("id", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

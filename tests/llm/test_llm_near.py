@@ -150,6 +150,21 @@ def test_repeated_passage_inside_lines(spark):
     assert {r.doc_id: r.text for r in lines.deduplicate(frame(spark, clean)).collect()} == dict(enumerate(clean))
 
 
+def test_repeated_passage_inside_a_sentence(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    run = lambda n: " ".join(word() for _ in range(n))
+    passages = [run(60) for _ in range(20)]                     # no sentence end inside
+    texts = [f"{run(11)} {p} {run(12)}." for p in passages * 2]
+    got = {r.doc_id: r.text for r in lines.deduplicate(frame(spark, texts)).collect()}
+    assert all(got[k] == texts[k] for k in range(20))
+    left = [len(set(got[20 + k].split()) & set(p.split())) for k, p in enumerate(passages)]
+    assert sum(left) < 0.25 * 60 * 20 and max(left) < 45
+    for k in range(20, 40):                                     # nothing else is cut
+        own = texts[k].split()
+        assert got[k].split()[:11] == own[:11] and got[k].split()[-12:] == own[-12:]
+
+
 def test_lines_with_ties_and_empty_tables(spark):
     docs = frame(spark, ["one two three", "one two three\nfour", "one two three", None], [1, 1, None, None])
     got = lines.without_repeats(docs)
