@@ -12,7 +12,9 @@ Removed spans are reported as offsets (code points) in the original text.
 
 Digests are grouped with a partial aggregate, so a line that stands in every
 document costs one row per task; the join back to the units is a plain
-shuffled join whose hot keys Spark splits.  Only spans are grouped by document.
+shuffled join whose hot keys Spark splits.  Only spans are grouped by document,
+each once however often the row is repeated.  The join back to the documents has one
+row of spans for each different document; repeated rows are split by Spark again.
 """
 
 from __future__ import annotations
@@ -147,7 +149,8 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         later = F.expr("id > _id")
     spans = hits.where(F.coalesce(later, F.lit(False))).select("id", "h", "s", "e").unionByName(
         rows.where("again").select("id", "h", "s", "e"))
-    return (spans.groupBy("id", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    # rows equal in all columns give the same spans: a list is bounded by one text's units
+    return (spans.distinct().groupBy("id", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -165,6 +165,14 @@ def test_repeated_passage_inside_a_sentence(spark):
         assert got[k].split()[:11] == own[:11] and got[k].split()[-12:] == own[-12:]
 
 
+def test_spans_of_equal_rows_are_listed_once(spark):
+    text = "one two three\nfour five six"
+    docs = frame(spark, [text, *[f"{text}\nseven eight nine"] * 50], [1] + [2] * 50)
+    rows = lines.repeated_spans(docs, "doc_id", "text").collect()
+    assert [sorted(tuple(s) for s in r.spans) for r in rows] == [[(0, 14), (14, 28)]]
+    assert sorted({r.text for r in lines.deduplicate(docs).collect()}) == ["one two three\nfour five six", "seven eight nine"]
+
+
 def test_lines_with_ties_and_empty_tables(spark):
     docs = frame(spark, ["one two three", "one two three\nfour", "one two three", None], [1, 1, None, None])
     got = lines.without_repeats(docs)
