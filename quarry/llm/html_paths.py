@@ -5,10 +5,13 @@ class names, so that differently styled parts differ).  For every path the text
 length and the punctuation of all its blocks are summed and divided by their
 number; the two ratios are fused with a prior for what the path's names say
 (an article, a menu), carried to the blocks, smoothed along the page, averaged
-for each path again and cut at a threshold.  The element that holds the selected
-paths is the content; all of its blocks are returned in page order but those in
-parts that are no content by name (menus, notices, adverts, comments ...),
-unless such a part holds most of the page's weight itself.
+for each path again and cut at a threshold.  The element that holds most of the
+selected blocks is the content, widened to every element around it that adds a
+real share of the selected text (a text in several parts or articles); what lies
+between the parts and a heading beside them belong to it.  All of its blocks are
+returned in page order but those in parts that are no content by name (menus,
+notices, adverts, comments ...), unless such a part holds most of the page's weight
+itself.
 
 Each page is a matter of its own, so the work is one Arrow pass without a shuffle.
 """
@@ -28,6 +31,7 @@ from .common import table
 
 THRESHOLD = 0.5             # of the standard deviation of the smoothed scores
 SMOOTHING = (0.25, 0.5, 0.25)
+REAL = 0.05                 # share of the selected text that widens the content
 MOST = 0.6                  # a part with a doubtful name that holds so much is content
 
 # HTML element names by what they do here.
@@ -166,6 +170,35 @@ def read_blocks(page: str) -> list[tuple[Element, str]]:
     return blocks
 
 
+def _content(x: Element) -> Element:
+    """The article or main element around an element, or the element itself."""
+    return next((y for y in x.line() if y.tag in CONTENT and not any(z.bad for z in y.line())), x)
+
+
+def _heading(blocks: list, lines: list, first: int, best: Element) -> tuple[int, Element]:
+    """Content that begins with a heading beside it: (its first block, the element
+    that holds both).  Right under the body only a heading just before it counts."""
+    if any(x.tag == "h1" for e, _ in blocks[first:first + 1] for x in e.line()):
+        return first, best
+    for around in (best, best.parent):
+        if around is None:
+            break
+        outer = around.tag in ("#root", "html", "body")
+        k, found = first - 1, None
+        while k >= 0 and around in lines[k]:
+            e = blocks[k][0]
+            beside = e.parent is around or e.parent is not None and e.parent.parent is around and (
+                e.parent.tag == "hgroup" or e.parent.tag == "header" and around.good)
+            if e.tag in HEADINGS and beside and not any(x.bad for x in lines[k]):
+                found = k
+            elif found is not None or outer:
+                break
+            k -= 1
+        if found is not None:
+            return found, around
+    return first, best
+
+
 def main_blocks(page: str) -> list[str]:
     """The content blocks of a page, in order."""
     blocks = read_blocks(page)
@@ -200,7 +233,8 @@ def main_blocks(page: str) -> list[str]:
         return {p: sum(x) / len(x) for p, x in by_path.items()}, smooth
 
     by_path, smooth = scored(True)
-    if not any(by_path.values()):               # only parts with bad names
+    named = any(by_path.values())
+    if not named:                               # only parts with bad names
         by_path, smooth = scored(False)
         if not any(x.good for e, _ in blocks for x in e.line()):
             return []
@@ -215,13 +249,39 @@ def main_blocks(page: str) -> list[str]:
             x.weight += share * len(t) * by_path[paths[k]]
             places[id(x)] = x
     best = max(places.values(), key=lambda x: x.weight)
-    for x in best.line():
-        if x.tag in CONTENT and not any(y.bad for y in x.line()):
-            best = x
-            break
-
-    inside = [(e, t, list(e.line())) for e, t in blocks]
-    inside = [(e, t, line[:line.index(best)]) for e, t, line in inside if best in line]
+    core = best = _content(best)
+
+    # further parts: where the winner is an article, others count; else every selected block
+    lines = [list(e.line()) for e, _ in blocks]
+    marked = any(x.tag in CONTENT for x in core.line())
+    parts = [k for k in chosen if core not in lines[k] and (any(x.tag in CONTENT for x in lines[k]) if marked else
+             named or any(x.good for x in lines[k]))]
+    length = sum(len(blocks[k][1]) for k in chosen if core in lines[k]) + sum(len(blocks[k][1]) for k in parts)
+    around = {id(x): n for n, x in enumerate(core.line())}
+    meets = {k: next(around[id(x)] for x in lines[k] if id(x) in around) for k in parts}
+    more = [0] * len(around)
+    for k in parts:
+        more[meets[k]] += len(blocks[k][1])
+    wide, have = 0, 0
+    for n in range(1, len(more)):
+        have += more[n]
+        if have >= REAL * length:
+            wide, have = n, 0
+    holders = {id(core)}
+    ends = []
+    if wide:
+        best = list(core.line())[wide]
+        for k in parts:
+            if meets[k] <= wide:
+                holder = _content(blocks[k][0].parent or blocks[k][0])
+                if id(holder) in around:
+                    ends.append(k)
+                else:
+                    holders.add(id(holder))
+    ends += [k for k, line in enumerate(lines) if any(id(x) in holders for x in line)]
+    first, best = _heading(blocks, lines, min(ends), best)
+
+    inside = [(*blocks[k], lines[k][:lines[k].index(best)]) for k in range(first, max(ends) + 1) if best in lines[k]]
     everything = sum(len(t) for _, t, _ in inside) or 1
     for _, t, line in inside:
         for x in line:

@@ -205,3 +205,28 @@ def test_pages(spark):
 def test_content_without_names(wrap):
     page = "<body><div><a>Home</a> <a>About</a></div>" + wrap % (LONG * 3) + "<div><a>Imprint</a></div></body>"
     assert main_blocks(page) == [SENT] * 3
+
+
+def long(word, n):
+    return " ".join(f"Long {word} sentence, with words and more words that go on." for _ in range(n))
+
+
+@pytest.mark.parametrize("sizes", [(4, 4), (6, 3), (12, 4, 4), (20, 3, 3, 3)])
+@pytest.mark.parametrize("page", ["<div class='content'>%s</div>", "<div>%s</div>", "<main>%s</main>"])
+@pytest.mark.parametrize("part", ["<div class='part'><h2>%s</h2><p>%s</p><p>%s</p><p>End.</p></div>",
+                                  "<article><h2>%s</h2><p>%s</p><p>%s</p><p>End.</p></article>"])
+def test_content_in_parts(sizes, page, part):
+    parts = [[f"Part {k}", long("first", n), long("second", n), "End."] for k, n in enumerate(sizes)]
+    text = "".join(part % tuple(x[:3]) + ("<div class='ad'>Buy it.</div><p>Between.</p>" if k == 0 else "") for k, x in enumerate(parts))
+    menu, foot = "<div><a>Home</a> <a>About</a></div>", "<div><a>Imprint</a></div>"
+    want = [*parts[0], "Between.", *[t for x in parts[1:] for t in x]]
+    assert main_blocks(f"<body>{menu}{page % text}{foot}</body>") == want
+
+
+def test_heading_beside_the_content():
+    menu = "<div><a>Home</a> <a>About</a></div>"
+    page = f"<body>{menu}<div class='post'><h1>Title</h1><p>By me</p><div class='entry'>{LONG * 3}</div></div><div>x</div></body>"
+    assert main_blocks(page) == ["Title", "By me", SENT, SENT, SENT]
+    assert main_blocks(f"<body>{menu}<h1>Title</h1><div class='entry'>{LONG * 3}</div></body>") == ["Title", SENT, SENT, SENT]
+    site = f"<body><h1>Site</h1>{menu}<div class='entry'>{LONG * 3}</div></body>"
+    assert main_blocks(site) == [SENT, SENT, SENT]
