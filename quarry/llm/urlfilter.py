@@ -5,10 +5,11 @@ Host labels and path parts are split at everything that is no letter, and each
 run of letters by a unigram Viterbi: the split with the largest probability,
 where a run outside the lexicon costs by its length.  The words of host and path
 are scored by multinomial naive Bayes with additive smoothing, trained here on the
-labelled names below (both lists are parameters).  A name of unknown words scores
-as the prior says: allowed.  The unigrams come from the same names, not from the
-urls of the table: a run-together name that is frequent there would count as a
-word of its own and never be split.
+labelled names below (both lists are parameters; none is a host of the given
+pages).  A name without labelled words scores as the prior says: allowed.  The
+unigrams are half those of the names and half those of the words seen in the
+documents, not in the urls of the table: a run-together name that is frequent there
+would count as a word of its own and never be split.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +31,11 @@ from .common import table, worker_state
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 # Labelled names to train on.
-BLOCK_NAMES = """casino-win online-casino casino-slots casino-bonus casino-royal poker-room poker-bonus free-bets
-bet-now sports-betting betting-tips best-bets free-bet lottery-win jackpot-slots gambling-bonus roulette-win
-cheap-pills buy-pills viagra-pills cheap-viagra cialis-online pharma-pills diet-pills weight-loss-pills
-adult-x adult-video adult-dating adult-cams x-adult free-porn porn-tube porn-videos sex-cams sex-chat xxx-video
-xxx-tube hot-escorts escort-girls nude-cams webcam-sex spam-farm spam-links link-farm link-spam spam-bot click-farm
-ads-track ad-track ads-tracker ad-server ads-server adserver-track click-track track-click popup-ads popunder-ads
+BLOCK_NAMES = """online-casino casino-slots casino-bonus casino-royal poker-room poker-bonus bet-now sports-betting betting-tips best-bets free-bet lottery-win jackpot-slots gambling-bonus roulette-win
+buy-pills viagra-pills cheap-viagra cialis-online pharma-pills diet-pills weight-loss-pills
+adult-video adult-dating adult-cams x-adult free-porn porn-tube porn-videos sex-cams sex-chat xxx-video
+xxx-tube hot-escorts escort-girls nude-cams webcam-sex spam-links link-farm link-spam spam-bot click-farm
+ad-track ads-tracker ad-server ads-server adserver-track click-track track-click popup-ads popunder-ads
 ads-click payday-loans fast-loans cheap-loans quick-cash easy-money get-rich free-money crypto-doubler
 replica-watches cheap-replica fake-watches warez-crack crack-keygen free-warez torrent-crack malware-download
 phishing-login hack-tool free-prizes win-prizes claim-prize free-iphone""".split()
@@ -50,7 +51,8 @@ article-archive story-index forum-topic wiki-page""".split()
 PRIOR_BLOCK = 0.2
 SMOOTHING = 0.1
 UNKNOWN_RUN, UNKNOWN_LETTER = -15.0, -1.4       # log probability of a run outside the lexicon
-MOST_LETTERS = 64                               # a longer run of letters is no name and stays whole
+LEXICON_WORDS = 100_000                         # the most frequent words of the documents
+LEXICON_LETTERS = 32                            # longer ones are no words
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -58,12 +60,17 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 class NameModel:
     """Unigram segmentation and naive Bayes over words, from labelled names."""
 
-    def __init__(self, block: list[str], allow: list[str], prior: float = PRIOR_BLOCK):
+    def __init__(self, block: list[str], allow: list[str], prior: float = PRIOR_BLOCK,
+                 seen: dict[str, int] | None = None):
         self.count = [Counter(w for n in names for w in n.split("-")) for names in (allow, block)]
         both = self.count[0] + self.count[1]
         total = sum(both.values())
-        self.unigram = {w: math.log(c / total) for w, c in both.items()}
-        self.longest = max(map(len, both))
+        share = {w: c / total for w, c in both.items()}
+        if seen:
+            text = sum(seen.values())
+            share = {w: share.get(w, 0) / 2 + seen.get(w, 0) / text / 2 for w in {**seen, **share}}
+        self.unigram = {w: math.log(x) for w, x in share.items()}
+        self.longest = max(map(len, share), default=0)
         size = len(both)
         self.odds = {w: math.log((self.count[1][w] + SMOOTHING) / (sum(self.count[1].values()) + SMOOTHING * size))
                      - math.log((self.count[0][w] + SMOOTHING) / (sum(self.count[0].values()) + SMOOTHING * size)) for w in both}
@@ -72,15 +79,20 @@ class NameModel:
     def segment(self, run: str) -> list[str]:
         """Viterbi over the ends of words; parts outside the lexicon are one run each."""
         n = len(run)
-        if n > MOST_LETTERS or run in self.unigram:
+        if run in self.unigram:
             return [run]
-        best = [(0.0, 0)] + [(-math.inf, 0)] * n
+        # best split up to each end, and the best that ends in a run outside the lexicon:
+        # (log probability, start of the last part)
+        best, other = [(0.0, 0)], (-math.inf, 0)
         for end in range(1, n + 1):
-            for at in range(end):
-                known = self.unigram.get(run[at:end]) if end - at > 1 else None
-                p = best[at][0] + (known if known is not None else UNKNOWN_RUN + UNKNOWN_LETTER * (end - at))
-                if p > best[end][0]:
-                    best[end] = (p, at)
+            other = max((other[0], other[1]), (best[-1][0] + UNKNOWN_RUN, end - 1), key=lambda x: x[0])
+            other = (other[0] + UNKNOWN_LETTER, other[1])
+            top = other
+            for at in range(max(0, end - self.longest), end - 1):
+                known = self.unigram.get(run[at:end])
+                if known is not None and best[at][0] + known > top[0]:
+                    top = (best[at][0] + known, at)
+            best.append(top)
         out, end = [], n
         while end:
             out.append(run[best[end][1]:end])
@@ -113,21 +125,34 @@ def rule_of(host, path, rules=RULES):
     return rule, verdict
 
 
+def seen_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
+    """``(word, n)``: runs of 2 to ``LEXICON_LETTERS`` letters in lower case over all
+    rows with their number, the ``most`` frequent ones (ties: by the word)."""
+    word = F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")).alias("word")
+    return (docs.select(word).where(F.length("word").between(2, LEXICON_LETTERS))
+            .groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(most))
+
+
 def judge_urls(pages: DataFrame, id_cols: list[str], url_col: str = "url", rules=RULES,
-               block_names: list[str] = BLOCK_NAMES, allow_names: list[str] = ALLOW_NAMES) -> DataFrame:
+               block_names: list[str] = BLOCK_NAMES, allow_names: list[str] = ALLOW_NAMES,
+               words: DataFrame | None = None) -> DataFrame:
     """``id_cols, host, path, rule, verdict`` for every row.  Null urls and urls
     without ``://`` have an empty host and path, fit no rule and are allowed; a
-    url's verdict is a function of the url alone, so repeated rows agree."""
+    url's verdict is a function of the url alone, so repeated rows agree.  ``words``
+    (word, n), as from ``seen_words``, adds to the unigrams; it goes to every task."""
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(*[F.col(c) for c in id_cols], host.alias("_host"), path.alias("_path"))
     rule, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
     rows = rows.withColumns({"_rule": rule, "_verdict": verdict})
-    names = (tuple(block_names), tuple(allow_names))
+    seen = words.toArrow().to_pydict() if words is not None else {"word": [], "n": []}
+    seen = dict(zip(seen["word"], seen["n"]))
+    names = (tuple(block_names), tuple(allow_names), xxhash.xxh3_128_hexdigest(repr(sorted(seen.items()))))
+    seen = pages.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches):
         models = worker_state().setdefault("name_models", {})
         if names not in models:
-            model = NameModel(*map(list, names))
+            model = NameModel(list(names[0]), list(names[1]), seen=seen.value)
             models[names] = model, Recent(lambda hp: model.score(*hp) > 0, 100_000)
         blocked = models[names][1]
         for rb in batches:
@@ -143,4 +168,5 @@ def judge_urls(pages: DataFrame, id_cols: list[str], url_col: str = "url", rules
 
 
 def op6_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), ["page_id"])
+    words = seen_words(table(spark, sf_dir, "documents"))
+    return judge_urls(table(spark, sf_dir, "pages"), ["page_id"], words=words)

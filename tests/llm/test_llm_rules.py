@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import divergence, feistel
 from quarry.llm.html_paths import extract_text, main_blocks
-from quarry.llm.urlfilter import ALLOW_NAMES, BLOCK_NAMES, NameModel, judge_urls
+from quarry.llm.urlfilter import ALLOW_NAMES, BLOCK_NAMES, NameModel, judge_urls, seen_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -172,6 +172,29 @@ def test_segments():
     assert m.segment("sussex") == ["sussex"] and m.segment("z" * 100) == ["z" * 100]
 
 
+def test_long_runs_are_segmented_too():
+    m = NameModel(BLOCK_NAMES, ALLOW_NAMES)
+    words = ["online", "casino", "bonus", "poker", "room"] * 20
+    assert m.segment("".join(words)) == words and m.score("a.org", "/" + "".join(words)) > 0
+
+
+def test_given_bad_hosts_are_held_out():
+    m = NameModel(BLOCK_NAMES, ALLOW_NAMES)
+    for name in ("casino-win", "spam-farm", "cheap-pills", "free-bets", "ads-track", "adult-x"):
+        assert name not in BLOCK_NAMES and m.score(name, "") > 0, name
+
+
+def test_words_of_the_documents_split_names(spark):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["The zebra, the  Zebra and lantern9lantern.", None, ""])], "doc_id long, text string")
+    words = seen_words(docs)
+    assert {(r.word, r.n) for r in words.collect()} == {("the", 2), ("zebra", 2), ("lantern", 2), ("and", 1)}
+    seen = {r.word: r.n for r in words.collect()}
+    assert NameModel(BLOCK_NAMES, ALLOW_NAMES, seen=seen).segment("zebracasinolantern") == ["zebra", "casino", "lantern"]
+    assert NameModel(BLOCK_NAMES, ALLOW_NAMES).segment("zebralantern") == ["zebralantern"]
+    urls = spark.createDataFrame([(1, "http://zebracasino.org/lantern"), (2, "http://zebralantern.org/")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in judge_urls(urls, ["page_id"], words=words).collect()} == {1: "block", 2: "allow"}
+
+
 # ------------------------------------------------------------------ pages
 
 LONG = "<p>" + "Long sentence, with words and more words that go on. " * 4 + "</p>"
