@@ -6,9 +6,11 @@ weight at a position.  Each task holds a shard of the candidates as postings
 For a query, a term's contribution lies between two bounds known from these; the
 *spread* between them is how much the term can still tell candidates apart.
 Terms are split so that the spreads of the non-essential ones cannot lift a
-candidate over the current k-th score by themselves: the essential postings are
-traversed for all candidates of a block, and only candidates that stay
-competitive are probed in the other terms, largest spread first.  Shards keep
+candidate over the current k-th score by themselves (from the lowest score that the
+bounds allow): the essential postings are traversed for all candidates of a block,
+and only candidates that stay competitive are probed in the other terms, largest
+spread first.  A shard's first k-th score comes from a few candidates scored in full;
+at least eight terms are essential.  Shards keep
 their k best per query; a merge by query gives the result.
 """
 
@@ -26,6 +28,7 @@ SCALE = 1024
 QUERY_EVERY = 100
 QUERY_BLOCK_BYTES = 16 << 20        # of query vectors sent to the tasks at a time
 POSTINGS_ROWS = 8192                # candidates of a shard block
+FIRST_ROWS = 64                     # candidates scored in full for a first k-th score
 EXACT = 1 << 53                     # whole numbers below this are exact as doubles
 
 
@@ -49,6 +52,14 @@ def _matrices(column: pa.Array):
         yield int(n), rows, flat[off[rows][:, None] + np.arange(n)]
 
 
+def essential(lowest: float, span: np.ndarray, floor: float) -> int:
+    """How many leading terms are essential: the spreads of the others (``span[t]``
+    from term t on) don't lift a candidate of the lowest score to ``floor``."""
+    n = len(span) - 1
+    below = lowest + span < floor
+    return min(max(int(np.argmax(below)) if below.any() else n, 8), n)
+
+
 class Postings:
     """A block of candidates as weights per term, with the terms' bounds."""
 
@@ -73,10 +84,10 @@ class Postings:
         live = np.nonzero(self.ids != own)[0]
         if not len(live):
             return live.astype(np.int64), live.astype(np.int64)
-        # essential: the leading terms that hold the larger part of all spread
-        span = rest - least
-        t = int(np.searchsorted(-span, -span[0] / 4)) if exact and len(q) > 8 else len(q)
-        t = min(max(t, min(8, len(q))), len(q))
+        if floor == -np.inf and exact and len(live) > FIRST_ROWS >= k:
+            full = q @ w[:, live[:FIRST_ROWS]].astype(kind)
+            floor = np.partition(full, len(full) - k)[len(full) - k]
+        t = essential(least[0], rest - least, floor) if exact else len(q)
         part = order[:t]
         score = (q[part] @ w[part].astype(kind))[live]
         while t < len(q):

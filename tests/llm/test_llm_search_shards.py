@@ -25,6 +25,19 @@ def test_postings_equal_brute_force():
         assert [(-int(s), int(i)) for s, i in zip(score, found)] == want
 
 
+def test_essential_terms_follow_the_floor():
+    span = np.array([100.0 - 5 * t for t in range(21)])         # 20 terms, spread 5 each
+    assert [maxscore.essential(-40.0, span, f) for f in (-np.inf, -40.0, -39.0, 0.0, 10.5, 20.5, 1000.0)] == [20, 20, 20, 13, 10, 8, 8]
+    rng = np.random.default_rng(5)
+    for d in (1, 12, 40):
+        w, ids = rng.integers(-50, 50, (300, d)), rng.permutation(300).astype(np.int64)
+        for q in rng.integers(-20, 20, (10, d)).astype(np.int64):
+            every = sorted((-int(s), int(i)) for s, i in zip(w @ q, ids) if i)
+            for floor in (-np.inf, float(-every[4][0]), float(-every[40][0])):
+                score, found = maxscore.Postings(ids, w).search(q, 0, 5, floor)
+                assert [(-int(s), int(i)) for s, i in zip(score, found)] == every[:5]
+
+
 def test_search_rows(spark, monkeypatch):
     rng = np.random.default_rng(2)
     vecs = [(int(i), [float(x) for x in rng.integers(-3, 4, 6) / 2]) for i in range(0, 500, 5)]
