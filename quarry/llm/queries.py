@@ -14,6 +14,7 @@ from .html_paths import op1_tag_path_ratios
 from .lines import op8_line_dedup
 from .maxscore import ORACLE_OP2, op2_maxscore
 from .packing import op5_best_fit_packing
+from .runs import op13_periodic_runs
 from .sharding import op4_external_shuffle
 from .simhash import op7_simhash_pivots
 from .urlfilter import op6_host_words
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_divergence": op9_divergence,
     "op10_chunk_bpe": op10_chunk_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
