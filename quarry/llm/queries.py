@@ -13,6 +13,7 @@ from .feistel import op3_feistel_pii
 from .html_paths import op1_tag_path_ratios
 from .lines import op8_line_dedup
 from .maxscore import ORACLE_OP2, op2_maxscore
+from .minhash import op12_minhash
 from .packing import op5_best_fit_packing
 from .runs import op13_periodic_runs
 from .sharding import op4_external_shuffle
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_divergence": op9_divergence,
     "op10_chunk_bpe": op10_chunk_bpe,
+    "op12_minhash": op12_minhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
