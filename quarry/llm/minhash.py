@@ -36,6 +36,7 @@ SCAN_BYTES = 1 << 22        # bytes whose words are hashed together
 FEW = 16                    # filled bins up to which empty ones look through all of them
 RANGE_BYTES = 16 << 20      # text aimed at in one range of neighbours
 MAX_RANGES = 1 << 18        # keys sent to the tasks, 25 bytes each
+RANGES_PER_TASK = 8
 KEYS_PER_RANGE = 8          # sampled keys for each range
 
 _U = np.uint64
@@ -262,7 +263,9 @@ def _by_neighbours(docs: DataFrame, id_col: str, text_col: str, range_bytes: int
     key = F.struct(F.col("doc_id").isNotNull().alias("s"), F.coalesce("doc_id", F.lit(0)).alias("d"),
                    F.col("_h").alias("h"), F.col("_copy").alias("c"))
     n, size, least = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("_text")), F.min(key)).first()
-    wanted = min(MAX_RANGES, -(-int(size or 0) // range_bytes))
+    # several ranges for each task, so that they spread evenly
+    tasks = max(shuffle_partitions(spark), -(-int(size or 0) // (range_bytes * RANGES_PER_TASK)))
+    wanted = min(MAX_RANGES, tasks * RANGES_PER_TASK)
     every = max(1, n // max(1, wanted * KEYS_PER_RANGE))
 
     def keys_of(tbl) -> np.ndarray:
@@ -270,7 +273,7 @@ def _by_neighbours(docs: DataFrame, id_col: str, text_col: str, range_bytes: int
 
     # a sample by hash, of about KEYS_PER_RANGE keys for each range
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "_h", "_copy"), F.lit(every)) == 0).select(key.alias("k"))
-    cuts = np.unique(keys_of(sample.select("k.*").toArrow().combine_chunks())) if wanted > 1 else np.zeros(0, "S25")
+    cuts = np.unique(keys_of(sample.select("k.*").toArrow().combine_chunks()))
     cuts = cuts[KEYS_PER_RANGE // 2::KEYS_PER_RANGE]
     first = None if least is None else _order_key(*[np.array([least[c]]) for c in "sdhc"])[0]
     bc = spark.sparkContext.broadcast((cuts, first))
@@ -293,10 +296,9 @@ def _by_neighbours(docs: DataFrame, id_col: str, text_col: str, range_bytes: int
             out.append(p)
         return pd.Series(out)
 
-    parts = max(shuffle_partitions(spark), -(-len(cuts) // 8))
     placed = rows.withColumn("_p", F.explode(places(*[key.getField(c) for c in "sdhc"])))
     return (placed.select(F.col("_p.r").alias("_range"), F.col("_p.g").alias("_guest"), "doc_id", "_text", "_h", "_copy")
-            .repartition(parts, "_range")
+            .repartition(tasks, "_range")
             .sortWithinPartitions("_range", "_guest", F.asc_nulls_first("doc_id"), "_h", "_copy")
             .select("_range", "_guest", "doc_id", "_text"))
 
