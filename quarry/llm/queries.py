@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op10_chunk_bpe
 from .divergence import ORACLE_OP9, op9_divergence
 from .feistel import op3_feistel_pii
+from .hard_negatives import ORACLE_OP11, op11_hard_negatives
 from .html_paths import op1_tag_path_ratios
 from .lines import op8_line_dedup
 from .maxscore import ORACLE_OP2, op2_maxscore
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_divergence": op9_divergence,
     "op10_chunk_bpe": op10_chunk_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_minhash": op12_minhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -38,4 +40,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_maxscore": ORACLE_OP2,
     "op9_divergence": ORACLE_OP9,
+    "op11_hard_negatives": ORACLE_OP11,
 }
