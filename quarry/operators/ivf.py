@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..session import DEFAULT_BROADCAST_BYTES, materialize, scratch_path, shuffle_partitions
+from ..session import DEFAULT_BROADCAST_BYTES, delete_path, materialize, scratch_path, shuffle_partitions
 from .knn import check_metric
 
 # The reference's index defaults.
@@ -37,6 +37,7 @@ DEFAULT_PQ_BITS = 8
 DEFAULT_N_TRAIN = 40000
 MIN_TRAIN_PER_LIST = 39
 LISTS_PER_BUCKET = 16       # lists that share a folder of postings
+LEDGERS = ("ids", "rejects")    # kept by streaming/append.py beside the postings
 TIE_DIGITS = 9
 # Centroids and codebooks are set by parameters (nlist x dim, 2^bits x dim), not by
 # the data; this bound only catches parameters that no executor could hold.
@@ -479,7 +480,11 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
 
 
 def write_bulk(postings: DataFrame, path: str) -> None:
-    """Replace all postings under ``path``, added batches too, by one bulk batch."""
+    """Replace all postings under ``path``, added batches too, by one bulk batch; the
+    ledgers of additions (ids, rejects) belong to the postings and go first."""
+    spark = postings.sparkSession
+    for ledger in LEDGERS:
+        delete_path(spark, f"{path}/{ledger}")
     with_bucket(postings).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").option(
         "partitionOverwriteMode", "static").partitionBy("batch_id", "list_bucket").parquet(f"{path}/postings")
 

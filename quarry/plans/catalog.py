@@ -558,3 +558,48 @@ def q_missing_results_partial(spark, sf):
     """V2: queries with an odd id got no response file."""
     run = _run(spark, sf)
     return missing_results(run.responses.where(F.col("qid").cast("bigint") % 2 == 0), _truth(spark, sf))
+
+
+from ..streaming.append import append_batch, read_ids, read_rejects  # noqa: E402
+
+
+@register("index_append_ledger", _PQ + """
+ SELECT 'posting' AS kind, a.id, a.list_id, string_agg(printf('%02X', c.code), '' ORDER BY c.m) AS codes,
+        CAST(1 AS BIGINT) AS n_rows
+ FROM asg a JOIN codes c ON c.id = a.id GROUP BY a.id, a.list_id
+ UNION ALL SELECT 'id', vec_id, -1, '', CAST(1 AS BIGINT) FROM embeddings
+ UNION ALL SELECT 'reject', vec_id, -1, '',
+        CAST(CASE WHEN vec_id % 3 = 1 AND vec_id % 5 = 0 THEN 2 ELSE 0 END
+           + CASE WHEN vec_id % 3 < 2 AND vec_id % 7 = 0 THEN 1 ELSE 0 END
+           + CASE WHEN vec_id % 3 = 2 AND vec_id % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n
+ FROM embeddings WHERE (vec_id % 3 = 1 AND vec_id % 5 = 0) OR (vec_id % 3 < 2 AND vec_id % 7 = 0)
+    OR (vec_id % 3 = 2 AND vec_id % 4 = 0)""")
+def q_index_append_ledger(spark, sf):
+    """X10 with repeated ids: a third of the vectors is in the bulk build, a third
+    comes as a batch in which some rows stand three times, and a third as a stream
+    that also brings ids of the bulk build and of the batch again, and some rows
+    twice.  The batch is replayed.  Postings and ledger hold every id once, and the
+    rejects count every row left over."""
+    path = scratch_path(spark, "ledger-index")
+    trained = _given_index(spark, sf, PQ_M)
+    vectors = read_embeddings(spark, sf)
+    empty_index_like(trained, path)
+    third = F.pmod("id", F.lit(3))
+    append_batch(path, vectors.where(third == 0), "bulk")
+    thrice = vectors.where((third == 1) & (F.pmod("id", F.lit(5)) == 0))
+    batch = vectors.where(third == 1).unionByName(thrice).unionByName(thrice)
+    for _ in range(2):
+        append_batch(path, batch, "batch", repeats="reject")
+    again = vectors.where((third < 2) & (F.pmod("id", F.lit(7)) == 0))
+    twice = vectors.where((third == 2) & (F.pmod("id", F.lit(4)) == 0))
+    arrivals = materialize(vectors.where(third == 2).unionByName(again).unionByName(twice).repartition(4), "arrivals")
+    source = arrivals.inputFiles()[0].rsplit("/", 1)[0]
+    start_append_stream(spark, source, arrivals.schema, path, max_files_per_trigger=2).awaitTermination()
+    no_list, no_codes = F.lit(-1).alias("list_id"), F.lit("").alias("codes")
+    postings = load_index(spark, path).postings.select(
+        F.lit("posting").alias("kind"), "id", "list_id", F.hex("codes").alias("codes"), F.lit(1).cast("bigint").alias("n_rows"))
+    ids = read_ids(spark, path).select(F.lit("id").alias("kind"), "id", no_list, no_codes, F.lit(1).cast("bigint").alias("n_rows"))
+    # one reason or the other, as the rows fall into micro-batches
+    rejects = read_rejects(spark, path).groupBy("id").agg(F.sum("n_rows").alias("n_rows")).select(
+        F.lit("reject").alias("kind"), "id", no_list, no_codes, "n_rows")
+    return postings.unionByName(ids).unionByName(rejects)

@@ -4,8 +4,9 @@ folder, materialising intermediate tables there, and size-checked broadcasts."""
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,8 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-    local = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(local)
+    # a local master has one machine: the session's own warehouse folder will do
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    sc.setCheckpointDir(f"{warehouse}/quarry-checkpoints")
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -76,5 +78,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """:func:`materialize` for a table that is needed inside a ``with`` block only;
+    its files are removed at the end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -22,6 +23,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-tests-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from quarry.session import checkpoint_dir
