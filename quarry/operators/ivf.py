@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..session import DEFAULT_BROADCAST_BYTES, delete_path, materialize, scratch_path, shuffle_partitions
+from .kmeans import (Grid, first_rows, grid_scale, lloyd, lloyd_codes, nearest, parallel_start,
+                     snap)
 from .knn import check_metric
 
 # The reference's index defaults.
@@ -101,76 +103,31 @@ def _prep(x: np.ndarray, metric: str) -> np.ndarray:
 
 # ------------------------------------------------------------------ coarse quantiser
 
-def _lloyd(sample: DataFrame, init: np.ndarray, metric: str, iters: int,
-           vec_col: str) -> np.ndarray:
-    """Lloyd iterations as Spark jobs.  Each iteration broadcasts the centres
-    (bounded ``nlist x dim``); every task assigns its rows with one matmul and
-    emits per-list partial sums and counts, which are added per list by a shuffle;
-    the driver gets one row per list.
-    Spherical (unit centres) for cosine.  Empty lists keep their centre."""
-    sc = sample.sparkSession.sparkContext
-    C = _prep(init.astype(np.float64), metric)
-    # the training vectors are already written; what the cache cannot hold, or
-    # loses, is read from there again
-    data = sample.select(vec_col).persist()
-    k, dim = C.shape
-    for _ in range(iters):
-        bc = sc.broadcast(C)
-
-        def partial(batches, bc=bc):
-            Cm = bc.value
-            sums = np.zeros_like(Cm)
-            cnt = np.zeros(len(Cm), dtype=np.int64)
-            for rb in batches:
-                X, _ = V.list_column_matrix(rb.column(vec_col))
-                if len(X) == 0:
-                    continue
-                Xp = _prep(X, metric)
-                step = max(1, ASSIGN_BYTES // (8 * len(Cm)))
-                a = np.concatenate([np.argmax(_coarse_scores(Xp[at:at + step], Cm, metric), axis=1)
-                                    for at in range(0, len(Xp), step)])
-                s_, c_ = V.group_sums(Xp, a, len(Cm))
-                sums += s_
-                cnt += c_
-            nz = np.nonzero(cnt)[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nz.astype(np.int32)), V.matrix_to_list_array(sums[nz], pa.float64()),
-                 pa.array(cnt[nz])], names=["list_id", "s", "n"])
-
-        # the driver gets one row per list
-        tbl = _add_up(data.mapInArrow(partial, "list_id int, s array<double>, n bigint"), "list_id",
-                      "list_id int, s array<double>, n bigint")
-        bc.unpersist()
-        sums = np.zeros((k, dim))
-        cnt = np.zeros(k)
-        if tbl.num_rows:
-            lid = tbl.column("list_id").to_numpy()
-            S, _ = V.list_column_matrix(tbl.column("s"))
-            sums[lid] = S
-            cnt[lid] = tbl.column("n").to_numpy()
-        nz = cnt > 0
-        C = C.copy()
-        C[nz] = sums[nz] / cnt[nz, None]
-        C = _prep(C, metric)
-    data.unpersist()
-    return C
-
-
 def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
                     train_iters: int = 20, seed: int = 42, id_col: str = "id",
-                    vec_col: str = "embedding", engine: str = "lloyd") -> DataFrame:
-    """``(list_id, centroid)``.  Start: the first ``nlist`` sample rows by
-    id (a bounded top-k, not a sort); ``train_iters=0`` stops there.  Default
-    engine: distributed Lloyd iterations (:func:`_lloyd`).  ``engine="ml"``:
-    Spark ML k-means (cosine distance for the cosine metric, which rejects zero
-    vectors; it can return fewer than ``nlist`` centres on small data, so list
-    ids are numbered densely from what comes back)."""
+                    vec_col: str = "embedding", engine: str = "lloyd",
+                    start: str = "first", grid: Grid | None = None) -> DataFrame:
+    """``(list_id, centroid)``.  ``train_iters=0``: the first ``nlist`` sample
+    rows by id (a bounded top-k, not a sort).  Default engine: distributed Lloyd
+    rounds in whole numbers (``operators/kmeans.py``), which give the same bits for
+    any partitioning; they begin at the first rows, or with ``start="parallel"`` at
+    a k-means‖ choice.  ``engine="ml"``: Spark ML k-means (cosine distance for the
+    cosine metric, which rejects zero vectors; it can return fewer than ``nlist``
+    centres on small data, so list ids are numbered densely from what comes back)."""
     spark = sample.sparkSession
-    if train_iters == 0 or engine == "lloyd":
+    if start not in ("first", "parallel"):
+        raise ValueError("start must be 'first' or 'parallel'")
+    if train_iters == 0:
         first = sample.select(id_col, vec_col).orderBy(id_col).limit(nlist).toArrow()
         centers, _ = V.list_column_matrix(first.column(vec_col))
-        if train_iters > 0:
-            centers = _lloyd(sample, centers, metric, train_iters, vec_col)
+    elif engine == "lloyd":
+        grid = grid or Grid.of(sample, metric, vec_col)
+        # what the cache cannot hold, or loses, is read again from the written sample
+        data = sample.select(id_col, vec_col).persist()
+        begin = first_rows(data, nlist, grid, id_col, vec_col) if start == "first" else \
+            parallel_start(data, nlist, grid, seed, id_col, vec_col)
+        centers = lloyd(data, begin, grid, train_iters, vec_col) / grid.scale
+        data.unpersist()
     else:
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
@@ -183,8 +140,9 @@ def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
         if metric == "cosine":
             centers = _unit(centers)
     _check_bytes(centers.nbytes, "centroids")
-    return spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centers)],
-                                 "list_id int, centroid array<float>")
+    return spark.createDataFrame(pa.table({
+        "list_id": pa.array(np.arange(len(centers), dtype=np.int32)),
+        "centroid": V.matrix_to_list_array(centers, pa.float32())}))
 
 
 def _collect_matrix(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
@@ -289,14 +247,35 @@ def residuals(assigned: DataFrame, centroids: DataFrame, metric: str = "cosine",
         resid, f"{id_col} bigint, list_id int, residual array<double>")
 
 
+def grid_residuals(sample: DataFrame, centroids: DataFrame, grid: Grid, id_col: str = "id",
+                   vec_col: str = "embedding") -> DataFrame:
+    """Training vectors less their nearest centre, both on the grid, as ``(id,
+    residual array<double>)``: exact multiples of the grid's step."""
+    _, mat = _collect_matrix(centroids, "list_id", "centroid")
+    bc = sample.sparkSession.sparkContext.broadcast(snap(mat, grid.scale))
+
+    def resid(batches):
+        for rb in batches:
+            x, valid = V.list_column_matrix(rb.column(vec_col))
+            if len(x):
+                x = grid.rows(x)
+                x = (x - bc.value[nearest(x, bc.value, grid.metric)]) / grid.scale
+            yield pa.RecordBatch.from_arrays([rb.column(id_col).filter(pa.array(valid)), V.matrix_to_list_array(
+                x, pa.float64())], names=[id_col, "residual"])
+
+    return sample.select(F.col(id_col).cast("bigint").alias(id_col), vec_col).mapInArrow(
+        resid, f"{id_col} bigint, residual array<double>")
+
+
 def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
                     train_iters: int = 20, id_col: str = "id",
-                    dim: int | None = None) -> DataFrame:
+                    dim: int | None = None, scale: float | None = None) -> DataFrame:
     """A k-means of ``2^bits`` codes in each sub-space, all sub-spaces at once.
     The first ``2^bits`` rows by id are the start (``train_iters=0`` stops there).
-    In each iteration every task assigns its rows in all sub-spaces and emits
-    partial sums per code; they are added per code by a shuffle, and the driver
-    gets one row per code (``m x 2^bits``).  No task holds a sub-space whole."""
+    Rounds run in whole numbers on a grid (``scale``; default: from the largest
+    component), so the codes don't depend on the partitioning.  In each round every
+    task adds up its rows per code in all sub-spaces; the driver gets one row per
+    code (``m x 2^bits``).  No task holds a sub-space whole."""
     ksub = 1 << pq_bits
     spark = resid.sparkSession
     resid = resid.select(id_col, "residual").persist()
@@ -310,57 +289,19 @@ def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
     if len(start) < ksub:
         raise ValueError(f"PQ training needs >= {ksub} rows, got {len(start)}")
     dsub = dim // pq_m
+    if train_iters:
+        if scale is None:
+            scale = grid_scale(float(resid.agg(F.max(F.array_max(F.transform(
+                "residual", lambda x: F.abs(x))))).first()[0] or 0.0), dim)
+        start = snap(start, scale)
     cb = start.reshape(ksub, pq_m, dsub).transpose(1, 0, 2).copy()
-    schema = "code int, s array<double>, n bigint"
-    for _ in range(train_iters):
-        bc = spark.sparkContext.broadcast(cb)
-
-        def partial(batches, bc=bc):
-            books = bc.value
-            sums = np.zeros((pq_m * ksub, dsub))
-            cnt = np.zeros(pq_m * ksub, dtype=np.int64)
-            for rb in batches:
-                R, _ = V.list_column_matrix(rb.column("residual"))
-                if not len(R):
-                    continue
-                codes = _encode(R, books)
-                for j in range(pq_m):
-                    at = slice(j * ksub, (j + 1) * ksub)
-                    s_, c_ = V.group_sums(R[:, j * dsub:(j + 1) * dsub], codes[:, j].astype(np.int64), ksub)
-                    sums[at] += s_
-                    cnt[at] += c_
-            nz = np.nonzero(cnt)[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nz.astype(np.int32)), V.matrix_to_list_array(sums[nz], pa.float64()), pa.array(cnt[nz])],
-                names=["code", "s", "n"])
-
-        tbl = _add_up(resid.select("residual").mapInArrow(partial, schema), "code", schema)
-        bc.unpersist()
-        at = tbl.column("code").to_numpy()
-        total, _ = V.list_column_matrix(tbl.column("s"))
-        flat = cb.reshape(pq_m * ksub, dsub).copy()
-        flat[at] = total / tbl.column("n").to_numpy()[:, None]
-        cb = flat.reshape(pq_m, ksub, dsub)
+    if train_iters:
+        cb = lloyd_codes(resid, cb, scale, train_iters) / scale
     resid.unpersist()
-    return spark.createDataFrame(
-        [(j, k, [float(x) for x in cb[j, k]]) for j in range(pq_m) for k in range(ksub)],
-        "m int, code int, subvector array<double>")
-
-
-def _add_up(partials: DataFrame, key: str, schema: str) -> pa.Table:
-    """Partial sums ``(key, s array<double>, n)`` of all tasks, added per key in
-    Spark (a key has one row per task); one row per key comes back."""
-    def combine(_, group):
-        keys, at = np.unique(group.column(key).to_numpy(), return_inverse=True)
-        S, _valid = V.list_column_matrix(group.column("s"))
-        sums, _cnt = V.group_sums(S, at, len(keys))
-        n = np.bincount(at, weights=group.column("n").to_numpy(), minlength=len(keys))
-        return pa.table({key: pa.array(keys.astype(np.int32)), "s": V.matrix_to_list_array(sums, pa.float64()),
-                         "n": pa.array(n.astype(np.int64))})
-
-    # a few groups of many keys each: one Python call per key would cost more than the sums
-    parts = partials.groupBy(F.pmod(F.col(key), F.lit(32)).alias("_part"))
-    return parts.applyInArrow(combine, schema).toArrow()
+    return spark.createDataFrame(pa.table({
+        "m": pa.array(np.repeat(np.arange(pq_m, dtype=np.int32), ksub)),
+        "code": pa.array(np.tile(np.arange(ksub, dtype=np.int32), pq_m)),
+        "subvector": V.matrix_to_list_array(cb.reshape(pq_m * ksub, dsub), pa.float64())}))
 
 
 def codebook_tensor(codebooks: DataFrame) -> np.ndarray:
@@ -424,7 +365,7 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
                 n_train: int | None = None, train_iters: int = 20, seed: int = 42,
                 path: str | None = None, id_col: str = "id",
                 vec_col: str = "embedding", sampling: str = "first",
-                adaptive: bool = False, engine: str = "lloyd") -> IvfIndex:
+                adaptive: bool = False, engine: str = "lloyd", start: str = "first") -> IvfIndex:
     """X1-X9 + X11: train on the sample, assign (and encode) every vector and
     write the index tables under ``path`` (default: a folder in the checkpoint
     directory).  Parameters are written once, straight into the index folder.
@@ -455,16 +396,20 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
     n_sample = sample.count()
     if n_sample < nlist:
         raise ValueError(f"{n_sample} training vectors for {nlist} lists; lower nlist or set adaptive")
-    train_centroids(sample, nlist, metric, train_iters, seed, engine=engine) \
+    grid = Grid.of(sample, metric) if train_iters else None
+    train_centroids(sample, nlist, metric, train_iters, seed, engine=engine, start=start, grid=grid) \
         .write.mode("overwrite").parquet(f"{path}/centroids")
     centroids = spark.read.parquet(f"{path}/centroids")
     nlist_actual = int(centroid_matrix(centroids, metric).shape[0])
     assigned = assign_lists(vectors, centroids, metric)
     codebooks = None
     if pq_m:
-        s_assigned = assign_lists(sample, centroids, metric)
-        train_codebooks(residuals(s_assigned, centroids, metric), pq_m, pq_bits,
-                        train_iters, dim=dim).write.mode("overwrite").parquet(f"{path}/codebooks")
+        if grid is not None:
+            resid = grid_residuals(sample, centroids, grid)
+        else:
+            resid = residuals(assign_lists(sample, centroids, metric), centroids, metric)
+        train_codebooks(resid, pq_m, pq_bits, train_iters, dim=dim, scale=grid and grid.scale) \
+            .write.mode("overwrite").parquet(f"{path}/codebooks")
         codebooks = spark.read.parquet(f"{path}/codebooks")
         postings = pq_encode(assigned, centroids, codebooks, metric)
     else:

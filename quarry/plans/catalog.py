@@ -283,22 +283,40 @@ def q_ivfpq_search(spark, sf):
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
-@register("ivf_trained_search")
+TRAIN_ITERS = 20
+_TRAINED = _with(O.trained_ctes(DEFAULT_NLIST, TRAIN_ITERS, EMB_DIM)) + O.probe_ctes(NPROBE)
+
+
+@register("ivf_trained_search", _TRAINED + ",\nfs AS" + ORACLE["ivf_search"].split("\nfs AS", 1)[1])
 def q_ivf_trained_search(spark, sf):
-    """X5 (Spark ML k-means) + Q2-Q4; trained parameters -> rows check only."""
+    """X5 (Lloyd rounds in whole numbers) + Q2-Q4."""
     index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, None,
-                        train_iters=20, seed=42, adaptive=True)
+                        train_iters=TRAIN_ITERS, seed=42, adaptive=True)
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
-@register("ivfpq_trained_search")
+@register("ivfpq_trained_search", _TRAINED + O.trained_pq_ctes(EMB_DIM, PQ_M, PQ_BITS, TRAIN_ITERS, TRAIN_ITERS) + ",\nadc AS"
+          + ORACLE["ivfpq_search"].split("\nadc AS", 1)[1])
 def q_ivfpq_trained_search(spark, sf):
-    """X5 + X7 (per-sub-space k-means) + X8 + ADC search; rows check only."""
+    """X5 + X7 (k-means in every sub-space) + X8 + ADC search."""
     index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, PQ_M, PQ_BITS,
-                        train_iters=20, seed=42, adaptive=True)
+                        train_iters=TRAIN_ITERS, seed=42, adaptive=True)
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
+@register("ivf_trained_centroids", _with(O.trained_ctes(DEFAULT_NLIST, 2, EMB_DIM)) +
+          O.trained_codes_ctes(EMB_DIM, PQ_M, PQ_BITS, 2, 2) + """
+ SELECT 'list' AS kind, list_id AS m, 0 AS code, CAST(unnest(range(0, len(c))) AS INTEGER) AS t, unnest(c) AS value FROM cent
+ UNION ALL SELECT 'code', m, code, CAST(unnest(range(0, len(b))) AS INTEGER), unnest(b) FROM bs""")
+def q_ivf_trained_centroids(spark, sf):
+    """Every component of the centroids and codebooks after two rounds."""
+    index = build_index(read_embeddings(spark, sf), "cosine", DEFAULT_NLIST, PQ_M, PQ_BITS, train_iters=2, adaptive=True)
+    lists = index.centroids.select(F.lit("list").alias("kind"), F.col("list_id").alias("m"), F.lit(0).alias("code"),
+                                   F.posexplode(F.col("centroid").cast("array<double>")).alias("t", "value"))
+    return lists.unionByName(index.codebooks.select(F.lit("code").alias("kind"), "m", "code",
+                                                    F.posexplode("subvector").alias("t", "value")))
+
+
 # ------------------------------------------------------------------ rerank
 
 from ..operators.rerank import reranker  # noqa: E402

@@ -147,6 +147,83 @@ asg AS (SELECT id, list_id FROM cs
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(raw, 9) DESC, list_id) = 1)"""
 
 
+def _means(rows: str, keys: str, vec: str, dim: int) -> str:
+    """Component-wise means of a list column by ``keys``, rounded to whole numbers."""
+    return f"""(SELECT {keys}, list(v ORDER BY j) AS m FROM (
+   SELECT {keys}, j, floor(sum(v) / count(*) + 0.5) AS v FROM (
+     SELECT {keys}, unnest({vec}) AS v, unnest(range(0, {dim})) AS j FROM {rows}) GROUP BY ALL) GROUP BY {keys})"""
+
+
+def _grid_bits(dim: int) -> int:
+    return (50 - (dim - 1).bit_length()) // 2 - 2
+
+
+def trained_ctes(nlist: int, iters: int, dim: int, vectors: str = "") -> str:
+    """The names of :func:`emb_ctes` with centroids after ``iters`` unrolled rounds of
+    k-means on whole numbers (all vectors train, first rows start, cosine)."""
+    base = emb_ctes(nlist, 1 << 40).split("cent AS (")[0] if not vectors else vectors
+    out = base + f"""
+gs AS MATERIALIZED (SELECT pow(2, {_grid_bits(dim)} - 1 - floor(log2(max(list_max(list_transform(v, lambda x: abs(x))))))) AS raw,
+       pow(2, {_grid_bits(dim)} - 1) AS s FROM u),
+g0 AS (SELECT id, list_transform(v, lambda x: floor(x * raw + 0.5)) AS x0 FROM u, gs),
+gx AS MATERIALIZED (
+  SELECT id, list_transform(x0, lambda x: CASE WHEN q > 0 THEN floor(x / sqrt(q) * s + 0.5) ELSE 0.0 END)::DOUBLE[{dim}] AS x
+  FROM (SELECT id, x0, list_dot_product(x0, x0) AS q FROM g0), gs),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS list_id, x AS c FROM gx
+       QUALIFY row_number() OVER (ORDER BY id) <= (SELECT nlist FROM nl)),"""
+    for r in range(iters + 1):
+        out += f"""
+a{r} AS MATERIALIZED (SELECT id, CAST(2047 - (k & 2047) AS INTEGER) AS list_id FROM (
+  SELECT id, max(CAST(array_inner_product(gx.x, c.c) AS BIGINT) * 2048 + (2047 - list_id)) AS k FROM gx CROSS JOIN c{r} c GROUP BY id)),"""
+        if r < iters:
+            means = _means(f"a{r} JOIN gx USING (id)", "list_id", "x::DOUBLE[]", dim)
+            out += f"""
+c{r + 1} AS MATERIALIZED (SELECT c.list_id, coalesce(n.t, c.c) AS c FROM c{r} c LEFT JOIN (
+  SELECT list_id, list_transform(m, lambda t: floor(t / sqrt(q) * s + 0.5))::DOUBLE[{dim}] AS t
+  FROM (SELECT list_id, m, list_dot_product(m, m) AS q FROM {means}), gs WHERE q > 0) n ON n.list_id = c.list_id),"""
+    return out + f"""
+cent AS MATERIALIZED (SELECT list_id, c, sqrt(list_dot_product(c, c)) AS cn FROM (
+  SELECT list_id, list_transform(c::DOUBLE[], lambda x: CAST(CAST(x / s AS FLOAT) AS DOUBLE)) AS c FROM c{iters}, gs)),
+""" + _with_cosine_lists()
+
+
+def _with_cosine_lists() -> str:
+    return "cs AS (" + emb_ctes(1, 1).split("cs AS (")[1]
+
+
+def trained_codes_ctes(dim: int, pq_m: int, pq_bits: int, iters: int, lists_after: int) -> str:
+    """Codebooks after ``iters`` unrolled rounds (bs: m, code, b on the grid), from the
+    residuals to the lists of round ``lists_after``."""
+    d, top = dim // pq_m, (1 << pq_bits) - 1
+    out = f""",
+sub AS MATERIALIZED (SELECT id, m, r[m * {d} + 1:(m + 1) * {d}]::DOUBLE[{d}] AS r FROM (
+  SELECT gx.id, list_transform(list_zip(gx.x::DOUBLE[], c.c::DOUBLE[]), lambda z: z[1] - z[2]) AS r,
+         unnest(range(0, {pq_m})) AS m
+  FROM gx JOIN a{lists_after} USING (id) JOIN c{lists_after} c USING (list_id))),
+b0 AS MATERIALIZED (SELECT m, CAST(row_number() OVER (PARTITION BY m ORDER BY id) - 1 AS INTEGER) AS code, r AS b FROM sub
+       QUALIFY row_number() OVER (PARTITION BY m ORDER BY id) <= {top + 1})"""
+    for r in range(iters):
+        means = _means(f"k{r} JOIN sub USING (id, m)", "m, code", "r::DOUBLE[]", d)
+        out += f""",
+k{r} AS MATERIALIZED (SELECT id, m, CAST({top} - (k & {top}) AS INTEGER) AS code FROM (
+  SELECT id, m, max(CAST(2 * array_inner_product(r, b) - bb AS BIGINT) * {top + 1} + ({top} - code)) AS k
+  FROM sub JOIN (SELECT *, array_inner_product(b, b) AS bb FROM b{r}) USING (m) GROUP BY id, m)),
+b{r + 1} AS MATERIALIZED (SELECT o.m, o.code, coalesce(n.m_::DOUBLE[{d}], o.b) AS b FROM b{r} o LEFT JOIN (
+  SELECT m, code, m_ FROM {means.replace(' AS m FROM', ' AS m_ FROM', 1)}) n ON n.m = o.m AND n.code = o.code)"""
+    return out + f""",
+bs AS MATERIALIZED (SELECT CAST(m AS INTEGER) AS m, code, list_transform(b::DOUBLE[], lambda x: x / s) AS b FROM b{iters}, gs)"""
+
+
+def trained_pq_ctes(dim: int, pq_m: int, pq_bits: int, iters: int, lists_after: int) -> str:
+    """The names of :func:`pq_ctes` with trained codebooks."""
+    d = dim // pq_m
+    given = pq_ctes(dim, pq_m, pq_bits)
+    head, rest = given.split("seeds AS (")
+    return trained_codes_ctes(dim, pq_m, pq_bits, iters, lists_after) + head + f"""
+cb AS MATERIALIZED (SELECT m, code, unnest(range(0, {d})) AS t, unnest(b) AS cbv FROM bs),
+dist AS (""" + rest.split("dist AS (")[1]
+
+
 def probe_ctes(nprobe: int) -> str:
     return f""",
 pr AS (SELECT CAST(id AS VARCHAR) AS qid, id AS qn, list_id, raw AS coarse,
