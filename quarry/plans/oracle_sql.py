@@ -167,23 +167,23 @@ gs AS MATERIALIZED (SELECT pow(2, {_grid_bits(dim)} - 1 - floor(log2(max(list_ma
        pow(2, {_grid_bits(dim)} - 1) AS s FROM u),
 g0 AS (SELECT id, list_transform(v, lambda x: floor(x * raw + 0.5)) AS x0 FROM u, gs),
 gx AS MATERIALIZED (
-  SELECT id, list_transform(x0, lambda x: CASE WHEN q > 0 THEN floor(x / sqrt(q) * s + 0.5) ELSE 0.0 END)::DOUBLE[{dim}] AS x
+  SELECT id, list_transform(x0, lambda x: CASE WHEN q > 0 THEN floor(x / sqrt(q) * s + 0.5) ELSE 0.0 END) AS x
   FROM (SELECT id, x0, list_dot_product(x0, x0) AS q FROM g0), gs),
 c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS list_id, x AS c FROM gx
        QUALIFY row_number() OVER (ORDER BY id) <= (SELECT nlist FROM nl)),"""
     for r in range(iters + 1):
         out += f"""
 a{r} AS MATERIALIZED (SELECT id, CAST(2047 - (k & 2047) AS INTEGER) AS list_id FROM (
-  SELECT id, max(CAST(array_inner_product(gx.x, c.c) AS BIGINT) * 2048 + (2047 - list_id)) AS k FROM gx CROSS JOIN c{r} c GROUP BY id)),"""
+  SELECT id, max(CAST(list_dot_product(gx.x, c.c) AS BIGINT) * 2048 + (2047 - list_id)) AS k FROM gx CROSS JOIN c{r} c GROUP BY id)),"""
         if r < iters:
-            means = _means(f"a{r} JOIN gx USING (id)", "list_id", "x::DOUBLE[]", dim)
+            means = _means(f"a{r} JOIN gx USING (id)", "list_id", "x", dim)
             out += f"""
 c{r + 1} AS MATERIALIZED (SELECT c.list_id, coalesce(n.t, c.c) AS c FROM c{r} c LEFT JOIN (
-  SELECT list_id, list_transform(m, lambda t: floor(t / sqrt(q) * s + 0.5))::DOUBLE[{dim}] AS t
+  SELECT list_id, list_transform(m, lambda t: floor(t / sqrt(q) * s + 0.5)) AS t
   FROM (SELECT list_id, m, list_dot_product(m, m) AS q FROM {means}), gs WHERE q > 0) n ON n.list_id = c.list_id),"""
     return out + f"""
 cent AS MATERIALIZED (SELECT list_id, c, sqrt(list_dot_product(c, c)) AS cn FROM (
-  SELECT list_id, list_transform(c::DOUBLE[], lambda x: CAST(CAST(x / s AS FLOAT) AS DOUBLE)) AS c FROM c{iters}, gs)),
+  SELECT list_id, list_transform(c, lambda x: CAST(CAST(x / s AS FLOAT) AS DOUBLE)) AS c FROM c{iters}, gs)),
 """ + _with_cosine_lists()
 
 
@@ -197,7 +197,7 @@ def trained_codes_ctes(dim: int, pq_m: int, pq_bits: int, iters: int, lists_afte
     d, top = dim // pq_m, (1 << pq_bits) - 1
     out = f""",
 sub AS MATERIALIZED (SELECT id, m, r[m * {d} + 1:(m + 1) * {d}]::DOUBLE[{d}] AS r FROM (
-  SELECT gx.id, list_transform(list_zip(gx.x::DOUBLE[], c.c::DOUBLE[]), lambda z: z[1] - z[2]) AS r,
+  SELECT gx.id, list_transform(list_zip(gx.x, c.c), lambda z: z[1] - z[2]) AS r,
          unnest(range(0, {pq_m})) AS m
   FROM gx JOIN a{lists_after} USING (id) JOIN c{lists_after} c USING (list_id))),
 b0 AS MATERIALIZED (SELECT m, CAST(row_number() OVER (PARTITION BY m ORDER BY id) - 1 AS INTEGER) AS code, r AS b FROM sub
@@ -279,3 +279,42 @@ rs AS (SELECT qid, id, rank AS retrieval_rank,
 rr AS (SELECT qid, id, retrieval_rank, score,
               row_number() OVER (PARTITION BY qid ORDER BY score DESC, retrieval_rank) AS rank
        FROM rs QUALIFY rank <= {k})"""
+
+
+def chunk_vector_ctes(dim: int, nlist: int) -> str:
+    """Unit term-count vectors of all chunks (u) and the list count (nl), from sparse_ctes."""
+    return f"""
+u AS MATERIALIZED (SELECT id, v, sqrt(list_dot_product(v, v)) AS n FROM (
+  SELECT g.id, list(coalesce(CAST(CAST(cb.n / sqrt(cn.ss::DOUBLE) AS FLOAT) AS DOUBLE), 0.0) ORDER BY g.j) AS v
+  FROM (SELECT chunk_id AS id, unnest(range(0, {dim})) AS j FROM chunks) g
+  LEFT JOIN cb ON cb.chunk_id = g.id AND cb.bucket = g.j LEFT JOIN cn ON cn.chunk_id = g.id GROUP BY g.id)),
+nl AS (SELECT CASE WHEN count(*) < {nlist} THEN greatest(1, CAST(floor(count(*) / 8) AS INTEGER)) ELSE {nlist} END AS nlist
+       FROM u),"""
+
+
+def trained_search_ctes(dim: int, pq_m: int, pq_bits: int, nprobe: int, candidates: int) -> str:
+    """cands(qid, id, score, rank) of the term-count queries over a trained index (cent,
+    asg, bs)."""
+    d, codes = dim // pq_m, 1 << pq_bits
+    return f""",
+books AS MATERIALIZED (SELECT m, code, b, array_inner_product(b, b) AS bb FROM (
+  SELECT m, code, b::DOUBLE[{d}] AS b FROM bs)),
+rl AS MATERIALIZED (SELECT id, m, r[m * {d} + 1:(m + 1) * {d}]::DOUBLE[{d}] AS r FROM (
+  SELECT u.id, list_transform(list_zip(u.v, c.c), lambda z: z[1] / u.n - z[2] / c.cn) AS r, unnest(range(0, {pq_m})) AS m
+  FROM u JOIN asg USING (id) JOIN cent c USING (list_id))),
+cd AS MATERIALIZED (SELECT id, m, CAST(k % {codes} AS INTEGER) AS code FROM (
+  SELECT id, m, min(CAST(round(greatest(array_inner_product(r, r) + bb - 2 * array_inner_product(r, b), 0), 9) * 1e9 AS BIGINT)
+                    * {codes} + code) AS k FROM rl JOIN books USING (m) GROUP BY id, m)),
+qd AS MATERIALIZED (SELECT qid, v, sqrt(list_dot_product(v, v)) AS n FROM (
+  SELECT g.qid, list(CAST(coalesce(qb.n, 0) AS DOUBLE) ORDER BY g.j) AS v
+  FROM (SELECT qid, unnest(range(0, {dim})) AS j FROM qs) g LEFT JOIN qb ON qb.qid = g.qid AND qb.bucket = g.j GROUP BY g.qid)),
+pr AS (SELECT qid, list_id, list_dot_product(qd.v, cent.c) / (qd.n * cent.cn) AS coarse FROM qd CROSS JOIN cent
+       QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(list_dot_product(qd.v, cent.c) / (qd.n * cent.cn), 9) DESC,
+                                  list_id) <= {nprobe}),
+lut AS MATERIALIZED (SELECT qid, m, code, array_inner_product(q, b) AS l FROM (
+  SELECT qid, m, (list_transform(v, lambda x: x / n))[m * {d} + 1:(m + 1) * {d}]::DOUBLE[{d}] AS q
+  FROM (SELECT *, unnest(range(0, {pq_m})) AS m FROM qd)) JOIN books USING (m)),
+adc AS (SELECT pr.qid, asg.id, pr.coarse + sum(lut.l) AS score FROM pr JOIN asg USING (list_id) JOIN cd USING (id)
+        JOIN lut ON lut.qid = pr.qid AND lut.m = cd.m AND lut.code = cd.code GROUP BY pr.qid, asg.id, pr.coarse),
+cands AS (SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM adc
+          QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) <= {candidates})"""
