@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from quarry.llm import lines, simhash
+from quarry.llm import simhash
 from quarry.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, fp string, h int, root string"
@@ -112,70 +112,3 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**dict.fromkeys(range(51), 0), **dict.fromkeys(range(100, 160), 100), 199: 199, 200: 199}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
-
-
-# ------------------------------------------------------------------ lines
-
-def brute(texts, order):
-    seen, out = set(), {}
-    for k in order:
-        t, spans, new = texts[k] or "", [], []
-        for s, e, c in lines.units(t):
-            (spans if c in seen else new).append((s, e))
-            seen.add(c)
-        m = lines.merge_spans(spans)
-        out[k] = (None if texts[k] is None else lines.cut(t, m), m)
-    return out
-
-
-def test_lines_equal_brute_force(spark):
-    rng = random.Random(8)
-    pool = [" ".join(rng.choice(["ab", "Cd", "ef", "gh"]) + str(rng.randint(0, 9)) for _ in range(rng.randint(1, 14)))
-            + rng.choice([".", "!", ""]) for _ in range(60)]
-    texts = ["".join(rng.choice(pool) + rng.choice([" ", "\n", "\n\n"]) for _ in range(rng.randint(0, 30)))
-             for _ in range(60)] + [None, "", "\n", "A b c.\nA  B c.\n", "x " * 60_000]
-    got = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in lines.deduplicate(frame(spark, texts)).collect()}
-    assert got == brute(texts, range(len(texts)))
-
-
-def test_repeated_passage_inside_lines(spark):
-    rng = random.Random(9)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
-    sentence = lambda: " ".join(word() for _ in range(9)).capitalize() + "."
-    passage = " ".join(sentence() for _ in range(7))
-    texts = [f"{sentence()} {sentence()} {word()} {passage} {word()} {sentence()}" for _ in range(5)]
-    got = {r.doc_id: r.text for r in lines.deduplicate(frame(spark, texts)).collect()}
-    assert got[0] == texts[0] and all(passage not in got[k] for k in range(1, 5))
-    clean = [f"{sentence()} {sentence()}\n{sentence()}" for _ in range(20)]
-    assert {r.doc_id: r.text for r in lines.deduplicate(frame(spark, clean)).collect()} == dict(enumerate(clean))
-
-
-def test_repeated_passage_inside_a_sentence(spark):
-    rng = random.Random(10)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
-    run = lambda n: " ".join(word() for _ in range(n))
-    passages = [run(60) for _ in range(20)]                     # no sentence end inside
-    texts = [f"{run(11)} {p} {run(12)}." for p in passages * 2]
-    got = {r.doc_id: r.text for r in lines.deduplicate(frame(spark, texts)).collect()}
-    assert all(got[k] == texts[k] for k in range(20))
-    left = [len(set(got[20 + k].split()) & set(p.split())) for k, p in enumerate(passages)]
-    assert sum(left) < 0.25 * 60 * 20 and max(left) < 45
-    for k in range(20, 40):                                     # nothing else is cut
-        own = texts[k].split()
-        assert got[k].split()[:11] == own[:11] and got[k].split()[-12:] == own[-12:]
-
-
-def test_spans_of_equal_rows_are_listed_once(spark):
-    text = "one two three\nfour five six"
-    docs = frame(spark, [text, *[f"{text}\nseven eight nine"] * 50], [1] + [2] * 50)
-    rows = lines.repeated_spans(docs, "doc_id", "text").collect()
-    assert [sorted(tuple(s) for s in r.spans) for r in rows] == [[(0, 14), (14, 28)]]
-    assert sorted({r.text for r in lines.deduplicate(docs).collect()}) == ["one two three\nfour five six", "seven eight nine"]
-
-
-def test_lines_with_ties_and_empty_tables(spark):
-    docs = frame(spark, ["one two three", "one two three\nfour", "one two three", None], [1, 1, None, None])
-    got = lines.without_repeats(docs)
-    assert got.columns == docs.columns
-    assert sum("one two three" in (r.text or "") for r in got.collect()) == 1
-    assert got.count() == 4 and lines.deduplicate(frame(spark, [])).count() == 0
