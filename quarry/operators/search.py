@@ -4,8 +4,9 @@
   the (small) query table against the broadcast centroid matrix.
 * Q3 scan: no join.  Each block of queries is sent to the tasks with the lists it
   probes; a task walks its postings list by list, scores each list against the
-  queries that probe it (exact cosine / squared L2 for flat postings, look-up
-  tables built once per task for PQ codes) and emits its ``k`` best per query.
+  queries that probe it by one product of matrices (product codes are decoded:
+  the asymmetric estimate is the exact score against the decoded vector) and emits
+  its ``k`` best per query.
   Postings lie in folders by bucket of lists, so unprobed buckets aren't read.
 * Q4: window top-k per query (partial ``WindowGroupLimit`` before the shuffle).
 """
@@ -74,45 +75,51 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int = DEFAULT_
         probe, "qid string, list_id int, coarse double, probe_rank int")
 
 
-def _adc_tables(q: np.ndarray, cb: np.ndarray) -> np.ndarray:
-    """Inner products of each sub-vector of ``q`` with every code: ``(m, codes)``."""
-    m, _, dsub = cb.shape
-    return np.einsum("mkd,md->mk", cb, q.reshape(m, dsub))
+def _decode(codes: np.ndarray, lists: np.ndarray, C: np.ndarray, cb: np.ndarray) -> np.ndarray:
+    """The vectors that product codes stand for: centroid plus code sub-vectors.  The
+    asymmetric estimate of a query is its exact score against these."""
+    return C[lists] + cb[np.arange(cb.shape[0]), codes].reshape(len(codes), -1)
+
+
+def _best_k(q: np.ndarray, s: np.ndarray, ids: np.ndarray, k: int, sign: float):
+    """Per query number the k best of flat rows, ties to the lower id."""
+    order = np.lexsort((ids, sign * s, q))
+    q = q[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q)
+    keep = order[place < k]
+    return q[place < k], s[keep], ids[keep]
 
 
 def _scan_kernel(bc, metric: str, k: int):
-    """Arrow kernel over postings sorted by list: every list is scored against the
-    queries that probe it, and only the ``k`` best per query leave the task."""
+    """Arrow kernel over postings sorted by list: each list is scored against all
+    queries that probe it by one product of matrices, and only the ``k`` best per query
+    leave the task."""
     def scan(batches):
         qids, Q, C, cb, by_list = bc.value
-        tables: dict[int, np.ndarray] = {}      # per query, once per task
-        held: dict[int, list] = {}
+        qsq = np.einsum("ij,ij->i", Q, Q)
         sign = -1.0 if metric == "cosine" else 1.0
-
-        def table(i: int) -> np.ndarray:
-            if i not in tables:
-                if len(tables) * cb[..., 0].nbytes > KERNEL_BYTES:
-                    tables.clear()
-                tables[i] = _adc_tables(Q[i], cb)
-            return tables[i]
-
-        def scores(i: int, lid: int, x: np.ndarray) -> np.ndarray:
-            if cb is None:
-                if metric == "cosine":
-                    return x @ Q[i]
-                d = x - Q[i]
-                return np.einsum("ij,ij->i", d, d)
-            m = np.arange(cb.shape[0])
-            if metric == "cosine":
-                return table(i)[m, x].sum(axis=1) + Q[i] @ C[lid]
-            r = (Q[i] - C[lid]).reshape(cb.shape[0], 1, -1)
-            return ((r - cb) ** 2).sum(axis=2)[m, x].sum(axis=1)
-
-        def trim(i: int) -> tuple[np.ndarray, np.ndarray]:
-            s, ids = (np.concatenate(x) for x in zip(*held[i]))
-            best = np.lexsort((ids, sign * s))[:k]
-            held[i] = [(s[best], ids[best])]
-            return held[i][0]
+        held, n_held = [], 0
+        most = max(4 * k * len(Q), KERNEL_BYTES // 64)      # rows held before a cut
+
+        def trim():
+            nonlocal held, n_held
+            held = [_best_k(*(np.concatenate(x) for x in zip(*held)), k, sign)]
+            n_held = len(held[0][0])
+
+        def score(queries: np.ndarray, x: np.ndarray, ids: np.ndarray):
+            nonlocal n_held
+            s = Q[queries] @ x.T if metric == "cosine" else V.sq_l2_distances(Q[queries], qsq[queries], x)
+            # rounded, so that equal vectors tie wherever they are stored
+            s = np.round(s, 12)
+            if s.shape[1] > 4 * k:
+                worst = np.partition(sign * s, k - 1, axis=1)[:, k - 1:k]
+                at, row = np.nonzero(sign * s <= worst)     # ties of the k-th too
+                held.append((queries[at], s[at, row], ids[row]))
+            else:
+                held.append((np.repeat(queries, s.shape[1]), s.ravel(), np.tile(ids, len(queries))))
+            n_held += len(held[-1][0])
+            if n_held > most:
+                trim()
 
         for rb in batches:
             lists = rb.column("list_id").to_numpy(zero_copy_only=False)
@@ -123,21 +130,25 @@ def _scan_kernel(bc, metric: str, k: int):
                 x = _prep(V.list_column_matrix(rb.column("embedding"))[0], metric)
             else:
                 codes = pa.concat_arrays([rb.column("codes")])       # offsets from 0
-                data = np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0])
-                x = data.reshape(-1, cb.shape[0])
+                x = np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0]).reshape(-1, cb.shape[0])
             edge = np.flatnonzero(np.diff(lists)) + 1
             for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(lists)]):
-                for i in by_list.get(int(lists[lo]), ()):
-                    # rounded, so that equal vectors tie wherever they are stored
-                    got = np.round(scores(i, int(lists[lo]), x[lo:hi]), 12)
-                    held.setdefault(i, []).append((got, ids[lo:hi]))
-                    if sum(len(h[0]) for h in held[i]) > 8 * k + 1024:
-                        trim(i)
-        for i in held:
-            s, found = trim(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([qids[i]] * len(s), pa.string()), pa.array(found), pa.array(s)],
-                names=["qid", "id", "score"])
+                queries = by_list.get(int(lists[lo]))
+                if queries is None:
+                    continue
+                # of queries and of rows at a time, so that scores and vectors stay small
+                step = max(1, KERNEL_BYTES // (8 * max(Q.shape[1], min(len(queries), 4096))))
+                for at in range(lo, hi, step):
+                    part = slice(at, min(at + step, hi))
+                    y = x[part] if cb is None else _decode(x[part], lists[part], C, cb)
+                    for q in range(0, len(queries), 4096):
+                        score(queries[q:q + 4096], y, ids[part])
+        if n_held:
+            trim()
+            q, s, found = held[0]
+            names = pa.array(qids, pa.string())
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), pa.array(found), pa.array(s)],
+                                             names=["qid", "id", "score"])
     return scan
 
 
@@ -189,10 +200,10 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     parts = []
     for qids, Q in _query_blocks(present, rows_per_block, n_blocks == 1):
         probed = probe_rows(Q, C, p, metric)
-        by_list: dict[int, list[int]] = {}
-        for i, row in enumerate(probed):
-            for lid in row.tolist():
-                by_list.setdefault(lid, []).append(i)
+        # the queries of each list, by one sort
+        order = np.argsort(probed, axis=None, kind="stable")
+        lids, first = np.unique(probed.ravel()[order], return_index=True)
+        by_list = dict(zip(lids.tolist(), np.split(order // p, first[1:])))
         postings = index.postings
         if "list_bucket" in postings.columns and p < C.shape[0]:
             postings = postings.where(F.col("list_bucket").isin(sorted({x // LISTS_PER_BUCKET for x in by_list})))
