@@ -338,7 +338,7 @@ def q_rerank_lexical(spark, sf):
     return _rerank_run(spark, sf).hits
 
 
-_RERANK_EVAL = _RERANK + """,
+_AFTER_RERANK = """,
 cands_rr AS (SELECT qid, id, rank FROM rr),
 named AS (SELECT h.qid, h.rank, c.source_name FROM cands_rr h JOIN chunks c ON c.chunk_id = h.id),
 best AS (SELECT qid, source_name, min(rank) AS best FROM named GROUP BY ALL),
@@ -349,6 +349,7 @@ resp AS (
          coalesce((SELECT list(d.source_name ORDER BY d.rank) FROM docs d WHERE d.qid = qs.qid),
                   []::VARCHAR[]) AS response
   FROM qs)""" + O.truth_cte() + O.metrics_ctes(K)
+_RERANK_EVAL = _RERANK + _AFTER_RERANK
 
 
 @register("rerank_eval_e2e", _RERANK_EVAL + """
@@ -362,6 +363,30 @@ def q_rerank_eval_e2e(spark, sf):
     return round_doubles(summary)
 
 
+from ..operators.rerank import BM25_B, BM25_K1, bm25_reranker  # noqa: E402
+
+_BM25 = _with(_CHUNKS, O.queries_cte(), O.knn_ctes(FLAGSHIP_DIM, CANDS)) + O.bm25_ctes(K, BM25_K1, BM25_B)
+
+
+def _bm25_run(spark, sf):
+    return run_queries(preprocess(read_documents(spark, sf)), read_benchmark_queries(spark, sf), FLAGSHIP_DIM, K, CANDS,
+                       reranker=bm25_reranker(candidates=CANDS))
+
+
+@register("rerank_bm25", _BM25 + " SELECT qid, id, CAST(retrieval_rank AS INTEGER) AS retrieval_rank,"
+          " round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rr")
+def q_rerank_bm25(spark, sf):
+    """BM25 over each query's 100 candidates."""
+    return round_doubles(_bm25_run(spark, sf).hits)
+
+
+@register("rerank_bm25_eval", _BM25 + _AFTER_RERANK + ORACLE["rerank_eval_e2e"][len(_RERANK_EVAL):])
+def q_rerank_bm25_eval(spark, sf):
+    """Retrieval, BM25 reranking, evaluation."""
+    _, summary = evaluate(_bm25_run(spark, sf).responses, _truth(spark, sf), K)
+    return round_doubles(summary)
+
+
 # ------------------------------------------------------------------ streaming add
 
 from ..operators.ivf import load_index  # noqa: E402

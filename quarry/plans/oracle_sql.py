@@ -281,6 +281,23 @@ rr AS (SELECT qid, id, retrieval_rank, score,
        FROM rs QUALIFY rank <= {k})"""
 
 
+def bm25_ctes(k: int, k1: float, b: float) -> str:
+    """From cands: BM25 within each query's candidates and the reranked top-k (rr)."""
+    return f""",
+bt AS MATERIALIZED (SELECT k.qid, k.id, k.rank, {tokens_sql("coalesce(c.text, '')")} AS t, list_distinct({tokens_sql('qs.query')}) AS q
+       FROM cands k LEFT JOIN chunks c ON c.chunk_id = k.id JOIN qs ON qs.qid = k.qid),
+bstat AS (SELECT qid, count(*) AS n, avg(len(t)) AS average FROM bt GROUP BY qid),
+bterm AS (SELECT qid, id, rank, len(t) AS length, term, len(list_filter(t, lambda x: x = term)) AS tf
+          FROM (SELECT *, unnest(q) AS term FROM bt)),
+bdf AS (SELECT qid, term, count(*) AS df FROM bterm WHERE tf > 0 GROUP BY ALL),
+bsum AS (SELECT t.qid, t.id, t.rank, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {k1 + 1}
+                / (tf + {k1} * ({1 - b} + {b} * length / average))) AS score
+         FROM bterm t JOIN bdf USING (qid, term) JOIN bstat USING (qid) WHERE tf > 0 GROUP BY ALL),
+rr AS (SELECT * FROM (SELECT bt.qid, bt.id, bt.rank AS retrieval_rank, round(coalesce(s.score, 0.0), 9) AS score,
+              row_number() OVER (PARTITION BY bt.qid ORDER BY round(coalesce(s.score, 0.0), 9) DESC, bt.rank) AS rank
+       FROM bt LEFT JOIN bsum s ON s.qid = bt.qid AND s.id = bt.id AND s.rank = bt.rank) WHERE rank <= {k})"""
+
+
 def chunk_vector_ctes(dim: int, nlist: int) -> str:
     """Unit term-count vectors of all chunks (u) and the list count (nl), from sparse_ctes."""
     return f"""

@@ -81,3 +81,36 @@ def test_index_backed_run_and_k_documents(spark):
     for q, docs in resp3.items():
         assert len(resp2[q]) >= len(docs)
         assert resp2[q][:len(docs)] == docs      # same order, more documents
+
+
+def test_bm25_equals_its_formula(spark):
+    import math
+    import re
+
+    from quarry.operators.rerank import bm25_reranker, bm25_scores
+    queries = [("a", "Red apple, red pie"), ("b", "nothing here"), ("c", "")]
+    texts = {1: "an apple a day", 2: "red red RED apple pie", 3: "blue sky", 4: "", 6: None}
+    cands = [("a", i, r) for r, i in enumerate([3, 1, 2, 4, 5, 6], 1)] + [("b", 3, 1), ("b", 3, 2), ("c", 1, 1)]
+    qdf = spark.createDataFrame(queries, "qid string, query string")
+    cdf = spark.createDataFrame(cands, "qid string, id long, rank int")
+    chunks = spark.createDataFrame([(i, str(i), t) for i, t in texts.items()], "chunk_id long, source_name string, text string")
+
+    def words(t):
+        return re.findall(r"[a-z]+", (t or "").lower())
+
+    want = {}
+    for qid, query in queries:
+        mine = [(i, r, words(texts.get(i))) for q, i, r in cands if q == qid]
+        average = sum(len(w) for *_, w in mine) / len(mine)
+        for i, r, w in mine:
+            want[qid, i, r] = 0.0
+            for t in set(words(query)) & set(w):
+                df = sum(t in x for *_, x in mine)
+                idf = math.log(1 + (len(mine) - df + 0.5) / (df + 0.5))
+                want[qid, i, r] += idf * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / average))
+    got = {(r.qid, r.id, r["rank"]): r.rerank_score
+           for r in bm25_scores(candidate_pairs(qdf, cdf, chunks, 3, 6)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-8 for k in want)
+    top = bm25_reranker(candidates=6)(qdf, cdf, chunks, 3).where("qid = 'a'").orderBy("rank").collect()
+    assert [r.id for r in top] == [2, 1, 3]
+    assert bm25_scores(candidate_pairs(qdf, cdf.where("false"), chunks, 3, 6)).count() == 0
