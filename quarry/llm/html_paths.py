@@ -54,21 +54,65 @@ cookies consent gdpr notice notices alert popup modal overlay sidebar aside menu
 breadcrumbs footer foot masthead topbar toolbar comment comments discussion disqus respond reply replies share sharing
 social related recommended recommendations newsletter subscribe subscription signup login register search form widget
 pagination pager copyright legal disclaimer contentinfo complementary skip hidden toc outbrain taboola""".split())
+# Of these, words that also begin names of subjects: in a compound name ("share-prices",
+# "related-work") they count only beside words of page furniture.
+WEAK_WORDS = set("""ad ads banner social related share sharing search form legal register top head promo alert
+complementary hidden foot""".split())
+FURNITURE = set("""area articles bar block box btn button buttons container content group icons image info inner item
+items links list module outer page panel post posts row section side site slot stories strip text title unit
+wrap wrapper left right bottom main media""".split())
 DOUBTFUL = set("header head top".split())       # no content unless they hold a heading of the content
 GOOD_WORDS = set("article content main post entry story text body".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|"
-                  r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*+>|"
+                  r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+# A tag whose quotes don't close: it ends at the next ">".
+_LOOSE = re.compile(r"()<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_OPEN = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+MOST_DEPTH = 128            # elements nested deeper belong to the one at this depth
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 _PUNCT = re.compile(r"[.,;:!?…。，、؟]")
 
 
+def name_words(value: str) -> set[str]:
+    """Words of a class, id or role; weak ones of a compound name that also has words
+    of a subject are left out."""
+    words = set()
+    for token in value.split():
+        own = set(_WORD.findall(token))
+        if any(w not in BAD_WORDS and w not in FURNITURE and not any(c.isdigit() for c in w) and len(w) > 2 for w in own):
+            own -= WEAK_WORDS
+        words |= own
+    return words
+
+
+def tags(page: str):
+    """Matches of all tags and comments, in one pass.  What begins like a tag and has no
+    end is text; after a tag whose quotes don't close, quotes mean nothing."""
+    pos, last, strict = 0, page.rfind(">"), True
+    while True:
+        found = _OPEN.search(page, pos)
+        if found is None or found.start() > last and not page.startswith("<!--", found.start()):
+            return
+        m = _TAG.match(page, found.start()) if strict or page[found.start() + 1] in "!?" else None
+        if m is None:
+            strict = False
+            m = _LOOSE.match(page, found.start())
+        if m is None:
+            pos = found.end()
+            continue
+        after = yield m
+        pos = m.end() if after is None else after
+
+
 class Element:
-    __slots__ = ("tag", "parent", "name", "bad", "good", "doubtful", "weight", "total", "heading")
+    __slots__ = ("tag", "parent", "depth", "up", "kinds", "name", "bad", "good", "doubtful", "weight", "total", "heading")
 
     def __init__(self, tag, parent, name="", words=frozenset(), hidden=False):
         self.tag, self.parent, self.name = tag, parent, name
+        self.depth = parent.depth + 1 if parent else 0
+        self.up = None
         plain = tag not in ("html", "body")
         self.bad = plain and tag not in CONTENT and (hidden or tag in NOT_CONTENT or bool(BAD_WORDS & words)) or (
             tag == "article" and bool(BAD_WORDS & words))
@@ -76,12 +120,15 @@ class Element:
         self.good = tag in CONTENT or "main" in words and plain or bool(GOOD_WORDS & words) and plain
         self.weight = self.total = 0.0
         self.heading = False
+        # of the element or one around it: bad, content, good, doubtful
+        own = (self.bad, tag in CONTENT, self.good, self.doubtful)
+        self.kinds = tuple(x or y for x, y in zip(own, parent.kinds)) if parent else own
 
-    def line(self):
-        x = self
-        while x is not None:
-            yield x
-            x = x.parent
+    def line(self) -> tuple[Element, ...]:
+        """The element and those around it, from the inside out."""
+        if self.up is None:
+            self.up = (self, *(self.parent.line() if self.parent else ()))
+        return self.up
 
 
 def read_blocks(page: str) -> list[tuple[Element, str]]:
@@ -117,15 +164,16 @@ def read_blocks(page: str) -> list[tuple[Element, str]]:
                 at = e.parent
             e = e.parent
 
-    pos, n = 0, len(page)
+    pos, n, found, skip = 0, len(page), tags(page), None
     while pos < n:
-        m = _TAG.search(page, pos)
-        if m is None:
+        try:
+            m = found.send(skip)
+        except StopIteration:
             put(page[pos:])
             break
         put(page[pos:m.start()])
-        pos = m.end()
-        if m[1] is not None:
+        pos, skip = m.end(), None
+        if m[1]:
             put(m[1], False)
         if m[3] is None:
             continue
@@ -141,7 +189,7 @@ def read_blocks(page: str) -> list[tuple[Element, str]]:
             continue
         if tag in RAW:                          # its content is no markup and no text
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, pos)
-            pos = end.end() if end else n
+            pos = skip = end.end() if end else n
             continue
         if tag == "br":
             put(" ")
@@ -158,14 +206,14 @@ def read_blocks(page: str) -> list[tuple[Element, str]]:
         for a in _ATTR.finditer(m[4] or ""):
             key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
             if key in ("class", "id", "role"):
-                words |= set(_WORD.findall(value))
+                words |= name_words(value)
                 name += f".{value}" if key == "class" else ""
             elif key == "hidden" or key == "aria-hidden" and value == "true":
                 hidden = True
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 hidden = True
         if not (m[4] or "").rstrip().endswith("/") or tag not in ("svg", "path"):
-            at = Element(tag, at, name, words, hidden)
+            at = Element(tag, at if at.depth < MOST_DEPTH else at.parent, name, words, hidden)
     flush()
     return blocks
 
@@ -204,9 +252,16 @@ def main_blocks(page: str) -> list[str]:
     blocks = read_blocks(page)
     if not blocks:
         return []
-    paths, ratios = [], {}
+    # numbers of paths from the root: (number of the path around, name) -> number
+    numbers: dict[tuple[int, str], int] = {}
+    paths, ratios, last = [], {}, {}
     for e, t in blocks:
-        path = "/".join(x.name for x in e.line())
+        if e not in last:
+            path = 0
+            for x in reversed(e.line()):
+                path = last[x] if x in last else numbers.setdefault((path, x.name), len(numbers) + 1)
+                last[x] = path
+        path = last[e]
         paths.append(path)
         r = ratios.setdefault(path, [0, 0, 0])
         r[0] += len(t)
@@ -214,11 +269,8 @@ def main_blocks(page: str) -> list[str]:
         r[2] += 1
 
     def prior(e: Element) -> float:
-        line = list(e.line())
-        if any(x.bad for x in line):
-            return 0.0
-        return (4.0 if any(x.tag in CONTENT for x in line) else 2.0 if any(x.good for x in line) else 1.0) * (
-            0.25 if any(x.doubtful for x in line) else 1.0)
+        bad, content, good, doubtful = e.kinds
+        return 0.0 if bad else (4.0 if content else 2.0 if good else 1.0) * (0.25 if doubtful else 1.0)
 
     def scored(use_prior: bool):
         raw = []
@@ -227,7 +279,7 @@ def main_blocks(page: str) -> list[str]:
             raw.append(length / n * (1 + punct / n) * (prior(e) if use_prior else 1.0))
         smooth = [sum(w * raw[min(max(k + d, 0), len(raw) - 1)] for d, w in zip((-1, 0, 1), SMOOTHING))
                   if raw[k] else 0.0 for k in range(len(raw))]
-        by_path: dict[str, list[float]] = {}
+        by_path: dict[int, list[float]] = {}
         for p, x in zip(paths, smooth):
             by_path.setdefault(p, []).append(x)
         return {p: sum(x) / len(x) for p, x in by_path.items()}, smooth
@@ -236,7 +288,7 @@ def main_blocks(page: str) -> list[str]:
     named = any(by_path.values())
     if not named:                               # only parts with bad names
         by_path, smooth = scored(False)
-        if not any(x.good for e, _ in blocks for x in e.line()):
+        if not any(e.kinds[2] for e, _ in blocks):
             return []
     cut = min(THRESHOLD * pstdev(smooth), max(by_path.values()))
     chosen = [k for k, p in enumerate(paths) if by_path[p] > 0 and by_path[p] >= cut]
@@ -245,17 +297,17 @@ def main_blocks(page: str) -> list[str]:
     places: dict[int, Element] = {}
     for k in chosen:
         e, t = blocks[k]
-        for x, share in zip(list((e.parent or e).line())[:2], (1.0, 0.5)):
+        for x, share in zip((e.parent or e).line()[:2], (1.0, 0.5)):
             x.weight += share * len(t) * by_path[paths[k]]
             places[id(x)] = x
     best = max(places.values(), key=lambda x: x.weight)
     core = best = _content(best)
 
     # further parts: where the winner is an article, others count; else every selected block
-    lines = [list(e.line()) for e, _ in blocks]
+    lines = [e.line() for e, _ in blocks]
     marked = any(x.tag in CONTENT for x in core.line())
-    parts = [k for k in chosen if core not in lines[k] and (any(x.tag in CONTENT for x in lines[k]) if marked else
-             named or any(x.good for x in lines[k]))]
+    parts = [k for k in chosen if core not in lines[k] and (blocks[k][0].kinds[1] if marked else
+             named or blocks[k][0].kinds[2])]
     length = sum(len(blocks[k][1]) for k in chosen if core in lines[k]) + sum(len(blocks[k][1]) for k in parts)
     around = {id(x): n for n, x in enumerate(core.line())}
     meets = {k: next(around[id(x)] for x in lines[k] if id(x) in around) for k in parts}
@@ -270,7 +322,7 @@ def main_blocks(page: str) -> list[str]:
     holders = {id(core)}
     ends = []
     if wide:
-        best = list(core.line())[wide]
+        best = core.line()[wide]
         for k in parts:
             if meets[k] <= wide:
                 holder = _content(blocks[k][0].parent or blocks[k][0])

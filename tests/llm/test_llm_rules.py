@@ -253,3 +253,26 @@ def test_heading_beside_the_content():
     assert main_blocks(f"<body>{menu}<h1>Title</h1><div class='entry'>{LONG * 3}</div></body>") == ["Title", SENT, SENT, SENT]
     site = f"<body><h1>Site</h1>{menu}<div class='entry'>{LONG * 3}</div></body>"
     assert main_blocks(site) == [SENT, SENT, SENT]
+
+
+def test_pages_of_a_megabyte_without_ends_are_read_once():
+    import time
+
+    from quarry.llm.html_paths import main_blocks
+    begin = time.time()
+    for page in ("<a " * 330_000, "<a <b " * 150_000 + '">"', '<a href="x>t ' * 80_000, "<div>" * 200_000 + "x",
+                 "<!-- " * 200_000, "</b>" * 250_000, "< " * 300_000):
+        main_blocks(page)
+    assert time.time() - begin < 20
+    assert main_blocks("<body><article><p>Some text here.</p><p>Then <a more text.</p><p>End, at last.</p></article>")[0] == "Some text here."
+
+
+def test_compound_names_of_subjects_are_no_furniture():
+    from quarry.llm.html_paths import main_blocks
+    text = "A long sentence of the article, with commas, that says something. It goes on for a while."
+    for name in ("share-prices", "related-work", "social-history", "search-history", "banner-year", "legal-history"):
+        page = f"<article><p>{text}</p><section class='{name}'><p>{name} {text}</p></section><p>{text}</p></article>"
+        assert main_blocks(page) == [text, f"{name} {text}", text], name
+    for name in ("share-buttons", "related-posts", "social", "search-box", "banner-ad-2", "legal", "comments-list", "user-comments"):
+        page = f"<article><p>{text}</p><p>{text}</p><div class='{name}'><p>Click here.</p></div><p>{text}</p></article>"
+        assert main_blocks(page) == [text] * 3, name
