@@ -79,8 +79,6 @@ class NameModel:
     def segment(self, run: str) -> list[str]:
         """Viterbi over the ends of words; parts outside the lexicon are one run each."""
         n = len(run)
-        if run in self.unigram:
-            return [run]
         # best split up to each end, and the best that ends in a run outside the lexicon:
         # (log probability, start of the last part)
         best, other = [(0.0, 0)], (-math.inf, 0)

@@ -276,3 +276,24 @@ def test_compound_names_of_subjects_are_no_furniture():
     for name in ("share-buttons", "related-posts", "social", "search-box", "banner-ad-2", "legal", "comments-list", "user-comments"):
         page = f"<article><p>{text}</p><p>{text}</p><div class='{name}'><p>Click here.</p></div><p>{text}</p></article>"
         assert main_blocks(page) == [text] * 3, name
+
+
+def test_segments_equal_the_best_of_all_splits():
+    import itertools
+    import random
+
+    from quarry.llm import urlfilter
+    model = urlfilter.NameModel(["casino-bonus", "ab-ba"], ["news-paper", "a-abb"],
+                                seen={"casinobonus": 1, "news": 500, "paper": 400, "casino": 30, "bonus": 40, "abab": 3, "bb": 9})
+    assert model.segment("casinobonus") == ["casino", "bonus"]      # seen once, but the split is likelier
+
+    def value(parts):
+        return sum(model.unigram[p] if p in model.unigram and len(p) > 1 else
+                   urlfilter.UNKNOWN_RUN + urlfilter.UNKNOWN_LETTER * len(p) for p in parts)
+
+    rng = random.Random(6)
+    for run in ["newspaper", "xnewsx"] + ["".join(rng.choice("ab") for _ in range(rng.randint(1, 9))) for _ in range(60)]:
+        n = len(run)
+        splits = [[run[a:b] for a, b in itertools.pairwise([0, *cuts, n])]
+                  for k in range(n) for cuts in itertools.combinations(range(1, n), k)]
+        assert abs(value(model.segment(run)) - max(map(value, splits))) < 1e-9, run
