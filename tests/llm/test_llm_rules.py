@@ -195,6 +195,27 @@ def test_words_of_the_documents_split_names(spark):
     assert {r.page_id: r.verdict for r in judge_urls(urls, ["page_id"], words=words).collect()} == {1: "block", 2: "allow"}
 
 
+def test_joined_lexicon_equals_the_whole_one(spark):
+    rng = random.Random(12)
+    known = sorted({w for n in BLOCK_NAMES + ALLOW_NAMES for w in n.split("-")})
+    own = ["".join(rng.choice("abcdeio") for _ in range(rng.choice([2, 3, 5, 8, 9, 15, 16, 17, 33, 70]))) for _ in range(60)]
+    own += [rng.choice(known) + rng.choice(known) for _ in range(20)] + [w + "s" for w in known[:40]]
+    docs = spark.createDataFrame([(" ".join(rng.choice(own) for _ in range(200)),) for _ in range(40)], "text string")
+    words = seen_words(docs)
+    model = NameModel(BLOCK_NAMES, ALLOW_NAMES, seen={r.word: r.n for r in words.collect()})
+    urls = ["http://" + "".join(rng.choice(known + own) for _ in range(rng.randint(1, 4))) + ".com/"
+            + "-".join(rng.choice(known + own) for _ in range(rng.randint(0, 3))) for _ in range(300)]
+    urls += urls[:5] * 20
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = judge_urls(df, [], words=words).collect()
+    want = {}
+    for u in urls:
+        host, path = u[7:].split("/", 1)
+        want[host, "/" + path] = "block" if model.score(host, "/" + path) > 0 else "allow"
+    assert len(got) == len(urls) and set(want.values()) == {"allow", "block"}
+    assert {(r.host, r.path): r.verdict for r in got} == want
+
+
 # ------------------------------------------------------------------ pages
 
 LONG = "<p>" + "Long sentence, with words and more words that go on. " * 4 + "</p>"
