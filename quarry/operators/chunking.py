@@ -7,6 +7,8 @@ chunk_ref string, text string``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +62,11 @@ def document_chunk_counts(docs: DataFrame, chunk_words: int = T.DEFAULT_CHUNK_WO
 
 
 def chunk_corpus(docs: DataFrame, chunk_words: int = T.DEFAULT_CHUNK_WORDS,
-                 overlap: int = T.DEFAULT_CHUNK_OVERLAP, key: str = "doc_id") -> DataFrame:
-    """Chunks with dense ``chunk_id`` 0..N-1 in (key, chunk_idx) order.
+                 overlap: int = T.DEFAULT_CHUNK_OVERLAP, key: str = "doc_id",
+                 first_id: Callable[[int], int] | None = None) -> DataFrame:
+    """Chunks with dense ``chunk_id`` 0..N-1 in (key, chunk_idx) order (I1);
+    ``first_id(N)`` gives another first id than 0, as for a load that goes on after
+    earlier ones (:mod:`.corpus`).
 
     The per-document base offset comes from :func:`dense_offsets` over one row
     per document; the document text is joined to its base *before* exploding,
@@ -78,16 +83,17 @@ def chunk_corpus(docs: DataFrame, chunk_words: int = T.DEFAULT_CHUNK_WORDS,
             .repartitionByRange(shuffle_partitions(docs.sparkSession), *order)
             .sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()), "numbered")
         keyed = numbered.select(F.col(row), "source_name", "text")
-        chunks = chunk_corpus(keyed, chunk_words, overlap, row)
+        chunks = chunk_corpus(keyed, chunk_words, overlap, row, first_id)
         return chunks.join(numbered.select(row, F.col(key)), row).select(
             "chunk_id", key, "source_name", "chunk_idx", "chunk_ref", "text")
     counts = document_chunk_counts(docs, chunk_words, overlap, key)
-    base, base_bytes = dense_offsets_sized(counts, key, "n")
+    base, base_bytes, n_chunks = dense_offsets_sized(counts, key, "n")
+    first = first_id(n_chunks) if first_id else 0
     # broadcast (key, base) when its exact size fits, so the document text is
     # not shuffled; otherwise a shuffle join
     with_base = docs.select(key, "source_name", "text").join(
         bounded_broadcast(base, 1, base_bytes), key, "inner")
     chunks = chunk_documents(with_base, chunk_words, overlap, key, carry=("base",))
     return chunks.select(
-        (F.col("base") + F.col("chunk_idx")).alias("chunk_id"),
+        (F.col("base") + F.col("chunk_idx") + F.lit(first)).alias("chunk_id"),
         key, "source_name", "chunk_idx", "chunk_ref", "text")

@@ -29,10 +29,10 @@ def dense_offsets(counts: DataFrame, key: str, count_col: str = "n",
 
 
 def dense_offsets_sized(counts: DataFrame, key: str, count_col: str = "n",
-                        num_partitions: int | None = None) -> tuple[DataFrame, int]:
+                        num_partitions: int | None = None) -> tuple[DataFrame, int, int]:
     """:func:`dense_offsets` plus the exact byte size of the ``(key, base)``
-    result (key bytes + 16 per key), taken from the per-partition totals at no
-    extra pass -- a proven bound for broadcasting it."""
+    result (key bytes + 16 per key) -- a proven bound for broadcasting it -- and the
+    number of ids, both from the per-partition totals at no extra pass."""
     spark = counts.sparkSession
     nparts = num_partitions or max(1, shuffle_partitions(spark))
     frozen = materialize(counts.select(key, F.col(count_col).cast("bigint").alias("_n")),
@@ -54,7 +54,7 @@ def dense_offsets_sized(counts: DataFrame, key: str, count_col: str = "n",
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (ranged.join(F.broadcast(offsets), "_pid")
             .select(key, (F.col("_off") + F.sum("_n").over(w) - F.col("_n")).alias("base")),
-            n_bytes)
+            n_bytes, acc)
 
 
 def dense_row_ids(df: DataFrame, key: str, id_col: str = "row_id") -> DataFrame:

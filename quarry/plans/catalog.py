@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
 from ..operators.chunking import chunk_documents
+from ..operators.corpus import add_chunks, read_corpus
 from ..operators.embed import hash_embed_sparse
 from ..operators.evaluate import missing_results
 from ..operators.ids import chunk_manifest, lookup_text
 from ..operators.truth import derive_truth
+from ..session import scratch_path
 from ..sources.tables import read_benchmark_queries, read_documents, read_table
 from . import oracle_sql as O
 from .pipeline import (DEFAULT_CANDIDATES, DEFAULT_TOP_K, evaluate, preprocess,
@@ -84,6 +86,23 @@ def q_chunk_manifest(spark, sf):
     return chunk_manifest(preprocess(read_documents(spark, sf)))
 
 
+@register("chunk_ids_three_loads", _with(_CHUNKS) + """,
+ edge AS (SELECT max(doc_id) // 3 AS a, 2 * (max(doc_id) // 3) AS b FROM documents)
+ SELECT chunk_id, doc_id, chunk_idx, source_name,
+        CASE WHEN doc_id <= a THEN 'first' WHEN doc_id <= b THEN 'second' ELSE 'third' END AS load
+ FROM chunks, edge""")
+def q_chunk_ids_three_loads(spark, sf):
+    """I1 over loads: the documents come in three, the second one twice (a retry), and
+    the ids are those of one load."""
+    docs = read_documents(spark, sf)
+    path = scratch_path(spark, "corpus")
+    third = (docs.agg(F.max("doc_id")).first()[0] or 0) // 3
+    low, mid = F.col("doc_id") <= third, F.col("doc_id") <= 2 * third
+    for load, part in (("first", low), ("second", ~low & mid), ("second", ~low & mid), ("third", ~mid)):
+        add_chunks(docs.where(part), path, load)
+    return read_corpus(spark, path).select("chunk_id", "doc_id", "chunk_idx", "source_name", "load")
+
+
 # ------------------------------------------------------------------ embedding + search
 
 @register("hash_embed_sparse", _with(_CHUNKS, O.queries_cte(), O.sparse_ctes(FLAGSHIP_DIM)) +
@@ -390,7 +409,6 @@ def q_rerank_bm25_eval(spark, sf):
 # ------------------------------------------------------------------ streaming add
 
 from ..operators.ivf import load_index  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 from ..streaming.append import empty_index_like, start_append_stream  # noqa: E402
 
 

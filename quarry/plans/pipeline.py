@@ -6,7 +6,8 @@
   responses, all queries in one job;
 * :func:`evaluate` -- responses x truth -> per-query metrics and summary.
 
-* :func:`index_chunks` -- chunk table -> IVF / IVF-PQ index (the ``index`` command).
+* :func:`index_chunks` -- chunk table -> IVF / IVF-PQ index (the ``index`` command);
+* :func:`add_documents` -- more documents into a corpus and its index.
 """
 
 from __future__ import annotations
@@ -19,14 +20,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_CHUNK_OVERLAP, DEFAULT_CHUNK_WORDS
 from ..operators.chunking import chunk_corpus
+from ..operators.corpus import add_chunks, read_loads
 from ..operators.embed import DEFAULT_HASH_DIM, hash_embed, model_embed, normalize
 from ..operators.evaluate import metrics_per_query, metrics_summary
 from ..operators.ivf import (DEFAULT_NLIST, DEFAULT_NPROBE, DEFAULT_PQ_BITS, IvfIndex,
-                             build_index)
+                             build_index, load_index)
 from ..operators.knn import knn_search
 from ..operators.search import ivf_search
 from ..operators.results import cut_candidates, query_responses, rollup_documents
-from ..session import materialize
+from ..session import materialize, path_exists
+from ..streaming.append import append_batch
 
 # The reference's retrieval defaults.
 DEFAULT_TOP_K = 10
@@ -98,6 +101,33 @@ def index_chunks(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM, metric: str = "
                        adaptive=adaptive, engine=engine)
 
 
+def add_documents(docs: DataFrame, path: str, load: str, dim: int = DEFAULT_HASH_DIM,
+                  chunk_words: int = DEFAULT_CHUNK_WORDS, overlap: int = DEFAULT_CHUNK_OVERLAP,
+                  embedder: Embedder | None = None, **build) -> IvfIndex:
+    """Add ``docs`` as ``load`` to the corpus at ``path`` (``operators.corpus``) and its
+    chunks to the index in ``path/index``; the first load builds and trains the index
+    (``build``: options of :func:`index_chunks`), later ones are encoded with its
+    parameters.  A load that failed is run again under its name; one that is done
+    changes nothing when run again."""
+    spark = docs.sparkSession
+    chunks = add_chunks(docs, path, load, chunk_words, overlap)
+    target = f"{path}/index"
+    founder = read_loads(spark, path).where("n > 0").orderBy("number").first()
+    if founder is None:
+        raise ValueError("the first load has no chunks to train an index on")
+    if load == founder["load"]:
+        # postings are written last
+        if not path_exists(spark, f"{target}/postings/_SUCCESS"):
+            index_chunks(chunks, dim, path=target, embedder=embedder, **build)
+        return load_index(spark, target)
+    index = load_index(spark, target)
+    vectors = build_flat_corpus(chunks, dim, embedder)
+    if index.meta.first()["metric"] == "cosine":
+        vectors = normalize(vectors)
+    append_batch(target, materialize(vectors, "embedded"), load, index)
+    return load_index(spark, target)
+
+
 def run_queries(chunks: DataFrame, queries: DataFrame, dim: int = DEFAULT_HASH_DIM,
                 k: int = DEFAULT_TOP_K, candidates: int = DEFAULT_CANDIDATES,
                 embedded: DataFrame | None = None, reranker=None,
