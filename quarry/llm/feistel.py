@@ -9,11 +9,14 @@ function, permutes all values of a format.  Equal values therefore get equal
 pseudonyms in all documents, different values different ones, and whoever has
 the key can invert them.
 
-Validated: card numbers by their check digit (kept valid), IPv4 octets, phone
-numbers by plan, social security numbers by range, dates by the calendar.
+Validated: card numbers of 13 to 19 digits by their check digit (kept valid), IPv4
+octets, phone numbers by plan, social security numbers by range, dates by the calendar.
 Sixteen-digit numbers that fail the check digit are account numbers and keep
-failing it by as much.  Mail addresses and secrets (access keys,
-passwords, tokens) are permuted letter by letter within their alphabets.
+failing it by as much; those of other lengths are no cards and stay.  Foreign phone
+numbers have 8 to 15 digits after a plus sign, the first two of which stay.  Mail
+addresses of any length, IPv6 addresses and secrets (access keys, passwords, tokens) are
+permuted letter by letter within their alphabets.  Secrets of 4 to 7 characters have a
+letter and a digit.  A bare run of ten digits is no phone number: ids look alike.
 """
 
 from __future__ import annotations
@@ -26,27 +29,34 @@ from .divergence import let
 
 KEY = "quarry-demo-key"     # a parameter; use a secret one
 ROUNDS = 8
-CARD_DIGITS = 16
 
 # Formats of the kinds, tried at each place in this order.
-MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9.-]{0,80}[A-Za-z0-9])?\.[A-Za-z]{2,24}"
-PHONE = r"\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d-])\(?[2-9]\d{2}\)?[ -][2-9]\d{2}-\d{4}(?![\d-])"
+MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}"
+PHONE = (r"\+1 \(\d{3}\) \d{3}-\d{4}|\+1[ .-]?\(?[2-9]\d{2}\)?[ .-]?[2-9]\d{2}[ .-]?\d{4}(?!\d)"
+         r"|(?<![\d-])\(?[2-9]\d{2}\)?[ -][2-9]\d{2}-\d{4}(?![\d-])"
+         r"|(?<![\d.-])(?:1[.-])?[2-9]\d{2}(?:\.[2-9]\d{2}\.|-[2-9]\d{2}-)\d{4}(?!\d|[.-]\d)")
+FOREIGN = r"(?<![\d+])\+[2-9](?:[ .()-]{0,2}\d){7,14}(?![ .-]?\d)"
+IPV6 = (r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?=[A-Fa-f:]*\d)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)")
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 SSN = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
 ISO_DATE = r"(?<![\d-])(?:19|20)\d{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d-])"
 DAY_DATE = r"(?<![\d./])(?:0[1-9]|[12]\d|3[01])([./])(?:0[1-9]|1[0-2])\1(?:19|20)\d{2}(?![\d/]|\.\d)"
 CARD = r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?![\d-])"
+LONG_CARD = r"(?<![\d.,-])(?:3[47]\d{2}[ -]\d{6}[ -]\d{5}|[3-6]\d{12,14}|[3-6]\d{16,18})(?![\d-]|[.,]\d)"
 ACCESS = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 # A secret ends where its characters end, at any length; mail addresses, IPs and dates are their own kinds.
 SECRET = (r"(?i:password|passwd|token|secret|api_?key) ?[=:] ?\"?(?!" + MAIL + r")"
           r"(?!(?:(?:\d{1,3}\.){3}\d{1,3}|\d{2}[./]\d{2}[./]\d{4})(?![A-Za-z0-9_/+=-]|\.\d))"
-          r"[A-Za-z0-9_./+=-]{7,}[A-Za-z0-9_-]\"?")
-KINDS = {"mail": MAIL, "phone": PHONE, "ip": IPV4, "ssn": SSN, "iso": ISO_DATE, "day": DAY_DATE,
-         "card": CARD, "access": ACCESS, "secret": SECRET}
+          r"(?:[A-Za-z0-9_./+=-]{7,}[A-Za-z0-9_-]"
+          r"|(?=[A-Za-z_./+=-]*\d)(?=[0-9_./+=-]*[A-Za-z])[A-Za-z0-9_./+=-]{3,6}[A-Za-z0-9_-])\"?")
+KINDS = {"mail": MAIL, "phone": PHONE, "foreign": FOREIGN, "ip": IPV4, "ip6": IPV6, "ssn": SSN, "iso": ISO_DATE,
+         "day": DAY_DATE, "card": CARD, "long": LONG_CARD, "access": ACCESS, "secret": SECRET}
 ANY = "|".join(KINDS.values()).replace(r"([./])", r"(?<sep>[./])").replace(r"\1", r"\k<sep>")
 
 SECRET_HEAD = r"^(?i:password|passwd|token|secret|api_?key) ?[=:] ?\"?"
 DIGITS, HEX, LOWER, UPPER = "0123456789", "abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+HEX_SETS = [DIGITS, HEX, HEX.upper()]
 # Spans of days that are a product of two small numbers, so that a day is two
 # symbols and no value falls outside: (first day, days, second factor).
 SPANS = [("1900-01-01", 18_262, 397), ("1950-01-01", 36_525, 487), ("2050-01-01", 18_262, 397)]
@@ -134,6 +144,10 @@ def _letters(core: Column, sets: list[str]) -> Column:
                     F.transform(_chars(core), lambda c: F.coalesce(_radix(c, sets), F.lit(1))).cast("array<int>").alias("r"))
 
 
+def _digits(v: Column) -> Column:
+    return F.transform(_chars(F.regexp_replace(v, r"\D", "")), lambda c: c.cast("int"))
+
+
 def _date(v: Column, kind: Column) -> Column:
     return F.when(kind == "iso", F.try_to_date(v, "yyyy-MM-dd")).otherwise(
         F.try_to_date(F.translate(v, "/", "."), "dd.MM.yyyy"))
@@ -144,7 +158,8 @@ def kind_of(v: Column) -> Column:
     for k, p in reversed(KINDS.items()):
         out = F.when(F.regexp_like(v, F.lit(f"^(?:{p})$")), F.lit(k)).otherwise(out)
     return F.when((out == "secret") & F.regexp_like(_core(v, out), F.lit(r"^[0-9a-f]+$")), F.lit("hex")).when(
-        out.isin("iso", "day") & _date(v, out).isNull(), F.lit("none")).otherwise(out)
+        out.isin("iso", "day") & _date(v, out).isNull(), F.lit("none")).when(
+        (out == "long") & F.when(out == "long", luhn_sum(_digits(v)) % 10 != 0), F.lit("none")).otherwise(out)
 
 
 def _core(v: Column, kind: Column) -> Column:
@@ -163,7 +178,7 @@ def symbols_of(v: Column, kind: Column) -> Column:
     def pair(s: Column, r: Column) -> Column:
         return F.struct(s.cast("array<int>").alias("s"), r.cast("array<int>").alias("r"))
 
-    d = F.transform(_chars(F.regexp_replace(v, r"\D", "")), lambda c: c.cast("int"))
+    d = _digits(v)
     o = F.transform(F.split(v, r"\."), lambda x: x.cast("int"))
     unicast, zero = o[0].between(1, 223), o[0] == 0
     area, group, serial = (F.substring(v, a, n).cast("int") for a, n in ((1, 3), (5, 2), (8, 4)))
@@ -188,14 +203,17 @@ def symbols_of(v: Column, kind: Column) -> Column:
                                       _ints(898, 99, 9999)))
             .when(kind.isin("iso", "day"), day)
             # the first digit (the scheme) and the check digit apart
-            .when(kind == "card", pair(F.slice(d, 2, CARD_DIGITS - 2), _ints(*[10] * (CARD_DIGITS - 2))))
+            .when(kind.isin("card", "long"), let(F.slice(d, F.lit(2), F.size(d) - 2), lambda x: pair(
+                x, F.transform(x, lambda a: F.lit(10)))))
+            .when(kind == "foreign", let(F.slice(d, F.lit(3), F.size(d)), lambda x: pair(x, F.transform(x, lambda a: F.lit(10)))))
+            .when(kind == "ip6", _letters(v, HEX_SETS))
             .otherwise(pair(_ints(), _ints())))
 
 
 def render(v: Column, kind: Column, p: Column) -> Column:
     """The value of ``v``'s format with the symbols ``p``."""
     text = F.lit("")
-    d = F.transform(_chars(F.regexp_replace(v, r"\D", "")), lambda c: c.cast("int"))
+    d = _digits(v)
 
     def card(x: Column) -> Column:
         # the check digit is wrong by as much as it was (valid: by nothing)
@@ -221,7 +239,9 @@ def render(v: Column, kind: Column, p: Column) -> Column:
     head = F.when(kind == "access", F.lit("AKIA")).when(kind == "mail", text).otherwise(
         F.regexp_extract(v, SECRET_HEAD, 0))
     tail = F.when(kind == "mail", F.substr(v, F.instr(v, F.lit("@")))).otherwise(F.regexp_extract(v, r"\"?$", 0))
-    return (F.when(kind == "phone", _write(v, let(d, phone), [DIGITS])).when(kind == "card", _write(v, let(d, card), [DIGITS]))
+    return (F.when(kind == "phone", _write(v, let(d, phone), [DIGITS])).when(kind.isin("card", "long"), _write(v, let(d, card), [DIGITS]))
+            .when(kind == "foreign", _write(v, let(d, lambda x: F.concat(F.slice(x, 1, 2), p)), [DIGITS]))
+            .when(kind == "ip6", _write_all(v, p, HEX_SETS))
             .when(kind == "ip", ip).when(kind == "ssn", ssn).when(kind == "iso", F.date_format(new, "yyyy-MM-dd"))
             .when(kind == "day", day).when(kind == "none", v)
             .when(kind == "hex", F.concat(head, _write_all(core, p, [DIGITS, HEX]), tail))

@@ -148,6 +148,36 @@ def test_long_and_dotted_secrets_are_replaced_whole(spark):
     assert rows[-1].text == texts[-1] and rows[-1].n == 0
 
 
+def test_more_formats_are_found_and_kept(spark):
+    shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", s)))
+    mail = "a" * 90 + ".b7@mail." + "c" * 90 + ".example.org"
+    found = ["415.555.1234", "+1-415-555-1234", "+1.415.555.1234", "+14155551234", "1-415-555-1234", "+44 20 7946 0958", "+49 (30) 1234567",
+             "+33612345678", "378282246310005", "3782 822463 10005", "4222222222222", "6304000000000000000"[:18] + "0",
+             "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:db8::ff00:42:8329", "FE80::1"]
+    found = [v for v in found if not (v.isdigit() and luhn(v))]
+    assert "378282246310005" in found and "4222222222222" in found
+    stay = ["1700000000", "1700000000123", "378282246310006", "version 1.415.555.12345", "12:30:45", "std::vector", "a::b", "+7 5", "5551234567",
+            "token: some words", "10:20", "password: abc", "+1 2 3 4 5 6 7 8 9"]
+    docs = spark.createDataFrame([(f"See {v} now.",) for v in found] + [(f"See {v} now.",) for v in stay] + [
+        (f"See {mail} now.",), ("my password: abc12 now", ), ("my password: abd12 now", ), ("See 4155551234 or (415) 555-1234.",)], "text string")
+    rows = feistel.pseudonymise(docs, count_col="n").collect()
+    for v, r in zip(found, rows):
+        m = re.fullmatch(r"See (.*) now\.", r.text)
+        assert m and m[1] != v and r.n == 1 and shape(m[1]) == shape(v), (v, r.text)
+        if v[:2] in ("37", "42", "63"):
+            assert luhn(m[1]) == 0 and m[1][0] == v[0]
+    new = {v: re.fullmatch(r"See (.*) now\.", r.text)[1] for v, r in zip(found, rows)}
+    # one number in several spellings is one person
+    assert len({re.sub(r"\D", "", new[v])[-10:] for v in found[:5]}) == 1
+    assert new["378282246310005"] == re.sub(r"\D", "", new["3782 822463 10005"])
+    for v, r in zip(stay, rows[len(found):]):
+        assert r.text == f"See {v} now." and r.n == 0, (v, r.text)
+    long, one, two, last = rows[-4:]
+    assert long.n == 1 and "a" * 20 not in long.text and long.text.endswith(mail[mail.index("@"):] + " now.")
+    assert one.text != two.text and re.fullmatch(r"my password: [a-z]{3}\d\d now", one.text) and "abc12" not in one.text
+    assert last.text.startswith("See 4155551234 or (") and last.n == 1 and re.sub(r"\D", "", last.text)[-10:] == re.sub(r"\D", "", new[found[0]])
+
+
 # ------------------------------------------------------------------ urls
 
 def test_rules_and_names(spark):
