@@ -154,18 +154,20 @@ def _scan_kernel(bc, metric: str, k: int):
 
 def _query_blocks(queries: DataFrame, rows_per_block: int, single: bool = False):
     """Blocks of the query table: cut by a hash of the id, each collected on its own."""
-    q = queries.select("qid", "embedding")
+    q = queries.select("qid", "embedding", "lists")
     n = 1 if single else -(-2 * queries.count() // rows_per_block)
     for b in range(n):
         part = q if n == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == b)
         rows = part.collect()
         if rows:
-            yield [r["qid"] for r in rows], np.asarray([r["embedding"] for r in rows], dtype=np.float64)
+            yield ([r["qid"] for r in rows], np.asarray([r["embedding"] for r in rows], dtype=np.float64),
+                   [r["lists"] for r in rows])
 
 
 def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAULT_NPROBE,
                qid_col: str = "qid", vec_col: str = "embedding",
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               probes: DataFrame | None = None) -> DataFrame:
     """Q3 + Q4: ``(qid, id, score, rank)``; cosine scores are higher-better,
     L2 scores are squared distances (lower-better).  PQ scores are the
     asymmetric estimates ``q.c + sum_m q_m . cb_m[code_m]`` (cosine) or
@@ -174,38 +176,52 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     Queries (unique ids; null vectors give no rows) go to the tasks with the lists
     they probe, in blocks of about ``max_broadcast_bytes``; there is no join.  The
     postings are read by list bucket, a partition of their folder, so buckets that
-    no query of the block probes aren't opened."""
+    no query of the block probes aren't opened.
+
+    ``probes(qid, list_id)``, at most ``nprobe`` for each query, takes the place of the
+    flat probe (flat postings only)."""
     meta = _meta(index)
     metric = meta["metric"]
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = queries.sparkSession
     sc = spark.sparkContext
-    C = centroid_matrix(index.centroids, metric)
+    if probes is not None and index.is_pq:
+        raise ValueError("given probes need flat postings")
+    C = centroid_matrix(index.centroids, metric) if probes is None else None
     cb = codebook_tensor(index.codebooks) if index.is_pq else None
-    present = materialize(queries.where(F.col(vec_col).isNotNull()).select(
-        F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("embedding")), "ivf-queries")
+    present = queries.where(F.col(vec_col).isNotNull()).select(
+        F.col(qid_col).cast("string").alias("qid"), F.col(vec_col).alias("embedding"))
+    if probes is None:
+        present = present.withColumn("lists", F.lit(None).cast("array<int>"))
+    else:
+        present = present.join(probes.groupBy("qid").agg(F.collect_list("list_id").alias("lists")), "qid", "left")
+    present = materialize(present, "ivf-queries")
     n_q, n_ids, dim = present.agg(F.count(F.lit(1)), F.count_distinct("qid"),
                                   F.max(F.size("embedding"))).first()
     if n_ids != n_q:
         raise ValueError("query ids must be unique and not null")
     if not n_q:
         return spark.createDataFrame([], "qid string, id bigint, score double, rank int")
-    p = min(nprobe, C.shape[0])
+    p = min(nprobe, meta["nlist"])
     rows_per_block = max(1, max_broadcast_bytes // (dim * 8 + p * 16 + 64))
     n_blocks = 1 if n_q <= rows_per_block else 2
     payload = "codes" if index.is_pq else "embedding"
     nparts = index.postings.rdd.getNumPartitions()
     groups = TWO_LEVEL_GROUPS if nparts > TWO_LEVEL_MIN_PARTITIONS else 1
     parts = []
-    for qids, Q in _query_blocks(present, rows_per_block, n_blocks == 1):
-        probed = probe_rows(Q, C, p, metric)
+    for qids, Q, chosen in _query_blocks(present, rows_per_block, n_blocks == 1):
+        if probes is None:
+            probed, owner = probe_rows(Q, C, p, metric).ravel(), np.repeat(np.arange(len(Q)), p)
+        else:
+            probed = np.concatenate([np.asarray(x or [], dtype=np.int64) for x in chosen])
+            owner = np.repeat(np.arange(len(Q)), [len(x or []) for x in chosen])
         # the queries of each list, by one sort
-        order = np.argsort(probed, axis=None, kind="stable")
-        lids, first = np.unique(probed.ravel()[order], return_index=True)
-        by_list = dict(zip(lids.tolist(), np.split(order // p, first[1:])))
+        order = np.argsort(probed, kind="stable")
+        lids, first = np.unique(probed[order], return_index=True)
+        by_list = dict(zip(lids.tolist(), np.split(owner[order], first[1:])))
         postings = index.postings
-        if "list_bucket" in postings.columns and p < C.shape[0]:
+        if "list_bucket" in postings.columns and p < meta["nlist"]:
             postings = postings.where(F.col("list_bucket").isin(sorted({x // LISTS_PER_BUCKET for x in by_list})))
         bc = sc.broadcast((qids, _prep(Q, metric), C, cb, by_list))
         scored = postings.select("list_id", "id", payload).mapInArrow(

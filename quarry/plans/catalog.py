@@ -180,6 +180,8 @@ from ..operators.ivf import (DEFAULT_N_TRAIN, DEFAULT_NLIST, DEFAULT_NPROBE,  #
                              adaptive_nlist_col, assign_lists, build_index)
 from ..operators.knn import knn_search  # noqa: E402
 from ..operators.search import ivf_search, probe_lists  # noqa: E402
+from ..operators.tree import (CELL_LISTS, assign_tree, build_tree_index, default_cells, probe_tree,  # noqa: E402
+                              train_tree, tree_search)
 from ..sources.tables import read_embeddings  # noqa: E402
 
 EMB_DIM = 64
@@ -323,6 +325,39 @@ def q_ivfpq_trained_search(spark, sf):
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
+TREE_NLIST, TREE_ITERS, TREE_CELLS, TREE_NPROBE, TREE_EVERY = 64, 5, 4, 16, 50
+_TREE = _with(O.tree_ctes(TREE_NLIST, default_cells(TREE_NLIST), CELL_LISTS, TREE_ITERS, EMB_DIM))
+_TREE_PROBE = _TREE + O.tree_probe_ctes(TREE_NPROBE, TREE_CELLS, TREE_EVERY)
+
+
+def _tree_index(spark, sf):
+    return build_tree_index(read_embeddings(spark, sf), TREE_NLIST, "cosine", train_iters=TREE_ITERS)
+
+
+def _tree_queries(spark, sf):
+    return _emb_queries(spark, sf).where(F.col("qid").cast("bigint") % TREE_EVERY == 0)
+
+
+@register("tree_assign", _TREE + " SELECT tx.id, tx.cell, la.list_id FROM tx JOIN la USING (id)")
+def q_tree_assign(spark, sf):
+    """X5, X6 in two levels: cell and list of every vector after trained rounds."""
+    vectors = read_embeddings(spark, sf)
+    return assign_tree(vectors, train_tree(vectors, TREE_NLIST, train_iters=TREE_ITERS)).select("id", "cell", "list_id")
+
+
+@register("tree_probe", _TREE_PROBE + " SELECT qid, list_id, coarse, probe_rank FROM probes")
+def q_tree_probe(spark, sf):
+    """Q2 from the top down, with scores as whole numbers."""
+    return probe_tree(_tree_queries(spark, sf), _tree_index(spark, sf).tree, TREE_NPROBE, TREE_CELLS)
+
+
+@register("tree_search", _TREE_PROBE + ",\nasg AS (SELECT id, list_id FROM la),\nfs AS"
+          + ORACLE["ivf_search"].split("\nfs AS", 1)[1])
+def q_tree_search(spark, sf):
+    """Q2-Q4 over an index whose lists lie in cells."""
+    return round_doubles(tree_search(_tree_index(spark, sf), _tree_queries(spark, sf), K, TREE_NPROBE, TREE_CELLS))
+
+
 @register("ivf_trained_centroids", _with(O.trained_ctes(DEFAULT_NLIST, 2, EMB_DIM)) +
           O.trained_codes_ctes(EMB_DIM, PQ_M, PQ_BITS, 2, 2) + """
  SELECT 'list' AS kind, list_id AS m, 0 AS code, CAST(unnest(range(0, len(c))) AS INTEGER) AS t, unnest(c) AS value FROM cent

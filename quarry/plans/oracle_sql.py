@@ -187,6 +187,56 @@ cent AS MATERIALIZED (SELECT list_id, c, sqrt(list_dot_product(c, c)) AS cn FROM
 """ + _with_cosine_lists()
 
 
+def _inner_rounds(a: str, c: str, rows: str, join: str, iters: int, dim: int) -> str:
+    """Unrolled rounds from centres ``{c}0(..., list_id, c)``: assignments ``{a}r``."""
+    out = ""
+    for r in range(iters + 1):
+        out += f"""
+{a}{r} AS MATERIALIZED (SELECT id, CAST(2047 - (k & 2047) AS INTEGER) AS list_id FROM (
+  SELECT id, max(CAST(list_dot_product(x.x, c.c) AS BIGINT) * 2048 + (2047 - c.list_id)) AS k
+  FROM {rows} x {join.format(c=f"{c}{r}")} GROUP BY id)),"""
+        if r < iters:
+            means = _means(f"{a}{r} JOIN gx USING (id)", "list_id", "x", dim)
+            out += f"""
+{c}{r + 1} AS MATERIALIZED (SELECT c.* REPLACE (coalesce(n.t, c.c) AS c) FROM {c}{r} c LEFT JOIN (
+  SELECT list_id, list_transform(m, lambda t: floor(t / sqrt(q) * s + 0.5)) AS t
+  FROM (SELECT list_id, m, list_dot_product(m, m) AS q FROM {means}), gs WHERE q > 0) n ON n.list_id = c.list_id),"""
+    return out
+
+
+def tree_ctes(nlist: int, cells: int, cell_lists: int, iters: int, dim: int) -> str:
+    """A two-level quantiser over all embeddings: cells (tops: cell, c; tx: id, x, cell)
+    and the lists in them (ls: cell, list_id, c; la: id, list_id)."""
+    head = trained_ctes(nlist, 0, dim).split("c0 AS MATERIALIZED (")[0]
+    return head + f"""
+tc0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS list_id, x AS c FROM gx
+       QUALIFY row_number() OVER (ORDER BY id) <= {cells}),""" + _inner_rounds(
+        "ta", "tc", "gx", "CROSS JOIN {c} c", iters, dim) + f"""
+tn AS (SELECT list_id AS top, count(*) AS n, CAST(row_number() OVER (ORDER BY list_id) - 1 AS INTEGER) AS cell
+       FROM ta{iters} GROUP BY list_id),
+tops AS MATERIALIZED (SELECT cell, c FROM tn JOIN tc{iters} t ON t.list_id = top),
+tx AS MATERIALIZED (SELECT gx.id, x, cell FROM gx JOIN ta{iters} a ON a.id = gx.id JOIN tn ON top = a.list_id),
+sh AS (SELECT cell, share, sum(share) OVER (ORDER BY cell) - share AS base FROM (
+  SELECT cell, least(greatest(1, n * {nlist} // (SELECT count(*) FROM gx)), {cell_lists}) AS share FROM tn)),
+lc0 AS MATERIALIZED (SELECT cell, CAST(base + nth - 1 AS INTEGER) AS list_id, x AS c FROM (
+  SELECT *, row_number() OVER (PARTITION BY cell ORDER BY id) AS nth FROM tx) JOIN sh USING (cell) WHERE nth <= share),""" \
+        + _inner_rounds("lb", "lc", "tx", "JOIN {c} c ON c.cell = x.cell", iters, dim) + f"""
+ls AS MATERIALIZED (SELECT * FROM lc{iters}),
+la AS MATERIALIZED (SELECT * FROM lb{iters})"""
+
+
+def tree_probe_ctes(nprobe: int, n_cells: int, every: int) -> str:
+    """probes(qid, qn, list_id, coarse, probe_rank) of every ``every``-th vector."""
+    return f""",
+qc AS (SELECT id, x, cell FROM (SELECT gx.id, gx.x, cell, row_number() OVER (
+         PARTITION BY gx.id ORDER BY list_dot_product(gx.x, c) DESC, cell) AS r
+       FROM gx CROSS JOIN tops WHERE gx.id % {every} = 0) WHERE r <= {n_cells}),
+probes AS (SELECT CAST(id AS VARCHAR) AS qid, id AS qn, list_id, coarse, CAST(probe_rank AS INTEGER) AS probe_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY coarse DESC, list_id) AS probe_rank FROM (
+    SELECT qc.id, list_id, CAST(list_dot_product(qc.x, c) AS BIGINT) AS coarse FROM qc JOIN ls USING (cell)))
+  WHERE probe_rank <= {nprobe})"""
+
+
 def _with_cosine_lists() -> str:
     return "cs AS (" + emb_ctes(1, 1).split("cs AS (")[1]
 
