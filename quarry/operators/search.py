@@ -90,66 +90,68 @@ def _best_k(q: np.ndarray, s: np.ndarray, ids: np.ndarray, k: int, sign: float):
     return q[place < k], s[keep], ids[keep]
 
 
-def _scan_kernel(bc, metric: str, k: int):
-    """Arrow kernel over postings sorted by list: each list is scored against all
-    queries that probe it by one product of matrices, and only the ``k`` best per query
-    leave the task."""
-    def scan(batches):
-        qids, Q, C, cb, by_list = bc.value
-        qsq = np.einsum("ij,ij->i", Q, Q)
-        sign = -1.0 if metric == "cosine" else 1.0
-        held, n_held = [], 0
-        most = max(4 * k * len(Q), KERNEL_BYTES // 64)      # rows held before a cut
-
-        def trim():
-            nonlocal held, n_held
-            held = [_best_k(*(np.concatenate(x) for x in zip(*held)), k, sign)]
-            n_held = len(held[0][0])
-
-        def score(queries: np.ndarray, x: np.ndarray, ids: np.ndarray):
-            nonlocal n_held
-            s = Q[queries] @ x.T if metric == "cosine" else V.sq_l2_distances(Q[queries], qsq[queries], x)
-            # rounded, so that equal vectors tie wherever they are stored
-            s = np.round(s, 12)
-            if s.shape[1] > 4 * k:
-                worst = np.partition(sign * s, k - 1, axis=1)[:, k - 1:k]
-                at, row = np.nonzero(sign * s <= worst)     # ties of the k-th too
-                held.append((queries[at], s[at, row], ids[row]))
-            else:
-                held.append((np.repeat(queries, s.shape[1]), s.ravel(), np.tile(ids, len(queries))))
-            n_held += len(held[-1][0])
-            if n_held > most:
-                trim()
+def scan_lists(batches, qids, Q: np.ndarray, C, cb, by_list: dict, metric: str, k: int):
+    """Batches of postings sorted by list against queries: each list is scored against all
+    queries that probe it (``by_list``) by one product of matrices, and only the ``k`` best
+    per query come out, ``(qid, id, score)``."""
+    qsq = np.einsum("ij,ij->i", Q, Q)
+    sign = -1.0 if metric == "cosine" else 1.0
+    held, n_held = [], 0
+    most = max(4 * k * len(Q), KERNEL_BYTES // 64)      # rows held before a cut
+
+    def trim():
+        nonlocal held, n_held
+        held = [_best_k(*(np.concatenate(x) for x in zip(*held)), k, sign)]
+        n_held = len(held[0][0])
+
+    def score(queries: np.ndarray, x: np.ndarray, ids: np.ndarray):
+        nonlocal n_held
+        s = Q[queries] @ x.T if metric == "cosine" else V.sq_l2_distances(Q[queries], qsq[queries], x)
+        # rounded, so that equal vectors tie wherever they are stored
+        s = np.round(s, 12)
+        if s.shape[1] > 4 * k:
+            worst = np.partition(sign * s, k - 1, axis=1)[:, k - 1:k]
+            at, row = np.nonzero(sign * s <= worst)     # ties of the k-th too
+            held.append((queries[at], s[at, row], ids[row]))
+        else:
+            held.append((np.repeat(queries, s.shape[1]), s.ravel(), np.tile(ids, len(queries))))
+        n_held += len(held[-1][0])
+        if n_held > most:
+            trim()
 
-        for rb in batches:
-            lists = rb.column("list_id").to_numpy(zero_copy_only=False)
-            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            if not len(lists):
+    for rb in batches:
+        lists = rb.column("list_id").to_numpy(zero_copy_only=False)
+        ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(lists):
+            continue
+        if cb is None:
+            x = _prep(V.list_column_matrix(rb.column("embedding"))[0], metric)
+        else:
+            codes = pa.concat_arrays([rb.column("codes")])       # offsets from 0
+            x = np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0]).reshape(-1, cb.shape[0])
+        edge = np.flatnonzero(np.diff(lists)) + 1
+        for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(lists)]):
+            queries = by_list.get(int(lists[lo]))
+            if queries is None:
                 continue
-            if cb is None:
-                x = _prep(V.list_column_matrix(rb.column("embedding"))[0], metric)
-            else:
-                codes = pa.concat_arrays([rb.column("codes")])       # offsets from 0
-                x = np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0]).reshape(-1, cb.shape[0])
-            edge = np.flatnonzero(np.diff(lists)) + 1
-            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(lists)]):
-                queries = by_list.get(int(lists[lo]))
-                if queries is None:
-                    continue
-                # of queries and of rows at a time, so that scores and vectors stay small
-                step = max(1, KERNEL_BYTES // (8 * max(Q.shape[1], min(len(queries), 4096))))
-                for at in range(lo, hi, step):
-                    part = slice(at, min(at + step, hi))
-                    y = x[part] if cb is None else _decode(x[part], lists[part], C, cb)
-                    for q in range(0, len(queries), 4096):
-                        score(queries[q:q + 4096], y, ids[part])
-        if n_held:
-            trim()
-            q, s, found = held[0]
-            names = pa.array(qids, pa.string())
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), pa.array(found), pa.array(s)],
-                                             names=["qid", "id", "score"])
-    return scan
+            # of queries and of rows at a time, so that scores and vectors stay small
+            step = max(1, KERNEL_BYTES // (8 * max(Q.shape[1], min(len(queries), 4096))))
+            for at in range(lo, hi, step):
+                part = slice(at, min(at + step, hi))
+                y = x[part] if cb is None else _decode(x[part], lists[part], C, cb)
+                for q in range(0, len(queries), 4096):
+                    score(queries[q:q + 4096], y, ids[part])
+    if n_held:
+        trim()
+        q, s, found = held[0]
+        names = pa.array(qids, pa.string())
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), pa.array(found), pa.array(s)],
+                                         names=["qid", "id", "score"])
+
+
+def _scan_kernel(bc, metric: str, k: int):
+    """:func:`scan_lists` beside broadcast queries."""
+    return lambda batches: scan_lists(batches, *bc.value, metric, k)
 
 
 def _query_blocks(queries: DataFrame, rows_per_block: int, single: bool = False):

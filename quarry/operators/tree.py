@@ -36,6 +36,7 @@ from .ivf import (DEFAULT_NPROBE, MIN_TRAIN_PER_LIST, IvfIndex, layout_postings,
 from .kmeans import SUMS, Grid, _running_sums, first_rows, lloyd, nearest, parallel_start, scores, sums_batch
 from .knn import check_metric
 from .search import ivf_search
+from .shared import shared_search
 
 PART_ROWS = 8192            # rows of a cell that meet its lists in one group
 CELL_LISTS = 4096           # lists of one cell, at most
@@ -344,7 +345,10 @@ def load_tree_index(spark: SparkSession, path: str) -> TreeIndex:
 
 
 def tree_search(built: TreeIndex, queries: DataFrame, k: int, nprobe: int = DEFAULT_NPROBE, n_cells: int = 4,
-                broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Q3 + Q4 over the lists that :func:`probe_tree` picks: ``(qid, id, score, rank)``."""
+                broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, shared: bool = False) -> DataFrame:
+    """Q3 + Q4 over the lists that :func:`probe_tree` picks: ``(qid, id, score, rank)``;
+    ``shared=True`` scans once for any number of queries."""
     probes = probe_tree(queries, built.tree, nprobe, n_cells, broadcast_bytes)
+    if shared:
+        return shared_search(built.index, queries, k, nprobe, probes=probes)
     return ivf_search(built.index, queries, k, nprobe, probes=probes)

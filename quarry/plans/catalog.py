@@ -180,6 +180,7 @@ from ..operators.ivf import (DEFAULT_N_TRAIN, DEFAULT_NLIST, DEFAULT_NPROBE,  #
                              adaptive_nlist_col, assign_lists, build_index)
 from ..operators.knn import knn_search  # noqa: E402
 from ..operators.search import ivf_search, probe_lists  # noqa: E402
+from ..operators.shared import shared_search  # noqa: E402
 from ..operators.tree import (CELL_LISTS, assign_tree, build_tree_index, default_cells, probe_tree,  # noqa: E402
                               train_tree, tree_search)
 from ..sources.tables import read_embeddings  # noqa: E402
@@ -304,6 +305,18 @@ def q_ivfpq_search(spark, sf):
     return round_doubles(ivf_search(index, _emb_queries(spark, sf), K, NPROBE))
 
 
+@register("ivf_shared_search", ORACLE["ivf_search"])
+def q_ivf_shared_search(spark, sf):
+    """Q3 by one scan for all queries, which meet the postings in a shuffle."""
+    return round_doubles(shared_search(_given_index(spark, sf), _emb_queries(spark, sf), K, NPROBE))
+
+
+@register("ivfpq_shared_search", ORACLE["ivfpq_search"])
+def q_ivfpq_shared_search(spark, sf):
+    """The same over product codes."""
+    return round_doubles(shared_search(_given_index(spark, sf, PQ_M), _emb_queries(spark, sf), K, NPROBE))
+
+
 TRAIN_ITERS = 20
 _TRAINED = _with(O.trained_ctes(DEFAULT_NLIST, TRAIN_ITERS, EMB_DIM)) + O.probe_ctes(NPROBE)
 
