@@ -180,6 +180,7 @@ from ..operators.ivf import (DEFAULT_N_TRAIN, DEFAULT_NLIST, DEFAULT_NPROBE,  #
                              adaptive_nlist_col, assign_lists, build_index)
 from ..operators.knn import knn_search  # noqa: E402
 from ..operators.search import ivf_search, probe_lists  # noqa: E402
+from ..operators.pruned import exact_search  # noqa: E402
 from ..operators.shared import shared_search  # noqa: E402
 from ..operators.tree import (CELL_LISTS, assign_tree, build_tree_index, default_cells, probe_tree,  # noqa: E402
                               train_tree, tree_search)
@@ -371,6 +372,13 @@ def q_tree_search(spark, sf):
     return round_doubles(tree_search(_tree_index(spark, sf), _tree_queries(spark, sf), K, TREE_NPROBE, TREE_CELLS))
 
 
+@register("knn_pruned", f"SELECT * FROM ({_EXACT_COS}) WHERE CAST(qid AS BIGINT) % {TREE_EVERY} = 0")
+def q_knn_pruned(spark, sf):
+    """Q1 through an index that skips the lists that cannot hold a top-k row."""
+    index = build_index(read_embeddings(spark, sf), "cosine", TREE_NLIST, train_iters=TREE_ITERS)
+    return round_doubles(exact_search(index, _tree_queries(spark, sf), K))
+
+
 @register("ivf_trained_centroids", _with(O.trained_ctes(DEFAULT_NLIST, 2, EMB_DIM)) +
           O.trained_codes_ctes(EMB_DIM, PQ_M, PQ_BITS, 2, 2) + """
  SELECT 'list' AS kind, list_id AS m, 0 AS code, CAST(unnest(range(0, len(c))) AS INTEGER) AS t, unnest(c) AS value FROM cent
