@@ -31,11 +31,27 @@ def hash_buckets(text, dim: int) -> Column:
 
 # ---------------------------------------------------------------- arrow / numpy
 
+SLICE_BYTES = 16 << 20      # of the vectors of a batch that are worked on at a time
+
+
+def slices(batches, vec_col: str, width: int = 0):
+    """The batches cut so that a slice's vectors, or rows of ``width`` numbers, take
+    about ``SLICE_BYTES`` as doubles, however many rows a batch has."""
+    for rb in batches:
+        if not rb.num_rows:
+            continue
+        dim = len(rb.column(vec_col).flatten()) // rb.num_rows
+        step = max(64, SLICE_BYTES // (8 * max(dim, width, 1)))
+        for at in range(0, rb.num_rows, step):
+            yield rb.slice(at, step)
+
+
 def list_column_matrix(arr: pa.Array, dtype=np.float64) -> tuple[np.ndarray, np.ndarray]:
     """Arrow list<float> column -> (dense row-major matrix, mask of non-null rows).
-    All non-null rows must have the same length."""
+    All non-null rows must have the same length; ``dtype=None`` keeps the column's."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
+    dtype = dtype or arr.type.value_type.to_pandas_dtype()
     valid = np.asarray(arr.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
     if not valid.all():
         arr = arr.filter(pa.array(valid))
@@ -94,32 +110,129 @@ def sq_l2_distances(q: np.ndarray, qsq: np.ndarray, x: np.ndarray) -> np.ndarray
     return np.maximum(d, 0.0)
 
 
-def topk_merge(best_s: np.ndarray, best_i: np.ndarray, s: np.ndarray, ids: np.ndarray,
-               k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row, keep the k best of (current best, new scores), higher score first
-    and lower id first among equal scores.  ``best_*`` are (nq, <=k); empty
-    slots hold -inf and id max."""
-    nq = s.shape[0]
-    cs = np.concatenate([best_s, s], axis=1)
-    ci = np.concatenate([best_i, np.broadcast_to(ids, (nq, len(ids)))], axis=1)
-    m = cs.shape[1]
-    if m <= k:
-        order = np.lexsort((ci, -cs), axis=1)
-        return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
-    part = np.argpartition(-cs, k - 1, axis=1)[:, :k]
-    ps = np.take_along_axis(cs, part, 1)
-    pi = np.take_along_axis(ci, part, 1)
-    kth = ps.min(axis=1)
-    n_gt = (cs > kth[:, None]).sum(axis=1)
-    n_eq = (cs == kth[:, None]).sum(axis=1)
-    for r in np.nonzero(n_gt + n_eq > k)[0]:
-        gt = np.nonzero(cs[r] > kth[r])[0]
-        eq = np.nonzero(cs[r] == kth[r])[0]
-        eq = eq[np.argsort(ci[r, eq], kind="stable")][: k - len(gt)]
-        sel = np.concatenate([gt, eq])
-        ps[r], pi[r] = cs[r, sel], ci[r, sel]
-    order = np.lexsort((pi, -ps), axis=1)
-    return np.take_along_axis(ps, order, 1), np.take_along_axis(pi, order, 1)
+def single_error(dim: int) -> float:
+    """Twice the greatest error of a single-precision product of two vectors of length
+    one, their rounding included."""
+    return (dim + 16) * 2.0 ** -23
+
+
+class TopRows:
+    """The ``k`` best rows of each query, kept while blocks of rows come by.
+
+    A block is scored by a product of matrices in single precision.  Rows whose score,
+    with the greatest error it can have, doesn't reach the query's k-th score so far are
+    out; the others are scored in double precision, each pair for itself, so a score
+    depends on the two vectors alone, and equal vectors tie wherever they are stored.
+    The result is that of scoring every pair in double precision.  Held are at most a
+    few times ``k`` rows for each query and a tile of scores, whatever the number of rows.
+
+    ``metric``: "cosine", "product" (both: higher first) or "l2" (squared distance, lower
+    first); ties go to the lower id, NaN comes last.  ``digits`` rounds the scores."""
+
+    QUERIES, ROWS, PAIR_BYTES = 1024, 2048, 8 << 20
+
+    def __init__(self, q: np.ndarray, k: int, metric: str, digits: int | None = None):
+        self.q, self.k, self.metric, self.digits = q, k, metric, digits
+        self.sq = np.einsum("ij,ij->i", q, q)
+        self.norm = np.sqrt(self.sq)
+        near = q
+        if metric == "cosine":
+            near = np.divide(q, self.norm[:, None], out=np.zeros_like(q), where=self.norm[:, None] > 0)
+        self.reach = np.ones(len(q)) if metric == "cosine" else self.norm
+        # beyond these lengths single precision might overflow
+        self.wide = bool(len(q)) and not self.reach.max() < 1e15
+        self.near = near if self.wide else near.astype(np.float32)
+        self.error = single_error(q.shape[1])
+        self.limit = np.full(len(q), -np.inf)       # of the k-th row so far, higher is better
+        self.held, self.n, self.kept = [], 0, 0
+        self.most = max(3 * k * len(q), 1 << 18)
+
+    def add(self, x: np.ndarray, ids: np.ndarray, queries: np.ndarray | None = None) -> None:
+        """A block of rows for all queries, or for those numbered ``queries``."""
+        queries = np.arange(len(self.q)) if queries is None else queries
+        if not len(queries):
+            return
+        step = max(64, min(self.ROWS, SLICE_BYTES // (8 * max(x.shape[1], 1))))
+        for lo in range(0, len(x), step):
+            rows = x[lo:lo + step].astype(np.float64)
+            sq = np.einsum("ij,ij->i", rows, rows)
+            near, top = rows, float(np.sqrt(sq.max()))
+            if self.metric == "cosine":
+                norm = np.sqrt(sq)[:, None]
+                near, top = np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0), 1.0
+            kind = np.float64 if self.wide or not top < 1e15 else np.float32
+            near, own_sq = near.astype(kind, copy=False), sq.astype(kind)
+            for at in range(0, len(queries), self.QUERIES):
+                self._tile(queries[at:at + self.QUERIES], rows, sq, near, own_sq, top, ids[lo:lo + step])
+            if self.n - self.kept > max(1 << 14, self.k * len(self.q) // 2):
+                self._cut()
+
+    def _tile(self, queries, rows, sq, near, own_sq, top, ids):
+        s = self.near[queries].astype(near.dtype, copy=False) @ near.T
+        reach = self.reach[queries]
+        scale = reach * top
+        if self.metric == "l2":     # the squared distance less the query's own square
+            s *= 2
+            s -= own_sq
+            scale = (reach + top) ** 2
+        slack = self.error * scale + 1e-12
+        limit = self.limit[queries] - slack
+        new = np.flatnonzero(np.isneginf(limit))
+        if len(new) and len(rows) > self.k:
+            at = len(rows) - self.k
+            limit[new] = np.partition(s[new], at, axis=1)[:, at] - 2 * slack[new]
+        hit = np.flatnonzero(~(s < limit.astype(s.dtype)[:, None]))     # NaN goes on
+        if not len(hit):
+            return
+        q, row = np.divmod(hit, len(rows))
+        q = queries[q]
+        self.held.append((q, ids[row], self._exact(q, row, rows, sq)))
+        self.n += len(hit)
+        if self.n > self.most:
+            self._cut()
+
+    def _exact(self, q, row, rows, sq):
+        dot = np.empty(len(q))
+        step = max(1, self.PAIR_BYTES // (8 * max(rows.shape[1], 1)))
+        for at in range(0, len(q), step):
+            part = slice(at, at + step)
+            dot[part] = np.einsum("ij,ij->i", self.q[q[part]], rows[row[part]])
+        if self.metric == "cosine":
+            # divided last, so that whole-number products give the bits of the SQL form
+            den = self.norm[q] * np.sqrt(sq)[row]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                s = np.where(den > 0, dot / np.where(den > 0, den, 1.0), 0.0)
+        elif self.metric == "l2":
+            s = np.maximum(self.sq[q] + sq[row] - 2.0 * dot, 0.0)
+        else:
+            s = dot
+        return s if self.digits is None else np.round(s, self.digits)
+
+    def _cut(self):
+        q, ids, s = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((ids, s if self.metric == "l2" else -s, q))
+        q = q[order]
+        first = np.flatnonzero(np.diff(q, prepend=-1))
+        place = np.arange(len(q)) - np.repeat(first, np.diff(first, append=len(q)))
+        keep = place < self.k
+        order, q, place = order[keep], q[keep], place[keep]
+        s = s[order]
+        last = place == self.k - 1
+        self.limit[q[last]] = self.sq[q[last]] - s[last] if self.metric == "l2" else s[last]
+        self.held, self.n, self.kept = [(q, ids[order], s)], len(q), len(q)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(query numbers, ids, scores)`` by query, best first."""
+        if not self.n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self._cut()
+        return self.held[0]
+
+    def batch(self, qids: pa.Array) -> pa.RecordBatch:
+        """:meth:`result` as ``(qid, id, score)``."""
+        q, ids, s = self.result()
+        return pa.RecordBatch.from_arrays([qids.take(pa.array(q)), pa.array(ids), pa.array(s)],
+                                          names=["qid", "id", "score"])
 
 
 def group_sums(x: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -51,7 +51,7 @@ def hash_embed(df: DataFrame, text_col: str = "text", id_col: str = "chunk_id",
                            T.StructField(out_col, T.ArrayType(T.FloatType(), False))])
 
     def densify(batches):
-        for rb in batches:
+        for rb in V.slices(batches, "_b", dim):
             m = V.bucket_counts_matrix(rb.column("_b"), dim)
             cols = [rb.column(id_col), *[rb.column(c) for c in keep],
                     V.matrix_to_list_array(m)]
@@ -70,7 +70,7 @@ def normalize(df: DataFrame, col: str = "embedding") -> DataFrame:
     names = df.columns
 
     def unit(batches):
-        for rb in batches:
+        for rb in V.slices(batches, col):
             X, valid = V.list_column_matrix(rb.column(col))
             n = V.row_norms(X)
             U = np.where(n[:, None] > 0, X / np.where(n > 0, n, 1.0)[:, None], 0.0)

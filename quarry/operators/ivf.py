@@ -44,7 +44,7 @@ TIE_DIGITS = 9
 # Centroids and codebooks are set by parameters (nlist x dim, 2^bits x dim), not by
 # the data; this bound only catches parameters that no executor could hold.
 PARAMETER_BYTES = 1 << 30
-ASSIGN_BYTES = 64 << 20     # of the (rows x nlist) score matrix at a time
+ASSIGN_BYTES = 16 << 20     # of the (rows x nlist) score matrix at a time
 
 
 @dataclass
@@ -204,7 +204,7 @@ def assign_lists(vectors: DataFrame, centroids: DataFrame, metric: str = "cosine
 
     def assign(batches):
         C = bc.value
-        for rb in batches:
+        for rb in V.slices(batches, vec_col):
             X, valid = V.list_column_matrix(rb.column(vec_col))
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid]
             step = max(1, ASSIGN_BYTES // (8 * len(C)))
@@ -233,7 +233,7 @@ def residuals(assigned: DataFrame, centroids: DataFrame, metric: str = "cosine",
 
     def resid(batches):
         C = bc.value
-        for rb in batches:
+        for rb in V.slices(batches, vec_col):
             X, valid = V.list_column_matrix(rb.column(vec_col))
             lists = rb.column("list_id").to_numpy(zero_copy_only=False)[valid]
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid]
@@ -255,7 +255,7 @@ def grid_residuals(sample: DataFrame, centroids: DataFrame, grid: Grid, id_col:
     bc = sample.sparkSession.sparkContext.broadcast(snap(mat, grid.scale))
 
     def resid(batches):
-        for rb in batches:
+        for rb in V.slices(batches, vec_col):
             x, valid = V.list_column_matrix(rb.column(vec_col))
             if len(x):
                 x = grid.rows(x)
@@ -336,7 +336,8 @@ def pq_encode(assigned: DataFrame, centroids: DataFrame, codebooks: DataFrame,
 
     def enc(batches):
         C, cb = bc_c.value, bc_b.value
-        for rb in batches:
+        # of the distances to a sub-space's codes, a slice at a time
+        for rb in V.slices(batches, vec_col, 4 * cb.shape[1]):
             X, valid = V.list_column_matrix(rb.column(vec_col))
             lists = rb.column("list_id").to_numpy(zero_copy_only=False)[valid].astype(np.int32)
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid].astype(np.int64)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 
 EXACT_BITS = 50             # sums of products stay below 2^50, with signs and factors below 2^53
-SCORE_BYTES = 64 << 20      # of the (rows x centres) score matrix at a time
+SCORE_BYTES = 16 << 20      # of the (rows x centres) score matrix at a time
 DRIVER_BYTES = 128 << 20    # of the tasks' sums added on the driver
 PARALLEL_ROUNDS = 5         # of the k-means|| start
 OVERSAMPLING = 2            # expected picks of a round, as a multiple of k
@@ -91,10 +91,33 @@ def scores(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
-    """Number of the nearest centre of each row; ties to the lower one."""
+    """Number of the nearest centre of each row; ties to the lower one.  Scores are made
+    in single precision; a row for which another centre is within their error of the
+    best one is scored exactly."""
+    out = np.zeros(len(x), np.int64)
+    if not len(x):
+        return out
     step = max(1, SCORE_BYTES // (8 * len(c)))
-    return np.concatenate([np.zeros(0, np.int64), *[
-        np.argmax(scores(x[at:at + step], c, metric), axis=1) for at in range(0, len(x), step)]])
+    size, reach = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", c, c).max())
+    if not max(size.max(), reach) < 1e15:       # single precision might overflow
+        for at in range(0, len(x), step):
+            out[at:at + step] = np.argmax(scores(x[at:at + step], c, metric), axis=1)
+        return out
+    error = V.single_error(x.shape[1]) * (size * reach if metric == "cosine" else (size + reach) ** 2)
+    near, own = c.astype(np.float32).T, np.einsum("ij,ij->i", c, c).astype(np.float32)
+    for at in range(0, len(x), step):
+        s = x[at:at + step].astype(np.float32) @ near
+        if metric != "cosine":
+            s *= 2
+            s -= own
+        best = np.argmax(s, axis=1)
+        top = s[np.arange(len(s)), best]
+        rivals = np.count_nonzero(s >= (top - 2 * error[at:at + step]).astype(np.float32)[:, None], axis=1)
+        unsure = np.flatnonzero(rivals != 1)
+        if len(unsure):
+            best[unsure] = np.argmax(scores(x[at + unsure], c, metric), axis=1)
+        out[at:at + step] = best
+    return out
 
 
 def sums_batch(sums: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -154,7 +177,7 @@ def lloyd(data: DataFrame, start: np.ndarray, grid: Grid, iters: int, vec_col: s
         def partial(batches, bc=bc):
             centres = bc.value
             sums, n = np.zeros(centres.shape, np.int64), np.zeros(len(centres), np.int64)
-            for rb in batches:
+            for rb in V.slices(batches, vec_col):
                 x, _ = V.list_column_matrix(rb.column(vec_col))
                 if len(x):
                     x = grid.rows(x)
@@ -204,7 +227,7 @@ def parallel_start(data: DataFrame, k: int, grid: Grid, seed: int, id_col: str =
 
         def cost(batches, bc=bc):
             total = 0
-            for rb in batches:
+            for rb in V.slices(batches, vec_col):
                 x, _ = V.list_column_matrix(rb.column(vec_col))
                 if len(x):
                     for part in np.array_split(_cost(grid.rows(x), bc.value).astype(np.int64), 1 + len(x) // 1024):
@@ -217,7 +240,7 @@ def parallel_start(data: DataFrame, k: int, grid: Grid, seed: int, id_col: str =
         share = OVERSAMPLING * k / float(total)
 
         def pick(batches, bc=bc, share=share):
-            for rb in batches:
+            for rb in V.slices(batches, vec_col):
                 x, _ = V.list_column_matrix(rb.column(vec_col))
                 if len(x):
                     take = rb.column("_u").to_numpy() < share * _cost(grid.rows(x), bc.value)
@@ -274,7 +297,7 @@ def lloyd_codes(resid: DataFrame, start: np.ndarray, scale: float, iters: int,
         def partial(batches, bc=bc):
             b = bc.value
             sums, n = np.zeros((m * k, width), np.int64), np.zeros(m * k, np.int64)
-            for rb in batches:
+            for rb in V.slices(batches, "residual"):
                 r, _ = V.list_column_matrix(rb.column("residual"))
                 if not len(r):
                     continue

@@ -2,11 +2,12 @@
 
 * Q2 probe: each query's ``nprobe`` nearest lists, scored in an Arrow task over
   the (small) query table against the broadcast centroid matrix.
-* Q3 scan: no join.  Each block of queries is sent to the tasks with the lists it
-  probes; a task walks its postings list by list, scores each list against the
-  queries that probe it by one product of matrices (product codes are decoded:
-  the asymmetric estimate is the exact score against the decoded vector) and emits
-  its ``k`` best per query.
+* Q3 scan: no join.  The queries are sent to the tasks with the lists they probe; a
+  task walks its postings list by list, scores each list against the queries that
+  probe it by products of matrices (product codes are decoded: the asymmetric
+  estimate is the exact score against the decoded vector) and emits its ``k`` best
+  per query.  More queries than one block meet the postings in the shuffle of
+  ``operators/shared.py``.
   Postings lie in folders by bucket of lists, so unprobed buckets aren't read.
 * Q4: window top-k per query (partial ``WindowGroupLimit`` before the shuffle).
 """
@@ -22,7 +23,7 @@ from ..functions import vectors as V
 from ..session import DEFAULT_BROADCAST_BYTES, KERNEL_BYTES, materialize
 from .ivf import (DEFAULT_NPROBE, LISTS_PER_BUCKET, TIE_DIGITS, IvfIndex, _coarse_scores, _prep,
                   centroid_matrix, codebook_tensor)
-from .knn import TWO_LEVEL_GROUPS, TWO_LEVEL_MIN_PARTITIONS, check_metric, top_k_per_query
+from .knn import PART_ANSWERS, SCORED, TWO_LEVEL_GROUPS, TWO_LEVEL_MIN_PARTITIONS, check_metric, top_k_per_query
 
 
 def _meta(index: IvfIndex) -> dict:
@@ -37,7 +38,7 @@ def probe_rows(X: np.ndarray, C: np.ndarray, p: int, metric: str) -> np.ndarray:
     step = max(1, KERNEL_BYTES // (8 * len(C)))
     for at in range(0, len(X), step):
         s = np.round(_coarse_scores(X[at:at + step], C, metric, rounded=False), TIE_DIGITS)
-        out[at:at + step] = np.lexsort((np.broadcast_to(np.arange(len(C)), s.shape), -s), axis=1)[:, :p]
+        out[at:at + step] = np.argsort(-s, axis=1, kind="stable")[:, :p]
     return out
 
 
@@ -54,21 +55,20 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int = DEFAULT_
 
     def probe(batches):
         Cm = bc.value
-        for rb in batches:
+        # of the scores, their rounded form and their order, a slice at a time
+        for rb in V.slices(batches, vec_col, 4 * Cm.shape[0]):
             X, valid = V.list_column_matrix(rb.column(vec_col))
             if len(X) == 0:
                 continue
-            qids = np.asarray(rb.column(qid_col).to_pylist(), dtype=object)[valid]
+            qids = rb.column(qid_col).filter(pa.array(valid))
             raw = _coarse_scores(X, Cm, metric, rounded=False)
-            s = np.round(raw, TIE_DIGITS)
-            order = np.lexsort((np.broadcast_to(np.arange(Cm.shape[0]), s.shape), -s),
-                               axis=1)[:, :p]
+            order = np.argsort(-np.round(raw, TIE_DIGITS), axis=1, kind="stable")[:, :p]
             top = np.take_along_axis(raw, order, 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(qids, p), pa.string()),
+                [qids.take(pa.array(np.repeat(np.arange(len(X)), p))),
                  pa.array(order.reshape(-1).astype(np.int32)),
                  pa.array((top if metric == "cosine" else -top).reshape(-1)),
-                 pa.array(np.tile(np.arange(1, p + 1, dtype=np.int32), len(qids)))],
+                 pa.array(np.tile(np.arange(1, p + 1, dtype=np.int32), len(X)))],
                 names=["qid", "list_id", "coarse", "probe_rank"])
 
     return queries.select(F.col(qid_col).cast("string").alias(qid_col), vec_col).mapInArrow(
@@ -81,72 +81,34 @@ def _decode(codes: np.ndarray, lists: np.ndarray, C: np.ndarray, cb: np.ndarray)
     return C[lists] + cb[np.arange(cb.shape[0]), codes].reshape(len(codes), -1)
 
 
-def _best_k(q: np.ndarray, s: np.ndarray, ids: np.ndarray, k: int, sign: float):
-    """Per query number the k best of flat rows, ties to the lower id."""
-    order = np.lexsort((ids, sign * s, q))
-    q = q[order]
-    place = np.arange(len(q)) - np.searchsorted(q, q)
-    keep = order[place < k]
-    return q[place < k], s[keep], ids[keep]
-
-
-def scan_lists(batches, qids, Q: np.ndarray, C, cb, by_list: dict, metric: str, k: int):
+def scan_lists(batches, qids, Q: np.ndarray, C, cb, by_list: dict | None, metric: str, k: int):
     """Batches of postings sorted by list against queries: each list is scored against all
-    queries that probe it (``by_list``) by one product of matrices, and only the ``k`` best
-    per query come out, ``(qid, id, score)``."""
-    qsq = np.einsum("ij,ij->i", Q, Q)
-    sign = -1.0 if metric == "cosine" else 1.0
-    held, n_held = [], 0
-    most = max(4 * k * len(Q), KERNEL_BYTES // 64)      # rows held before a cut
-
-    def trim():
-        nonlocal held, n_held
-        held = [_best_k(*(np.concatenate(x) for x in zip(*held)), k, sign)]
-        n_held = len(held[0][0])
-
-    def score(queries: np.ndarray, x: np.ndarray, ids: np.ndarray):
-        nonlocal n_held
-        s = Q[queries] @ x.T if metric == "cosine" else V.sq_l2_distances(Q[queries], qsq[queries], x)
-        # rounded, so that equal vectors tie wherever they are stored
-        s = np.round(s, 12)
-        if s.shape[1] > 4 * k:
-            worst = np.partition(sign * s, k - 1, axis=1)[:, k - 1:k]
-            at, row = np.nonzero(sign * s <= worst)     # ties of the k-th too
-            held.append((queries[at], s[at, row], ids[row]))
-        else:
-            held.append((np.repeat(queries, s.shape[1]), s.ravel(), np.tile(ids, len(queries))))
-        n_held += len(held[-1][0])
-        if n_held > most:
-            trim()
-
-    for rb in batches:
-        lists = rb.column("list_id").to_numpy(zero_copy_only=False)
-        ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-        if not len(lists):
-            continue
-        if cb is None:
-            x = _prep(V.list_column_matrix(rb.column("embedding"))[0], metric)
-        else:
-            codes = pa.concat_arrays([rb.column("codes")])       # offsets from 0
-            x = np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0]).reshape(-1, cb.shape[0])
-        edge = np.flatnonzero(np.diff(lists)) + 1
-        for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(lists)]):
-            queries = by_list.get(int(lists[lo]))
-            if queries is None:
+    queries that probe it (``by_list``; None: all lists are probed by all queries), and
+    only the ``k`` best per query come out, ``(qid, id, score)``."""
+    # rounded, so that equal vectors tie wherever they are stored
+    top = V.TopRows(Q, k, "product" if metric == "cosine" else "l2", 12)
+    step = max(64, V.SLICE_BYTES // (8 * max(Q.shape[1], 1)))
+    for whole in batches:
+        for lo in range(0, whole.num_rows, step):
+            rb = whole.slice(lo, step)
+            lists = rb.column("list_id").to_numpy(zero_copy_only=False)
+            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            if cb is None:
+                x = _prep(V.list_column_matrix(rb.column("embedding"))[0], metric)
+            else:
+                codes = pa.concat_arrays([rb.column("codes")])       # offsets from 0
+                x = _decode(np.frombuffer(codes.buffers()[2], np.uint8, len(codes) * cb.shape[0]).reshape(
+                    -1, cb.shape[0]), lists, C, cb)
+            if by_list is None:
+                top.add(x, ids)
                 continue
-            # of queries and of rows at a time, so that scores and vectors stay small
-            step = max(1, KERNEL_BYTES // (8 * max(Q.shape[1], min(len(queries), 4096))))
-            for at in range(lo, hi, step):
-                part = slice(at, min(at + step, hi))
-                y = x[part] if cb is None else _decode(x[part], lists[part], C, cb)
-                for q in range(0, len(queries), 4096):
-                    score(queries[q:q + 4096], y, ids[part])
-    if n_held:
-        trim()
-        q, s, found = held[0]
-        names = pa.array(qids, pa.string())
-        yield pa.RecordBatch.from_arrays([names.take(pa.array(q)), pa.array(found), pa.array(s)],
-                                         names=["qid", "id", "score"])
+            edge = np.flatnonzero(np.diff(lists)) + 1
+            for at, end in zip([0, *edge.tolist()], [*edge.tolist(), len(lists)]):
+                queries = by_list.get(int(lists[at]))
+                if queries is not None:
+                    top.add(x[at:end], ids[at:end], queries)
+    if top.n:
+        yield top.batch(pa.array(qids, pa.string()))
 
 
 def _scan_kernel(bc, metric: str, k: int):
@@ -154,18 +116,6 @@ def _scan_kernel(bc, metric: str, k: int):
     return lambda batches: scan_lists(batches, *bc.value, metric, k)
 
 
-def _query_blocks(queries: DataFrame, rows_per_block: int, single: bool = False):
-    """Blocks of the query table: cut by a hash of the id, each collected on its own."""
-    q = queries.select("qid", "embedding", "lists")
-    n = 1 if single else -(-2 * queries.count() // rows_per_block)
-    for b in range(n):
-        part = q if n == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == b)
-        rows = part.collect()
-        if rows:
-            yield ([r["qid"] for r in rows], np.asarray([r["embedding"] for r in rows], dtype=np.float64),
-                   [r["lists"] for r in rows])
-
-
 def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAULT_NPROBE,
                qid_col: str = "qid", vec_col: str = "embedding",
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
@@ -176,9 +126,11 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     ``sum_m |(q-c)_m - cb_m[code_m]|^2`` (L2).
 
     Queries (unique ids; null vectors give no rows) go to the tasks with the lists
-    they probe, in blocks of about ``max_broadcast_bytes``; there is no join.  The
-    postings are read by list bucket, a partition of their folder, so buckets that
-    no query of the block probes aren't opened.
+    they probe while they take about ``max_broadcast_bytes`` and ``PART_ANSWERS``
+    result rows; there is no join.  More queries are searched by one shared scan
+    (:func:`quarry.operators.shared.shared_search`).  The postings are read by list
+    bucket, a partition of their folder, so buckets that no query probes aren't opened.
+    A probe of all lists scores all postings with all queries.
 
     ``probes(qid, list_id)``, at most ``nprobe`` for each query, takes the place of the
     flat probe (flat postings only)."""
@@ -206,35 +158,31 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = DEFAUL
     if not n_q:
         return spark.createDataFrame([], "qid string, id bigint, score double, rank int")
     p = min(nprobe, meta["nlist"])
-    rows_per_block = max(1, max_broadcast_bytes // (dim * 8 + p * 16 + 64))
-    n_blocks = 1 if n_q <= rows_per_block else 2
+    full = probes is None and p == meta["nlist"]
+    if n_q > min(max_broadcast_bytes // (dim * 8 + (0 if full else p * 16) + 64), PART_ANSWERS // k):
+        from .shared import shared_search
+        return shared_search(index, present.select("qid", "embedding"), k, nprobe, probes=probes)
     payload = "codes" if index.is_pq else "embedding"
     nparts = index.postings.rdd.getNumPartitions()
     groups = TWO_LEVEL_GROUPS if nparts > TWO_LEVEL_MIN_PARTITIONS else 1
-    parts = []
-    for qids, Q, chosen in _query_blocks(present, rows_per_block, n_blocks == 1):
+    rows = present.toArrow()
+    qids, Q = rows.column("qid").to_pylist(), V.list_column_matrix(rows.column("embedding"))[0]
+    postings, by_list = index.postings, None
+    if not full:
         if probes is None:
             probed, owner = probe_rows(Q, C, p, metric).ravel(), np.repeat(np.arange(len(Q)), p)
         else:
+            chosen = rows.column("lists").to_pylist()
             probed = np.concatenate([np.asarray(x or [], dtype=np.int64) for x in chosen])
             owner = np.repeat(np.arange(len(Q)), [len(x or []) for x in chosen])
         # the queries of each list, by one sort
         order = np.argsort(probed, kind="stable")
         lids, first = np.unique(probed[order], return_index=True)
         by_list = dict(zip(lids.tolist(), np.split(owner[order], first[1:])))
-        postings = index.postings
         if "list_bucket" in postings.columns and p < meta["nlist"]:
             postings = postings.where(F.col("list_bucket").isin(sorted({x // LISTS_PER_BUCKET for x in by_list})))
-        bc = sc.broadcast((qids, _prep(Q, metric), C, cb, by_list))
-        scored = postings.select("list_id", "id", payload).mapInArrow(
-            _scan_kernel(bc, metric, k), "qid string, id bigint, score double")
-        if n_blocks > 1:
-            scored = materialize(scored, "ivf-block")
-            bc.unpersist()
-        parts.append(scored)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    bc = sc.broadcast((qids, _prep(Q, metric), C, cb, by_list))
+    out = postings.select("list_id", "id", payload).mapInArrow(_scan_kernel(bc, metric, k), SCORED)
     return top_k_per_query(out, k, metric, groups=groups)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 # centroids, codebooks, pattern sets).  Callers split work into blocks above it.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Working-memory target for one numpy score matrix inside a Python task.
-KERNEL_BYTES = 64 * 1024 * 1024
+KERNEL_BYTES = 16 * 1024 * 1024
 
 
 def build_session(master: str | None = None, app: str = "quarry",
