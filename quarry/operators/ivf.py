@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..session import DEFAULT_BROADCAST_BYTES, delete_path, materialize, scratch_path, shuffle_partitions
-from .kmeans import (Grid, first_rows, grid_scale, lloyd, lloyd_codes, nearest, parallel_start,
+from .kmeans import (CACHE_BYTES, Grid, first_rows, grid_scale, lloyd, lloyd_codes, nearest, parallel_start,
                      snap)
 from .knn import check_metric
 
@@ -249,10 +249,13 @@ def residuals(assigned: DataFrame, centroids: DataFrame, metric: str = "cosine",
 
 def grid_residuals(sample: DataFrame, centroids: DataFrame, grid: Grid, id_col: str = "id",
                    vec_col: str = "embedding") -> DataFrame:
-    """Training vectors less their nearest centre, both on the grid, as ``(id,
-    residual array<double>)``: exact multiples of the grid's step."""
+    """Training vectors less their nearest centre, both on the grid, as ``(id, residual)``:
+    exact multiples of the grid's step.  They are whole numbers of at most 2^24 steps (see
+    ``grid_scale``), which floats hold exactly at half the size of doubles, unless the
+    vectors themselves come near the end of the floats' range."""
     _, mat = _collect_matrix(centroids, "list_id", "centroid")
     bc = sample.sparkSession.sparkContext.broadcast(snap(mat, grid.scale))
+    kind, sql = (pa.float32(), "float") if 2.0 ** -100 < grid.scale < 2.0 ** 100 else (pa.float64(), "double")
 
     def resid(batches):
         for rb in V.slices(batches, vec_col):
@@ -261,10 +264,10 @@ def grid_residuals(sample: DataFrame, centroids: DataFrame, grid: Grid, id_col:
                 x = grid.rows(x)
                 x = (x - bc.value[nearest(x, bc.value, grid.metric)]) / grid.scale
             yield pa.RecordBatch.from_arrays([rb.column(id_col).filter(pa.array(valid)), V.matrix_to_list_array(
-                x, pa.float64())], names=[id_col, "residual"])
+                x, kind)], names=[id_col, "residual"])
 
     return sample.select(F.col(id_col).cast("bigint").alias(id_col), vec_col).mapInArrow(
-        resid, f"{id_col} bigint, residual array<double>")
+        resid, f"{id_col} bigint, residual array<{sql}>")
 
 
 def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
@@ -319,10 +322,19 @@ def codebook_tensor(codebooks: DataFrame) -> np.ndarray:
 def _encode(R: np.ndarray, cb: np.ndarray) -> np.ndarray:
     m, k, dsub = cb.shape
     codes = np.empty((len(R), m), dtype=np.uint8)
-    for j in range(m):
-        r = R[:, j * dsub:(j + 1) * dsub]
-        d = V.sq_l2_distances(r, np.einsum("ij,ij->i", r, r), cb[j])
-        codes[:, j] = np.argmin(np.round(d, TIE_DIGITS), axis=1)
+    step = max(1, CACHE_BYTES // (8 * k))
+    for at in range(0, len(R), step):
+        for j in range(m):
+            r = R[at:at + step, j * dsub:(j + 1) * dsub]
+            d = V.sq_l2_distances(r, np.einsum("ij,ij->i", r, r), cb[j])
+            best = np.argmin(d, axis=1)
+            # rounded distances tie only within a unit of the last place: most rows need no rounding
+            least = d[np.arange(len(d)), best]
+            first = np.argmax(d <= (least + 4 * 10.0 ** -TIE_DIGITS + 1e-14 * least)[:, None], axis=1)
+            unsure = np.flatnonzero(first != best)
+            if len(unsure):
+                best[unsure] = np.argmin(np.round(d[unsure], TIE_DIGITS), axis=1)
+            codes[at:at + step, j] = best
     return codes
 
 
@@ -412,7 +424,8 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
         train_codebooks(resid, pq_m, pq_bits, train_iters, dim=dim, scale=grid and grid.scale) \
             .write.mode("overwrite").parquet(f"{path}/codebooks")
         codebooks = spark.read.parquet(f"{path}/codebooks")
-        postings = pq_encode(assigned, centroids, codebooks, metric)
+        # the range layout reads its rows twice: codes are small, so they are made once
+        postings = materialize(pq_encode(assigned, centroids, codebooks, metric), "ivf-codes")
     else:
         postings = assigned.select("list_id", "id", "embedding")
     spark.createDataFrame(

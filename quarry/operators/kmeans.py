@@ -27,6 +27,8 @@ from ..functions import vectors as V
 
 EXACT_BITS = 50             # sums of products stay below 2^50, with signs and factors below 2^53
 SCORE_BYTES = 16 << 20      # of the (rows x centres) score matrix at a time
+CACHE_BYTES = 1 << 20       # of the same for narrow vectors: what a core's cache holds
+NARROW = 32                 # widest vectors whose exact scores cost less than checked ones
 DRIVER_BYTES = 128 << 20    # of the tasks' sums added on the driver
 PARALLEL_ROUNDS = 5         # of the k-means|| start
 OVERSAMPLING = 2            # expected picks of a round, as a multiple of k
@@ -43,7 +45,9 @@ def grid_scale(largest: float, dim: int) -> float:
 
 def snap(x: np.ndarray, scale: float) -> np.ndarray:
     """Nearest whole numbers of ``scale * x`` (halves upwards), as doubles."""
-    return np.floor(x * scale + 0.5)
+    y = x * scale
+    y += 0.5
+    return np.floor(y, out=y)
 
 
 def unit_grid(x: np.ndarray, scale: float) -> np.ndarray:
@@ -91,12 +95,22 @@ def scores(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
-    """Number of the nearest centre of each row; ties to the lower one.  Scores are made
-    in single precision; a row for which another centre is within their error of the
-    best one is scored exactly."""
+    """Number of the nearest centre of each row; ties to the lower one.  Narrow vectors
+    are scored exactly by one product.  For wide ones scores are made in single precision;
+    a row for which another centre is within their error of the best one is scored exactly."""
     out = np.zeros(len(x), np.int64)
     if not len(x):
         return out
+    if x.shape[1] <= NARROW:
+        # the L2 score's factor and own square as a column more: whole numbers, still exact
+        c2 = c.T if metric == "cosine" else np.vstack([2 * c.T, -np.einsum("ij,ij->i", c, c)])
+        step = max(1, CACHE_BYTES // (8 * len(c)))
+        for at in range(0, len(x), step):
+            rows = x[at:at + step]
+            if metric != "cosine":
+                rows = np.hstack([rows, np.ones((len(rows), 1))])
+            out[at:at + step] = np.argmax(rows @ c2, axis=1)
+        return out
     step = max(1, SCORE_BYTES // (8 * len(c)))
     size, reach = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", c, c).max())
     if not max(size.max(), reach) < 1e15:       # single precision might overflow
@@ -120,6 +134,18 @@ def nearest(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     return out
 
 
+def add_rows(sums: np.ndarray, n: np.ndarray, x: np.ndarray, labels: np.ndarray) -> None:
+    """Whole-number rows added to the sums and counts of their labels."""
+    if x.shape[1] < 256:
+        s, k = V.group_sums(x, labels, len(n))
+        sums += s.astype(np.int64)          # below 2^53 in a batch
+        n += k
+        return
+    n += np.bincount(labels, minlength=len(n))
+    for row, label in zip(x.astype(np.int64), labels.tolist()):     # wide rows: a row at a time costs least
+        sums[label] += row
+
+
 def sums_batch(sums: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     some = np.flatnonzero(n)
     return pa.RecordBatch.from_arrays(
@@ -181,9 +207,7 @@ def lloyd(data: DataFrame, start: np.ndarray, grid: Grid, iters: int, vec_col: s
                 x, _ = V.list_column_matrix(rb.column(vec_col))
                 if len(x):
                     x = grid.rows(x)
-                    s, k = V.group_sums(x, nearest(x, centres, grid.metric), len(centres))
-                    sums += s.astype(np.int64)          # below 2^53 in a batch
-                    n += k
+                    add_rows(sums, n, x, nearest(x, centres, grid.metric))
             yield sums_batch(sums, n)
 
         sums, n = add_up(data.select(vec_col).mapInArrow(partial, SUMS), *c.shape, driver_bytes)

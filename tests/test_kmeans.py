@@ -107,3 +107,18 @@ def test_codes_settle_alike_from_float_residuals(spark):
     assert all(v == int(v) for v in exact)
     books = train_codebooks(resid, 8, 4, 3)
     assert books.count() == 8 * 16 and rows_of(books, "m", "code") == rows_of(train_codebooks(resid.repartition(5), 8, 4, 3), "m", "code")
+
+
+@pytest.mark.parametrize("largest", [1.0, 1e30])
+def test_residuals_are_exact_in_half_the_bytes(spark, largest):
+    rng = np.random.default_rng(8)
+    rows = (rng.normal(size=(80, 24)) * largest).astype(np.float32)
+    emb = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "id bigint, embedding array<float>")
+    grid = km.Grid.of(emb, "l2")
+    centres = train_centroids(emb, 5, "l2", 2, grid=grid)
+    resid = grid_residuals(emb, centres, grid)
+    c = km.snap(np.array([r.centroid for r in centres.orderBy("list_id").collect()]), grid.scale)
+    x = km.snap(rows.astype(float), grid.scale)
+    want = (x - c[km.nearest(x, c, "l2")]) / grid.scale
+    got = np.array([r.residual for r in resid.orderBy("id").collect()])
+    assert (got == want).all() and resid.dtypes[1][1] == "array<float>"
