@@ -31,7 +31,7 @@ def hash_buckets(text, dim: int) -> Column:
 
 # ---------------------------------------------------------------- arrow / numpy
 
-SLICE_BYTES = 16 << 20      # of the vectors of a batch that are worked on at a time
+SLICE_BYTES = 4 << 20       # of the vectors of a batch that are worked on at a time
 
 
 def slices(batches, vec_col: str, width: int = 0):
@@ -106,8 +106,11 @@ def cosine_scores(q: np.ndarray, qn: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def sq_l2_distances(q: np.ndarray, qsq: np.ndarray, x: np.ndarray) -> np.ndarray:
     xsq = np.einsum("ij,ij->i", x, x)
-    d = qsq[:, None] + xsq[None, :] - 2.0 * (q @ x.T)
-    return np.maximum(d, 0.0)
+    d = qsq[:, None] + xsq[None, :]
+    dot = q @ x.T
+    dot *= 2.0
+    d -= dot
+    return np.maximum(d, 0.0, out=d)
 
 
 def single_error(dim: int) -> float:

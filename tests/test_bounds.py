@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from quarry.functions import vectors as V
 from quarry.operators import knn as K
 from quarry.operators import search as Q
+from quarry.operators import ivf, kmeans
 from quarry.operators.ivf import build_index
-from quarry.operators.kmeans import nearest, scores
+from quarry.operators.kmeans import nearest, nearest_codes, scores
 
 
 def all_scores(q, x, metric):
@@ -84,3 +85,53 @@ def test_nearest_is_exact(metric):
     c[39] = c[5]
     x = np.concatenate([c, rng.integers(-2 ** 20, 2 ** 20, size=(500, 6))])
     assert (nearest(x, c, metric) == np.argmax(scores(x, c, metric), axis=1)).all()
+
+
+def test_tied_codes_are_scored_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = rng.integers(-2, 3, size=(700, 8)).astype(float)
+    books = np.stack([rows[:64, :4], rows[:64, 4:]])            # many equal codes
+    want = np.stack([np.argmax(scores(rows[:, 4 * j:4 * j + 4], books[j], "l2"), axis=1) for j in (0, 1)], axis=1)
+    monkeypatch.setattr(kmeans, "scores", None)
+    assert (nearest_codes(rows, books) == want).all()
+
+
+def test_encoding_rounds_only_near_ties(monkeypatch):
+    rng = np.random.default_rng(5)
+    r = rng.normal(size=(900, 8))
+    r[100:200] = r[:100] + rng.choice([0.0, 2e-10], size=(100, 8))
+    cb = np.stack([r[:128, :4], r[72:200, 4:]])
+    want = np.stack([np.argmin(np.round(V.sq_l2_distances(r[:, 4 * j:4 * j + 4], (r[:, 4 * j:4 * j + 4] ** 2).sum(1), cb[j]), 9),
+                               axis=1) for j in (0, 1)], axis=1)
+    rounded, plain = [], np.round
+    monkeypatch.setattr(ivf.np, "round", lambda x, n: rounded.append(len(x)) or plain(x, n))
+    assert (ivf._encode(r, cb) == want).all() and sum(rounded) < 900
+
+
+def test_wide_rows_add_up_by_label():
+    rng = np.random.default_rng(6)
+    x, labels = rng.integers(-9, 9, size=(500, 300)).astype(float), rng.integers(0, 7, 500)
+    sums, n = np.zeros((9, 300), np.int64), np.zeros(9, np.int64)
+    kmeans.add_rows(sums, n, x, labels)
+    assert (n == np.bincount(labels, minlength=9)).all()
+    assert all((sums[k] == x[labels == k].sum(0)).all() for k in range(9))
+
+
+def test_slices_are_small():
+    rb = pa.RecordBatch.from_arrays([V.matrix_to_list_array(np.zeros((3000, 1024)))], names=["v"])
+    assert max(p.num_rows for p in V.slices([rb], "v")) * 1024 * 8 <= 4 << 20
+
+
+def test_codes_are_made_once_for_the_layout(spark):
+    seen = spark.sparkContext.accumulator(0)
+    v = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0, float(i)]) for i in range(300)],
+                              "id bigint, embedding array<float>")
+
+    def count(batches):
+        for rb in batches:
+            seen.add(rb.num_rows)
+            yield rb
+
+    index = build_index(v.mapInArrow(count, v.schema), "cosine", 4, 2, 4, train_iters=0)
+    # the statistics, the sample and one pass of encoding
+    assert index.postings.count() == 300 and seen.value == 900
