@@ -4,6 +4,8 @@ stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,6 +97,15 @@ def chunk_texts(clean, chunk_words: int = DEFAULT_CHUNK_WORDS,
     return F.transform(F.array(F.split(_col(clean), " ")), windows)[0]
 
 
+def word_windows(words: list[str], chunk_words: int, overlap: int) -> Iterator[str]:
+    """:func:`chunk_texts` of one text's words, inside a task."""
+    step = chunk_step(chunk_words, overlap)
+    for at in range(0, len(words), step):
+        yield " ".join(words[at:at + chunk_words])
+        if at + chunk_words >= len(words):
+            return
+
+
 def chunk_ref(source_name, chunk_idx) -> Column:
     """``<source>::chunk<idx>``."""
     return F.concat(_col(source_name).cast("string"), F.lit("::chunk"),

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from hashlib import md5
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .text import white_space_words
+from .text import WHITESPACE_CHARS, white_space_words
 
 
 def _col(c) -> Column:
@@ -29,6 +34,87 @@ def hash_buckets(text, dim: int) -> Column:
     return F.transform(white_space_words(text), lambda t: hash_bucket(t, dim))
 
 
+# ---------------------------------------------------------------- words in Arrow tasks
+
+_OTHER_WHITE = "[" + WHITESPACE_CHARS.replace(" ", "") + "]"
+# Of MD5 (RFC 1321): left turns and constants of the 64 steps, initial state.
+_TURNS = np.repeat([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]], 4, axis=0).ravel().tolist()
+_SINES = [np.uint32(int(abs(math.sin(i + 1)) * 2 ** 32)) for i in range(64)]
+_STATE = [np.uint32(x) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+MD5_WORDS = 1 << 13         # hashed at a time: what a core's caches hold
+
+
+def _md5_start(blocks: np.ndarray) -> np.ndarray:
+    """First 32 bits, as a number, of the MD5 of messages of one block each: ``(n, 16)``
+    little-endian words, padding included."""
+    x = np.ascontiguousarray(blocks.T)
+    a, b, c, d = (np.full(x.shape[1], v) for v in _STATE)
+    for i in range(64):
+        if i < 16:
+            f, g = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif i < 48:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f += a
+        f += x[g]
+        f += _SINES[i]
+        turn = _TURNS[i]
+        a, d, c, b = d, c, b, b + (f << np.uint32(turn) | f >> np.uint32(32 - turn))
+    return (a + _STATE[0]).byteswap()
+
+
+def word_buckets(words: pa.Array, dim: int) -> np.ndarray:
+    """:func:`hash_bucket` of each word of a string array without nulls."""
+    words = pa.concat_arrays([words.cast(pa.binary())])         # offsets from 0
+    at = np.frombuffer(words.buffers()[1], np.int32)[:len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    size, out = np.diff(at), np.empty(len(words), np.int64)
+    short = np.flatnonzero(size < 56)                           # with padding, one block
+    for lo in range(0, len(short), MD5_WORDS):
+        some = short[lo:lo + MD5_WORDS]
+        n = size[some]
+        blocks = np.zeros((len(some), 64), np.uint8)
+        first = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(first, n)        # of a byte in its word
+        blocks.ravel()[place + np.repeat(np.arange(len(some)) * 64, n)] = data[place + np.repeat(at[some], n)]
+        blocks[np.arange(len(some)), n] = 0x80
+        blocks[:, 56:58] = (8 * n).astype("<u2")[:, None].view(np.uint8)
+        out[some] = _md5_start(blocks.view("<u4"))
+    for i in np.flatnonzero(size >= 56):
+        out[i] = int(md5(data[at[i]:at[i + 1]].tobytes()).hexdigest()[:8], 16)
+    return out % dim
+
+
+def utf8_column(arr: pa.Array) -> pa.Array:
+    """Binary texts as strings; null is empty, what isn't UTF-8 is replaced."""
+    arr = arr.fill_null(b"")
+    try:
+        return arr.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in arr.to_pylist()], pa.string())
+
+
+def bucket_counts(texts: pa.Array, dim: int) -> np.ndarray:
+    """Binary texts -> (n, dim) float32 term-count matrix of their words' buckets.  Words
+    are those of :func:`quarry.functions.text.white_space_words`; a word that occurs often
+    in the texts is hashed once."""
+    texts = utf8_column(texts)
+    odd = pc.match_substring_regex(texts, _OTHER_WHITE)
+    if pc.any(odd).as_py():
+        texts = pc.replace_with_mask(texts, odd, pa.array([" ".join(t.split()) for t in texts.filter(odd).to_pylist()], pa.string()))
+    split = pc.split_pattern(texts, " ")
+    rows, words = split.value_parent_indices().to_numpy(), split.flatten().dictionary_encode()
+    bucket = word_buckets(words.dictionary, dim)
+    there = (pc.binary_length(words.dictionary).to_numpy() > 0)
+    number = words.indices.to_numpy()
+    cells = rows.astype(np.int64) * dim + bucket[number]
+    flat = np.bincount(cells[there[number]], minlength=len(texts) * dim)
+    return flat.reshape(-1, dim).astype(np.float32)
+
+
 # ---------------------------------------------------------------- arrow / numpy
 
 SLICE_BYTES = 4 << 20       # of the vectors of a batch that are worked on at a time
@@ -40,24 +126,29 @@ def slices(batches, vec_col: str, width: int = 0):
     for rb in batches:
         if not rb.num_rows:
             continue
-        dim = len(rb.column(vec_col).flatten()) // rb.num_rows
+        col = rb.column(vec_col)
+        dim = packed_dim(col) if is_packed(col.type) else len(col.flatten()) // rb.num_rows
         step = max(64, SLICE_BYTES // (8 * max(dim, width, 1)))
         for at in range(0, rb.num_rows, step):
             yield rb.slice(at, step)
 
 
 def list_column_matrix(arr: pa.Array, dtype=np.float64) -> tuple[np.ndarray, np.ndarray]:
-    """Arrow list<float> column -> (dense row-major matrix, mask of non-null rows).
-    All non-null rows must have the same length; ``dtype=None`` keeps the column's."""
+    """Arrow list<float> column, or one of packed vectors -> (dense row-major matrix, mask
+    of non-null rows).  All non-null rows must have the same length; ``dtype=None`` keeps
+    the column's."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    dtype = dtype or arr.type.value_type.to_pandas_dtype()
+    packed = is_packed(arr.type)
+    dtype = dtype or (np.float32 if packed else arr.type.value_type.to_pandas_dtype())
     valid = np.asarray(arr.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
     if not valid.all():
         arr = arr.filter(pa.array(valid))
     n = len(arr)
     if n == 0:
         return np.zeros((0, 0), dtype=dtype), valid
+    if packed:
+        return unpack_rows(arr, dtype), valid
     values = arr.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
     dim = len(values) // n
     if dim * n != len(values):
@@ -72,20 +163,79 @@ def matrix_to_list_array(m: np.ndarray, value_type=pa.float32()) -> pa.Array:
         value_type.to_pandas_dtype(), copy=False)))
 
 
-def bucket_counts_matrix(arr: pa.Array, dim: int) -> np.ndarray:
-    """Arrow list<bigint> of bucket ids -> (n, dim) float32 term-count matrix."""
-    if isinstance(arr, pa.ChunkedArray):
-        arr = arr.combine_chunks()
-    n = len(arr)
-    if n == 0:
-        return np.zeros((0, dim), dtype=np.float32)
-    arr = arr.fill_null(pa.scalar([], type=arr.type)) if arr.null_count else arr
-    offsets = arr.offsets.to_numpy()
-    offsets = offsets - offsets[0]
-    values = arr.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
-    flat = np.bincount(rows * dim + values, minlength=n * dim)
-    return flat.reshape(n, dim).astype(np.float32)
+# A packed vector is binary: its length (32 bits), a bit for each component that isn't
+# zero, filled up to 32, and these components as floats.  It crosses between Spark and
+# Python as one block of bytes instead of number by number, and a vector of few words is
+# a fraction of its width; a dense one takes 1/32 more.
+
+def is_packed(kind: pa.DataType) -> bool:
+    return pa.types.is_binary(kind)
+
+
+def _words(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit words of a packed column and where each row begins (and the last ends)."""
+    _, at, data = arr.buffers()
+    at = np.frombuffer(at, np.int32)[arr.offset:arr.offset + len(arr) + 1] // 4
+    data = np.frombuffer(data, np.uint32, int(at[-1])) if data is not None else np.zeros(0, np.uint32)
+    return data[at[0]:], at - at[0]
+
+
+def packed_dim(arr: pa.Array) -> int:
+    """Length of a packed column's vectors (0 if all are null)."""
+    words, _ = _words(arr)
+    return int(words[0]) if len(words) else 0
+
+
+def pack_rows(m: np.ndarray) -> pa.Array:
+    """Row-major matrix -> packed vectors, as floats."""
+    m = np.ascontiguousarray(m, dtype=np.float32)
+    n, dim = m.shape
+    some = m.view(np.uint32) != 0           # a negative zero or NaN stays as it is
+    head = 1 + -(-dim // 32)
+    heads = np.zeros((n, 4 * head), np.uint8)
+    heads[:, :4] = np.frombuffer(np.uint32(dim).tobytes(), np.uint8)
+    heads[:, 4:4 + -(-dim // 8)] = np.packbits(some, axis=1)
+    at = np.zeros(n + 1, np.int64)
+    np.cumsum(head + np.count_nonzero(some, axis=1), out=at[1:])
+    if at[-1] >= 1 << 29:
+        raise ValueError("too many vectors to pack at a time")
+    words, place = np.empty(at[-1], np.uint32), at[:-1, None] + np.arange(head)
+    rest = np.ones(len(words), bool)
+    rest[place] = False
+    words[place] = heads.view(np.uint32)
+    words[rest] = m.view(np.uint32).ravel()[np.flatnonzero(some)]
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(words)])
+
+
+def unpack_rows(arr: pa.Array, dtype=np.float32) -> np.ndarray:
+    """Packed vectors (none null) -> row-major matrix."""
+    words, at = _words(arr)
+    dim = int(words[0])
+    place = at[:-1, None] + np.arange(1 + -(-dim // 32))
+    if (words[at[:-1]] != dim).any():
+        raise ValueError("vectors of different lengths in one column")
+    rest = np.ones(len(words[:at[-1]]), bool)
+    rest[place] = False
+    some = np.unpackbits(words[place[:, 1:]].view(np.uint8), axis=1, count=dim).view(bool)
+    m = np.zeros(len(arr) * dim, dtype)
+    m[np.flatnonzero(some)] = words[:at[-1]][rest].view(np.float32)
+    return m.reshape(-1, dim)
+
+
+def pack_vectors(df: DataFrame, col: str) -> DataFrame:
+    """The rows with a vector, an array<float> column packed (other types stay)."""
+    df = df.where(F.col(col).isNotNull())
+    if df.schema[col].dataType.simpleString() != "array<float>":
+        return df
+    names = df.columns
+
+    def pack(batches):
+        for rb in slices(batches, col):
+            m, _ = list_column_matrix(rb.column(col), np.float32)
+            yield pa.RecordBatch.from_arrays([pack_rows(m) if c == col else rb.column(c) for c in names], names=names)
+
+    return df.mapInArrow(pack, T.StructType([T.StructField(col, T.BinaryType()) if f.name == col else f
+                                             for f in df.schema.fields]))
 
 
 def row_norms(m: np.ndarray) -> np.ndarray:

@@ -2,11 +2,10 @@
 
 Two embedders:
 
-* the default **feature-hashing embedder** (no model files): token buckets are
-  computed JVM-side with built-in ``md5``/``conv``; an Arrow task turns the
-  bucket lists into dense term-count vectors with one vectorised scatter-add.
-  Its sparse form ``(id, bucket, n)`` is plain SQL and is what the DuckDB
-  oracle computes.
+* the default **feature-hashing embedder** (no model files): an Arrow task splits a
+  slice of texts into words, hashes its different words and counts the buckets, with
+  vectorised steps throughout.  Its sparse form ``(id, bucket, n)`` is
+  plain SQL and is what the DuckDB oracle computes.
 * a **pluggable model embedder**: ``model_loader() -> fn(list[str]) -> 2-D array``,
   run through ``predict_batch_udf`` so the model loads once per Python worker and
   sees fixed-size batches (the reference's batch of 64).
@@ -40,31 +39,34 @@ def hash_embed_sparse(df: DataFrame, text_col: str = "text", id_col: str = "chun
 
 def hash_embed(df: DataFrame, text_col: str = "text", id_col: str = "chunk_id",
                dim: int = DEFAULT_HASH_DIM, out_col: str = "embedding",
-               keep: tuple[str, ...] = ()) -> DataFrame:
+               keep: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
     """``(id, *keep, embedding array<float>)`` with raw term counts (exact small
-    integers).  Cosine search normalises in double at scoring time; call
-    :func:`normalize` to store unit vectors (as the index does)."""
-    src = df.select(id_col, *keep, V.hash_buckets(text_col, dim).alias("_b"))
-    id_type = src.schema[id_col].dataType
-    keep_fields = [src.schema[c] for c in keep]
-    schema = T.StructType([T.StructField(id_col, id_type), *keep_fields,
-                           T.StructField(out_col, T.ArrayType(T.FloatType(), False))])
+    integers), or packed vectors (``functions/vectors.py``).  Cosine search normalises in
+    double at scoring time; call :func:`normalize` to store unit vectors (as the index
+    does)."""
+    src = df.select(id_col, *keep, F.col(text_col).cast("string").cast("binary").alias("_t"))
+    schema = T.StructType([*[src.schema[c] for c in (id_col, *keep)], T.StructField(
+        out_col, T.BinaryType() if packed else T.ArrayType(T.FloatType(), False))])
 
     def densify(batches):
-        for rb in V.slices(batches, "_b", dim):
-            m = V.bucket_counts_matrix(rb.column("_b"), dim)
-            cols = [rb.column(id_col), *[rb.column(c) for c in keep],
-                    V.matrix_to_list_array(m)]
-            yield pa.RecordBatch.from_arrays(cols, names=[id_col, *keep, out_col])
+        step = max(64, V.SLICE_BYTES // (8 * dim))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                rb = whole.slice(at, step)
+                m = V.bucket_counts(rb.column("_t"), dim)
+                yield pa.RecordBatch.from_arrays(
+                    [*[rb.column(c) for c in (id_col, *keep)], V.pack_rows(m) if packed else V.matrix_to_list_array(m)],
+                    names=[id_col, *keep, out_col])
 
     return src.mapInArrow(densify, schema)
 
 
 def normalize(df: DataFrame, col: str = "embedding") -> DataFrame:
-    """Unit-scale a vector column (zero vectors stay zero).  One vectorised
-    numpy pass per Arrow batch; Spark's higher-order functions are interpreted
-    per element, which is slow for wide vectors."""
-    schema = T.StructType([f if f.name != col else
+    """Unit-scale a vector column (zero vectors stay zero); packed vectors stay
+    packed.  One vectorised numpy pass per Arrow batch; Spark's higher-order functions are
+    interpreted per element, which is slow for wide vectors."""
+    packed = isinstance(df.schema[col].dataType, T.BinaryType)
+    schema = T.StructType([f if f.name != col or packed else
                            T.StructField(col, T.ArrayType(T.FloatType(), False))
                            for f in df.schema.fields])
     names = df.columns
@@ -77,7 +79,7 @@ def normalize(df: DataFrame, col: str = "embedding") -> DataFrame:
             keep = pa.array(valid)
             cols = [rb.column(c).filter(keep) if not valid.all() else rb.column(c)
                     for c in names]
-            cols[names.index(col)] = V.matrix_to_list_array(U)
+            cols[names.index(col)] = V.pack_rows(U) if packed else V.matrix_to_list_array(U)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return df.where(F.col(col).isNotNull()).mapInArrow(unit, schema)

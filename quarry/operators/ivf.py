@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..session import DEFAULT_BROADCAST_BYTES, delete_path, materialize, scratch_path, shuffle_partitions
-from .kmeans import (CACHE_BYTES, Grid, first_rows, grid_scale, lloyd, lloyd_codes, nearest, parallel_start,
-                     snap)
+from .kmeans import (Grid, Nearest, NearestCodes, few_parts, first_rows, grid_scale, lloyd, lloyd_codes,
+                     packed_extent, parallel_start, snap)
 from .knn import check_metric
 
 # The reference's index defaults.
@@ -44,7 +44,6 @@ TIE_DIGITS = 9
 # Centroids and codebooks are set by parameters (nlist x dim, 2^bits x dim), not by
 # the data; this bound only catches parameters that no executor could hold.
 PARAMETER_BYTES = 1 << 30
-ASSIGN_BYTES = 16 << 20     # of the (rows x nlist) score matrix at a time
 
 
 @dataclass
@@ -106,7 +105,7 @@ def _prep(x: np.ndarray, metric: str) -> np.ndarray:
 def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
                     train_iters: int = 20, seed: int = 42, id_col: str = "id",
                     vec_col: str = "embedding", engine: str = "lloyd",
-                    start: str = "first", grid: Grid | None = None) -> DataFrame:
+                    start: str = "first", grid: Grid | None = None, n_rows: int | None = None) -> DataFrame:
     """``(list_id, centroid)``.  ``train_iters=0``: the first ``nlist`` sample
     rows by id (a bounded top-k, not a sort).  Default engine: distributed Lloyd
     rounds in whole numbers (``operators/kmeans.py``), which give the same bits for
@@ -122,12 +121,14 @@ def train_centroids(sample: DataFrame, nlist: int, metric: str = "cosine",
         centers, _ = V.list_column_matrix(first.column(vec_col))
     elif engine == "lloyd":
         grid = grid or Grid.of(sample, metric, vec_col)
-        # what the cache cannot hold, or loses, is read again from the written sample
-        data = sample.select(id_col, vec_col).persist()
-        begin = first_rows(data, nlist, grid, id_col, vec_col) if start == "first" else \
-            parallel_start(data, nlist, grid, seed, id_col, vec_col)
-        centers = lloyd(data, begin, grid, train_iters, vec_col) / grid.scale
-        data.unpersist()
+        data = sample.select(id_col, vec_col)
+        if start == "first":
+            begin = first_rows(data, nlist, grid, id_col, vec_col)
+        else:
+            data.persist()
+            begin = parallel_start(data, nlist, grid, seed, id_col, vec_col)
+            data.unpersist()
+        centers = lloyd(data, begin, grid, train_iters, vec_col, n_rows=n_rows) / grid.scale
     else:
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
@@ -196,21 +197,22 @@ def assign_lists(vectors: DataFrame, centroids: DataFrame, metric: str = "cosine
                  id_col: str = "id", vec_col: str = "embedding",
                  keep_vector: bool = True) -> DataFrame:
     """Nearest centroid per vector (ties -> lowest list id):
-    ``(id, list_id[, embedding])``."""
+    ``(id, list_id[, embedding])``; packed vectors stay packed."""
     check_metric(metric)
     bc = vectors.sparkSession.sparkContext.broadcast(centroid_matrix(centroids, metric))
-    out_schema = f"{id_col} bigint, list_id int" + (f", {vec_col} array<float>"
-                                                    if keep_vector else "")
+    kind = "binary" if dict(vectors.dtypes)[vec_col] == "binary" else "array<float>"
+    out_schema = f"{id_col} bigint, list_id int" + (f", {vec_col} {kind}" if keep_vector else "")
+
+    def best(x, c):         # for cosine, x are unit vectors
+        return np.argmax(np.round(x @ c.T, TIE_DIGITS) if metric == "cosine" else _coarse_scores(x, c, metric), axis=1)
 
     def assign(batches):
-        C = bc.value
+        # rounded scores tie only within a unit of the last place
+        near = Nearest(bc.value, metric, best, 4 * 10.0 ** -TIE_DIGITS)
         for rb in V.slices(batches, vec_col):
             X, valid = V.list_column_matrix(rb.column(vec_col))
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid]
-            step = max(1, ASSIGN_BYTES // (8 * len(C)))
-            lists = np.concatenate([np.zeros(0, np.int32), *[
-                np.argmax(_coarse_scores(X[at:at + step], C, metric), axis=1).astype(np.int32)
-                for at in range(0, len(X), step)]])
+            lists = near(_prep(X, metric)).astype(np.int32) if len(X) else np.zeros(0, np.int32)
             cols = [pa.array(ids.astype(np.int64)), pa.array(lists)]
             names = [id_col, "list_id"]
             if keep_vector:
@@ -247,45 +249,64 @@ def residuals(assigned: DataFrame, centroids: DataFrame, metric: str = "cosine",
         resid, f"{id_col} bigint, list_id int, residual array<double>")
 
 
+def grid_centres(centroids: DataFrame, grid: Grid) -> np.ndarray:
+    return snap(_collect_matrix(centroids, "list_id", "centroid")[1], grid.scale)
+
+
 def grid_residuals(sample: DataFrame, centroids: DataFrame, grid: Grid, id_col: str = "id",
-                   vec_col: str = "embedding") -> DataFrame:
+                   vec_col: str = "embedding", packed: bool = False) -> DataFrame:
     """Training vectors less their nearest centre, both on the grid, as ``(id, residual)``:
     exact multiples of the grid's step.  They are whole numbers of at most 2^24 steps (see
     ``grid_scale``), which floats hold exactly at half the size of doubles, unless the
-    vectors themselves come near the end of the floats' range."""
-    _, mat = _collect_matrix(centroids, "list_id", "centroid")
-    bc = sample.sparkSession.sparkContext.broadcast(snap(mat, grid.scale))
+    vectors themselves come near the end of the floats' range.
+
+    A centre has few zeros, and so has a residual.  ``packed`` therefore leaves the
+    difference to the reader, as ``(id, list_id, residual)``: the packed training vector, in
+    steps, and the number of the centre (:func:`grid_centres`) to be taken from it."""
+    bc = sample.sparkSession.sparkContext.broadcast(grid_centres(centroids, grid))
     kind, sql = (pa.float32(), "float") if 2.0 ** -100 < grid.scale < 2.0 ** 100 else (pa.float64(), "double")
 
     def resid(batches):
+        near = Nearest(bc.value, grid.metric)
         for rb in V.slices(batches, vec_col):
             x, valid = V.list_column_matrix(rb.column(vec_col))
-            if len(x):
-                x = grid.rows(x)
-                x = (x - bc.value[nearest(x, bc.value, grid.metric)]) / grid.scale
-            yield pa.RecordBatch.from_arrays([rb.column(id_col).filter(pa.array(valid)), V.matrix_to_list_array(
-                x, kind)], names=[id_col, "residual"])
+            ids = rb.column(id_col).filter(pa.array(valid))
+            if not len(x):
+                continue
+            x = grid.rows(x)
+            lists = near(x)
+            if packed:
+                yield pa.RecordBatch.from_arrays([ids, pa.array(lists.astype(np.int32)), V.pack_rows(x)],
+                                                 names=[id_col, "list_id", "residual"])
+            else:
+                yield pa.RecordBatch.from_arrays([ids, V.matrix_to_list_array((x - bc.value[lists]) / grid.scale, kind)],
+                                                 names=[id_col, "residual"])
 
     return sample.select(F.col(id_col).cast("bigint").alias(id_col), vec_col).mapInArrow(
-        resid, f"{id_col} bigint, residual array<{sql}>")
+        resid, f"{id_col} bigint, " + ("list_id int, residual binary" if packed else f"residual array<{sql}>"))
 
 
 def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
                     train_iters: int = 20, id_col: str = "id",
-                    dim: int | None = None, scale: float | None = None) -> DataFrame:
+                    dim: int | None = None, scale: float | None = None,
+                    centres: np.ndarray | None = None) -> DataFrame:
     """A k-means of ``2^bits`` codes in each sub-space, all sub-spaces at once.
     The first ``2^bits`` rows by id are the start (``train_iters=0`` stops there).
     Rounds run in whole numbers on a grid (``scale``; default: from the largest
     component), so the codes don't depend on the partitioning.  In each round every
     task adds up its rows per code in all sub-spaces; the driver gets one row per
-    code (``m x 2^bits``).  No task holds a sub-space whole."""
+    code (``m x 2^bits``).  No task holds a sub-space whole.
+
+    ``centres`` (with ``scale``) goes with the packed form of :func:`grid_residuals`."""
     ksub = 1 << pq_bits
     spark = resid.sparkSession
-    resid = resid.select(id_col, "residual").persist()
+    resid = resid.select(id_col, "residual", *(() if centres is None else ("list_id",))).persist()
     first = resid.orderBy(id_col).limit(ksub).toArrow()
     if not first.num_rows:
         raise ValueError("no training data for the product quantiser")
     start, _ = V.list_column_matrix(first.column("residual"))
+    if centres is not None:
+        start = (start - centres[first.column("list_id").to_numpy()]) / scale
     dim = dim or start.shape[1]
     if dim % pq_m:
         raise ValueError(f"dim {dim} is not divisible by pq_m {pq_m}")
@@ -299,7 +320,7 @@ def train_codebooks(resid: DataFrame, pq_m: int, pq_bits: int = DEFAULT_PQ_BITS,
         start = snap(start, scale)
     cb = start.reshape(ksub, pq_m, dsub).transpose(1, 0, 2).copy()
     if train_iters:
-        cb = lloyd_codes(resid, cb, scale, train_iters) / scale
+        cb = lloyd_codes(resid, cb, scale, train_iters, centres=centres) / scale
     resid.unpersist()
     return spark.createDataFrame(pa.table({
         "m": pa.array(np.repeat(np.arange(pq_m, dtype=np.int32), ksub)),
@@ -319,23 +340,24 @@ def codebook_tensor(codebooks: DataFrame) -> np.ndarray:
     return _memo(codebooks, "codebooks", build)
 
 
+def _coder(cb: np.ndarray) -> NearestCodes:
+    """Each row's code in every sub-space: the least of the distances rounded to 9 places."""
+    def rounded(r, c):
+        d = V.sq_l2_distances(r, np.einsum("ij,ij->i", r, r), c)
+        best = np.argmin(d, axis=1)
+        # rounded distances tie only within a unit of the last place: most rows need no rounding
+        least = d[np.arange(len(d)), best]
+        first = np.argmax(d <= (least + 4 * 10.0 ** -TIE_DIGITS + 1e-14 * least)[:, None], axis=1)
+        unsure = np.flatnonzero(first != best)
+        if len(unsure):
+            best[unsure] = np.argmin(np.round(d[unsure], TIE_DIGITS), axis=1)
+        return best
+
+    return NearestCodes(cb, rounded, 4 * 10.0 ** -TIE_DIGITS)
+
+
 def _encode(R: np.ndarray, cb: np.ndarray) -> np.ndarray:
-    m, k, dsub = cb.shape
-    codes = np.empty((len(R), m), dtype=np.uint8)
-    step = max(1, CACHE_BYTES // (8 * k))
-    for at in range(0, len(R), step):
-        for j in range(m):
-            r = R[at:at + step, j * dsub:(j + 1) * dsub]
-            d = V.sq_l2_distances(r, np.einsum("ij,ij->i", r, r), cb[j])
-            best = np.argmin(d, axis=1)
-            # rounded distances tie only within a unit of the last place: most rows need no rounding
-            least = d[np.arange(len(d)), best]
-            first = np.argmax(d <= (least + 4 * 10.0 ** -TIE_DIGITS + 1e-14 * least)[:, None], axis=1)
-            unsure = np.flatnonzero(first != best)
-            if len(unsure):
-                best[unsure] = np.argmin(np.round(d[unsure], TIE_DIGITS), axis=1)
-            codes[at:at + step, j] = best
-    return codes
+    return _coder(cb)(R).astype(np.uint8)
 
 
 def pq_encode(assigned: DataFrame, centroids: DataFrame, codebooks: DataFrame,
@@ -348,12 +370,13 @@ def pq_encode(assigned: DataFrame, centroids: DataFrame, codebooks: DataFrame,
 
     def enc(batches):
         C, cb = bc_c.value, bc_b.value
+        coder = _coder(cb)
         # of the distances to a sub-space's codes, a slice at a time
         for rb in V.slices(batches, vec_col, 4 * cb.shape[1]):
             X, valid = V.list_column_matrix(rb.column(vec_col))
             lists = rb.column("list_id").to_numpy(zero_copy_only=False)[valid].astype(np.int32)
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[valid].astype(np.int64)
-            codes = _encode(_prep(X, metric) - C[lists], cb) if len(X) else \
+            codes = coder(_prep(X, metric) - C[lists]).astype(np.uint8) if len(X) else \
                 np.zeros((0, cb.shape[0]), np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lists), pa.array(ids),
@@ -386,7 +409,10 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
     All vectors train unless ``n_train`` bounds them; ``adaptive=True`` lowers
     ``nlist`` for small inputs (X2), otherwise a larger ``nlist`` than there are
     vectors is an error.  Null vectors are left out.  A rebuild in the same folder
-    replaces all postings, added ones included."""
+    replaces all postings, added ones included.
+
+    ``vectors`` may be packed, for an index with product codes; they are read several
+    times and should be written.  Others are written packed for the training."""
     check_metric(metric)
     if pq_m and not 1 <= pq_bits <= 8:
         raise ValueError(f"pq_bits must be 1 to 8 (a code is one byte), got {pq_bits}")
@@ -394,23 +420,34 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
     path = path or scratch_path(spark, "ivf-index")
     vectors = vectors.select(F.col(id_col).cast("bigint").alias("id"),
                              F.col(vec_col).alias("embedding")).where("embedding IS NOT NULL")
-    stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"),
-                        F.countDistinct("id").alias("u")).first()
-    total, dim = int(stats["n"]), int(stats["dim"] or 0)
+    packed = dict(vectors.dtypes)["embedding"] == "binary"
+    if packed and not pq_m:
+        raise ValueError("packed vectors need product codes")
+    if packed:
+        total, dim, largest = packed_extent(vectors)
+        unique = vectors.agg(F.countDistinct("id")).first()[0]
+    else:
+        total, dim, unique = vectors.agg(F.count(F.lit(1)), F.max(F.size("embedding")), F.countDistinct("id")).first()
+    dim = int(dim or 0)
     if total == 0:
         raise ValueError("no vectors to index")
-    if stats["u"] != total:
+    if unique != total:
         raise ValueError("vector ids must be unique")
     if pq_m and dim % pq_m:
         raise ValueError(f"dim {dim} is not divisible by pq_m {pq_m}")
     if adaptive:
         nlist = adaptive_nlist(total, nlist)
-    sample = materialize(training_sample(vectors, n_train, sampling, seed), "ivf-sample")
-    n_sample = sample.count()
+    if packed and n_train is None and engine == "lloyd":
+        sample, n_sample = vectors, total       # they are written already
+        grid = Grid.at(metric, largest, dim) if train_iters else None
+    else:
+        sample = training_sample(vectors, n_train, sampling, seed)
+        sample = materialize(sample, "ivf-sample")
+        n_sample = sample.count()
+        grid = Grid.of(sample, metric) if train_iters else None
     if n_sample < nlist:
         raise ValueError(f"{n_sample} training vectors for {nlist} lists; lower nlist or set adaptive")
-    grid = Grid.of(sample, metric) if train_iters else None
-    train_centroids(sample, nlist, metric, train_iters, seed, engine=engine, start=start, grid=grid) \
+    train_centroids(sample, nlist, metric, train_iters, seed, engine=engine, start=start, grid=grid, n_rows=n_sample) \
         .write.mode("overwrite").parquet(f"{path}/centroids")
     centroids = spark.read.parquet(f"{path}/centroids")
     nlist_actual = int(centroid_matrix(centroids, metric).shape[0])
@@ -418,10 +455,11 @@ def build_index(vectors: DataFrame, metric: str = "cosine", nlist: int = DEFAULT
     codebooks = None
     if pq_m:
         if grid is not None:
-            resid = grid_residuals(sample, centroids, grid)
+            resid = grid_residuals(few_parts(sample, n_sample, dim), centroids, grid, packed=True)
         else:
             resid = residuals(assign_lists(sample, centroids, metric), centroids, metric)
-        train_codebooks(resid, pq_m, pq_bits, train_iters, dim=dim, scale=grid and grid.scale) \
+        train_codebooks(resid, pq_m, pq_bits, train_iters, dim=dim, scale=grid and grid.scale,
+                        centres=grid and grid_centres(centroids, grid)) \
             .write.mode("overwrite").parquet(f"{path}/codebooks")
         codebooks = spark.read.parquet(f"{path}/codebooks")
         # the range layout reads its rows twice: codes are small, so they are made once

@@ -16,6 +16,7 @@ keys; the driver gets one row per centre.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +28,11 @@ from ..functions import vectors as V
 
 EXACT_BITS = 50             # sums of products stay below 2^50, with signs and factors below 2^53
 SCORE_BYTES = 16 << 20      # of the (rows x centres) score matrix at a time
-CACHE_BYTES = 1 << 20       # of the same for narrow vectors: what a core's cache holds
-NARROW = 32                 # widest vectors whose exact scores cost less than checked ones
+SINGLE_BYTES = 2 << 20      # of the same in single precision: about what a core's caches hold
 DRIVER_BYTES = 128 << 20    # of the tasks' sums added on the driver
+CODE_ROWS = 256             # rows whose codes are found at a time: scores of a sub-space stay in a core's cache
+PART_BYTES = 256 << 20      # of a training task's vectors, as floats
+PARTS_PER_CORE = 2          # training tasks, if they hold less
 PARALLEL_ROUNDS = 5         # of the k-means|| start
 OVERSAMPLING = 2            # expected picks of a round, as a multiple of k
 SUMS = "key int, s array<bigint>, n bigint"
@@ -56,6 +59,22 @@ def unit_grid(x: np.ndarray, scale: float) -> np.ndarray:
     return snap(np.divide(x, n, out=np.zeros_like(x), where=n > 0), scale)
 
 
+def packed_extent(vectors: DataFrame, vec_col: str = "embedding") -> tuple[int, int, float]:
+    """Number, width and largest component of packed vectors."""
+
+    def extent(batches):
+        n, dim, largest = 0, 0, 0.0
+        for rb in V.slices(batches, vec_col):
+            x, _ = V.list_column_matrix(rb.column(vec_col), None)
+            if len(x):
+                n, dim, largest = n + len(x), max(dim, x.shape[1]), float(np.maximum(largest, np.abs(x).max()))
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([dim]), pa.array([largest])], names=["n", "dim", "largest"])
+
+    tasks = vectors.select(vec_col).mapInArrow(extent, "n bigint, dim bigint, largest double")
+    return tuple(tasks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("dim"), F.lit(0)),
+                           F.coalesce(F.max("largest"), F.lit(0.0))).first())
+
+
 @dataclass(frozen=True)
 class Grid:
     metric: str
@@ -64,10 +83,18 @@ class Grid:
 
     @classmethod
     def of(cls, vectors: DataFrame, metric: str, vec_col: str = "embedding") -> Grid:
-        largest, dim = vectors.agg(F.max(F.array_max(F.transform(vec_col, lambda x: F.abs(x)))),
-                                   F.max(F.size(vec_col))).first()
-        raw = grid_scale(float(largest or 0.0), int(dim or 1))
-        return cls(metric, raw, grid_scale(1.0, int(dim or 1)) if metric == "cosine" else raw)
+        if dict(vectors.dtypes)[vec_col] == "binary":
+            _, dim, largest = packed_extent(vectors, vec_col)
+        else:
+            largest, dim = vectors.agg(F.max(F.array_max(F.transform(vec_col, lambda x: F.abs(x)))),
+                                       F.max(F.size(vec_col))).first()
+        return cls.at(metric, float(largest or 0.0), int(dim or 1))
+
+    @classmethod
+    def at(cls, metric: str, largest: float, dim: int) -> Grid:
+        """For vectors of that width and largest component."""
+        raw = grid_scale(largest, dim)
+        return cls(metric, raw, grid_scale(1.0, dim) if metric == "cosine" else raw)
 
     def rows(self, x: np.ndarray) -> np.ndarray:
         """Stored vectors as training vectors (unit length for cosine)."""
@@ -94,44 +121,65 @@ def scores(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     return s if metric == "cosine" else 2 * s - np.einsum("ij,ij->i", c, c)[None, :]
 
 
-def nearest(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
-    """Number of the nearest centre of each row; ties to the lower one.  Narrow vectors
-    are scored exactly by one product.  For wide ones scores are made in single precision;
-    a row for which another centre is within their error of the best one is scored exactly."""
-    out = np.zeros(len(x), np.int64)
-    if not len(x):
-        return out
-    if x.shape[1] <= NARROW:
-        # the L2 score's factor and own square as a column more: whole numbers, still exact
-        c2 = c.T if metric == "cosine" else np.vstack([2 * c.T, -np.einsum("ij,ij->i", c, c)])
-        step = max(1, CACHE_BYTES // (8 * len(c)))
-        for at in range(0, len(x), step):
-            rows = x[at:at + step]
-            if metric != "cosine":
-                rows = np.hstack([rows, np.ones((len(rows), 1))])
-            out[at:at + step] = np.argmax(rows @ c2, axis=1)
-        return out
-    step = max(1, SCORE_BYTES // (8 * len(c)))
-    size, reach = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", c, c).max())
-    if not max(size.max(), reach) < 1e15:       # single precision might overflow
-        for at in range(0, len(x), step):
-            out[at:at + step] = np.argmax(scores(x[at:at + step], c, metric), axis=1)
-        return out
-    error = V.single_error(x.shape[1]) * (size * reach if metric == "cosine" else (size + reach) ** 2)
-    near, own = c.astype(np.float32).T, np.einsum("ij,ij->i", c, c).astype(np.float32)
-    for at in range(0, len(x), step):
-        s = x[at:at + step].astype(np.float32) @ near
-        if metric != "cosine":
-            s *= 2
-            s -= own
+def exact_labels(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
+    """Numbers of the nearest centres by exact scores, ties to the lower one."""
+    s = x @ c.T
+    if metric != "cosine":
+        s *= 2
+        s -= np.einsum("ij,ij->i", c, c)
+    return np.argmax(s, axis=1)
+
+
+class Nearest:
+    """Number of the nearest centre of each row, ties to the lower one.  Scores are made in
+    single precision; a row for which another centre is within their error (and ``slack``)
+    of the best one is left to ``exact(rows, centres)``.  Equal centres are scored once."""
+
+    def __init__(self, c: np.ndarray, metric: str, exact: Callable | None = None, slack: float = 0.0):
+        self.number = np.sort(np.unique(c, axis=0, return_index=True)[1])
+        self.c = c[self.number]
+        self.exact = exact or (lambda x, c: exact_labels(x, c, metric))
+        self.slack, self.product = slack, metric == "cosine"
+        own = np.einsum("ij,ij->i", self.c, self.c)
+        self.reach = float(np.sqrt(own.max()))
+        # the L2 score's factor and own square as a column more
+        near = self.c.T if self.product else np.vstack([2 * self.c.T, -own])
+        with np.errstate(over="ignore"):
+            self.near = np.ascontiguousarray(near, np.float32)
+        self.step = max(1, SINGLE_BYTES // (4 * len(self.c)))
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        out = np.empty(len(x), np.int64)
+        for at in range(0, len(x), self.step):
+            out[at:at + self.step] = self._tile(x[at:at + self.step])
+        return self.number[out]
+
+    def _tile(self, x: np.ndarray) -> np.ndarray:
+        n, dim = x.shape
+        # rows may be in single precision: their lengths get its error on top
+        size = (1 + dim * 2.0 ** -23) * np.sqrt(np.einsum("ij,ij->i", x, x).astype(np.float64))
+        if not (size.max() < 1e15 and self.reach < 1e15):       # single precision might overflow
+            return self.exact(x.astype(np.float64, copy=False), self.c)
+        if self.product:
+            near = x.astype(np.float32, copy=False)
+        else:
+            near = np.ones((n, dim + 1), np.float32)
+            near[:, :dim] = x
+        s, row = near @ self.near, np.arange(n)
         best = np.argmax(s, axis=1)
-        top = s[np.arange(len(s)), best]
-        rivals = np.count_nonzero(s >= (top - 2 * error[at:at + step]).astype(np.float32)[:, None], axis=1)
-        unsure = np.flatnonzero(rivals != 1)
+        top = s[row, best].astype(np.float64)
+        s[row, best] = -np.inf
+        second = s[row, np.argmax(s, axis=1)]
+        error = V.single_error(dim) * (size * self.reach if self.product else (size + self.reach) ** 2)
+        unsure = np.flatnonzero(~(second < top - error - self.slack))
         if len(unsure):
-            best[unsure] = np.argmax(scores(x[at + unsure], c, metric), axis=1)
-        out[at:at + step] = best
-    return out
+            best[unsure] = self.exact(x[unsure].astype(np.float64, copy=False), self.c)
+        return best
+
+
+def nearest(x: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
+    """:class:`Nearest` for one block of rows."""
+    return Nearest(c, metric)(x) if len(x) else np.zeros(0, np.int64)
 
 
 def add_rows(sums: np.ndarray, n: np.ndarray, x: np.ndarray, labels: np.ndarray) -> None:
@@ -192,30 +240,57 @@ def add_up(partials: DataFrame, keys: int, dim: int, driver_bytes: int | None =
     return sums, n
 
 
+def on_grid(data: DataFrame, grid: Grid, vec_col: str = "embedding") -> DataFrame:
+    """The vectors as training vectors, packed.  They are whole numbers of at most 2^24
+    (see ``grid_scale``), which floats hold exactly."""
+
+    def put(batches):
+        for rb in V.slices(batches, vec_col):
+            x, _ = V.list_column_matrix(rb.column(vec_col))
+            if len(x):
+                yield pa.RecordBatch.from_arrays([V.pack_rows(grid.rows(x))], names=["x"])
+
+    return data.select(vec_col).mapInArrow(put, "x binary")
+
+
+def few_parts(data: DataFrame, n_rows: int | None, dim: int) -> DataFrame:
+    """``data`` in no more partitions than its work needs: every task of a round gives sums
+    as large as the centres, so that tasks of few rows are mostly sums.  A partition gets at
+    most ``PART_BYTES`` of vectors, and there are some for every core."""
+    if n_rows is None:
+        return data
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    want = max(PARTS_PER_CORE, -(-n_rows * dim * 4 // (PART_BYTES * cores))) * cores
+    return data.coalesce(want) if data.rdd.getNumPartitions() > want else data
+
+
 def lloyd(data: DataFrame, start: np.ndarray, grid: Grid, iters: int, vec_col: str = "embedding",
-          driver_bytes: int | None = None) -> np.ndarray:
-    """At most ``iters`` rounds from whole-number centres; ends when none moves."""
+          driver_bytes: int | None = None, n_rows: int | None = None) -> np.ndarray:
+    """At most ``iters`` rounds from whole-number centres; ends when none moves.  The
+    vectors are put on the grid once for all rounds; what the cache cannot hold, or loses,
+    is read again from ``data``, whose number of rows (if known) sets the number of tasks."""
     sc = data.sparkSession.sparkContext
     c = start
+    rows = on_grid(few_parts(data, n_rows, start.shape[1]), grid, vec_col).persist()
     for _ in range(iters):
         bc = sc.broadcast(c)
 
         def partial(batches, bc=bc):
             centres = bc.value
             sums, n = np.zeros(centres.shape, np.int64), np.zeros(len(centres), np.int64)
-            for rb in V.slices(batches, vec_col):
-                x, _ = V.list_column_matrix(rb.column(vec_col))
-                if len(x):
-                    x = grid.rows(x)
-                    add_rows(sums, n, x, nearest(x, centres, grid.metric))
+            near = Nearest(centres, grid.metric)
+            for rb in V.slices(batches, "x"):
+                x = V.unpack_rows(rb.column("x"))
+                add_rows(sums, n, x, near(x))
             yield sums_batch(sums, n)
 
-        sums, n = add_up(data.select(vec_col).mapInArrow(partial, SUMS), *c.shape, driver_bytes)
+        sums, n = add_up(rows.mapInArrow(partial, SUMS), *c.shape, driver_bytes)
         bc.unpersist()
         new = grid.centre(sums, n, c)
         if np.array_equal(new, c):
             break
         c = new
+    rows.unpersist()
     return c
 
 
@@ -303,37 +378,88 @@ def parallel_start(data: DataFrame, k: int, grid: Grid, seed: int, id_col: str =
 
 # ------------------------------------------------------------------ codes of sub-vectors
 
+class NearestCodes:
+    """:class:`Nearest` in every sub-space: for each row and sub-space the nearest code."""
+
+    def __init__(self, books: np.ndarray, exact: Callable | None = None, slack: float = 0.0):
+        self.near = [Nearest(book, "l2", exact, slack) for book in books]
+        self.shape, self.slack = books.shape, slack
+
+    def __call__(self, r: np.ndarray) -> np.ndarray:
+        out = np.empty((len(self.near), len(r)), np.int64)
+        for at in range(0, len(r), CODE_ROWS):
+            self._tile(r[at:at + CODE_ROWS], out[:, at:at + CODE_ROWS])
+        return out.T
+
+    def _tile(self, r: np.ndarray, out: np.ndarray) -> None:
+        m, k, width = self.shape
+        n = len(r)
+        parts = r.reshape(n, m, width).transpose(1, 0, 2)
+        size = (1 + width * 2.0 ** -23) * np.sqrt(np.einsum("jnw,jnw->jn", parts, parts).astype(np.float64))
+        if not max(size.max(), *(near.reach for near in self.near)) < 1e15:
+            for j, near in enumerate(self.near):
+                out[j] = near(parts[j])
+            return
+        rows = np.ones((m, n, width + 1), np.float32)
+        rows[:, :, :width] = parts
+        best, top, second = np.empty((m, n), np.int64), np.empty((m, n), np.float32), np.empty((m, n), np.float32)
+        tile = np.empty(n * k, np.float32)
+        for j, near in enumerate(self.near):
+            codes = len(near.c)
+            s = np.matmul(rows[j], near.near, out=tile[:n * codes].reshape(n, codes))
+            flat, first = s.ravel(), np.arange(0, n * codes, codes)
+            np.argmax(s, axis=1, out=best[j])
+            at = first + best[j]
+            top[j] = flat[at]
+            flat[at] = -np.inf
+            second[j] = flat[first + np.argmax(s, axis=1)]
+        reach = np.array([near.reach for near in self.near])[:, None]
+        sure = second < top.astype(np.float64) - V.single_error(width) * (size + reach) ** 2 - self.slack
+        for j, near in enumerate(self.near):
+            unsure = np.flatnonzero(~sure[j])
+            if len(unsure):
+                best[j, unsure] = near.exact(parts[j, unsure].astype(np.float64, copy=False), near.c)
+            out[j] = near.number[best[j]]
+
+
 def nearest_codes(r: np.ndarray, books: np.ndarray) -> np.ndarray:
-    """For each row and sub-space the nearest code, ties to the lower one."""
-    m, _, width = books.shape
-    return np.stack([nearest(r[:, j * width:(j + 1) * width], books[j], "l2") for j in range(m)], axis=1)
+    """:class:`NearestCodes` for one block of rows."""
+    return NearestCodes(books)(r)
 
 
 def lloyd_codes(resid: DataFrame, start: np.ndarray, scale: float, iters: int,
-                driver_bytes: int | None = None) -> np.ndarray:
-    """:func:`lloyd` in all sub-spaces at once: ``(m, codes, width)`` whole numbers."""
+                driver_bytes: int | None = None, centres: np.ndarray | None = None) -> np.ndarray:
+    """:func:`lloyd` in all sub-spaces at once: ``(m, codes, width)`` whole numbers.  With
+    ``centres``, a row holds a packed training vector and the number of the centre that it
+    is taken from (``grid_residuals``)."""
     sc = resid.sparkSession.sparkContext
     m, k, width = start.shape
     books = start
+    bc_c = None if centres is None else sc.broadcast(centres.astype(np.float32))
+    resid = resid.select("residual", *(() if centres is None else ("list_id",)))
     for _ in range(iters):
         bc = sc.broadcast(books)
 
         def partial(batches, bc=bc):
-            b = bc.value
-            sums, n = np.zeros((m * k, width), np.int64), np.zeros(m * k, np.int64)
+            # whole numbers of at most 2^24: doubles add up 2^29 rows exactly
+            sums, n = np.zeros(m * k * width), np.zeros(m * k, np.int64)
+            near = NearestCodes(bc.value)
+            first, column = np.arange(m) * k, np.arange(width)
             for rb in V.slices(batches, "residual"):
-                r, _ = V.list_column_matrix(rb.column("residual"))
+                if bc_c is None:
+                    r, _ = V.list_column_matrix(rb.column("residual"))
+                    r = snap(r, scale) if len(r) else r
+                else:
+                    r = V.unpack_rows(rb.column("residual"))
+                    r -= bc_c.value[rb.column("list_id").to_numpy()]
                 if not len(r):
                     continue
-                r = snap(r, scale)
-                codes = nearest_codes(r, b)
-                for j in range(m):
-                    s, c = V.group_sums(r[:, j * width:(j + 1) * width], codes[:, j], k)
-                    sums[j * k:(j + 1) * k] += s.astype(np.int64)
-                    n[j * k:(j + 1) * k] += c
-            yield sums_batch(sums, n)
+                codes = near(r) + first
+                sums += np.bincount((codes[:, :, None] * width + column).ravel(), r.ravel(), len(sums))
+                n += np.bincount(codes.ravel(), minlength=len(n))
+            yield sums_batch(sums.reshape(-1, width).astype(np.int64), n)
 
-        sums, n = add_up(resid.select("residual").mapInArrow(partial, SUMS), m * k, width, driver_bytes)
+        sums, n = add_up(resid.mapInArrow(partial, SUMS), m * k, width, driver_bytes)
         bc.unpersist()
         flat = books.reshape(m * k, width).copy()
         some = n > 0

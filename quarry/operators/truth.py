@@ -73,10 +73,9 @@ def derive_truth(docs: DataFrame, queries: DataFrame,
     for every document containing the query passage (both whitespace-normalised)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
-    # filter on the raw column: a predicate on the cleaned text would be pushed
-    # below any repartition and evaluate the regex twice
-    cleaned = docs.where(F.col("text").isNotNull()) \
-        .select("source_name", clean_text("text").alias("text"))
+    # the scan splits at the white space that ``clean_text`` maps
+    raw = docs.where(F.col("text").isNotNull()) \
+        .select("source_name", F.col("text").cast("string").cast("binary").alias("text"))
     parts = []
     for block in _pattern_blocks(queries, max_broadcast_bytes):
         bc = sc.broadcast(block)
@@ -86,12 +85,12 @@ def derive_truth(docs: DataFrame, queries: DataFrame,
             for pdf in batches:
                 qs, names = [], []
                 for name, text in zip(pdf["source_name"], pdf["text"]):
-                    for q in find(text):
+                    for q in find(" ".join(text.decode("utf-8", "replace").split())):
                         qs.append(q)
                         names.append(name)
                 yield pd.DataFrame({"qid": qs, "relevant": names}, dtype=object)
 
-        parts.append(cleaned.mapInPandas(scan, "qid string, relevant string"))
+        parts.append(raw.mapInPandas(scan, "qid string, relevant string"))
     if not parts:
         return spark.createDataFrame([], "qid string, relevant string")
     out = parts[0]

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import vectors as V
 from ..functions.text import DEFAULT_CHUNK_OVERLAP, DEFAULT_CHUNK_WORDS
 from ..operators.chunking import chunk_corpus
 from ..operators.corpus import add_chunks, read_loads
@@ -42,8 +43,8 @@ DEFAULT_PQ_M = 64
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
 
-def hash_embedder(dim: int = DEFAULT_HASH_DIM) -> Embedder:
-    return lambda df, text_col, id_col: hash_embed(df, text_col, id_col, dim)
+def hash_embedder(dim: int = DEFAULT_HASH_DIM, packed: bool = False) -> Embedder:
+    return lambda df, text_col, id_col: hash_embed(df, text_col, id_col, dim, packed=packed)
 
 
 def model_embedder(model_loader: Callable, dim: int, **options) -> Embedder:
@@ -71,10 +72,12 @@ def preprocess(docs: DataFrame, chunk_words: int = DEFAULT_CHUNK_WORDS,
 
 
 def build_flat_corpus(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM,
-                      embedder: Embedder | None = None) -> DataFrame:
-    """Chunk table -> ``(id, embedding)``, by default with the hashing embedder."""
-    embedder = embedder or hash_embedder(dim)
-    return embedder(chunks, "text", "chunk_id").withColumnRenamed("chunk_id", "id")
+                      embedder: Embedder | None = None, packed: bool = False) -> DataFrame:
+    """Chunk table -> ``(id, embedding)``, by default with the hashing embedder; ``packed``
+    vectors (``functions/vectors.py``), none null, for an index with product codes."""
+    embedder = embedder or hash_embedder(dim, packed)
+    vectors = embedder(chunks, "text", "chunk_id").withColumnRenamed("chunk_id", "id")
+    return V.pack_vectors(vectors, "embedding") if packed else vectors
 
 
 def embed_queries(queries: DataFrame, dim: int = DEFAULT_HASH_DIM,
@@ -91,11 +94,11 @@ def index_chunks(chunks: DataFrame, dim: int = DEFAULT_HASH_DIM, metric: str = "
     """The ``index`` command: embed every chunk (hashing, or the given
     ``embedder``), L2-normalise (P6), train -- on all vectors, or the first
     ``n_train`` -- and add all chunks; product codes unless ``pq_m`` is None."""
-    vectors = build_flat_corpus(chunks, dim, embedder)
+    vectors = build_flat_corpus(chunks, dim, embedder, packed=bool(pq_m) and engine == "lloyd")
     if metric == "cosine":
         vectors = normalize(vectors)
     # embed once: the build reads the vectors for statistics, the training
-    # sample and the assignment pass
+    # and the assignment pass
     vectors = materialize(vectors, "embedded")
     return build_index(vectors, metric, nlist, pq_m, pq_bits, n_train, train_iters, seed, path,
                        adaptive=adaptive, engine=engine)
