@@ -37,6 +37,8 @@ def hash_buckets(text, dim: int) -> Column:
 # ---------------------------------------------------------------- words in Arrow tasks
 
 _OTHER_WHITE = "[" + WHITESPACE_CHARS.replace(" ", "") + "]"
+_WIDE_WHITE = "[" + "".join(c for c in WHITESPACE_CHARS if c > "\x7f") + "]"
+_IN_WORDS = np.array([chr(b) not in WHITESPACE_CHARS or b > 0x7f for b in range(256)])
 # Of MD5 (RFC 1321): left turns and constants of the 64 steps, initial state.
 _TURNS = np.repeat([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]], 4, axis=0).ravel().tolist()
 _SINES = [np.uint32(int(abs(math.sin(i + 1)) * 2 ** 32)) for i in range(64)]
@@ -97,6 +99,22 @@ def utf8_column(arr: pa.Array) -> pa.Array:
         return pa.array([t.decode("utf-8", "replace") for t in arr.to_pylist()], pa.string())
 
 
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Number of words of each binary text, at any white space of ``clean_text``: places
+    where a word's byte follows white space, or for white space beyond ASCII a split."""
+    texts = pa.concat_arrays([utf8_column(texts)])              # offsets from 0
+    at = np.frombuffer(texts.buffers()[1], np.int32)[:len(texts) + 1]
+    word = _IN_WORDS[np.frombuffer(texts.buffers()[2] or b"", np.uint8, int(at[-1]))]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    begin = at[:-1][np.diff(at) > 0]
+    first[begin] = word[begin]
+    n = np.diff(np.searchsorted(np.flatnonzero(first), at))
+    for i in np.flatnonzero(pc.match_substring_regex(texts, _WIDE_WHITE).to_numpy(zero_copy_only=False)).tolist():
+        n[i] = len(texts[i].as_py().split())
+    return n
+
+
 def bucket_counts(texts: pa.Array, dim: int) -> np.ndarray:
     """Binary texts -> (n, dim) float32 term-count matrix of their words' buckets.  Words
     are those of :func:`quarry.functions.text.white_space_words`; a word that occurs often

@@ -31,7 +31,7 @@ SCORE_BYTES = 16 << 20      # of the (rows x centres) score matrix at a time
 SINGLE_BYTES = 2 << 20      # of the same in single precision: about what a core's caches hold
 DRIVER_BYTES = 128 << 20    # of the tasks' sums added on the driver
 CODE_ROWS = 256             # rows whose codes are found at a time: scores of a sub-space stay in a core's cache
-PART_BYTES = 256 << 20      # of a training task's vectors, as floats
+PART_BYTES = 512 << 20      # of a training task's vectors, as floats
 PARTS_PER_CORE = 2          # training tasks, if they hold less
 PARALLEL_ROUNDS = 5         # of the k-means|| start
 OVERSAMPLING = 2            # expected picks of a round, as a multiple of k
@@ -136,7 +136,8 @@ class Nearest:
     of the best one is left to ``exact(rows, centres)``.  Equal centres are scored once."""
 
     def __init__(self, c: np.ndarray, metric: str, exact: Callable | None = None, slack: float = 0.0):
-        self.number = np.sort(np.unique(c, axis=0, return_index=True)[1])
+        first: dict[bytes, int] = {}
+        self.number = np.array([i for i, row in enumerate(np.ascontiguousarray(c)) if first.setdefault(row.tobytes(), i) == i])
         self.c = c[self.number]
         self.exact = exact or (lambda x, c: exact_labels(x, c, metric))
         self.slack, self.product = slack, metric == "cosine"

@@ -40,6 +40,16 @@ def test_word_buckets_are_those_of_md5():
     assert V.word_buckets(pa.array(words), 997).tolist() == want
 
 
+def test_word_counts_are_those_of_split():
+    random.seed(6)
+    texts = ["".join(random.choices(letters + WHITESPACE_CHARS[:10] + wide, k=random.randint(0, 30)))
+             for letters in ("ab", "é漢x") for wide in ("", "\u2003\x85\xa0") for _ in range(300)]
+    arr = pa.array([None if t == "a" else t.encode() for t in ["", "a", *texts, ""]], pa.binary())
+    want = [len((t or b"").decode().split()) for t in arr.to_pylist()]
+    assert V.word_counts(arr).tolist() == want and V.word_counts(arr.slice(5, 40)).tolist() == want[5:45]
+    assert V.word_counts(arr.slice(0, 0)).tolist() == [] and V.word_counts(pa.array([b"a\xff b"])).tolist() == [2]
+
+
 def test_embedding_equals_its_sparse_form(spark):
     random.seed(2)
     texts = ["".join(random.choices("ab é" + WHITESPACE_CHARS, k=random.randint(0, 60))) for _ in range(200)]
